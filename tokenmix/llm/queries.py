@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import langid
+from . import bpe, langid
 from .common import held_out, table
 
 
+def op8_bpe_encode_decode(spark, sf_dir):
+    return bpe.encode_decode(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs)
@@ -15,7 +19,7 @@ def op10_language_id(spark, sf_dir):
 
 
 def queries():
-    return {"op10_language_id": op10_language_id}
+    return {"op8_bpe_encode_decode": op8_bpe_encode_decode, "op10_language_id": op10_language_id}
 
 
 def oracle_sql():
