@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, langid
+from . import bpe, langid, tokenfile
 from .common import held_out, table
 
 
+def op5_token_files(spark, sf_dir):
+    return tokenfile.roundtrip(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_encode_decode(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"))
 
@@ -19,7 +23,7 @@ def op10_language_id(spark, sf_dir):
 
 
 def queries():
-    return {"op8_bpe_encode_decode": op8_bpe_encode_decode, "op10_language_id": op10_language_id}
+    return {"op5_token_files": op5_token_files, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op10_language_id": op10_language_id}
 
 
 def oracle_sql():
