@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, langid, tokenfile
+from . import bpe, langid, quality, tokenfile
 from .common import held_out, table
 
 
@@ -16,6 +16,12 @@ def op8_bpe_encode_decode(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op10_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs)
@@ -23,7 +29,7 @@ def op10_language_id(spark, sf_dir):
 
 
 def queries():
-    return {"op5_token_files": op5_token_files, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op10_language_id": op10_language_id}
+    return {"op5_token_files": op5_token_files, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
 
 
 def oracle_sql():
