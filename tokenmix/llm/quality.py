@@ -125,7 +125,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of docs, then score double and predicted int (replacing such columns)."""
     spark = ready(docs.sparkSession)
     docs = docs.drop("score", "predicted")
-    schema = T.StructType(list(docs.schema.fields)).add("score", "double").add("predicted", "int")
+    schema = T.StructType(list(docs.schema.fields)).add("score", "double").add("predicted", "integer")
     shared, key, at = spark.sparkContext.broadcast(model), uuid.uuid4().hex, docs.columns.index("text")
 
     def work(batches):
