@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, langid, quality, tokenfile
+from . import bpe, langid, media, quality, tokenfile, warc
 from .common import held_out, table
 
 
+def op1_warc(spark, sf_dir):
+    return warc.roundtrip(table(spark, sf_dir, "pages"))
+
+
+def op2_webp(spark, sf_dir):
+    return media.roundtrip(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark, sf_dir):
     return tokenfile.roundtrip(table(spark, sf_dir, "documents"))
 
@@ -29,8 +37,8 @@ def op10_language_id(spark, sf_dir):
 
 
 def queries():
-    return {"op5_token_files": op5_token_files, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
+    return {"op1_warc": op1_warc, "op2_webp": op2_webp, "op5_token_files": op5_token_files, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
 
 
 def oracle_sql():
-    return {}
+    return {"op1_warc": warc.ORACLE}
