@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, langid, media, quality, tokenfile, warc
+from . import bpe, langid, media, quality, simhash, tokenfile, warc
 from .common import held_out, table
 
 
@@ -16,6 +16,11 @@ def op2_webp(spark, sf_dir):
     return media.roundtrip(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark, sf_dir):
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
 def op5_token_files(spark, sf_dir):
     return tokenfile.roundtrip(table(spark, sf_dir, "documents"))
 
@@ -37,7 +42,7 @@ def op10_language_id(spark, sf_dir):
 
 
 def queries():
-    return {"op1_warc": op1_warc, "op2_webp": op2_webp, "op5_token_files": op5_token_files, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
+    return {"op1_warc": op1_warc, "op2_webp": op2_webp, "op3_simhash": op3_simhash, "op5_token_files": op5_token_files, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
 
 
 def oracle_sql():
