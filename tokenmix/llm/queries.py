@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, langid, media, quality, simhash, tokenfile, warc
+from . import bpe, langid, media, quality, repeats, simhash, tokenfile, warc
 from .common import held_out, table
 
 
@@ -25,6 +25,10 @@ def op5_token_files(spark, sf_dir):
     return tokenfile.roundtrip(table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark, sf_dir):
+    return repeats.measures(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_encode_decode(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,7 @@ def op10_language_id(spark, sf_dir):
 
 
 def queries():
-    return {"op1_warc": op1_warc, "op2_webp": op2_webp, "op3_simhash": op3_simhash, "op5_token_files": op5_token_files, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
+    return {"op1_warc": op1_warc, "op2_webp": op2_webp, "op3_simhash": op3_simhash, "op5_token_files": op5_token_files, "op7_repeats": op7_repeats, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
 
 
 def oracle_sql():
