@@ -1,7 +1,8 @@
 """Token ids in Arrow stream files of equal-length sequences.
 
 A file holds one run of ids, cut into sequences of ``length``: record batches of the columns ``ids``
-(fixed-size list of uint32) and ``mask`` (fixed-size list of uint8: 1 for an id, 0 for the filling behind the last one). Every batch but the last
+(fixed-size list of uint16, or uint32 for a vocabulary that needs it) and ``mask`` (fixed-size list of bool,
+bits in Arrow: true for an id, false for the filling behind the last one). Every batch but the last
 has the same number of sequences, so sequence k is in batch k // rows at row k % rows, and a reader takes
 it from the mapped or fetched buffer without copying. Beside it lies an index file (Arrow stream) with each document's
 doc_id, start in the file and number of ids.
@@ -95,8 +96,8 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def sequence_schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def sequence_schema(length: int, vocabulary: int) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(pa.uint16() if vocabulary <= 1 << 16 else pa.uint32(), length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -105,34 +106,35 @@ INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", p
 class Writer:
     """Appends ids to a sequence file and documents to its index."""
 
-    def __init__(self, url: str, length: int = LENGTH, rows: int = ROWS):
+    def __init__(self, url: str, vocabulary: int, length: int = LENGTH, rows: int = ROWS):
         fs, path = open_fs(url)
         fs.create_dir(path.rpartition("/")[0], recursive=True)
         self.length, self.rows, self.total, self.held, self.waiting = length, rows, 0, [], 0
         self.sink, self.index_sink = fs.open_output_stream(path), fs.open_output_stream(path + ".index")
-        self.stream = pa.ipc.new_stream(self.sink, sequence_schema(length))
+        self.schema = sequence_schema(length, vocabulary)
+        self.type = np.uint16 if vocabulary <= 1 << 16 else np.uint32
+        self.stream = pa.ipc.new_stream(self.sink, self.schema)
         self.index = pa.ipc.new_stream(self.index_sink, INDEX)
 
     def add(self, doc_ids: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
         n = np.diff(ends)
         self.index.write_batch(pa.RecordBatch.from_arrays([doc_ids, pa.array(self.total + ends[:-1]), pa.array(n)], schema=INDEX))
-        self.held.append(ids.astype(np.uint32))
+        self.held.append(ids.astype(self.type))
         self.waiting += len(ids)
         self.total += len(ids)
         if self.waiting >= self.length * self.rows:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
-        flat = np.concatenate([*self.held, np.zeros(0, np.uint32)])
+        flat = np.concatenate([*self.held, np.zeros(0, self.type)])
         step = self.length * self.rows
         whole = len(flat) if last else len(flat) // step * step
         for i in range(0, whole, step):
             some = flat[i : i + step]
             fill = -len(some) % self.length
-            mask = np.ones(len(some) + fill, np.uint8)
-            mask[len(some) :] = 0
-            some = np.concatenate([some, np.zeros(fill, np.uint32)]) if fill else some
-            self.stream.write_batch(pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (some, mask)], schema=sequence_schema(self.length)))
+            mask = np.arange(len(some) + fill) < len(some)
+            some = np.concatenate([some, np.zeros(fill, self.type)]) if fill else some
+            self.stream.write_batch(pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (some, mask)], schema=self.schema))
         self.held, self.waiting = [flat[whole:]], len(flat) - whole
 
     def close(self) -> int:
@@ -158,10 +160,10 @@ class Reader:
     def __len__(self) -> int:
         return sum(b.num_rows for b in self.batches)
 
-    def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """ids and mask of sequence k, as views of the file's buffers."""
-        b, at = self.batches[k // self.rows], k % self.rows * self.length
-        return tuple(c.flatten().to_numpy()[at : at + self.length] for c in (b.column(0), b.column(1)))
+        at = k % self.rows * self.length
+        return self.flat[k // self.rows][at : at + self.length], self.batches[k // self.rows].column(1).flatten().slice(at, self.length)
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """ids start .. start+n of the file's run; a copy only where they lie in two batches."""
@@ -170,7 +172,7 @@ class Reader:
             k, at = divmod(start, step)
             parts.append(self.flat[k][at : at + n])
             start, n = start + len(parts[-1]), n - len(parts[-1])
-        return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint16)
 
 
 def write(docs: DataFrame, folder: str, path: str | None = None, length: int = LENGTH, rows: int = ROWS) -> DataFrame:
@@ -187,7 +189,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, length: int = L
         for b in spans.grouped(batches, 1):
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
             if texts and writer is None:
-                writer = Writer(url, length, rows)
+                writer = Writer(url, enc.tokenizer.get_vocab_size() + 1, length, rows)
             for part, ids, ends in enc.encode(texts):
                 k = np.arange(1, len(ends))
                 writer.add(b.column(0).slice(part.start, len(ends) - 1).cast(pa.int64()), np.insert(ids, ends[1:], END), np.concatenate([[0], ends[1:] + k]))
@@ -212,7 +214,7 @@ def read(manifest: DataFrame) -> DataFrame:
                 r = Reader(url)
                 for docs in r.index:
                     start, n = docs.column(1).to_numpy(), docs.column(2).to_numpy()
-                    crc = [zlib.crc32(r.ids(x, y).astype("<u4", copy=False)) for x, y in zip(start.tolist(), n.tolist())]
+                    crc = [zlib.crc32(r.ids(x, y).astype("<u4")) for x, y in zip(start.tolist(), n.tolist())]
                     yield pa.RecordBatch.from_pydict({"doc_id": docs.column(0), "start": pa.array(start + base), "n_tokens": docs.column(2), "ids_crc32": pa.array(crc, pa.int64())})
 
     return listed.repartition(max(1, len(files)), "file").mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
