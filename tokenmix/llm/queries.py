@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, media, quality, repeats, simhash, tokenfile, warc
+from . import bpe, decontaminate, langid, licences, media, quality, repeats, simhash, tokenfile, warc
 from .common import held_out, table
 
 
@@ -29,6 +29,10 @@ def op5_token_files(spark, sf_dir):
     return tokenfile.roundtrip(table(spark, sf_dir, "documents"))
 
 
+def op6_licences(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op7_repeats(spark, sf_dir):
     return repeats.measures(table(spark, sf_dir, "documents"))
 
@@ -50,8 +54,8 @@ def op10_language_id(spark, sf_dir):
 
 
 def queries():
-    return {"op1_warc": op1_warc, "op2_webp": op2_webp, "op3_simhash": op3_simhash, "op4_decontaminate": op4_decontaminate, "op5_token_files": op5_token_files, "op7_repeats": op7_repeats, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
+    return {"op1_warc": op1_warc, "op2_webp": op2_webp, "op3_simhash": op3_simhash, "op4_decontaminate": op4_decontaminate, "op5_token_files": op5_token_files, "op6_licences": op6_licences, "op7_repeats": op7_repeats, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
 
 
 def oracle_sql():
-    return {"op1_warc": warc.ORACLE, "op4_decontaminate": decontaminate.ORACLE}
+    return {"op1_warc": warc.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op6_licences": licences.ORACLE}
