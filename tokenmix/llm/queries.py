@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, langid, licences, media, quality, repeats, simhash, tokenfile, warc
@@ -54,8 +55,9 @@ def op10_language_id(spark, sf_dir):
 
 
 def queries():
-    return {"op1_warc": op1_warc, "op2_webp": op2_webp, "op3_simhash": op3_simhash, "op4_decontaminate": op4_decontaminate, "op5_token_files": op5_token_files, "op6_licences": op6_licences, "op7_repeats": op7_repeats, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
+    return {"op1_warc": op1_warc, "op2_webp": op2_webp, "op3_simhash": op3_simhash, "op4_decontaminate": op4_decontaminate, "op5_token_files": op5_token_files, "op6_licences": op6_licences, "op7_repeats": op7_repeats, "op8_bpe_encode_decode": op8_bpe_encode_decode, "op9_quality": op9_quality, "op10_language_id": op10_language_id, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql():
-    return {"op1_warc": warc.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op6_licences": licences.ORACLE}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return sql | {"op1_warc": warc.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op6_licences": licences.ORACLE}

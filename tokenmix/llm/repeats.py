@@ -45,6 +45,8 @@ HOT, HOT_LIST, REPORT = 2000, 100_000, 8
 #: Strings of one collection, beyond which the next anchor group opens another.
 STRINGS = 1500
 ALL_GO, FIRST_STAYS, SEND_FIRST = range(3)
+#: The block's column beside the documents' own.
+BLK = "_tokenmix_block"
 
 
 class Block:
@@ -54,7 +56,7 @@ class Block:
         ids = table.column("doc_id").to_pylist()
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in table.column("text").to_pylist()]
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, raw[i]))
-        self.ids, self.texts = [ids[i] for i in order], [raw[i] for i in order]
+        self.order, self.ids, self.texts = order, [ids[i] for i in order], [raw[i] for i in order]
         self.width, self.sizes, self.hot = width, sizes, hot
 
     def level(self, k: int) -> windows.Segments:
@@ -260,17 +262,17 @@ def _cut(block: Block, gone: pa.Table):
         yield sum(e) - sum(s), list(zip(s, e)), b"".join(kept)
 
 
-def _blocks(docs: DataFrame, columns: list[str], size: int) -> tuple[DataFrame, int, str]:
-    """docs with blk, as a table bucketed by it; number of buckets; name of the table."""
+def _blocks(docs: DataFrame, columns: list[str], size: int) -> tuple[DataFrame, int]:
+    """docs with BLK, as a table bucketed by it; and the number of blocks."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).collect()[0]["n"] or 0
     n = max(1, int(total // size) + 1)
     name = f"tokenmix_blocks_{uuid.uuid4().hex}"
     tie = F.xxhash64("text")
-    placed = docs.select(*columns).repartitionByRange(n, F.col("doc_id"), tie).withColumn("blk", F.spark_partition_id().cast("long"))
+    placed = docs.select(*columns).repartitionByRange(n, F.col("doc_id"), tie).withColumn(BLK, F.spark_partition_id().cast("long"))
     buckets = max(1, min(n, -(-int(total) // (4 * size)) + spark.sparkContext.defaultParallelism))
-    placed.write.option("compression", "zstd").bucketBy(buckets, "blk").saveAsTable(name)
-    return spark.table(name), n, name
+    placed.write.option("compression", "zstd").bucketBy(buckets, BLK).saveAsTable(name)
+    return spark.table(name), n
 
 
 def _sender(shared, width: int, sizes, level: int, buckets: int):
@@ -311,14 +313,14 @@ def _release(spark) -> None:
 def run(docs: DataFrame, shape: str, columns: list[str], make, width: int = WIDTH, sizes=SIZES, block: int = BLOCK, hot_at: int = HOT, hot_list: int = HOT_LIST, strings: int = STRINGS) -> DataFrame:
     """The frame that make(Block, cuts, table) gives for each block; cuts as from ``_cut``."""
     spark = ready(docs.sparkSession)
-    table, n, name = _blocks(docs, columns, block)
+    table, n = _blocks(docs, columns, block)
     _release(spark)
     buckets, hot, entries = n, [], []
-    needed = table.select("blk", "doc_id", "text")
+    needed = table.select(BLK, "doc_id", "text")
     for level in range(len(sizes)):
         shared = spark.sparkContext.broadcast(list(hot))
 
-        got = written(needed.groupBy("blk").applyInArrow(_sender(shared, width, sizes, level, buckets), ENTRY), f"entries{level}")
+        got = written(needed.groupBy(BLK).applyInArrow(_sender(shared, width, sizes, level, buckets), ENTRY), f"entries{level}")
         entries.append(got)
         total = got.where("bucket >= 0").agg(F.sum("n").alias("n")).collect()[0]["n"] or 0
         if level == len(sizes) - 1:
@@ -343,17 +345,19 @@ def run(docs: DataFrame, shape: str, columns: list[str], make, width: int = WIDT
     def reply(key, docs, answers):
         return _sent(Block(docs, shared.value, width, sizes), key[0].as_py(), answers, buckets, levels)
 
-    sent = written(needed.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(reply, SENT), "segments")
+    sent = written(needed.groupBy(BLK).cogroup(answers.groupBy("blk")).applyInArrow(reply, SENT), "segments")
     _release(spark)
     asked = sent.where(F.col("kind") == BYTES)
     judged = asked.groupBy("level", "bucket").applyInArrow(lambda t: _judged(t, width, strings), SENT)
     gone = sent.where(F.col("kind") == GONE).unionByName(judged).select("blk", "row", "start", "n")
 
     def finish(key, docs, gone):
+        if not docs.num_rows:
+            return make(None, [], docs)
         b = Block(docs, [], width, sizes)
         return make(b, _cut(b, gone), docs)
 
-    return table.groupBy("blk").cogroup(gone.groupBy("blk")).applyInArrow(finish, shape)
+    return table.groupBy(BLK).cogroup(gone.groupBy("blk")).applyInArrow(finish, shape)
 
 
 SHAPE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -363,8 +367,44 @@ def measures(docs: DataFrame, **options) -> DataFrame:
     """``SHAPE`` of every document."""
 
     def make(block, cuts, _):
-        rows = [(i, len(t), removed, len(spans), hashlib.sha256(kept).hexdigest()) for i, t, (removed, spans, kept) in zip(block.ids, block.texts, cuts)]
+        rows = [] if block is None else [(i, len(t), removed, len(spans), hashlib.sha256(kept).hexdigest()) for i, t, (removed, spans, kept) in zip(block.ids, block.texts, cuts)]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return run(docs, SHAPE, ["doc_id", "text"], make, **options)
+
+
+def _whole(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """text without the characters that lie wholly in a span."""
+    out, last = [], 0
+    for a, b in spans:
+        while a < b and text[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(text) and text[b] & 0xC0 == 0x80:
+            b -= 1
+        out.append(text[last:a])
+        last = b
+    return b"".join([*out, text[last:]])
+
+
+def cut_texts(docs: DataFrame, **options) -> DataFrame:
+    """docs with its columns: repeated passages are cut out of text (whole characters only), n_chars (if there) follows; documents that lose all their text go."""
+    columns = docs.columns
+    shape = docs.schema
+
+    def make(block, cuts, t):
+        if block is None:
+            return t.select(columns)
+        texts = [_whole(raw, spans) for raw, (_, spans, _) in zip(block.texts, cuts)]
+        t = t.select(columns).take(pa.array(block.order, pa.int64()))
+        was = t.column("text").to_pylist()
+        new = [None if w is None else x.decode("utf-8", "surrogatepass") for w, x in zip(was, texts)]
+        keep = [bool(x) or not w for w, x in zip(was, new)]
+        changed = [x != w for w, x in zip(was, new)]
+        t = t.set_column(columns.index("text"), "text", pa.array(new, t.schema.field("text").type))
+        if "n_chars" in columns:
+            n = [len(x) if c else k for x, c, k in zip(new, changed, t.column("n_chars").to_pylist())]
+            t = t.set_column(columns.index("n_chars"), "n_chars", pa.array(n, t.schema.field("n_chars").type))
+        return t.filter(pa.array(keep, pa.bool_()))
+
+    return run(docs, shape, columns, make, **options)
