@@ -1,15 +1,344 @@
-"""Registered queries of the mixture engine, with their DuckDB oracles."""
+"""Registered queries of the mixture engine over the driver's tables, with their DuckDB oracles.
+
+``documents`` stand in for records: a document's source is its file and (through its number) its cluster, its
+n_chars its token count, its text and a newline its bytes. Regions are 4096 bytes here.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import columns
+from .operators import aggregate, sample
+from .operators.extract import extract
+from .operators.validate import validated
+from .plans import workplan
+from .sources import jsonl, scratch
+from .streaming import ledger
+
+REVISION, SEED, REGION, GLOB = "rev-1", "tokenmix", 4096, "part_*.tokenized.jsonl"
+
+
+def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    cluster = (F.substring("source", 4, 9).cast("int") + 1).alias("cluster_id")
+    return t.select("doc_id", "source", cluster, F.col("n_chars").alias("token_count"), F.octet_length("text").cast("long").alias("bytes"))
+
+
+def _path() -> Column:
+    return F.concat(F.lit("part_"), F.substring("source", 4, 9), F.lit(".tokenized.jsonl"))
+
+
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return docs(spark, sf_dir).groupBy(_path().alias("path")).agg(F.sum(F.col("bytes") + 1).alias("size"))
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return workplan.plan_items(files(spark, sf_dir), REVISION, SEED, REGION)
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """file, doc_id, cluster_id, token_count, record_start."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.col("bytes") + 1).over(w), F.lit(0).cast("long"))
+    return docs(spark, sf_dir).select(_path().alias("file"), "doc_id", "cluster_id", "token_count", start.alias("record_start"))
+
+
+def owned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """records with the plan index of the region that holds their first byte."""
+    p = items(spark, sf_dir).select("index", F.col("filename").alias("file"), (F.col("range_start") / REGION).cast("long").alias("region"))
+    r = records(spark, sf_dir).withColumn("region", F.floor(F.col("record_start") / REGION))
+    return r.join(p, ["file", "region"]).withColumnRenamed("index", "work_index")
+
+
+def _tokens() -> Column:
+    n = (F.col("token_count") % 7 + 1).cast("int")
+    return F.transform(F.sequence(F.lit(1), n), lambda i: (F.col("doc_id") * 31 + i * 17) % 50257)
+
+
+def _line(cluster: Column | str, tokens: Column | str, count: Column | str) -> Column:
+    parts = [F.lit(x) if isinstance(x, str) else x.cast("string") for x in (cluster, tokens, count)]
+    return F.concat(F.lit('{"cluster_id": '), parts[0], F.lit(', "tokens": '), parts[1], F.lit(', "token_count": '), parts[2], F.lit("}"))
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = F.concat(F.lit("["), F.array_join(_tokens().cast("array<string>"), ", "), F.lit("]"))
+    d = docs(spark, sf_dir).withColumn("listed", listed).withColumn("n_tokens", F.col("token_count") % 7 + 1)
+    return d.withColumn("value", _line(F.col("cluster_id"), F.col("listed"), F.col("n_tokens")))
+
+
+def extraction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, t, n = F.col("cluster_id").cast("string"), F.col("listed"), F.col("n_tokens").cast("string")
+    kinds = [
+        F.col("value"), F.lit(""), F.concat(F.lit('{"cluster_id": '), c, F.lit(', "token_count": '), n, F.lit(', "tokens": '), t, F.lit("}")),
+        _line(c, F.lit('["cluster_id"]'), n), F.concat(F.lit('{"x": 1, '), F.substring("value", 2, 1 << 30)), _line(F.concat(c, F.lit(".0")), t, n), _line("21", t, n), _line(c, t, "0"),
+        _line(c, t, F.concat(n, F.lit(', "x": 1'))), _line("true", t, n), _line(c, "7", n), _line(c, '[1],"x":[2]', n),
+    ]
+    return lines(spark, sf_dir).select("doc_id", F.element_at(F.array(*kinds), (F.col("doc_id") % 12 + 1).cast("int")).alias("value"))
+
+
+EXTRACTION = [None, "not_object", "layout", "duplicate_key", "field_before_cluster_id", "field_before_tokens", "cluster_id_out_of_range", "token_count_not_positive", "field_after_token_count", "cluster_id_not_integer", "tokens_not_array", None]
+
+
+def validation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, t, n = F.col("cluster_id").cast("string"), F.col("listed"), F.col("n_tokens").cast("string")
+    head = F.concat(F.lit('{"cluster_id": '), c)
+    kinds = [
+        F.col("value"), head, F.concat(F.lit('{"tokens": '), t, F.lit("}")), _line("true", t, n), _line("99", t, n), F.concat(head, F.lit("}")), _line(c, '{"a": 1}', n), _line(c, "[]", "0"),
+        _line(c, "[1.0]", "1"), _line(c, "[50257]", "1"), _line(c, t, "null"), _line(c, t, "99"), F.concat(head, F.lit(', "tokens": '), t, F.lit("}")),
+    ]
+    return lines(spark, sf_dir).select("doc_id", "cluster_id", F.element_at(F.array(*kinds), (F.col("doc_id") % 13 + 1).cast("int")).alias("value"))
+
+
+VALIDATION = [None, "json_parse_error", "missing_cluster_id", "cluster_id_not_integer", "cluster_id_out_of_range", "missing_tokens", "tokens_not_list", "tokens_empty", "token_not_integer", "token_out_of_range", "token_count_not_integer", "token_count_mismatch", None]
+
+
+def _some(spark, sf_dir):
+    """Totals with clusters 3 and 8 left out."""
+    return aggregate.totals(docs(spark, sf_dir).where("cluster_id not in (3, 8)"))
+
+
+def _totals(spark, sf_dir):
+    return aggregate.totals(docs(spark, sf_dir))
+
+
+def _bad_range(spark, sf_dir):
+    p = items(spark, sf_dir)
+    return p.withColumn("range_end", F.when(F.col("index") % 10 == 3, F.col("range_end") + 10**9).otherwise(F.col("range_end")))
+
+
+def _bad_identity(spark, sf_dir):
+    p = items(spark, sf_dir)
+    return p.withColumn("work_item_id", F.when(F.col("index") % 10 == 4, F.concat("work_item_id", F.lit("x"))).otherwise(F.col("work_item_id")))
+
+
+def _bad_index(spark, sf_dir):
+    return items(spark, sf_dir).withColumn("index", F.when(F.col("index") >= 7, F.col("index") + 1).otherwise(F.col("index")))
+
 
-def entry(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").count()
+def _gapped(spark, sf_dir):
+    return items(spark, sf_dir).where(~((F.col("filename") == "part_3.tokenized.jsonl") & (F.col("range_start") == REGION)))
+
+
+def _renamed(spark, sf_dir):
+    return items(spark, sf_dir).withColumn("filename", F.when(F.col("index") % 25 == 0, F.concat(F.lit("other_"), "filename")).otherwise(F.col("filename")))
+
+
+def _drifted(spark, sf_dir):
+    f = files(spark, sf_dir).where("path != 'part_9.tokenized.jsonl'")
+    return f.withColumn("size", F.when(F.col("path") == "part_4.tokenized.jsonl", F.col("size") + 5).otherwise(F.col("size")))
+
+
+def q_weights_check(spark, sf_dir):
+    t = _totals(spark, sf_dir)
+    published = aggregate.weights(t).withColumn("weight", F.when(F.col("cluster") == "5", F.col("weight") + 1).otherwise(F.col("weight")))
+    return aggregate.weights_verdicts(t, published)
+
+
+def q_glob_filter(spark, sf_dir):
+    t = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    names = [_path(), F.concat(F.lit("sub/"), _path()), F.concat(F.lit("PART_"), F.substring("source", 4, 9)), F.concat(_path(), F.lit(".gz"))]
+    p = t.select("doc_id", F.element_at(F.array(*names), (F.col("doc_id") % 4 + 1).cast("int")).alias("path"))
+    return p.withColumn("matches", columns.in_root(F.col("path"), GLOB))
+
+
+def q_source_listing(spark, sf_dir):
+    return files(spark, sf_dir).where(columns.in_root(F.col("path"), GLOB))
+
+
+def q_duplicate_ids(spark, sf_dir):
+    p = items(spark, sf_dir)
+    return workplan.duplicates(p.unionByName(p.where("index % 9 = 0")), "work_item_id")
+
+
+def q_region_rollup(spark, sf_dir):
+    return owned(spark, sf_dir).groupBy("file", "region").agg(F.count("*").alias("records"), F.sum("token_count").alias("tokens"), F.min("record_start").alias("first_start"))
+
+
+def _ledger_rows(spark, sf_dir):
+    part = aggregate.region_partials(owned(spark, sf_dir)).select("work_index", F.lit(None).cast("long").alias("source_bytes"), "cluster_id", "tokens", "docs")
+    size = items(spark, sf_dir).select(F.col("index").alias("work_index"), (F.col("range_end") - F.col("range_start")).alias("source_bytes"), F.lit(None).cast("int").alias("cluster_id"), F.lit(0).cast("long").alias("tokens"), F.lit(0).cast("long").alias("docs"))
+    return part.unionByName(size)
+
+
+def q_resume_equivalence(spark, sf_dir):
+    """The plan's first half goes to a ledger, then the rest; the totals come from the ledger."""
+    path, rows = scratch.folder(spark, "ledger"), _ledger_rows(spark, sf_dir)
+    half = items(spark, sf_dir).count() // 2
+    rows.where(F.col("work_index") < half).write.parquet(f"{path}/batch-0")
+    done = spark.read.parquet(f"{path}/batch-0").where("cluster_id is null").select("work_index")
+    rows.join(done, "work_index", "left_anti").select(*rows.columns).write.parquet(f"{path}/batch-1")
+    return ledger.fold(spark.read.schema(ledger.LEDGER).parquet(f"{path}/batch-0", f"{path}/batch-1"))
+
+
+def q_jsonl_scan(spark, sf_dir):
+    """Writes the lines as text, scans them again and totals what is extracted."""
+    path = scratch.folder(spark, "jsonl")
+    lines(spark, sf_dir).select("value").write.text(path)
+    found = extract(jsonl.scan(spark, path).select("value")).where("reason is null")
+    return aggregate.dense(aggregate.totals(found))
+
+
+def q_crlf_trim(spark, sf_dir):
+    ends = F.element_at(F.array(*map(F.lit, ("", "\r", "\r\r", "\rx"))), (F.col("doc_id") % 4 + 1).cast("int"))
+    return docs(spark, sf_dir).select("doc_id", columns.without_cr(F.concat(F.lit("line "), F.col("doc_id").cast("string"), ends)).alias("value"))
+
+
+def q_validation_verdicts(spark, sf_dir):
+    v = validation_lines(spark, sf_dir).select("doc_id", validated(F.col("value")).alias("v"))
+    return v.select("doc_id", "v.valid", "v.cluster_id", "v.rejection_reason", F.size("v.tokens").alias("n_tokens"))
+
+
+def q_validation_reason_counts(spark, sf_dir):
+    return q_validation_verdicts(spark, sf_dir).groupBy(F.coalesce("rejection_reason", F.lit("valid")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+def q_audit_sample(spark, sf_dir):
+    return sample.by_hash(docs(spark, sf_dir).select("source", "doc_id", "cluster_id"), "source", "doc_id", 10)
+
+
+def q_external_crosscheck(spark, sf_dir):
+    t = _totals(spark, sf_dir)
+    external = t.where("cluster_id != 2").select("cluster_id", F.when(F.col("cluster_id") == 6, F.col("docs") + 1).otherwise(F.col("docs")).alias("docs"))
+    return aggregate.crosscheck(t, external)
+
+
+def q_mixture_report(spark, sf_dir):
+    t = _totals(spark, sf_dir)
+    g = aggregate.grand(t).select("all_tokens", "accepted_tokens", "records")
+    size = files(spark, sf_dir).agg(F.sum("size").alias("source_bytes"), F.count("*").alias("source_files"))
+    return g.select(F.lit(1).alias("k"), "*").join(size.select(F.lit(1).alias("k"), "*"), "k").join(aggregate.weights_json(t).select(F.lit(1).alias("k"), "weights"), "k").drop("k")
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregate.dense(_totals(spark, sf_dir))
 
 
 def queries():
-    return {}
+    d, t, p, f = docs, _totals, items, files
+    return {
+        "cluster_totals": t,
+        "cluster_totals_dense": lambda s, x: aggregate.dense(_some(s, x)),
+        "grand_totals": lambda s, x: aggregate.grand(t(s, x)),
+        "missing_clusters": lambda s, x: aggregate.missing(_some(s, x)),
+        "positivity_check": lambda s, x: aggregate.positivity(t(s, x)),
+        "mixture_weights": lambda s, x: aggregate.weights_json(t(s, x)),
+        "weights_check": q_weights_check,
+        "token_shares": lambda s, x: aggregate.token_shares(t(s, x)),
+        "document_shares": lambda s, x: aggregate.document_shares(t(s, x)),
+        "accepted_filter": lambda s, x: d(s, x).where(aggregate.is_accepted()).select("doc_id", "cluster_id", "token_count"),
+        "cluster_domain_filter": lambda s, x: d(s, x).withColumn("cluster_id", F.col("cluster_id") + 5).where(aggregate.in_domain()).select("doc_id", "cluster_id"),
+        "cluster_key_set_diff": lambda s, x: aggregate.key_difference(_some(s, x), t(s, x).where("cluster_id != 12")),
+        "source_listing": q_source_listing,
+        "glob_filter": q_glob_filter,
+        "work_regions": lambda s, x: workplan.regions(f(s, x), REGION),
+        "work_plan": p,
+        "plan_coverage": lambda s, x: workplan.coverage_verdicts(_gapped(s, x), f(s, x)),
+        "plan_range_check": lambda s, x: workplan.range_verdicts(_bad_range(s, x), f(s, x)),
+        "plan_identity_check": lambda s, x: workplan.identity_verdicts(_bad_identity(s, x), REVISION),
+        "plan_index_check": lambda s, x: workplan.index_verdicts(_bad_index(s, x)),
+        "plan_source_join": lambda s, x: workplan.with_source(p(s, x), f(s, x)),
+        "plan_unknown_files": lambda s, x: workplan.unknown_files(_renamed(s, x), f(s, x)),
+        "duplicate_ids": q_duplicate_ids,
+        "source_bytes_total": lambda s, x: f(s, x).agg(F.sum("size").alias("source_bytes"), F.count("*").alias("source_files")),
+        "size_drift_check": lambda s, x: workplan.size_drift(f(s, x), _drifted(s, x)),
+        "file_list_diff": lambda s, x: workplan.list_difference(f(s, x), _drifted(s, x)),
+        "record_offsets": lambda s, x: records(s, x).select("file", "doc_id", "record_start"),
+        "record_ownership": lambda s, x: owned(s, x).select("doc_id", "file", "record_start", "work_index"),
+        "region_partial_agg": lambda s, x: aggregate.region_partials(owned(s, x)),
+        "region_rollup": q_region_rollup,
+        "prefix_coverage": lambda s, x: workplan.prefix_bytes(p(s, x)).select("index", "covered_bytes"),
+        "progress_fold": lambda s, x: ledger.progress_by_item(_ledger_rows(s, x)),
+        "remaining_items": lambda s, x: workplan.remaining(p(s, x), 100),
+        "resume_equivalence": q_resume_equivalence,
+        "jsonl_scan": q_jsonl_scan,
+        "crlf_trim": q_crlf_trim,
+        "metadata_extract": lambda s, x: extract(extraction_lines(s, x)),
+        "metadata_reject_reasons": lambda s, x: extract(extraction_lines(s, x)).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n")),
+        "validation_verdicts": q_validation_verdicts,
+        "validation_reason_counts": q_validation_reason_counts,
+        "audit_sample": q_audit_sample,
+        "external_crosscheck": q_external_crosscheck,
+        "mixture_report": q_mixture_report,
+    }
+
+
+_D = "d AS (SELECT doc_id, source, CAST(substring(source, 4) AS INTEGER) + 1 AS cluster_id, n_chars AS token_count, CAST(strlen(text) AS BIGINT) AS bytes FROM documents)"
+_T = "t AS (SELECT cluster_id, CAST(sum(token_count) AS BIGINT) AS tokens, count(*) AS docs FROM d GROUP BY 1)"
+_S = "s AS (SELECT * FROM t WHERE cluster_id NOT IN (3, 8))"
+_C = "c AS (SELECT CAST(range AS INTEGER) AS cluster_id FROM range(1, 21))"
+_E = "e AS (SELECT cluster_id, coalesce(tokens, 0) AS tokens, coalesce(docs, 0) AS docs FROM c LEFT JOIN t USING (cluster_id))"
+_F = "f AS (SELECT 'part_' || substring(source, 4) || '.tokenized.jsonl' AS path, CAST(sum(bytes + 1) AS BIGINT) AS size FROM d GROUP BY 1)"
+_R = f"r AS (SELECT path AS filename, size, unnest(range(0, size, {REGION})) AS range_start FROM f), rr AS (SELECT filename, size, range_start, least(range_start + {REGION}, size) AS range_end FROM r)"
+_I = f"i AS (SELECT *, '{REVISION}:' || filename || ':' || range_start || ':' || range_end AS work_item_id FROM rr)"
+_P = f"p AS (SELECT CAST(row_number() OVER (ORDER BY sha256('{SEED}' || chr(0) || work_item_id), work_item_id) - 1 AS INTEGER) AS \"index\", filename, range_start, range_end, work_item_id FROM i)"
+_O = "o AS (SELECT 'part_' || substring(source, 4) || '.tokenized.jsonl' AS file, doc_id, cluster_id, token_count, CAST(coalesce(sum(bytes + 1) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS record_start FROM d)"
+_W = f"w AS (SELECT o.*, o.record_start // {REGION} AS region, p.\"index\" AS work_index FROM o JOIN p ON p.filename = o.file AND o.record_start >= p.range_start AND o.record_start < p.range_end)"
+_A = "cluster_id NOT IN (11)"
+_Z = "z AS (SELECT path, CASE WHEN path = 'part_4.tokenized.jsonl' THEN size + 5 ELSE size END AS size FROM f WHERE path <> 'part_9.tokenized.jsonl')"
+
+
+def _with(*ctes: str) -> str:
+    return "WITH " + ", ".join(ctes) + " "
+
+
+def _case(reasons: list, key: str, otherwise: str) -> str:
+    return f"CASE doc_id % {len(reasons)} " + " ".join(f"WHEN {k} THEN '{r}'" for k, r in enumerate(reasons) if r) + f" ELSE {otherwise} END AS {key}"
 
 
 def oracle_sql():
-    return {}
+    plan = (_D, _F, _R, _I, _P)
+    weight = "'{' || string_agg('\"' || cluster_id || '\":' || tokens, ',' ORDER BY CAST(cluster_id AS VARCHAR)) || '}'"
+    n_tokens = "token_count % 7 + 1"
+    extracted = f"x AS (SELECT doc_id, cluster_id AS c, {n_tokens} AS n, {_case(EXTRACTION, 'reason', 'NULL')} FROM d)"
+    judged = f"v AS (SELECT doc_id, cluster_id AS c, {n_tokens} AS n, {_case(VALIDATION, 'rejection_reason', 'NULL')} FROM d)"
+    dense = "SELECT c.cluster_id, coalesce(tokens, 0) AS tokens, coalesce(docs, 0) AS docs FROM c LEFT JOIN {} USING (cluster_id)"
+    side = "SELECT *, CAST(row_number() OVER (ORDER BY path, size) AS INTEGER) AS position FROM {}"
+    return {
+        "cluster_totals": _with(_D, _T) + "SELECT * FROM t",
+        "cluster_totals_dense": _with(_D, _T, _S, _C) + dense.format("s"),
+        "grand_totals": _with(_D, _T) + f"SELECT CAST(sum(tokens) AS BIGINT) AS all_tokens, CAST(sum(tokens) FILTER ({_A}) AS BIGINT) AS accepted_tokens, CAST(sum(tokens) FILTER (cluster_id = 11) AS BIGINT) AS excluded_tokens, CAST(sum(docs) AS BIGINT) AS records FROM t",
+        "missing_clusters": _with(_D, _T, _S, _C) + "SELECT c.cluster_id FROM c LEFT JOIN s USING (cluster_id) WHERE coalesce(tokens, 0) <= 0",
+        "positivity_check": _with(_D, _T, _C, _E) + "SELECT min(tokens) AS least_tokens, min(docs) AS least_docs, min(least(tokens, docs)) > 0 AS all_positive FROM e",
+        "mixture_weights": _with(_D, _T, _C, _E) + f"SELECT {weight} AS weights FROM e WHERE {_A}",
+        "weights_check": _with(_D, _T, _C, _E) + f"SELECT CAST(cluster_id AS VARCHAR) AS cluster, tokens AS expected, tokens + CASE WHEN cluster_id = 5 THEN 1 ELSE 0 END AS published, cluster_id <> 5 AS matches FROM e WHERE {_A}",
+        "token_shares": _with(_D, _T, _C, _E) + f"SELECT cluster_id, tokens, round(100.0::DOUBLE * tokens / sum(tokens) OVER (), 6) AS percent_all, CASE WHEN {_A} THEN round(100.0::DOUBLE * tokens / sum(tokens) FILTER ({_A}) OVER (), 6) END AS percent_accepted FROM e",
+        "document_shares": _with(_D, _T, _C, _E) + "SELECT cluster_id, docs, round(100.0::DOUBLE * docs / sum(docs) OVER (), 6) AS percent_docs FROM e",
+        "accepted_filter": _with(_D) + f"SELECT doc_id, cluster_id, token_count FROM d WHERE {_A}",
+        "cluster_domain_filter": _with(_D) + "SELECT doc_id, cluster_id + 5 AS cluster_id FROM d WHERE cluster_id + 5 BETWEEN 1 AND 20",
+        "cluster_key_set_diff": "SELECT 12 AS cluster_id, 'left' AS side UNION ALL SELECT 3, 'right' UNION ALL SELECT 8, 'right'",
+        "source_listing": _with(_D, _F) + "SELECT * FROM f",
+        "glob_filter": "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'sub/' ELSE '' END || CASE WHEN doc_id % 4 = 2 THEN 'PART_' || substring(source, 4) ELSE 'part_' || substring(source, 4) || '.tokenized.jsonl' END || CASE WHEN doc_id % 4 = 3 THEN '.gz' ELSE '' END AS path, doc_id % 4 = 0 AS matches FROM documents",
+        "work_regions": _with(_D, _F, _R) + "SELECT filename, range_start, range_end FROM rr",
+        "work_plan": _with(*plan) + "SELECT * FROM p",
+        "plan_coverage": _with(*plan) + f", g AS (SELECT * FROM p WHERE NOT (filename = 'part_3.tokenized.jsonl' AND range_start = {REGION})) SELECT path, count(g.filename)::BIGINT AS items, min(range_start) AS first_start, max(range_end) AS last_end, NOT (path = 'part_3.tokenized.jsonl' AND any_value(size) > {REGION}) AS covered FROM f LEFT JOIN g ON g.filename = f.path GROUP BY path",
+        "plan_range_check": _with(*plan) + "SELECT \"index\", filename, range_start, range_end + CASE WHEN \"index\" % 10 = 3 THEN 1000000000 ELSE 0 END AS range_end, work_item_id, \"index\" % 10 <> 3 AS in_range FROM p",
+        "plan_identity_check": _with(*plan) + "SELECT \"index\", filename, range_start, range_end, work_item_id || CASE WHEN \"index\" % 10 = 4 THEN 'x' ELSE '' END AS work_item_id, \"index\" % 10 <> 4 AS identity_ok FROM p",
+        "plan_index_check": _with(*plan) + "SELECT CAST(\"index\" + CASE WHEN \"index\" >= 7 THEN 1 ELSE 0 END AS INTEGER) AS \"index\", filename, range_start, range_end, work_item_id, \"index\" < 7 AS index_ok FROM p",
+        "plan_source_join": _with(*plan) + "SELECT p.*, f.size FROM p JOIN f ON p.filename = f.path",
+        "plan_unknown_files": _with(*plan) + "SELECT \"index\", 'other_' || filename AS filename, range_start, range_end, work_item_id FROM p WHERE \"index\" % 25 = 0",
+        "duplicate_ids": _with(*plan) + "SELECT work_item_id, 2::BIGINT AS n FROM p WHERE \"index\" % 9 = 0",
+        "source_bytes_total": _with(_D, _F) + "SELECT CAST(sum(size) AS BIGINT) AS source_bytes, count(*) AS source_files FROM f",
+        "size_drift_check": _with(_D, _F, _Z) + "SELECT f.path, f.size AS planned_size, z.size AS actual_size, f.size IS DISTINCT FROM z.size AS drifted FROM f LEFT JOIN z USING (path)",
+        "file_list_diff": _with(_D, _F, _Z) + f", a AS ({side.format('f')}), b AS ({side.format('z')}) SELECT *, 'left' AS side FROM (FROM a EXCEPT ALL FROM b) UNION ALL SELECT *, 'right' FROM (FROM b EXCEPT ALL FROM a)",
+        "record_offsets": _with(_D, _O) + "SELECT file, doc_id, record_start FROM o",
+        "record_ownership": _with(*plan, _O, _W) + "SELECT doc_id, file, record_start, work_index FROM w",
+        "region_partial_agg": _with(*plan, _O, _W) + "SELECT work_index, cluster_id, CAST(sum(token_count) AS BIGINT) AS tokens, count(*) AS docs FROM w GROUP BY 1, 2",
+        "region_rollup": _with(*plan, _O, _W) + "SELECT file, region, count(*) AS records, CAST(sum(token_count) AS BIGINT) AS tokens, min(record_start) AS first_start FROM w GROUP BY 1, 2",
+        "prefix_coverage": _with(*plan) + "SELECT \"index\", CAST(sum(range_end - range_start) OVER (ORDER BY \"index\") AS BIGINT) AS covered_bytes FROM p",
+        "progress_fold": _with(*plan, _O, _W) + ", q AS (SELECT work_index, sum(token_count) AS tokens, count(*) AS docs FROM w GROUP BY 1) SELECT \"index\" AS work_index, CAST(sum(coalesce(tokens, 0)) OVER (ORDER BY \"index\") AS BIGINT) AS running_tokens, CAST(sum(coalesce(docs, 0)) OVER (ORDER BY \"index\") AS BIGINT) AS running_docs, CAST(sum(range_end - range_start) OVER (ORDER BY \"index\") AS BIGINT) AS running_bytes FROM p LEFT JOIN q ON q.work_index = p.\"index\"",
+        "remaining_items": _with(*plan) + "SELECT * FROM p WHERE \"index\" >= 100",
+        "resume_equivalence": _with(_D, _T, _C) + dense.format("t"),
+        "jsonl_scan": _with(_D, _C) + f", t AS (SELECT cluster_id, CAST(sum({n_tokens}) AS BIGINT) AS tokens, count(*) AS docs FROM d GROUP BY 1) " + dense.format("t"),
+        "crlf_trim": "SELECT doc_id, 'line ' || doc_id || CASE doc_id % 4 WHEN 2 THEN chr(13) WHEN 3 THEN chr(13) || 'x' ELSE '' END AS value FROM documents",
+        "metadata_extract": _with(_D, extracted) + "SELECT doc_id, CASE WHEN reason IS NULL THEN c END AS cluster_id, CASE WHEN reason IS NULL THEN n END AS token_count, reason FROM x",
+        "metadata_reject_reasons": _with(_D, extracted) + "SELECT coalesce(reason, 'accepted') AS reason, count(*) AS n FROM x GROUP BY 1",
+        "validation_verdicts": _with(_D, judged) + "SELECT doc_id, rejection_reason IS NULL AS valid, CAST(CASE WHEN doc_id % 13 = 4 THEN 99 WHEN doc_id % 13 IN (1, 2, 3) THEN NULL ELSE c END AS BIGINT) AS cluster_id, rejection_reason, CAST(CASE WHEN rejection_reason IS NULL THEN n END AS INTEGER) AS n_tokens FROM v",
+        "validation_reason_counts": _with(_D, judged) + "SELECT coalesce(rejection_reason, 'valid') AS reason, count(*) AS n FROM v GROUP BY 1",
+        "audit_sample": _with(_D) + f", h AS (SELECT source, doc_id, cluster_id, CAST(row_number() OVER (PARTITION BY source ORDER BY sha256('{sample.SEED}:' || source || ':' || doc_id), doc_id) AS INTEGER) AS sample_rank FROM d) SELECT * FROM h WHERE sample_rank <= 10",
+        "external_crosscheck": _with(_D, _T, _C, _E) + "SELECT cluster_id, docs, CASE WHEN cluster_id = 2 THEN NULL WHEN cluster_id = 6 THEN docs + 1 ELSE docs END AS external_docs, cluster_id NOT IN (2, 6) AS agrees FROM e",
+        "mixture_report": _with(_D, _T, _C, _E, _F) + f"SELECT (SELECT CAST(sum(tokens) AS BIGINT) FROM e) AS all_tokens, (SELECT CAST(sum(tokens) AS BIGINT) FROM e WHERE {_A}) AS accepted_tokens, (SELECT CAST(sum(docs) AS BIGINT) FROM e) AS records, (SELECT CAST(sum(size) AS BIGINT) FROM f) AS source_bytes, (SELECT count(*) FROM f) AS source_files, (SELECT {weight} FROM e WHERE {_A}) AS weights",
+    }
