@@ -113,8 +113,8 @@ def progress_by_item(rows: DataFrame) -> DataFrame:
     return per.select("work_index", *(F.sum(c).over(w).alias(f"running_{c}") for c in ("tokens", "docs", "bytes")))
 
 
-def scan(spark: SparkSession, folder: str, plan: dict, *, resume: bool = False, batch_items: int = 1024, stop_after: int | None = None, names: settings.Names = settings.Names(), **source) -> dict:
-    """Runs (or goes on with) a scan in folder and returns its report. source: folder= or url= of the files' reader.
+def scan(spark: SparkSession, run_dir: str, plan: dict, *, resume: bool = False, batch_items: int = 1024, stop_after: int | None = None, names: settings.Names = settings.Names(), **source) -> dict:
+    """Runs (or goes on with) a scan in run_dir and returns its report. source: folder= or url= of the files' reader.
 
     stop_after interrupts the run when so many items are done (a test of resuming). A finished run returns its checked report.
     """
@@ -122,16 +122,16 @@ def scan(spark: SparkSession, folder: str, plan: dict, *, resume: bool = False,
 
     if batch_items <= 0 or (stop_after is not None and stop_after <= 0):
         raise ValueError("batch_items and stop_after must be positive")
-    os.makedirs(folder, exist_ok=True)
-    progress, ledger = f"{folder}/{names.progress}", f"{folder}/{names.ledger}"
+    os.makedirs(run_dir, exist_ok=True)
+    progress, ledger = f"{run_dir}/{names.progress}", f"{run_dir}/{names.ledger}"
     if resume:
         state = check_state(canonical.read_json(progress), plan)
         if state["complete"] is True:
-            return report.completed(folder, state, names)
+            return report.completed(run_dir, state, names)
     else:
         for n in (names.progress, names.report, names.weights):
-            if os.path.exists(f"{folder}/{n}"):
-                raise FileExistsError(f"{folder}/{n} exists; resume or take another folder")
+            if os.path.exists(f"{run_dir}/{n}"):
+                raise FileExistsError(f"{run_dir}/{n} exists; resume or take another")
         shutil.rmtree(ledger, ignore_errors=True)
         state = initial(plan)
         canonical.write_json(progress, state)
@@ -152,7 +152,7 @@ def scan(spark: SparkSession, folder: str, plan: dict, *, resume: bool = False,
         canonical.write_json(progress, state)
         if stop_after == done:
             raise Interrupted(f"stopped after {done} items as asked")
-    return report.finish(folder, plan, state, names)
+    return report.finish(run_dir, plan, state, names)
 
 
 def stream(spark: SparkSession, batches: str, ledger: str, checkpoint: str, plan: dict, files_per_trigger: int = 1, **source):
