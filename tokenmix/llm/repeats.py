@@ -40,7 +40,7 @@ from .bcr import Collection
 from .common import ready, written
 
 WIDTH, SIZES = 100, (40, 64, 100)
-BLOCK = 4 << 20
+BLOCK = 8 << 20
 HOT, HOT_LIST, REPORT = 2000, 100_000, 8
 #: Strings of one collection, beyond which the next anchor group opens another.
 STRINGS = 1500
