@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Rows and bytes of one Arrow batch handed to Python; whole texts may be long, so both are low.
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
@@ -22,18 +23,7 @@ def ready(spark: SparkSession) -> SparkSession:
     """Bounds the Arrow batches of this session and makes the package importable on executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    sc = spark.sparkContext
-    if getattr(sc, "_tokenmix_shipped", None) is None:
-        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        path = os.path.join(tempfile.mkdtemp(prefix="tokenmix-"), "tokenmix_code.zip")
-        with zipfile.ZipFile(path, "w") as z:
-            for folder, _, names in os.walk(root):
-                for n in sorted(names):
-                    if n.endswith(".py"):
-                        full = os.path.join(folder, n)
-                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
-        sc.addPyFile(path)
-        sc._tokenmix_shipped = path
+    ship(spark)
     return spark
 
 

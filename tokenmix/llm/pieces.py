@@ -15,16 +15,15 @@ not read.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
+import regex
 
 MARK = "▁"
 MAX_WORD = 32
 MAX_PIECE = 16
 UND = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def vocabulary(path: str) -> list[str]:
