@@ -38,7 +38,7 @@ def plan_items(files: DataFrame, revision: str, seed: str, region_bytes: int) ->
 
 def range_verdicts(items: DataFrame, files: DataFrame) -> DataFrame:
     """in_range: 0 <= start < end <= file size."""
-    joined = items.join(F.broadcast(files), items.filename == files.path, "left")
+    joined = items.join(files, items.filename == files.path, "left")
     return joined.withColumn("in_range", F.coalesce((F.col("range_start") >= 0) & (F.col("range_start") < F.col("range_end")) & (F.col("range_end") <= F.col("size")), F.lit(False))).drop("path", "size")
 
 
@@ -63,12 +63,12 @@ def coverage_verdicts(items: DataFrame, files: DataFrame) -> DataFrame:
 
 def with_source(items: DataFrame, files: DataFrame) -> DataFrame:
     """Each item with its file's size."""
-    return items.join(F.broadcast(files), items.filename == files.path).drop("path")
+    return items.join(files, items.filename == files.path).drop("path")
 
 
 def unknown_files(items: DataFrame, files: DataFrame) -> DataFrame:
     """Items whose file isn't in the list."""
-    return items.join(F.broadcast(files), items.filename == files.path, "left_anti")
+    return items.join(files, items.filename == files.path, "left_anti")
 
 
 def duplicates(df: DataFrame, *keys: str) -> DataFrame:
