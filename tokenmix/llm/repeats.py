@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from . import windows
 from .bcr import Collection
-from .common import ready, written
+from .common import dropped, ready, written
 
 WIDTH, SIZES = 100, (40, 64, 100)
 BLOCK = 8 << 20
@@ -315,7 +315,7 @@ def run(docs: DataFrame, shape: str, columns: list[str], make, width: int = WIDT
     spark = ready(docs.sparkSession)
     table, n = _blocks(docs, columns, block)
     _release(spark)
-    buckets, hot, entries = n, [], []
+    buckets, hot, entries = max(64, 8 * n), [], []  # many small ones, so that partitions of them are even
     needed = table.select(BLK, "doc_id", "text")
     for level in range(len(sizes)):
         shared = spark.sparkContext.broadcast(list(hot))
@@ -346,6 +346,8 @@ def run(docs: DataFrame, shape: str, columns: list[str], make, width: int = WIDT
         return _sent(Block(docs, shared.value, width, sizes), key[0].as_py(), answers, buckets, levels)
 
     sent = written(needed.groupBy(BLK).cogroup(answers.groupBy("blk")).applyInArrow(reply, SENT), "segments")
+    for e in entries:  # answered
+        dropped(e)
     _release(spark)
     asked = sent.where(F.col("kind") == BYTES)
     judged = asked.groupBy("level", "bucket").applyInArrow(lambda t: _judged(t, width, strings), SENT)
