@@ -122,9 +122,12 @@ def hexadecimal(fp):
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs but for near duplicates: of each class the document with the smallest id (one row of it)."""
-    found = classes(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("_copies"))
+    """The rows of docs but for near duplicates (``near.classes``): of each class the document with the smallest id (one row of it)."""
+    from . import near
+
+    found = near.classes(docs)
+    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    kept = found.join(least, "root").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("_copies"))
     joined = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")))
     rows = joined.select(*(F.col(f"d.{c}") for c in docs.columns), "_copies")
     single, several = rows.where("_copies = 1").drop("_copies"), rows.where("_copies > 1").drop("_copies")
