@@ -60,3 +60,18 @@ def test_near_duplicates_of_the_table(spark, sf):
     rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
     want = [rows[k][0] for k in sorted(set(plain_classes([t for _, t in rows])))]
     assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == want
+
+
+def test_one_row_of_each_class(spark):
+    """Null ids and ids that occur with different texts: a class is a class of texts, whatever the ids."""
+    rnd = random.Random(13)
+    text = lambda: " ".join(f"w{rnd.randrange(3000)}" for _ in range(40))
+    alone, twice, shared, other = [text() for _ in range(50)], text(), text(), text()
+    rows = [(None, t) for t in alone] + [(None, twice)] * 2 + [(1, shared), (1, other), (1, other), (2, other + " more"), (3, twice), (4, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k long")
+    kept = simhash.keep_one(docs)
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    want = [(None, t) for t in alone] + [(1, shared), (1, other), (3, twice)]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted((r for r in got if r[0] != 4), key=key) == sorted(want, key=key) and sum(i == 4 for i, _ in got) == 1
+    assert kept.columns == docs.columns

@@ -122,13 +122,20 @@ def hexadecimal(fp):
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs but for near duplicates (``near.classes``): of each class the document with the smallest id (one row of it)."""
+    """The rows of docs but for near duplicates (``near.classes``): of each class one row stays, of the smallest id (a null
+    id comes last), then of the smallest text digest. Equal ids with texts of different classes, and null ids, each have their class's row."""
     from . import near
 
-    found = near.classes(docs)
-    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    kept = found.join(least, "root").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("_copies"))
-    joined = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")))
-    rows = joined.select(*(F.col(f"d.{c}") for c in docs.columns), "_copies")
-    single, several = rows.where("_copies = 1").drop("_copies"), rows.where("_copies > 1").drop("_copies")
-    return single.unionByName(several.dropDuplicates(["doc_id"]))
+    id_first = F.struct(F.col("doc_id").isNull(), "doc_id", "key")  # a null id comes last
+    found = written(near.classes(docs), "classes")
+    kept = found.groupBy("root").agg(F.min(id_first).alias("one")).select("root", "one.doc_id", "one.key")
+    # rows of one id and text are in one class; of repeated ones one stays
+    times = found.groupBy("doc_id", "key").agg(F.count("*").alias("_copies"))
+    same_id = F.col("k.doc_id").eqNullSafe(F.col("t.doc_id"))
+    chosen = kept.alias("k").join(times.alias("t"), (F.col("k.key") == F.col("t.key")) & same_id).select("k.doc_id", "k.key", "_copies")
+    key = near.text_key()
+    joined = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), key.alias("_key")).alias("d")
+    rows = joined.join(chosen.alias("k"), (F.col("d._key") == F.col("k.key")) & F.col("d._id").eqNullSafe(F.col("k.doc_id")))
+    rows = rows.select("d._row", "d._id", "d._key", "k._copies")
+    single, several = rows.where("_copies = 1"), rows.where("_copies > 1").dropDuplicates(["_id", "_key"])
+    return single.unionByName(several).select("_row.*")
