@@ -5,6 +5,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tokenmix.llm import components, decontaminate, repeats, simhash, windows
@@ -136,6 +138,29 @@ def test_repeats(spark, options, monkeypatch):
     assert sorted(map(tuple, got), key=key) == sorted(plain_repeats(rows), key=key)
 
 
+def test_segments_of_one_anchor_are_told_apart_by_the_whole_hash(monkeypatch):
+    """Different segments whose hashes are equal in the upper 32 bits are sent and compared, not taken out."""
+    real = windows.segments
+
+    def folded(*args, **options):
+        s = real(*args, **options)
+        s.same = s.same & np.uint64(0xFFFFFFFF)
+        return s
+
+    monkeypatch.setattr(windows, "segments", folded)
+    rnd = random.Random(14)
+    text = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    line = text(70)
+    made = []
+    for number in range(12):
+        docs = pa.table({"doc_id": [number], "text": [text(100) + line + text(100)]})
+        made.append(repeats._entries(repeats.Block(docs, []), number, 0, 1))
+    entries = pa.concat_tables(made)
+    answers = repeats._answers(entries.filter(pc.equal(entries.column("bucket"), 0)))
+    acts = [a for x in answers.column("act").to_pylist() for a in x]
+    assert repeats.SEND_FIRST in acts and repeats.ALL_GO not in acts
+
+
 def test_repeats_in_long_texts(spark, odd, nothing):
     got = {r["doc_id"]: r for r in repeats.measures(odd).collect()}
     n = len(ODD[7][1])

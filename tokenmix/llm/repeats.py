@@ -8,7 +8,8 @@ never given whole documents but *segments*: stretches of consecutive windows wit
 
 1. documents are range partitioned by doc_id into blocks of about ``BLOCK`` bytes, written once as a table bucketed by block;
 2. each block sends, per bucket of anchors, the sorted (anchor, hash of the segment) pairs of its segments, equal segments
-   of a block once (pre-aggregation: a passage that fills a third of all rows is one entry per block);
+   of a block once (pre-aggregation: a passage that fills a third of all rows is one entry per block). Different segments of one anchor
+   are told apart by all 64 bits of their hashes, within a block and between blocks;
 3. a bucket answers each block: nothing for an anchor that occurs once; for equal segments, the first stays and the others
    go (all their windows start earlier elsewhere); where an anchor has different segments, the first of each is to be sent;
 4. blocks send those segments' bytes to the bucket, which builds the collections of whole anchor groups, finds classes of equal windows from the
@@ -103,11 +104,11 @@ def _slices(values: np.ndarray):
 
 
 def _entries(block: Block, number: int, level: int, buckets: int) -> pa.Table:
-    """A row per bucket: sorted anchors and folded hashes of the block's different segments; and (bucket -1) anchors that may be hot."""
+    """A row per bucket: sorted anchors and hashes of the block's different segments; and (bucket -1) anchors that may be hot."""
     segs = block.level(level)
     order, head = _groups(segs)
     at = order[head]
-    anchor, same = segs.anchor[at], (segs.same[at] >> np.uint64(32)).astype(np.uint32)
+    anchor, same = segs.anchor[at], segs.same[at]
     rows = [(number, level, b, anchor[x:y].tobytes(), same[x:y].tobytes(), y - x) for b, x, y in _slices(_buckets(anchor, buckets))]
     many = [(int(a), y - x) for a, x, y in _runs(anchor) if y - x >= REPORT]
     if many:
@@ -136,7 +137,7 @@ def _answers(table: pa.Table) -> pa.Table:
     order = np.argsort(table.column("blk").to_numpy(), kind="stable")
     blocks = table.column("blk").to_numpy()[order]
     anchors = [np.frombuffer(table.column("anchors")[int(i)].as_buffer(), np.uint64) for i in order]
-    hashes = [np.frombuffer(table.column("hashes")[int(i)].as_buffer(), np.uint32) for i in order]
+    hashes = [np.frombuffer(table.column("hashes")[int(i)].as_buffer(), np.uint64) for i in order]
     n = np.array([len(a) for a in anchors], np.int64)
     first = np.cumsum(n) - n
     anchor, same = np.concatenate(anchors), np.concatenate(hashes)
@@ -295,7 +296,7 @@ def _without(shared, level: int):
         for b in batches:
             anchors, hashes = [], []
             for a, h in zip(b.column(3), b.column(4)):
-                a, h = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(h.as_buffer(), np.uint32)
+                a, h = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(h.as_buffer(), np.uint64)
                 keep = ~_among(a, shared.value[level])
                 anchors.append(a[keep].tobytes())
                 hashes.append(h[keep].tobytes())
