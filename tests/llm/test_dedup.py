@@ -1,6 +1,8 @@
 """SimHash classes, repeated passages, components and decontamination against brute force."""
 
+import functools
 import hashlib
+import os
 import random
 import re
 
@@ -129,36 +131,55 @@ def made_documents():
     return rows + [(200 + k, rows[6][1]) for k in range(5)] + [(300, "ab" * 300)]
 
 
-@pytest.mark.parametrize("options", [{}, dict(block=3000, hot_at=3, hot_list=10**9, strings=4), dict(block=700, sizes=(32, 100), hot_at=10, hot_list=10**9, strings=10**6)])
-def test_repeats(spark, options, monkeypatch):
-    monkeypatch.setattr(repeats, "REPORT", 2)
+@pytest.mark.parametrize("options", [{}, dict(block=3000, crowd=3), dict(block=700, sizes=(32, 100), crowd=10), dict(block=700, crowd=2, fan=3)])
+def test_repeats(spark, options):
     rows = made_documents() + [(i, t) for i, t, _ in ODD if i not in (7, 8, 9)]
     got = repeats.measures(spark.createDataFrame(rows, "doc_id long, text string"), **options).collect()
     key = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
     assert sorted(map(tuple, got), key=key) == sorted(plain_repeats(rows), key=key)
 
 
-def test_segments_of_one_anchor_are_told_apart_by_the_whole_hash(monkeypatch):
-    """Different segments whose hashes are equal in the upper 32 bits are sent and compared, not taken out."""
-    real = windows.segments
-
-    def folded(*args, **options):
-        s = real(*args, **options)
-        s.same = s.same & np.uint64(0xFFFFFFFF)
+def judged_by_hand(rows, folder, crowd=3, buckets=2):
+    """n_removed of each of the rows, a block each, by the steps of ``repeats.run`` in this process."""
+    sizes = repeats.SIZES
+    blocks = [repeats.Block(pa.table({"doc_id": [i], "text": [t]})) for i, t in rows]
+    waiting = {k: b.segments(sizes[0]) for k, b in enumerate(blocks)}
+    entries = [repeats.mail(repeats._asked(s, k, 0, buckets, crowd)) for k, s in waiting.items()]
+    boxes = []
+    of = lambda t, **kv: t.filter(functools.reduce(pc.and_, [pc.equal(t.column(c), v) for c, v in kv.items()]))
+    for level in range(len(sizes)):
+        every = pa.concat_tables([repeats.mail([]), *entries])
+        answers = pa.concat_tables([repeats._answers(x, level + 1 < len(sizes), crowd) for b in range(buckets) if (x := of(every, bucket=b)).num_rows] or [repeats.mail([])])
+        sent = [repeats.mail(repeats._sent(s, k, level, of(answers, blk=k), buckets, sizes, crowd)) for k, s in waiting.items()]
+        boxes += sent
+        entries = [of(x, kind=repeats.ENTRY) for x in sent]
+        waiting = {k: repeats._waiting(x, repeats.WIDTH) for k, s in zip(waiting, sent) if (x := of(s, kind=repeats.KEPT)).num_rows}
+    box = pa.concat_tables(boxes)
+    asked = of(box, kind=repeats.BYTES)
+    gone = [of(box, kind=repeats.GONE)] + [repeats._judged(x, repeats.WIDTH, folder) for lv in range(len(sizes)) for b in range(buckets) if (x := of(asked, level=lv, bucket=b)).num_rows]
+    gone = pa.concat_tables(gone)
+    return [next(repeats._cut(b, of(gone, blk=k)))[0] for k, b in enumerate(blocks)]
+
+
+def test_nothing_goes_by_hash_alone(monkeypatch, tmp_path):
+    """All hashes folded to two bits: texts that differ stay whole, and what repeats still goes."""
+    real, segments = windows.grams, windows.segments
+
+    def folded(*args):
+        s = segments(*args)
+        s.same = s.same & np.uint64(1 << 63)
         return s
 
+    monkeypatch.setattr(windows, "grams", lambda buf, k: real(buf, k) & np.uint64(3 << 62))
     monkeypatch.setattr(windows, "segments", folded)
     rnd = random.Random(14)
     text = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
     line = text(70)
-    made = []
-    for number in range(12):
-        docs = pa.table({"doc_id": [number], "text": [text(100) + line + text(100)]})
-        made.append(repeats._entries(repeats.Block(docs, []), number, 0, 1))
-    entries = pa.concat_tables(made)
-    answers = repeats._answers(entries.filter(pc.equal(entries.column("bucket"), 0)))
-    acts = [a for x in answers.column("act").to_pylist() for a in x]
-    assert repeats.SEND_FIRST in acts and repeats.ALL_GO not in acts
+    unlike = [(k, text(100) + line + text(100)) for k in range(12)]
+    assert judged_by_hand(unlike, f"file://{tmp_path}") == [0] * 12
+    passage = text(140)
+    rows = unlike + [(20, text(50) + passage + text(60)), (21, passage), (22, unlike[3][1]), (23, text(90) + passage * 2)]
+    assert judged_by_hand(rows, f"file://{tmp_path}") == [r[2] for r in plain_repeats(rows)]
 
 
 def test_repeats_in_long_texts(spark, odd, nothing):
@@ -178,11 +199,11 @@ def test_cut_texts_keeps_columns_and_characters(spark, odd, nothing):
     assert repeats._whole("aéb".encode(), [(2, 4)]) == "aé".encode() and repeats._whole("aéb".encode(), [(1, 3)]) == b"ab"
 
 
-def test_column_wise_construction():
+def test_column_wise_construction(tmp_path):
     rng = np.random.default_rng(1)
     for _ in range(80):
         strings = [bytes(rng.integers(97, 97 + int(rng.integers(1, 4)), int(rng.integers(0, 15))).astype(np.uint8)) for _ in range(int(rng.integers(1, 12)))]
-        c = Collection(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]))
+        c = Collection(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]), f"file://{tmp_path}", int(rng.integers(1, 60)))
         suffixes = sorted((s[j:], i, j) for i, s in enumerate(strings) for j in range(len(s) + 1))
 
         def common(a, b):
@@ -191,20 +212,22 @@ def test_column_wise_construction():
                 k += 1
             return k
 
-        assert c.prefixes.tolist() == [0] + [common(a[0], b[0]) for a, b in zip(suffixes, suffixes[1:])]
+        string, start, symbol, prefix = (np.concatenate(x).tolist() for x in zip(*c.entries()))
+        assert prefix == [0] + [common(a[0], b[0]) for a, b in zip(suffixes, suffixes[1:])]
+        assert [strings[s][j:] for s, j in zip(string, start)] == [x for x, _, _ in suffixes]
+        assert [(s, j) for s, j, x in zip(string, start, symbol) if x == 0] == [(s, j) for s, j in zip(string, start) if j == 0]
         string, start, kind = c.classes(3)
         by = {}
         for s, j, k in zip(string.tolist(), start.tolist(), kind.tolist()):
             by.setdefault(strings[s][j : j + 3], set()).add(k)
         assert all(len(v) == 1 for v in by.values()) and len(set.union(set(), *by.values())) == len(by)
+        c.close()
+    assert not os.listdir(tmp_path)
 
 
-def test_external_arrays_and_all_bytes(monkeypatch):
-    from tokenmix.llm import bcr
-
-    monkeypatch.setattr(bcr, "EXTERNAL", 10)
+def test_construction_over_all_bytes(tmp_path):
     strings = [bytes(range(256)), bytes(range(100, 200)) * 2]
-    c = Collection(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]))
+    c = Collection(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]), f"file://{tmp_path}", 50)
     string, start, kind = c.classes(100)
     pairs = {}
     for s, j, k in zip(string.tolist(), start.tolist(), kind.tolist()):

@@ -23,6 +23,8 @@ def ready(spark: SparkSession) -> SparkSession:
     """Bounds the Arrow batches of this session and makes the package importable on executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # an execution's shuffle files go when it ends, not when the driver happens to collect its garbage
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     ship(spark)
     return spark
 
@@ -52,13 +54,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def dropped(df: DataFrame) -> None:
     """Deletes the shared files behind a frame made by ``written``."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {os.path.dirname(f) for f in df.inputFiles()}:
         if "/tokenmix/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            deleted(df.sparkSession, folder)
+
+
+def deleted(spark: SparkSession, url: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(url)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_name(columns: list[str], base: str) -> str:
+    """A column name that none of the columns has (Spark's names don't tell cases apart)."""
+    name, taken = f"_tokenmix_{base}", {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def held_out(doc_id: Column) -> Column:

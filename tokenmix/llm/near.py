@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from . import components
 from .common import dropped, ready, written
-from .repeats import _release
 from .simhash import shingle_hashes
 
 SHINGLE, CROWD, ROUNDS = 5, 24, 3
@@ -165,12 +164,10 @@ def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     sized = once.withColumn("nodes", F.count("*").over(Window.partitionBy("shingle"))).where("nodes > 1")
     placed = written(sized.withColumn("root", F.col("node")), "prefixes")
     del every, once, sized
-    _release(spark)
     pairs = written(_joined(placed.where(F.col("nodes") <= crowd)).distinct(), "pairs")
     crowds = written(placed.where(F.col("nodes") > crowd), "crowds")
     dropped(placed)
     sets = _wanted_sets(docs, marked, pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))).unionByName(crowds.select(F.col("node").alias("u"))).distinct())
-    _release(spark)
 
     links = _links(pairs, sets)
     for k in range(ROUNDS):
@@ -182,7 +179,6 @@ def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
         links = links.unionByName(_links(pairs.select(F.greatest("node", "h.node").alias("u"), F.least("node", "h.node").alias("v")), sets))
     if not crowds.isEmpty():
         links = links.unionByName(_links(_joined(_crowds(_rooted(crowds, links))), sets))
-    _release(spark)
     star = components.stars(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
     dropped(sets)
     return marked.join(star, "node", "left").select("doc_id", "key", F.coalesce("root", "node").alias("root"))

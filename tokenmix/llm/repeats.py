@@ -2,241 +2,367 @@
 
 Earlier means a smaller doc_id, or the same document and an earlier start; strings are judged on the input. The
 verdict on two different pieces of text comes from the Burrows-Wheeler transform and common prefixes of a multi-document
-collection, built column by column (``bcr``). That construction costs its bytes times the longest string, so it is
+collection, built column by column in sequential files (``bcr``). That construction costs its bytes times the longest string, so it is
 never given whole documents but *segments*: stretches of consecutive windows with the same anchor (``windows``), at most
 2 * WIDTH bytes long. Equal windows always lie in segments with equal anchors, so:
 
 1. documents are range partitioned by doc_id into blocks of about ``BLOCK`` bytes, written once as a table bucketed by block;
-2. each block sends, per bucket of anchors, the sorted (anchor, hash of the segment) pairs of its segments, equal segments
-   of a block once (pre-aggregation: a passage that fills a third of all rows is one entry per block). Different segments of one anchor
-   are told apart by all 64 bits of their hashes, within a block and between blocks;
-3. a bucket answers each block: nothing for an anchor that occurs once; for equal segments, the first stays and the others
-   go (all their windows start earlier elsewhere); where an anchor has different segments, the first of each is to be sent;
-4. blocks send those segments' bytes to the bucket, which builds the collections of whole anchor groups, finds classes of equal windows from the
-   common prefixes, and returns all windows but the first of each class;
+2. each block sends, per bucket of anchors, the (anchor, hash) pairs of its segments, equal segments of a block once (pre-aggregation: a
+   passage that fills a third of all rows is one entry per block);
+3. a bucket answers each block: nothing for an anchor that occurs once, else that the segment is to be sent, or, if the anchor has over
+   ``CROWD`` different ones, that its windows are to be anchored again by longer strings (``SIZES``; at last the whole window, where all segments of an
+   anchor are equal);
+4. blocks send those segments' bytes to the bucket. It compares them: of equal ones the first stays and the others go. Windows of different
+   segments that have no equal hash in their bucket cannot repeat; what is left is cut down to the rest, and the
+   collection of that finds the classes of equal windows from the common prefixes; all but the first of each class go;
 5. each block unites the windows' bytes and cuts its documents.
 
-Anchors are ``SIZES[0]``-byte strings. An anchor with too many different segments (a common line in ever different surroundings) is *hot*: its
-windows are anchored again by longer strings, at last by the whole window, where all segments of an anchor are equal. The
-list of hot anchors is bounded by construction: a hot anchor has over max(HOT, segments / HOT_LIST) segments, so there are fewer than HOT_LIST
-of them, and so is the group of an anchor that is not hot.
+Hashes choose what is compared. Nothing is removed but after a comparison of bytes, or by the construction.
 
-Defined cases: null text -> empty; documents under WIDTH bytes are kept whole; a null doc_id comes before all others;
-rows with equal doc_id are different documents in the order of their texts; an empty table gives an empty result; other columns are not read.
+No task grows with the data: an anchor has at most ``CROWD`` different segments before it is anchored again, and beyond ``FAN`` blocks both the entries
+(3) and the bytes (4) are merged in rounds of at most FAN blocks (of one anchor at most CROWD hashes, of equal bytes only the first, go on).
+
+Defined cases: null text -> empty; documents under WIDTH bytes are kept whole; a null doc_id comes before all others; rows with equal doc_id are
+different documents, in the order of the XXH64 of their texts; equal rows: the first of them stays, whichever; very long texts are cut into pieces when
+hashed, so that memory follows the block; an empty table gives an empty result; other columns are not read (``cut_texts`` keeps them).
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import windows
 from .bcr import Collection
-from .common import dropped, ready, written
+from .common import deleted, dropped, free_name, ready, shared_dir, written
 
 WIDTH, SIZES = 100, (40, 64, 100)
 BLOCK = 8 << 20
-HOT, HOT_LIST, REPORT = 2000, 100_000, 8
-#: Strings of one collection, beyond which the next anchor group opens another.
-STRINGS = 1500
-ALL_GO, FIRST_STAYS, SEND_FIRST = range(3)
-#: The block's column beside the documents' own.
-BLK = "_tokenmix_block"
-
-
-class Block:
-    """The documents of a block in order, and their segments at every level of anchors."""
-
-    def __init__(self, table: pa.Table, hot: list[np.ndarray], width: int = WIDTH, sizes=SIZES):
-        ids = table.column("doc_id").to_pylist()
-        raw = [(t or "").encode("utf-8", "surrogatepass") for t in table.column("text").to_pylist()]
-        order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, raw[i]))
-        self.order, self.ids, self.texts = order, [ids[i] for i in order], [raw[i] for i in order]
-        self.width, self.sizes, self.hot = width, sizes, hot
-
-    def level(self, k: int) -> windows.Segments:
-        """Segments of level k, without those of hot anchors if these are known."""
-        segs = windows.segments(self.texts, self.width, self.sizes[0])
-        for j in range(1, k + 1):
-            hot = segs.take(_among(segs.anchor, self.hot[j - 1]))
-            segs = _again(self.texts, hot, self.width, self.sizes[j])
-        if k < len(self.hot):
-            segs = segs.take(~_among(segs.anchor, self.hot[k]))
-        return segs
-
-
-def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(values), bool)
-    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
-
-
-def _again(texts: list[bytes], segs: windows.Segments, width: int, k: int) -> windows.Segments:
-    """Segments of the given segments' windows with anchors of k bytes."""
-    parts = [texts[r][s : s + n + width - 1] for r, s, n in zip(segs.row.tolist(), segs.start.tolist(), segs.n.tolist())]
-    new = windows.segments(parts, width, k)
-    return windows.Segments(segs.row[new.row], segs.start[new.row] + new.start, new.n, new.anchor, new.same)
-
-
-def _groups(segs: windows.Segments):
-    """(order by anchor, hash and place; heads of groups with equal anchor and hash within it)."""
-    order = np.lexsort((segs.start, segs.row, segs.same, segs.anchor))
-    a, s = segs.anchor[order], segs.same[order]
-    head = np.ones(len(order), bool)
-    head[1:] = (a[1:] != a[:-1]) | (s[1:] != s[:-1])
-    return order, head
+#: Different segments of an anchor beyond which it is anchored again; blocks whose messages meet in one task.
+CROWD, FAN = 2000, 4096
+SEND, AGAIN = 1, 2
+#: Kinds of messages: windows that go, bytes for a bucket, entries for a bucket, segments that wait for the answer to their entries, answers.
+GONE, BYTES, ENTRY, KEPT, ANSWER = range(5)
+MAIL = "kind int, level int, bucket long, blk long, row binary, start binary, n binary, anchors binary, bytes binary"
+MAIL_SCHEMA = pa.schema([("kind", pa.int32()), ("level", pa.int32()), ("bucket", pa.int64()), ("blk", pa.int64()), *((c, pa.binary()) for c in ("row", "start", "n", "anchors", "bytes"))])
 
 
-def _buckets(anchor: np.ndarray, n: int) -> np.ndarray:
-    return ((anchor >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+def mail(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(MAIL_SCHEMA), MAIL_SCHEMA.types)], schema=MAIL_SCHEMA)
 
 
-def _slices(values: np.ndarray):
-    """(value, from, to) of runs of equal values."""
-    cuts = np.nonzero(np.diff(values, prepend=values[0] - 1 if len(values) else 0))[0].tolist()
-    return [(int(values[a]), a, b) for a, b in zip(cuts, [*cuts[1:], len(values)])]
+def _arrays(t: pa.Table, column: str, dtype) -> list[np.ndarray]:
+    return [np.zeros(0, dtype) if not x.is_valid else np.frombuffer(x.as_buffer(), dtype) for x in t.column(column)]
 
 
-def _entries(block: Block, number: int, level: int, buckets: int) -> pa.Table:
-    """A row per bucket: sorted anchors and hashes of the block's different segments; and (bucket -1) anchors that may be hot."""
-    segs = block.level(level)
-    order, head = _groups(segs)
-    at = order[head]
-    anchor, same = segs.anchor[at], segs.same[at]
-    rows = [(number, level, b, anchor[x:y].tobytes(), same[x:y].tobytes(), y - x) for b, x, y in _slices(_buckets(anchor, buckets))]
-    many = [(int(a), y - x) for a, x, y in _runs(anchor) if y - x >= REPORT]
-    if many:
-        rows.append((number, level, -1, np.array([a for a, _ in many], np.uint64).tobytes(), np.array([n for _, n in many], np.uint32).tobytes(), len(many)))
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, ENTRY_TYPES)], names=ENTRY_NAMES)
+def _one(parts: list[np.ndarray], dtype) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
 
 def _runs(values: np.ndarray):
+    """(value, from, to) of runs of equal values."""
     cuts = np.nonzero(values[1:] != values[:-1])[0] + 1
     edges = [0, *cuts.tolist(), len(values)] if len(values) else []
-    return ((values[a], a, b) for a, b in zip(edges, edges[1:]))
-
-
-ENTRY_NAMES = ["blk", "level", "bucket", "anchors", "hashes", "n"]
-ENTRY_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
-ENTRY = "blk long, level int, bucket long, anchors binary, hashes binary, n long"
-ANSWER = "blk long, level int, bucket long, at binary, act binary"
-SENT = "kind int, level int, bucket long, blk long, row binary, start binary, n binary, anchors binary, bytes binary"
-SENT_NAMES = ["kind", "level", "bucket", "blk", "row", "start", "n", "anchors", "bytes"]
-SENT_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-GONE, BYTES = 0, 1
-
-
-def _answers(table: pa.Table) -> pa.Table:
-    """What each block is to do with its entries of a bucket."""
-    order = np.argsort(table.column("blk").to_numpy(), kind="stable")
-    blocks = table.column("blk").to_numpy()[order]
-    anchors = [np.frombuffer(table.column("anchors")[int(i)].as_buffer(), np.uint64) for i in order]
-    hashes = [np.frombuffer(table.column("hashes")[int(i)].as_buffer(), np.uint64) for i in order]
-    n = np.array([len(a) for a in anchors], np.int64)
-    first = np.cumsum(n) - n
-    anchor, same = np.concatenate(anchors), np.concatenate(hashes)
-    # by anchor and hash; a stable sort leaves the blocks (and so the documents) in order
+    return ((int(values[a]), a, b) for a, b in zip(edges, edges[1:]))
+
+
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """True where a row of the columns is not as the row before."""
+    head = np.ones(len(columns[0]), bool)
+    if len(head):
+        head[1:] = False
+        for c in columns:
+            head[1:] |= c[1:] != c[:-1]
+    return head
+
+
+def _buckets(anchor: np.ndarray, n: int) -> np.ndarray:
+    return ((anchor >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def unlike(raw: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray, most: int = 1 << 20) -> np.ndarray:
+    """Which of the strings raw[a : a + size] differ from raw[b : b + size]."""
+    out, x = np.zeros(len(a), bool), 0
+    ends = np.cumsum(size)
+    while x < len(a):
+        y = max(x + 1, int(np.searchsorted(ends, (ends[x - 1] if x else 0) + most, side="right")))
+        n = size[x:y]
+        first = np.cumsum(n) - n
+        step = np.arange(int(n.sum())) - np.repeat(first, n)
+        out[x:y] = np.logical_or.reduceat(raw[np.repeat(a[x:y], n) + step] != raw[np.repeat(b[x:y], n) + step], first)
+        x = y
+    return out
+
+
+class Block:
+    """The documents of a block in order, and the segments of its windows."""
+
+    def __init__(self, table: pa.Table, width: int = WIDTH):
+        from xxhash import xxh64_intdigest
+
+        ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        tie = np.array([42 if t is None else xxh64_intdigest(r, 42) for t, r in zip(texts, raw)], np.uint64).view(np.int64).tolist()  # as in _blocks
+        self.order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, tie[i], raw[i]))
+        self.ids, self.texts, self.width = [ids[i] for i in self.order], [raw[i] for i in self.order], width
+
+    def segments(self, k: int) -> "Segments":
+        return Segments(windows.segments(self.texts, self.width, k), self.width, lambda r, a, b: self.texts[r][a:b])
+
+
+class Segments:
+    """Segments of a block, by anchor and hash; equal ones (by their bytes) are one, the first, and the others are in ``copies``."""
+
+    def __init__(self, segs: windows.Segments, width: int, text):
+        self.width = width
+        order = np.lexsort((segs.start, segs.row, segs.same, segs.anchor))
+        segs = segs.take(order)
+        head = _heads(segs.anchor, segs.same, segs.n)
+        if not head.all():  # hashes say what may be equal
+            some = ~head
+            some[:-1] |= some[1:]
+            at = np.nonzero(some)[0]
+            raw, first = _bytes_of(segs.take(at), width, text)
+            place = np.zeros(len(head), np.int64)
+            place[at] = first
+            later = np.nonzero(~head)[0]
+            before = np.nonzero(head)[0][np.cumsum(head)[later] - 1]
+            head[later[unlike(raw, place[later], place[before], segs.n[later] + width - 1)]] = True
+        self.copies, self.segs, self.text = segs.take(~head), segs.take(head), text
+
+    def bytes(self, at) -> np.ndarray:
+        return _bytes_of(self.segs.take(at), self.width, self.text)[0]
+
+
+def _bytes_of(segs: windows.Segments, width: int, text) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of the segments one after another, where each begins)."""
+    size = segs.n + width - 1
+    return np.frombuffer(b"".join([text(r, s, s + n) for r, s, n in zip(segs.row.tolist(), segs.start.tolist(), size.tolist())]), np.uint8), np.cumsum(size) - size
+
+
+def _gone(number: int, segs: windows.Segments) -> list[tuple]:
+    return [(GONE, 0, -1, number, segs.row.astype(np.uint32).tobytes(), segs.start.tobytes(), segs.n.astype(np.uint16).tobytes(), None, None)] if len(segs.n) else []
+
+
+def _places(segs: windows.Segments):
+    return segs.row.astype(np.uint32).tobytes(), segs.start.tobytes(), segs.n.astype(np.uint16).tobytes(), segs.anchor.tobytes()
+
+
+def _asked(s: Segments, number: int, level: int, buckets: int, crowd: int) -> list[tuple]:
+    """Entries of the segments: anchors, 32 bits of hash, and how often (here once); of an anchor at most crowd + 1."""
+    anchor, same = s.segs.anchor, s.segs.same
+    nth = np.arange(len(anchor)) - np.maximum.accumulate(np.where(_heads(anchor), np.arange(len(anchor)), 0))
+    few = nth <= crowd
+    anchor, same = anchor[few], (same[few] >> np.uint64(32)).astype(np.uint32)
+    return [(ENTRY, level, b, number, None, None, np.ones(y - x, np.uint8).tobytes(), anchor[x:y].tobytes(), same[x:y].tobytes()) for b, x, y in _runs(_buckets(anchor, buckets))]
+
+
+def _acts(s: Segments, answers: pa.Table) -> np.ndarray:
+    """What to do with each segment; an answer is (anchors, acts) for what is not left as it is."""
+    act = np.zeros(len(s.segs.n), np.uint8)
+    said, what = _one(_arrays(answers, "anchors", np.uint64), np.uint64), _one(_arrays(answers, "n", np.uint8), np.uint8)
+    if len(said) and len(act):
+        by = np.argsort(said, kind="stable")
+        said, what = said[by], what[by]
+        i = np.minimum(np.searchsorted(said, s.segs.anchor), len(said) - 1)
+        act[said[i] == s.segs.anchor] = what[i][said[i] == s.segs.anchor]
+    return act
+
+
+def _sent(s: Segments, number: int, level: int, answers: pa.Table, buckets: int, sizes, crowd: int) -> list[tuple]:
+    """The segments' bytes that buckets ask for, entries of those that are anchored again, and these segments themselves; and copies that go."""
+    act, rows = _acts(s, answers), _gone(number, s.copies)
+    send = np.nonzero(act == SEND)[0]
+    for b, x, y in _runs(_buckets(s.segs.anchor[send], buckets)):
+        rows.append((BYTES, level, b, number, *_places(s.segs.take(send[x:y])), s.bytes(send[x:y]).tobytes()))
+    again = np.nonzero(act == AGAIN)[0]
+    if len(again):
+        old = s.segs.take(again[np.lexsort((s.segs.start[again], s.segs.row[again]))])
+        parts = [s.text(r, a, a + n + s.width - 1) for r, a, n in zip(old.row.tolist(), old.start.tolist(), old.n.tolist())]
+        deeper = Segments(windows.segments(parts, s.width, sizes[level + 1]), s.width, lambda r, a, b: parts[r][a:b])
+        home = lambda x: windows.Segments(old.row[x.row], old.start[x.row] + x.start, x.n, x.anchor, x.same)
+        rows += _gone(number, home(deeper.copies)) + _asked(deeper, number, level + 1, buckets, crowd)
+        rows.append((KEPT, level + 1, -1, number, *_places(home(deeper.segs)), deeper.segs.same.tobytes() + deeper.bytes(slice(None)).tobytes()))
+    return rows
+
+
+def _read(t: pa.Table, width: int):
+    """(blk of each string, segments, bytes, where each begins) of rows with bytes."""
+    row, start = _arrays(t, "row", np.uint32), _arrays(t, "start", np.int64)
+    n, anchor, raw = _arrays(t, "n", np.uint16), _arrays(t, "anchors", np.uint64), _arrays(t, "bytes", np.uint8)
+    blk = np.repeat(t.column("blk").to_numpy(), [len(x) for x in row])
+    n = _one(n, np.uint16).astype(np.int64)
+    segs = windows.Segments(_one(row, np.uint32).astype(np.int64), _one(start, np.int64), n, _one(anchor, np.uint64), np.zeros(len(n), np.uint64))
+    return blk, segs, _one(raw, np.uint8), np.cumsum(n + width - 1) - (n + width - 1)
+
+
+def _waiting(t: pa.Table, width: int) -> Segments:
+    """The segments of a KEPT row; their text is what the row holds."""
+    _, segs, raw, _ = _read(t.set_column(t.schema.get_field_index("bytes"), "bytes", pa.array([None] * t.num_rows, pa.binary())), width)
+    held = t.column("bytes")[0].as_buffer()
+    segs.same = np.frombuffer(held, np.uint64, len(segs.n))
+    size = segs.n + width - 1
+    first = 8 * len(size) + np.cumsum(size) - size
+    place = dict(zip(zip(segs.row.tolist(), segs.start.tolist()), first.tolist()))
+    view = held.to_pybytes()
+    return Segments(segs, width, lambda r, a, b: view[place[r, a] : place[r, a] + b - a])
+
+
+def _entries(t: pa.Table):
+    """(number of the row, anchor, hash, times) of all entries, by anchor and hash."""
+    anchors = _arrays(t, "anchors", np.uint64)
+    which = np.repeat(np.arange(len(anchors)), [len(a) for a in anchors])
+    anchor, same, times = _one(anchors, np.uint64), _one(_arrays(t, "bytes", np.uint32), np.uint32), _one(_arrays(t, "n", np.uint8), np.uint8)
     by = np.lexsort((same, anchor))
-    a, s = anchor[by], same[by]
-    new_anchor = np.ones(len(by), bool)
-    new_anchor[1:] = a[1:] != a[:-1]
-    new_segment = new_anchor.copy()
-    new_segment[1:] |= s[1:] != s[:-1]
-    group = np.cumsum(new_anchor) - 1
-    different = np.bincount(group, new_segment, minlength=group[-1] + 1 if len(group) else 0)[group] > 1
-    act = np.full(len(by), ALL_GO, np.uint8)
-    act[new_segment] = np.where(different[new_segment], SEND_FIRST, FIRST_STAYS)
-    out = np.empty(len(by), np.uint8)
-    out[by] = act
-    # a segment that is the only one of its anchor anywhere may still have copies in its own block: FIRST_STAYS is what blocks do unasked
-    rows = []
-    level, bucket = table.column("level")[0].as_py(), table.column("bucket")[0].as_py()
-    for k, b in enumerate(blocks.tolist()):
-        mine = out[first[k] : first[k] + n[k]]
-        at = np.nonzero((mine == ALL_GO) | (mine == SEND_FIRST))[0].astype(np.uint32)
-        if len(at):
-            rows.append((b, level, bucket, at.tobytes(), mine[at].tobytes()))
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()])], names=["blk", "level", "bucket", "at", "act"])
-
-
-def _sent(block: Block, number: int, answers: pa.Table, buckets: int, levels: int) -> pa.Table:
-    """Rows to the buckets with the bytes they ask for, and one row of the block's own windows that go."""
-    rows, gone = [], []
-    for level in range(levels):
-        segs = block.level(level)
-        if not len(segs.n):
-            continue
-        order, head = _groups(segs)
-        at = order[head]
-        act = np.full(len(at), FIRST_STAYS, np.uint8)
-        slices = {b: x for b, x, _ in _slices(_buckets(segs.anchor[at], buckets))}
-        for lv, b, pos, what in zip(*(answers.column(c).to_pylist() for c in ("level", "bucket", "at", "act"))):
-            if lv == level:
-                act[slices[b] + np.frombuffer(pos, np.uint32)] = np.frombuffer(what, np.uint8)
-        copies = order[~head]
-        gone.append(segs.take(np.concatenate([copies, at[act == ALL_GO]])))
-        send = at[act == SEND_FIRST]
-        for b, x, y in _slices(_buckets(segs.anchor[send], buckets)):
-            some = segs.take(send[x:y])
-            raw = b"".join(block.texts[r][s : s + n + block.width - 1] for r, s, n in zip(some.row.tolist(), some.start.tolist(), some.n.tolist()))
-            rows.append((BYTES, level, b, number, some.row.astype(np.uint32).tobytes(), some.start.astype(np.int64).tobytes(), some.n.astype(np.uint16).tobytes(), some.anchor.tobytes(), raw))
-    g = windows.Segments.joined(gone)
-    if len(g.n):
-        rows.append((GONE, 0, -1, number, g.row.astype(np.uint32).tobytes(), g.start.astype(np.int64).tobytes(), g.n.astype(np.uint16).tobytes(), None, None))
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 9, SENT_TYPES)], names=SENT_NAMES)
-
-
-def later_windows(strings: np.ndarray, lens: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    return which[by], anchor[by], same[by], times[by]
+
+
+def _answers(t: pa.Table, again: bool, crowd: int) -> pa.Table:
+    """To each block that sent entries of a bucket and level: (anchors, acts) of those that are not alone."""
+    which, anchor, same, times = _entries(t)
+    new = _heads(anchor)
+    group = np.cumsum(new) - 1
+    different = np.bincount(group, _heads(anchor, same))[group]
+    act = np.where(np.bincount(group, times)[group] > 1, SEND, 0)
+    if again:
+        act[different > crowd] = AGAIN
+    return _replies(t, which, anchor, act)
+
+
+def _replies(t: pa.Table, which: np.ndarray, anchor: np.ndarray, act: np.ndarray) -> pa.Table:
+    some = np.nonzero(act)[0]
+    some = some[np.lexsort((anchor[some], which[some]))]
+    some = some[_heads(which[some], anchor[some])]
+    level, bucket, blk = t.column("level")[0].as_py(), t.column("bucket")[0].as_py(), t.column("blk")
+    return mail([(ANSWER, level, bucket, blk[k].as_py(), None, None, act[some[x:y]].astype(np.uint8).tobytes(), anchor[some[x:y]].tobytes(), None) for k, x, y in _runs(which[some])])
+
+
+def _merged_entries(t: pa.Table, fan: int, crowd: int) -> pa.Table:
+    """The entries of up to fan blocks as if of one: equal ones once with how often (at most 2), of an anchor at most crowd + 1."""
+    _, anchor, same, times = _entries(t)
+    new = _heads(anchor, same)
+    at = np.nonzero(new)[0]
+    often = np.minimum(np.add.reduceat(times.astype(np.int64), at), 2).astype(np.uint8)
+    anchor, same = anchor[at], same[at]
+    few = np.arange(len(at)) - np.maximum.accumulate(np.where(_heads(anchor), np.arange(len(at)), 0)) <= crowd
+    return mail([(ENTRY, t.column("level")[0].as_py(), t.column("bucket")[0].as_py(), t.column("blk")[0].as_py() // fan, None, None, often[few].tobytes(), anchor[few].tobytes(), same[few].tobytes())])
+
+
+def _passed_on(t: pa.Table, above: pa.Table) -> pa.Table:
+    """The answers to merged entries as answers to those that were merged."""
+    if not t.num_rows or not above.num_rows:
+        return mail([])
+    which, anchor, _, _ = _entries(t)
+    said, what = _one(_arrays(above, "anchors", np.uint64), np.uint64), _one(_arrays(above, "n", np.uint8), np.uint8)
+    i = np.minimum(np.searchsorted(said, anchor), len(said) - 1)
+    return _replies(t, which, anchor, np.where(said[i] == anchor, what[i], 0))
+
+
+def later_windows(strings: np.ndarray, lens: np.ndarray, width: int, folder: str) -> tuple[np.ndarray, np.ndarray]:
     """(string, start) of windows that are equal to a window of an earlier string, or of an earlier start in the same one."""
-    string, start, kind = Collection(strings, lens).classes(width)
+    c = Collection(strings, lens, folder)
+    string, start, kind = c.classes(width)
+    c.close()
     by = np.lexsort((start, string, kind))
-    later = np.zeros(len(by), bool)
-    later[1:] = kind[by][1:] == kind[by][:-1]
+    later = ~_heads(kind[by])
     return string[by][later], start[by][later]
 
 
-def _judged(table: pa.Table, width: int, strings: int) -> pa.Table:
-    """Windows that go, by block, from the collections of a bucket's anchor groups."""
-    blk = table.column("blk").to_numpy()
-    take = lambda name, t: [np.frombuffer(x.as_buffer(), t) for x in table.column(name)]
-    row, start, n, anchor = take("row", np.uint32), take("start", np.int64), take("n", np.uint16), take("anchors", np.uint64)
-    block = np.repeat(blk, [len(x) for x in row])
-    row, start, n, anchor = np.concatenate(row).astype(np.int64), np.concatenate(start), np.concatenate(n).astype(np.int64), np.concatenate(anchor)
-    raw = np.concatenate(take("bytes", np.uint8))
-    lens = n + width - 1
-    first = np.cumsum(lens) - lens
-    order = np.lexsort((start, row, block, anchor))
-    cuts, begin = [0], 0
-    for _, _, y in _runs(anchor[order]):  # whole anchor groups, about so many strings together
-        if y - begin >= strings:
-            cuts.append(y)
-            begin = y
-    if cuts[-1] != len(order):
-        cuts.append(len(order))
-    found = []
-    for x, y in zip(cuts, cuts[1:]):
-        some = order[x:y]
-        some = some[np.lexsort((start[some], row[some], block[some]))]  # strings in document order
-        size = lens[some]
-        at = np.repeat(first[some] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        string, off = later_windows(raw[at], size, width)
-        found.append((block[some][string], row[some][string], start[some][string] + off))
-    b, r, s = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((s, r, b))
-    b, r, s = b[order], r[order], s[order]
+def _hashes(raw: np.ndarray, first: np.ndarray, size: np.ndarray, most: int = 1 << 18) -> np.ndarray:
+    """A hash of each string (of 8 bytes or more)."""
+    out, x, ends = np.zeros(len(first), np.uint64), 0, first + size
+    while x < len(first):
+        y = max(x + 1, int(np.searchsorted(ends, first[x] + most, side="right")))
+        h = windows.grams(raw[first[x] : ends[y - 1]], 8)
+        step = (np.arange(len(h)) - np.repeat(first[x:y] - first[x], size[x:y])[: len(h)]).astype(np.uint64)
+        h = h * (step * np.uint64(2) + np.uint64(1))
+        h[step > np.repeat(size[x:y] - 8, size[x:y])[: len(h)].astype(np.uint64)] = 0  # over the string's end
+        out[x:y] = np.add.reduceat(h, first[x:y] - first[x])
+        x = y
+    return out
+
+
+def _equal_first(blk, segs: windows.Segments, raw, first, width: int):
+    """(order of the strings by anchor, hash and place; which of them are the first of their bytes)."""
+    size = segs.n + width - 1
+    mixed = _hashes(raw, first, size)
+    order = np.lexsort((segs.start, segs.row, blk, size, mixed, segs.anchor))
+    head = _heads(segs.anchor[order], mixed[order], size[order])
+    later = np.nonzero(~head)[0]
+    before = np.nonzero(head)[0][np.cumsum(head)[later] - 1]
+    head[later[unlike(raw, first[order[later]], first[order[before]], size[order[later]])]] = True
+    return order, head
+
+
+def _went(blk, row, start, n) -> list[tuple]:
+    """GONE rows of runs of windows, by block."""
+    order = np.lexsort((start, row, blk))
+    blk, row, start, n = blk[order], row[order], start[order], n[order]
+    return [(GONE, 0, -1, k, row[x:y].astype(np.uint32).tobytes(), start[x:y].tobytes(), n[x:y].astype(np.uint16).tobytes(), None, None) for k, x, y in _runs(blk)]
+
+
+def _collapsed(t: pa.Table, width: int) -> pa.Table:
+    """Of equal segments of some blocks the first remains to be judged, the others go."""
+    blk, segs, raw, first = _read(t, width)
+    order, head = _equal_first(blk, segs, raw, first, width)
+    gone, stay = order[~head], np.sort(order[head])
+    rows = _went(blk[gone], segs.row[gone], segs.start[gone], segs.n[gone])
+    level, bucket = t.column("level")[0].as_py(), t.column("bucket")[0].as_py()
+    stay = stay[np.lexsort((segs.start[stay], segs.row[stay], segs.anchor[stay], blk[stay]))]
+    for k, x, y in _runs(blk[stay]):
+        some = stay[x:y]
+        rows.append((BYTES, level, bucket, k, *_places(segs.take(some)), b"".join([raw[f : f + s].tobytes() for f, s in zip(first[some].tolist(), (segs.n[some] + width - 1).tolist())])))
+    return mail(rows)
+
+
+def _judged(t: pa.Table, width: int, folder: str) -> pa.Table:
+    """Windows that go, by block, of a bucket's segments."""
+    blk, segs, raw, first = _read(t, width)
+    order, head = _equal_first(blk, segs, raw, first, width)
+    gone = order[~head]
+    rows = _went(blk[gone], segs.row[gone], segs.start[gone], segs.n[gone])
+    # anchors with different segments
+    firsts = order[head]
+    group = np.cumsum(_heads(segs.anchor[firsts])) - 1
+    some = firsts[np.bincount(group)[group] > 1] if len(group) else firsts
+    some = some[np.lexsort((segs.start[some], segs.row[some], blk[some]))]  # strings in document order
+    size = segs.n[some] + width - 1
+    if not len(some):
+        return mail(rows)
+    at = np.repeat(first[some] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    flat = raw[at]
+    # windows with an equal hash somewhere else; strings are cut down to what lies between the first and the last of them
+    begin = np.cumsum(size) - size
+    n = segs.n[some]
+    string = np.repeat(np.arange(len(some)), n)
+    off = np.arange(len(string)) - np.repeat(np.cumsum(n) - n, n)
+    h = windows.grams(flat, width)[begin[string] + off]
+    by = np.argsort(h, kind="stable")
+    twice = ~_heads(h[by])
+    twice[:-1] |= twice[1:]
+    at = np.sort(by[twice])
+    if not len(at):
+        return mail(rows)
+    here = np.nonzero(_heads(string[at]))[0]
+    kept, low = string[at[here]], off[at[here]]
+    high = off[at[np.append(here[1:], len(at)) - 1]]
+    size = high - low + width
+    at = np.repeat(begin[kept] + low - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    which, start = later_windows(flat[at], size, width, folder)
+    own = some[kept[which]]
+    b, r, s = blk[own], segs.row[own], segs.start[own] + low[which] + start
+    by = np.lexsort((s, r, b))
+    b, r, s = b[by], r[by], s[by]
     head = np.ones(len(b), bool)  # runs of consecutive windows
     head[1:] = (b[1:] != b[:-1]) | (r[1:] != r[:-1]) | (s[1:] != s[:-1] + 1)
     at = np.nonzero(head)[0]
-    n = np.diff(np.append(at, len(b)))
-    b, r, s = b[at], r[at], s[at]
-    rows = [(GONE, 0, -1, k, r[x:y].astype(np.uint32).tobytes(), s[x:y].tobytes(), n[x:y].astype(np.uint16).tobytes(), None, None) for k, x, y in _slices(b)] if len(b) else []
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 9, SENT_TYPES)], names=SENT_NAMES)
+    return mail(rows + _went(b[at], r[at], s[at], np.diff(np.append(at, len(b)))))
 
 
 def _cut(block: Block, gone: pa.Table):
@@ -263,104 +389,93 @@ def _cut(block: Block, gone: pa.Table):
         yield sum(e) - sum(s), list(zip(s, e)), b"".join(kept)
 
 
-def _blocks(docs: DataFrame, columns: list[str], size: int) -> tuple[DataFrame, int]:
-    """docs with BLK, as a table bucketed by it; and the number of blocks."""
+def _blocks(docs: DataFrame, columns: list[str], blk: str, size: int) -> tuple[str, int]:
+    """Name of a table of docs with blk, bucketed by it; and the number of blocks."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).collect()[0]["n"] or 0
     n = max(1, int(total // size) + 1)
     name = f"tokenmix_blocks_{uuid.uuid4().hex}"
-    tie = F.xxhash64("text")
-    placed = docs.select(*columns).repartitionByRange(n, F.col("doc_id"), tie).withColumn(BLK, F.spark_partition_id().cast("long"))
+    placed = docs.select(*columns).repartitionByRange(n, F.col("doc_id"), F.xxhash64("text")).withColumn(blk, F.spark_partition_id().cast("long"))
     buckets = max(1, min(n, -(-int(total) // (4 * size)) + spark.sparkContext.defaultParallelism))
-    placed.write.option("compression", "zstd").bucketBy(buckets, BLK).saveAsTable(name)
-    return spark.table(name), n
-
-
-def _sender(shared, width: int, sizes, level: int, buckets: int):
-    def send(key, t):
-        return _entries(Block(t, shared.value, width, sizes), key[0].as_py(), level, buckets)
-
-    return send
-
+    placed.write.option("compression", "zstd").bucketBy(buckets, blk).saveAsTable(name)
+    return name, n
 
-def _spread(batches):
-    for b in batches:
-        for a, c in zip(b.column(0), b.column(1)):
-            yield pa.RecordBatch.from_pydict({"anchor": pa.array(np.frombuffer(a.as_buffer(), np.int64)), "n": pa.array(np.frombuffer(c.as_buffer(), np.uint32).astype(np.int64))})
 
+def _decided(entries: DataFrame, n: int, again: bool, crowd: int, fan: int) -> DataFrame:
+    """Answers to the entries of n blocks: in one task per bucket if there are few, else by way of merged entries."""
+    if n <= fan:
+        return entries.groupBy("level", "bucket").applyInArrow(lambda t: _answers(t, again, crowd), MAIL)
+    wide = lambda df, name: df.withColumn(name, F.floor(F.col("blk") / fan).cast("long"))
+    merged = written(wide(entries, "part").groupBy("level", "bucket", "part").applyInArrow(lambda t: _merged_entries(t, fan, crowd), MAIL), "merged")
+    above = _decided(merged, -(-n // fan), again, crowd, fan)
+    below = wide(entries, "part").groupBy("level", "bucket", "part")
+    return below.cogroup(above.withColumn("part", F.col("blk")).groupBy("level", "bucket", "part")).applyInArrow(_passed_on, MAIL)
 
-def _without(shared, level: int):
-    """Takes the hot anchors out of entries."""
 
-    def work(batches):
-        for b in batches:
-            anchors, hashes = [], []
-            for a, h in zip(b.column(3), b.column(4)):
-                a, h = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(h.as_buffer(), np.uint64)
-                keep = ~_among(a, shared.value[level])
-                anchors.append(a[keep].tobytes())
-                hashes.append(h[keep].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(anchors, pa.binary()), pa.array(hashes, pa.binary())], b.schema.names)
-
-    return work
+def run(docs: DataFrame, shape, columns: list[str], make, width: int = WIDTH, sizes=SIZES, block: int = BLOCK, crowd: int = CROWD, fan: int = FAN) -> DataFrame:
+    """The frame that make(Block, cuts, table) gives for each block, written in the shared folder (all else is deleted); cuts as from ``_cut``."""
+    spark = ready(docs.sparkSession)
+    blk = free_name(columns, "block")
+    name, n = _blocks(docs, columns, blk, block)
+    table, tapes = spark.table(name), shared_dir(spark, "tapes")
+    buckets, boxes = max(64, 4 * n), []  # many small ones, so that partitions of them are even
+    needed = table.select(blk, "doc_id", "text")
+    # closures below go to the executors: they hold plain values only
+    first = lambda key, t: mail(_asked(Block(t, width).segments(sizes[0]), key[0].as_py(), 0, buckets, crowd))
+    entries = written(needed.groupBy(blk).applyInArrow(first, MAIL), "entries")
+    held = [entries]
+    for level in range(len(sizes)):
+        answers = _decided(entries, n, level + 1 < len(sizes), crowd, fan)
+        if level == 0:
 
+            def reply(key, docs, answers):
+                return mail(_sent(Block(docs, width).segments(sizes[0]), key[0].as_py(), 0, answers, buckets, sizes, crowd) if docs.num_rows else [])
 
-def _release(spark) -> None:
-    """Lets the context clean shuffle files of frames that are no longer used."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+            got = needed.groupBy(blk).cogroup(answers.groupBy("blk")).applyInArrow(reply, MAIL)
+        else:
+            kept = boxes[-1].where(F.col("kind") == KEPT)
 
+            def reply_again(key, t):
+                is_kept = pa.compute.equal(t.column("kind"), KEPT)
+                waiting = t.filter(is_kept)
+                return mail(_sent(_waiting(waiting, width), key[0].as_py(), level, t.filter(pa.compute.invert(is_kept)), buckets, sizes, crowd) if waiting.num_rows else [])
 
-def run(docs: DataFrame, shape: str, columns: list[str], make, width: int = WIDTH, sizes=SIZES, block: int = BLOCK, hot_at: int = HOT, hot_list: int = HOT_LIST, strings: int = STRINGS) -> DataFrame:
-    """The frame that make(Block, cuts, table) gives for each block; cuts as from ``_cut``."""
-    spark = ready(docs.sparkSession)
-    table, n = _blocks(docs, columns, block)
-    _release(spark)
-    buckets, hot, entries = max(64, 8 * n), [], []  # many small ones, so that partitions of them are even
-    needed = table.select(BLK, "doc_id", "text")
-    for level in range(len(sizes)):
-        shared = spark.sparkContext.broadcast(list(hot))
-
-        got = written(needed.groupBy(BLK).applyInArrow(_sender(shared, width, sizes, level, buckets), ENTRY), f"entries{level}")
-        entries.append(got)
-        total = got.where("bucket >= 0").agg(F.sum("n").alias("n")).collect()[0]["n"] or 0
-        if level == len(sizes) - 1:
-            hot.append(np.zeros(0, np.uint64))
-            break
-        least = max(hot_at, total // hot_list)
-        often = got.where("bucket < 0").select("anchors", "hashes").mapInArrow(_spread, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") > least)
-        found = np.array([r["anchor"] for r in often.select("anchor").collect()], np.int64).view(np.uint64)  # fewer than hot_list
-        hot.append(np.sort(found))
-        if not len(found):
+            got = kept.unionByName(answers).groupBy("blk").applyInArrow(reply_again, MAIL)
+        boxes.append(written(got, f"segments{level}"))
+        entries = boxes[-1].where(F.col("kind") == ENTRY)
+        if level + 1 < len(sizes) and entries.isEmpty():
             break
-    levels = len(hot)
-    shared = spark.sparkContext.broadcast(hot)
-    cold = None
-    for level, e in enumerate(entries):
-        e = e.where("bucket >= 0").select("blk", "level", "bucket", "anchors", "hashes")
-        if len(hot[level]):
-            e = e.mapInArrow(_without(shared, level), e.schema)
-        cold = e if cold is None else cold.unionByName(e)
-    answers = cold.groupBy("level", "bucket").applyInArrow(_answers, ANSWER)
-
-    def reply(key, docs, answers):
-        return _sent(Block(docs, shared.value, width, sizes), key[0].as_py(), answers, buckets, levels)
-
-    sent = written(needed.groupBy(BLK).cogroup(answers.groupBy("blk")).applyInArrow(reply, SENT), "segments")
-    for e in entries:  # answered
-        dropped(e)
-    _release(spark)
-    asked = sent.where(F.col("kind") == BYTES)
-    judged = asked.groupBy("level", "bucket").applyInArrow(lambda t: _judged(t, width, strings), SENT)
-    gone = sent.where(F.col("kind") == GONE).unionByName(judged).select("blk", "row", "start", "n")
+    dropped(held[0])  # answered
+    union = lambda kind: _union([b.where(F.col("kind") == kind) for b in boxes])
+    asked, gone, step = union(BYTES), [union(GONE)], fan
+    while step < n:
+        part = F.floor(F.col("blk") / step).cast("long").alias("part")
+        boxes_now = written(asked.groupBy("level", "bucket", part).applyInArrow(lambda t: _collapsed(t, width), MAIL), "collapsed")
+        boxes.append(boxes_now)
+        asked, step = boxes_now.where(F.col("kind") == BYTES), step * fan
+        gone.append(boxes_now.where(F.col("kind") == GONE))
+    gone.append(asked.groupBy("level", "bucket").applyInArrow(lambda t: _judged(t, width, tapes), MAIL))
 
     def finish(key, docs, gone):
         if not docs.num_rows:
             return make(None, [], docs)
-        b = Block(docs, [], width, sizes)
+        b = Block(docs, width)
         return make(b, _cut(b, gone), docs)
 
-    return table.groupBy(BLK).cogroup(gone.groupBy("blk")).applyInArrow(finish, shape)
+    out = table.groupBy(blk).cogroup(_union(gone).select("blk", "row", "start", "n").groupBy("blk")).applyInArrow(finish, shape)
+    out = written(out, "repeats")
+    for b in boxes:
+        dropped(b)
+    deleted(spark, tapes)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return out
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 SHAPE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
