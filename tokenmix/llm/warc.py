@@ -11,7 +11,8 @@ so repeated and lost tasks leave no wrong records.
 
 Defined cases: null html -> empty payload; null url -> no target header; rows that repeat a page_id and payload are all
 responses if that page_id is the smallest, else all revisits; a null page_id never is the smallest unless no other has the payload
-(then a response); an empty table gives no archive and no rows; other columns are not read. A damaged archive raises ``WarcError``.
+(then a response); a very long html is one record, held once by the writer and once by the reader; an empty table gives no archive and no rows; other
+columns are not read. A damaged archive raises ``WarcError``.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import open_fs, ready, shared_dir
 
 REVISIT_BYTES, BLOCK, LEVEL = 100, 64 << 10, 6
+#: Partitions that one payload is dealt to; archive bytes that one task reads.
+SALTS, READ_BYTES = 64, 64 << 20
 VERSION = b"WARC/1.1"
 DATE = "2000-01-01T00:00:00Z"  # fixed, so equal pages give equal archives
 
@@ -132,29 +135,43 @@ def records(source, size: int = BLOCK) -> Iterator[Record]:
         yield Record(offset, headers, bytes(block[:want]))
 
 
-def with_types(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
-    """page_id, url, html, payload_bytes, payload_digest, record_type, refers_to."""
+def with_types(pages: DataFrame, least: int = REVISIT_BYTES, salts: int = SALTS) -> DataFrame:
+    """page_id, url, html (empty for revisits), payload_bytes, payload_digest, record_type, refers_to.
+
+    Payloads that occur again are found from (digest, salt) groups, at most ``salts`` of a payload, and joined on both, so
+    a payload that fills a third of all rows is in so many partitions.
+    """
     html = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), F.sha2(html, 256).alias("payload_digest"))
-    # only payloads that occur again are joined: one row per such payload, whatever the size of its group
-    first = (
-        pages.select("page_id", F.octet_length(html).alias("n"), F.sha2(html, 256).alias("first_digest"))
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int")
+    rows = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), F.sha2(html, 256).alias("payload_digest"), salt.alias("salt"))
+    parts = (
+        pages.select("page_id", F.octet_length(html).alias("n"), F.sha2(html, 256).alias("first_digest"), salt.alias("first_salt"))
         .where(F.col("n") >= least)
-        .groupBy("first_digest")
-        .agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
+        .groupBy("first_digest", "first_salt")
+        .agg(F.min("page_id").alias("least_id"), F.count("*").alias("copies"))
+    )
+    first = (
+        parts.groupBy("first_digest")
+        .agg(F.min("least_id").alias("first_id"), F.sum("copies").alias("copies"), F.collect_list("first_salt").alias("salts"))  # no longer than that
         .where(F.col("copies") > 1)
-        .select("first_digest", "first_id")
+        .select("first_digest", "first_id", F.explode("salts").alias("first_salt"))
     )
     # small payloads get keys of their own, so that they don't meet in one task
     key = F.when(F.col("payload_bytes") >= least, F.col("payload_digest")).otherwise(F.concat(F.lit("small "), F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
-    joined = rows.withColumn("key", key).join(first, F.col("key") == F.col("first_digest"), "left")
+    joined = rows.withColumn("key", key).join(first, (F.col("key") == F.col("first_digest")) & (F.col("salt") == F.col("first_salt")), "left")
     again = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return joined.select(
-        "page_id", "url", "html", "payload_bytes", "payload_digest",
+        "page_id", "url", F.when(again, F.lit("")).otherwise(F.col("html")).alias("html"), "payload_bytes", "payload_digest",
         F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first_id")).alias("refers_to"),
     )
 
 
+def _rows(batch: pa.RecordBatch, some: int = 64):
+    """The batch's rows; not all of its texts are Python objects at once."""
+    for x in range(0, batch.num_rows, some):
+        yield from zip(*(c.to_pylist() for c in batch.slice(x, some).columns))
+
+
 def write(pages: DataFrame, folder: str, level: int = LEVEL) -> DataFrame:
     """Writes archives into folder; returns their committed manifest (file string, n_records long, n_bytes long)."""
     spark = ready(pages.sparkSession)
@@ -165,7 +182,7 @@ def write(pages: DataFrame, folder: str, level: int = LEVEL) -> DataFrame:
 
         url, sink, n, size = f"{folder}/pages-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz", None, 0, 0
         for b in batches:
-            for page, target, html, length, digest, kind, refers in zip(*(c.to_pylist() for c in b.columns)):
+            for page, target, html, length, digest, kind, refers in _rows(b):
                 payload = html.encode("utf-8", "surrogatepass")
                 headers = [("WARC-Type", kind), ("WARC-Record-ID", urn(page)), ("WARC-Date", DATE)]
                 if target is not None:
@@ -188,13 +205,15 @@ def write(pages: DataFrame, folder: str, level: int = LEVEL) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"file": [url], "n_records": pa.array([n], pa.int64()), "n_bytes": pa.array([size], pa.int64())})
 
     manifest = folder + "/manifest"
-    with_types(pages).mapInArrow(work, "file string, n_records long, n_bytes long").write.parquet(manifest)
+    # a row per archive; few files of them
+    listed = with_types(pages).mapInArrow(work, "file string, n_records long, n_bytes long").repartition(spark.sparkContext.defaultParallelism)
+    listed.write.parquet(manifest)
     return spark.read.schema("file string, n_records long, n_bytes long").parquet(manifest)
 
 
 def read(manifest: DataFrame, with_block: bool = False) -> DataFrame:
-    """A row per record of the listed archives, in a task per archive or so."""
-    ready(manifest.sparkSession)
+    """A row per record of the listed archives; a task reads whole archives of about ``READ_BYTES``."""
+    spark = ready(manifest.sparkSession)
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, file string, record_offset long" + ", block binary" * with_block
     types = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("file", pa.string()), ("record_offset", pa.int64())] + [("block", pa.binary())] * with_block)
 
@@ -220,7 +239,9 @@ def read(manifest: DataFrame, with_block: bool = False) -> DataFrame:
                     raise WarcError(f"{url} has {seen} records, not {n}")
 
     files = manifest.select("file", "n_records")
-    return files.repartition(max(1, files.count()), "file").mapInArrow(work, schema)
+    size = manifest.agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes")).collect()[0]
+    tasks = max(3 * spark.sparkContext.defaultParallelism, (size["bytes"] or 0) // READ_BYTES)
+    return files.repartition(max(1, min(size["n"], tasks))).mapInArrow(work, schema)
 
 
 def roundtrip(pages: DataFrame) -> DataFrame:
