@@ -2,8 +2,8 @@
 
 Tokenising operators look at every word of a corpus but need to work only on distinct words. ``cut``
 finds the spans from pairs of neighbouring byte classes, ``SpanTable.number`` gives equal spans equal
-numbers through a fixed-size hash table (128 hash bits; two slots per span, the older entry gives way),
-so memory stays bounded and no per-word Python code runs for words already seen.
+numbers through a fixed-size hash table (two slots per span, the older entry gives way). Hashes only say where to look: the
+bytes of every span are compared with those under its number, all at once. Memory stays bounded and no per-word Python code runs for words already seen.
 """
 
 from __future__ import annotations
@@ -75,6 +75,7 @@ class SpanTable:
         n = 1 << self.bits
         self.count = 0
         self.h1, self.h2, self.at = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.full(n, -1, np.int32)
+        self.bytes = Lists(np.uint8)
 
     def _hash(self, buf, starts, lens):
         pos = np.arange(len(buf), dtype=np.int64) - np.repeat(starts, lens)
@@ -94,7 +95,31 @@ class SpanTable:
 
     def number(self, buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
         """starts as from cut. The number of each span, and the spans numbered anew, from ``count`` on."""
-        starts, lens = starts[:-1], np.diff(starts)
+        lens = np.diff(starts)
+        ids, fresh = self._by_hash(buf, starts[:-1], lens)
+        held, ends = self.bytes.take(ids)
+        if len(held) == len(buf) and np.array_equal(ends, starts) and np.array_equal(held, buf):
+            return ids, fresh
+        # spans that only their hashes make equal: each occurrence gets a number of its own
+        n = np.diff(ends)
+        odd = n != lens
+        same = np.nonzero(~odd)[0]
+        where = np.repeat(starts[:-1][same] - ends[:-1][same], n[same])
+        at = np.nonzero(np.repeat(~odd, n))[0]
+        wrong = held[at] != buf[at + where]
+        odd[np.repeat(same, n[same])[wrong]] = True
+        odd = np.nonzero(odd)[0]
+        raw = buf.tobytes()
+        more = [raw[starts[i] : starts[i + 1]] for i in odd.tolist()]
+        ids[odd] = np.arange(self.count, self.count + len(odd))
+        self._add(more)
+        return ids, fresh + more
+
+    def _add(self, new: list[bytes]) -> None:
+        self.bytes.append(np.frombuffer(b"".join(new), np.uint8), np.fromiter(map(len, new), np.int64, len(new)))
+        self.count += len(new)
+
+    def _by_hash(self, buf, starts, lens) -> tuple[np.ndarray, list[bytes]]:
         h1, h2 = self._hash(buf, starts, lens)
         s1 = (h1 >> np.uint64(64 - self.bits)).astype(np.int64)
         ids = self.at[s1].astype(np.int64)
@@ -120,9 +145,10 @@ class SpanTable:
         slot = np.where(self.at[slot1] < 0, slot1, slot2)
         self.h1[slot], self.h2[slot], self.at[slot] = h1[rep], h2[rep], number
         # spans that fell on one slot: the last one written holds all three arrays consistently
-        self.count += len(rep)
         raw = buf.tobytes()
-        return ids, [raw[x:y] for x, y in zip(starts[rep].tolist(), (starts[rep] + lens[rep]).tolist())]
+        fresh = [raw[x:y] for x, y in zip(starts[rep].tolist(), (starts[rep] + lens[rep]).tolist())]
+        self._add(fresh)
+        return ids, fresh
 
 
 class Lists:
@@ -153,15 +179,18 @@ class Lists:
 
 
 class Cached:
-    """Lists made once per distinct span. make(new spans) -> (integers one list after another, lengths)."""
+    """Lists made once per distinct span. make(new spans) -> (integers one list after another, lengths).
+
+    Forgets all spans when there are over ``limit`` of them, or their bytes or integers are over ``most``; so that is
+    the bound of what is kept between calls."""
 
-    def __init__(self, pairs, make, fold=None, limit: int = 1_000_000, bits: int = 21):
-        self.pairs, self.make, self.fold, self.limit, self.bits = pairs, make, fold, limit, bits
+    def __init__(self, pairs, make, fold=None, limit: int = 300_000, most: int = 16 << 20, bits: int = 20, bulk: int = 1 << 17):
+        self.pairs, self.make, self.fold, self.limit, self.most, self.bits, self.bulk = pairs, make, fold, limit, most, bits, bulk
         self.table = None
 
     def lists(self, texts: list[bytes]):
         """For slices of the texts in order: (slice, integers of its texts one after another, offsets of the texts)."""
-        if self.table is None or self.table.count > self.limit:
+        if self.table is None or self.table.count > self.limit or max(self.table.bytes.used, self.store.used) > self.most:
             self.table = self.store = None
             self.table, self.store = SpanTable(self.bits), Lists()
         new, found = [], []
@@ -173,14 +202,15 @@ class Cached:
             numbers, fresh = self.table.number(buf, starts)
             new.extend(fresh)
             found.append((part, numbers.astype(np.int32), first))
-        for i in range(0, len(new), 1 << 18):
-            self.store.append(*self.make(new[i : i + (1 << 18)]))
+        for i in range(0, len(new), self.bulk):
+            self.store.append(*self.make(new[i : i + self.bulk]))
+        del new
         for part, numbers, first in found:
             flat, ends = self.store.take(numbers)
             yield part, flat, ends[first]
 
 
-def grouped(batches, column: int, size: int = 16 << 20):
+def grouped(batches, column: int, size: int = 8 << 20):
     """Joins Arrow batches until their texts have size bytes, so that distinct spans are made in bulk."""
     import pyarrow as pa
 
