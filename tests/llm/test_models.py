@@ -31,12 +31,58 @@ def test_forward_algorithm_sums_all_segmentations():
     assert np.isfinite(got).all()
 
 
+def test_scores_of_whole_texts():
+    """Texts with words of any length against sums over all segmentations in exact arithmetic."""
+    from fractions import Fraction
+
+    rnd = random.Random(5)
+    some = ["▁", "▁a", "a", "b", "ab", "ba", "▁ab", "abb", "bb", "ababababababababababab"]
+    prob = np.array([[rnd.randint(1, 99) / 128 for _ in range(3)] for _ in some])
+    model = pieces.Model(some, ["x", "y", "z"], prob)
+    exact = [[Fraction(float(p)) for p in row] for row in prob]
+
+    def total(word, lang):
+        sums = [Fraction(1)]
+        for end in range(1, len(word) + 1):
+            here = Fraction(0)
+            for start in range(end):
+                s = word[start:end]
+                here += sums[start] * (exact[some.index(s)][lang] if s in some else Fraction(model.UNKNOWN) if len(s) == 1 else 0)
+            sums.append(here)
+        return sums[-1]
+
+    def ln(f):
+        return np.log(float(f.numerator >> max(0, f.numerator.bit_length() - 900))) + max(0, f.numerator.bit_length() - 900) * np.log(2) - np.log(float(f.denominator >> max(0, f.denominator.bit_length() - 900))) - max(0, f.denominator.bit_length() - 900) * np.log(2)
+
+    words = ["".join(rnd.choice("abc") for _ in range(n)) for n in (1, 5, 31, 32, 33, 34, 60, 130)] + ["ab" * 40, "c" * 200]
+    got = model.log_words(words, pieces.Lookup(some))
+    want = [[ln(total("▁" + w, k)) for k in range(3)] for w in words]
+    assert np.allclose(got, want, rtol=1e-9)
+    old = pieces.STEPS
+    try:
+        pieces.STEPS = 7  # parts shorter than the longest piece
+        assert np.allclose(model.log_words(words, pieces.Lookup(some)), want, rtol=1e-9)
+    finally:
+        pieces.STEPS = old
+    texts = ["ab abb " + words[7], "A\tB " + words[8] + " ab", "abba", None, "12 .", "a a a a"]
+    pred, score = pieces.Scorer(model, "t").predict(texts)
+    for t, p, s in zip(texts, pred, score):
+        if t in (None, "12 ."):
+            assert (p, s) == ("und", 0.0)
+            continue
+        logs = [sum(ln(total("▁" + w, k)) for w in t.lower().split()) for k in range(3)]
+        shares = np.exp(np.array(logs) - max(logs))
+        assert p == "xyz"[int(np.argmax(logs))] and abs(s - shares.max() / shares.sum()) < 1e-9
+    same = pieces.Model(some, ["x", "y"], prob[:, :1].repeat(2, 1))
+    assert pieces.Scorer(same, "u").predict(["ab " + "ab" * 30]) == (["x"], [0.5])  # a tie
+
+
 def test_expectation_maximisation_prefers_what_is_seen():
     model = pieces.fit(["▁", "▁th", "e", "t", "h", "▁de", "r", "d", "▁"][:8], {"de": {"der": 10.0}, "en": {"the": 10.0}})
     s = pieces.Scorer(model, "k")
     assert s.predict(["the the", "der", "", None, "12 !", "The"])[0] == ["en", "de", "und", "und", "und", "en"]
     assert np.allclose(model.prob[:8].sum(0), 1)
-    assert pieces.words_of("A" * 70)[0] == "a" * 32 and len(pieces.words_of("A" * 70)) == 3
+    assert pieces.words_of("A" * 70) == ["a" * 70] and [len(b) for b in pieces.blocks_of("A" * 70)] == [32, 32, 6]
 
 
 def test_language_of_held_out_documents(spark, sf):

@@ -38,7 +38,7 @@ def train(docs: DataFrame, vocabulary: str | None = None, limit: int = TRAIN_DOC
     counts: dict[str, dict[str, float]] = {lang: {} for lang in n}
     for r in sample.toLocalIterator():
         c = counts[r["lang"]]
-        for w in pieces.words_of(r["text"]):
+        for w in pieces.blocks_of(r["text"]):
             c[w] = c.get(w, 0) + 1
     counts = {k: v for k, v in counts.items() if v}
     return pieces.fit(pieces.vocabulary(vocabulary or vocabulary_path()), counts)

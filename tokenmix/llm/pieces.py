@@ -5,12 +5,13 @@ probability of every piece is learned by expectation maximisation; the score of
 *all* its segmentations into pieces of the product of piece probabilities (forward algorithm), the score
 of a text the sum of the logarithms over its words.
 
-A word is a maximal run without white space, lower-cased, after a word-start mark; longer runs than
-``MAX_WORD`` characters are scored in blocks of that many (so memory does not depend on the text).
+A word is a maximal run without white space, lower-cased, after a word-start mark. Words of up to ``SHORT`` characters are scored
+many at a time and kept; of longer ones (whole texts, in scripts without spaces) the same sum is carried along ``STEPS`` characters at a time,
+scaled on the way, so memory does not depend on the length. (Learning, which is from a bounded sample, cuts such runs into blocks of SHORT.)
 
 Defined cases: null or letterless text -> ``und`` with score 0; no learnable language at all -> ``und``;
-ties go to the first language in code-point order; repeated rows each get a result; other columns are
-not read.
+ties go to the first language in code-point order; repeated rows each get a result; an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ import numpy as np
 import regex
 
 MARK = "▁"
-MAX_WORD = 32
-MAX_PIECE = 16
+SHORT = 32
+#: Characters of long words that are taken at a time, and after how many of them the sums are scaled.
+STEPS, SCALE = 512, 8
 UND = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _LETTER = regex.compile(r"\p{L}")
@@ -32,7 +34,7 @@ def vocabulary(path: str) -> list[str]:
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     kept = (sp.id_to_piece(i).lower() for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)))
-    return sorted({p for p in kept if 0 < len(p) <= MAX_PIECE})
+    return sorted({p for p in kept if p})
 
 
 class Lookup:
@@ -41,11 +43,9 @@ class Lookup:
     BITS = 19
 
     def __init__(self, pieces: list[str]):
-        self.size = len(pieces)
-        n = np.array([len(p) for p in pieces], np.int64)
+        self.size, self.longest = len(pieces), max(map(len, pieces), default=1)
         h = np.array([self._hash_one(p) for p in pieces], np.uint64)
         assert len(set(h.tolist())) == len(pieces)
-        del n
         self.hash = np.concatenate([h, np.zeros(1, np.uint64)])
         shift = np.uint64(64 - self.BITS)
         self.first = np.full(1 << self.BITS, self.size, np.int32)
@@ -83,27 +83,36 @@ class Lookup:
 
 
 def words_of(text: str) -> list[str]:
-    out = []
-    for w in text.lower().split():
-        if len(w) <= MAX_WORD:
-            out.append(w)
-        else:
-            out.extend(w[i : i + MAX_WORD] for i in range(0, len(w), MAX_WORD))
-    return out
+    return text.lower().split()
 
 
-def _edges(words: list[str], lookup: Lookup):
-    """For words of one length n (without the mark): (n+1, {(end, length): piece ids})."""
-    n = len(words[0]) + 1
-    codes = np.frombuffer("".join(MARK + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), n).astype(np.uint64)
-    prefix = np.zeros((n + 1, len(words)), np.uint64)
+def blocks_of(text: str) -> list[str]:
+    """The words, longer ones in blocks of SHORT characters."""
+    return [w[i : i + SHORT] for w in words_of(text) for i in range(0, len(w), SHORT)]
+
+
+def _codes(words: list[str], n: int) -> np.ndarray:
+    """Code points of the strings, with zeros after a shorter one's end."""
+    return np.frombuffer("".join(w.ljust(n, "\0") for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), n).astype(np.uint64)
+
+
+def _hashed(codes: np.ndarray, lookup: Lookup):
+    """Gives ids(end, length): piece ids of the substrings of all rows that end there."""
+    n = codes.shape[1]
+    prefix = np.zeros((n + 1, len(codes)), np.uint64)
     power = [np.uint64(1)]
     with np.errstate(over="ignore"):
         for i in range(n):
             prefix[i + 1] = prefix[i] * _BASE + codes[:, i] + np.uint64(1)
             power.append(power[-1] * _BASE)
-        edges = {(end, k): lookup.ids(prefix[end] - prefix[end - k] * power[k], k) for end in range(1, n + 1) for k in range(1, min(end, MAX_PIECE) + 1)}
-    return n, edges
+    return lambda end, k: lookup.ids(prefix[end] - prefix[end - k] * power[k], k)
+
+
+def _edges(words: list[str], lookup: Lookup):
+    """For words of one length n (without the mark): (n+1, {(end, length): piece ids})."""
+    n = len(words[0]) + 1
+    ids = _hashed(_codes([MARK + w for w in words], n), lookup)
+    return n, {(end, k): ids(end, k) for end in range(1, n + 1) for k in range(1, min(end, lookup.longest) + 1)}
 
 
 def by_length(words: list[str]):
@@ -128,13 +137,15 @@ class Model:
         """ln of the sum over all segmentations, for each word and language."""
         out = np.empty((len(words), len(self.langs)))
         for some in by_length(words):
+            if len(words[some[0]]) > SHORT:
+                continue
             for i in range(0, len(some), 4096):
                 at = some[i : i + 4096]
                 n, edges = _edges([words[k] for k in at], lookup)
                 alpha = [np.ones((len(at), len(self.langs)))]
                 for end in range(1, n + 1):
                     total = np.zeros_like(alpha[0])
-                    for k in range(1, min(end, MAX_PIECE) + 1):
+                    for k in range(1, min(end, lookup.longest) + 1):
                         ids = edges[end, k]
                         if k == 1:  # a character outside the vocabulary is a piece of its own
                             ids = np.where(ids == lookup.size, lookup.size + 1, ids)
@@ -145,13 +156,44 @@ class Model:
                                 total[rows] += alpha[end - k][rows] * self.prob[ids[rows]]
                     alpha.append(total)
                 out[at] = np.log(np.maximum(alpha[n], 1e-300))
+        long = sorted((k for k, w in enumerate(words) if len(w) > SHORT), key=lambda k: -len(words[k]))
+        for i in range(0, len(long), 256):
+            out[long[i : i + 256]] = self._log_long([words[k] for k in long[i : i + 256]], lookup)
+        return out
+
+    def _log_long(self, words: list[str], lookup: Lookup) -> np.ndarray:
+        """The same for words by falling length."""
+        width, langs = lookup.longest, len(self.langs)
+        lens = np.array([len(w) + 1 for w in words])
+        out, logs = np.empty((len(words), langs)), np.zeros((len(words), langs))
+        last = np.zeros((width, len(words), langs))  # the sums up to the places before, the latest at the end; scaled by exp(logs)
+        last[-1] = 1
+        lengths = np.arange(width, 0, -1)
+        for x in range(0, int(lens[0]), STEPS):
+            live = int(np.count_nonzero(lens > x))
+            last, logs = last[:, :live], logs[:live]
+            begin, n = max(0, x - width), min(STEPS, int(lens[0]) - x)
+            ids = _hashed(_codes([(MARK + w)[begin : x + n] for w in words[:live]], x + n - begin), lookup)
+            sums = np.concatenate([last, np.empty((n, live, langs))])
+            for i in range(n):
+                end = x - begin + i + 1  # within the part
+                known = np.stack([ids(end, k) if k <= end else np.full(live, lookup.size) for k in lengths])
+                known[-1] = np.where(known[-1] == lookup.size, lookup.size + 1, known[-1])
+                sums[width + i] = np.einsum("krl,krl->rl", sums[i : i + width], self.prob[known])
+                done = np.nonzero(lens[:live] == x + i + 1)[0]
+                out[done] = np.log(np.maximum(sums[width + i, done], 1e-300)) + logs[done]
+                if i % SCALE == SCALE - 1 or i == n - 1:
+                    top = np.maximum(sums[width + i], 1e-300)
+                    sums[i + 1 : width + i + 1] /= top
+                    logs = logs + np.log(top)
+            last = sums[n:]
         return out
 
 
 def fit(pieces: list[str], counts: dict[str, dict[str, float]], rounds: int = 3, smooth: float = 0.05) -> Model:
     """EM over weighted words per language. counts: lang -> word -> weight."""
     lookup = Lookup(pieces)
-    langs = sorted(counts)
+    longest, langs = lookup.longest, sorted(counts)
     prob = np.full((len(pieces), len(langs)), 1.0 / len(pieces))
     prepared = []
     for j, lang in enumerate(langs):
@@ -169,9 +211,9 @@ def fit(pieces: list[str], counts: dict[str, dict[str, float]], rounds: int = 3,
             real = {e: np.where((ids == lookup.size) & (e[1] == 1), lookup.size + 1, ids) for e, ids in edges.items()}
             alpha, beta = [np.ones(len(weight))], {n: np.ones(len(weight))}
             for end in range(1, n + 1):
-                alpha.append(sum(alpha[end - k] * p[real[end, k]] for k in range(1, min(end, MAX_PIECE) + 1)))
+                alpha.append(sum(alpha[end - k] * p[real[end, k]] for k in range(1, min(end, longest) + 1)))
             for start in range(n - 1, -1, -1):
-                beta[start] = sum(beta[end] * p[real[end, end - start]] for end in range(start + 1, min(n, start + MAX_PIECE) + 1))
+                beta[start] = sum(beta[end] * p[real[end, end - start]] for end in range(start + 1, min(n, start + longest) + 1))
             scale = weight / np.maximum(alpha[n], 1e-300)
             for (end, k), ids in real.items():
                 expect[:, j] += np.bincount(ids, alpha[end - k] * p[ids] * beta[end] * scale, len(expect))
@@ -208,24 +250,30 @@ class Scorer:
             return [UND] * len(texts), [0.0] * len(texts)
         if len(self.index) > CACHE_WORDS:
             self._reset()
-        index, fresh, rows, lens = self.index, [], [], []
+        index, fresh, rows, long = self.index, [], [], {}
         for t in texts:
-            words = words_of(t) if t else []
+            words, more = words_of(t) if t else [], []
             for w in set(words):
-                if w not in index:
+                if len(w) > SHORT:  # not kept
+                    long.setdefault(w, len(long))
+                    more.append(w)
+                elif w not in index:
                     index[w] = len(index)
                     fresh.append(w)
-            rows.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
-            lens.append(len(words))
+            if more:
+                more = [long[w] for w in words if len(w) > SHORT]
+                words = [w for w in words if len(w) <= SHORT]
+            rows.append((np.fromiter(map(index.__getitem__, words), np.int64, len(words)), more))
         if fresh:
             self.scores = np.concatenate([self.scores, self.model.log_words(fresh, self.lookup)])
+        long_scores = self.model.log_words(list(long), self.lookup)
         pred, score = [], []
-        for t, r in zip(texts, rows):
+        for t, (r, more) in zip(texts, rows):
             if not t or not _LETTER.search(t):
                 pred.append(UND)
                 score.append(0.0)
                 continue
-            total = np.bincount(r, minlength=0) @ self.scores[: r.max() + 1] if len(r) > len(self.scores) else self.scores[r].sum(0)
+            total = self.scores[r].sum(0) + long_scores[more].sum(0)
             total = total - total.max()
             e = np.exp(total)
             k = int(np.argmax(total))
