@@ -275,31 +275,50 @@ def later_windows(strings: np.ndarray, lens: np.ndarray, width: int, folder: str
 
 
 def _hashes(raw: np.ndarray, first: np.ndarray, size: np.ndarray, most: int = 1 << 18) -> np.ndarray:
-    """A hash of each string (of 8 bytes or more)."""
+    """A hash of each of the strings raw[first : first + size] (of 8 bytes or more; first rises)."""
     out, x, ends = np.zeros(len(first), np.uint64), 0, first + size
     while x < len(first):
         y = max(x + 1, int(np.searchsorted(ends, first[x] + most, side="right")))
-        h = windows.grams(raw[first[x] : ends[y - 1]], 8)
-        step = (np.arange(len(h)) - np.repeat(first[x:y] - first[x], size[x:y])[: len(h)]).astype(np.uint64)
-        h = h * (step * np.uint64(2) + np.uint64(1))
-        h[step > np.repeat(size[x:y] - 8, size[x:y])[: len(h)].astype(np.uint64)] = 0  # over the string's end
-        out[x:y] = np.add.reduceat(h, first[x:y] - first[x])
+        n = size[x:y] - 7
+        begin = np.cumsum(n) - n
+        step = np.arange(int(n.sum())) - np.repeat(begin, n)
+        h = windows.grams(raw[first[x] : ends[y - 1]], 8)[np.repeat(first[x:y] - first[x], n) + step]
+        out[x:y] = np.add.reduceat(h * (step.astype(np.uint64) * np.uint64(2) + np.uint64(1)), begin)
         x = y
     return out
 
 
-def _equal_first(blk, segs: windows.Segments, raw, first, width: int):
-    """(order of the strings by anchor, hash and place; which of them are the first of their bytes)."""
-    size = segs.n + width - 1
+def _by_bytes(raw, first, size, place, *major):
+    """(order of the strings by the columns major, hash and place; which of them are the first of their bytes there)."""
     mixed = _hashes(raw, first, size)
-    order = np.lexsort((segs.start, segs.row, blk, size, mixed, segs.anchor))
-    head = _heads(segs.anchor[order], mixed[order], size[order])
+    order = np.lexsort((place, size, mixed, *major))
+    head = _heads(mixed[order], size[order], *(c[order] for c in major))
     later = np.nonzero(~head)[0]
     before = np.nonzero(head)[0][np.cumsum(head)[later] - 1]
     head[later[unlike(raw, first[order[later]], first[order[before]], size[order[later]])]] = True
     return order, head
 
 
+def _equal_first(blk, segs: windows.Segments, raw, first, width: int):
+    """(order of the strings by anchor, hash and place; which of them are the first of their bytes)."""
+    place = np.empty(len(blk), np.int64)
+    place[np.lexsort((segs.start, segs.row, blk))] = np.arange(len(blk))
+    return _by_bytes(raw, first, segs.n + width - 1, place, segs.anchor)
+
+
+def _recurring(hashes, begin, n):
+    """(strings, first and last offset) of windows of which another has the same hash; n: windows of the string that begins there."""
+    string = np.repeat(np.arange(len(begin)), n)
+    off = np.arange(len(string)) - np.repeat(np.cumsum(n) - n, n)
+    h = hashes[begin[string] + off]
+    by = np.argsort(h, kind="stable")
+    twice = ~_heads(h[by])
+    twice[:-1] |= twice[1:]
+    at = np.sort(by[twice])
+    here = np.nonzero(_heads(string[at]))[0]
+    return string[at[here]], off[at[here]], off[at[np.append(here[1:], len(at)) - 1]] if len(at) else off[:0]
+
+
 def _went(blk, row, start, n) -> list[tuple]:
     """GONE rows of runs of windows, by block."""
     order = np.lexsort((start, row, blk))
@@ -337,25 +356,26 @@ def _judged(t: pa.Table, width: int, folder: str) -> pa.Table:
         return mail(rows)
     at = np.repeat(first[some] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
     flat = raw[at]
-    # windows with an equal hash somewhere else; strings are cut down to what lies between the first and the last of them
-    begin = np.cumsum(size) - size
-    n = segs.n[some]
-    string = np.repeat(np.arange(len(some)), n)
-    off = np.arange(len(string)) - np.repeat(np.cumsum(n) - n, n)
-    h = windows.grams(flat, width)[begin[string] + off]
-    by = np.argsort(h, kind="stable")
-    twice = ~_heads(h[by])
-    twice[:-1] |= twice[1:]
-    at = np.sort(by[twice])
-    if not len(at):
-        return mail(rows)
-    here = np.nonzero(_heads(string[at]))[0]
-    kept, low = string[at[here]], off[at[here]]
-    high = off[at[np.append(here[1:], len(at)) - 1]]
-    size = high - low + width
-    at = np.repeat(begin[kept] + low - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    # strings are cut down to what lies between their first and last window that has an equal hash elsewhere; what is then equal
+    # by its bytes goes but for the first, until nothing changes
+    home, low, begin = some, np.zeros(len(some), np.int64), np.cumsum(size) - size
+    hashes = np.concatenate([windows.grams(flat[x : x + windows.PIECE + width - 1], width) for x in range(0, len(flat) - width + 1, windows.PIECE)])
+    while True:
+        kept, first_at, last_at = _recurring(hashes, begin, size - width + 1)
+        same = len(kept) == len(size) and not first_at.any() and bool((last_at == size - width).all())
+        home, low, begin, size = home[kept], low[kept] + first_at, begin[kept] + first_at, last_at - first_at + width
+        if not len(home):
+            return mail(rows)
+        order, head = _by_bytes(flat, begin, size, np.arange(len(home)))
+        gone, stay = order[~head], np.sort(order[head])
+        if len(gone):
+            rows += _went(blk[home[gone]], segs.row[home[gone]], segs.start[home[gone]] + low[gone], size[gone] - width + 1)
+            home, low, begin, size = home[stay], low[stay], begin[stay], size[stay]
+        elif same:
+            break
+    at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
     which, start = later_windows(flat[at], size, width, folder)
-    own = some[kept[which]]
+    own = home[which]
     b, r, s = blk[own], segs.row[own], segs.start[own] + low[which] + start
     by = np.lexsort((s, r, b))
     b, r, s = b[by], r[by], s[by]
@@ -422,8 +442,7 @@ def run(docs: DataFrame, shape, columns: list[str], make, width: int = WIDTH, si
     needed = table.select(blk, "doc_id", "text")
     # closures below go to the executors: they hold plain values only
     first = lambda key, t: mail(_asked(Block(t, width).segments(sizes[0]), key[0].as_py(), 0, buckets, crowd))
-    entries = written(needed.groupBy(blk).applyInArrow(first, MAIL), "entries")
-    held = [entries]
+    entries = asking = written(needed.groupBy(blk).applyInArrow(first, MAIL), "entries")
     for level in range(len(sizes)):
         answers = _decided(entries, n, level + 1 < len(sizes), crowd, fan)
         if level == 0:
@@ -441,20 +460,25 @@ def run(docs: DataFrame, shape, columns: list[str], make, width: int = WIDTH, si
                 return mail(_sent(_waiting(waiting, width), key[0].as_py(), level, t.filter(pa.compute.invert(is_kept)), buckets, sizes, crowd) if waiting.num_rows else [])
 
             got = kept.unionByName(answers).groupBy("blk").applyInArrow(reply_again, MAIL)
-        boxes.append(written(got, f"segments{level}"))
+        boxes.append(written(got, f"segments{level}", "zstd"))
+        if level == 0:
+            dropped(asking)  # answered
         entries = boxes[-1].where(F.col("kind") == ENTRY)
         if level + 1 < len(sizes) and entries.isEmpty():
             break
-    dropped(held[0])  # answered
     union = lambda kind: _union([b.where(F.col("kind") == kind) for b in boxes])
     asked, gone, step = union(BYTES), [union(GONE)], fan
     while step < n:
         part = F.floor(F.col("blk") / step).cast("long").alias("part")
-        boxes_now = written(asked.groupBy("level", "bucket", part).applyInArrow(lambda t: _collapsed(t, width), MAIL), "collapsed")
+        boxes_now = written(asked.groupBy("level", "bucket", part).applyInArrow(lambda t: _collapsed(t, width), MAIL), "collapsed", "zstd")
         boxes.append(boxes_now)
         asked, step = boxes_now.where(F.col("kind") == BYTES), step * fan
         gone.append(boxes_now.where(F.col("kind") == GONE))
     gone.append(asked.groupBy("level", "bucket").applyInArrow(lambda t: _judged(t, width, tapes), MAIL))
+    gone = written(_union(gone).select("blk", "row", "start", "n"), "gone")
+    for b in boxes:
+        dropped(b)
+    deleted(spark, tapes)
 
     def finish(key, docs, gone):
         if not docs.num_rows:
@@ -462,11 +486,8 @@ def run(docs: DataFrame, shape, columns: list[str], make, width: int = WIDTH, si
         b = Block(docs, width)
         return make(b, _cut(b, gone), docs)
 
-    out = table.groupBy(blk).cogroup(_union(gone).select("blk", "row", "start", "n").groupBy("blk")).applyInArrow(finish, shape)
-    out = written(out, "repeats")
-    for b in boxes:
-        dropped(b)
-    deleted(spark, tapes)
+    out = written(table.groupBy(blk).cogroup(gone.groupBy("blk")).applyInArrow(finish, shape), "repeats")
+    dropped(gone)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     return out
 

@@ -34,7 +34,7 @@ def grams(buf: np.ndarray, k: int) -> np.ndarray:
 
 @dataclass
 class Segments:
-    """row: text of the segment; start: its first window; n: its windows; anchor: hash of its k-gram; same: hash of all its bytes."""
+    """row: text of the segment; start: its first window; n: its windows; anchor: hash of its k-gram (mixed again, as the smallest hashes are all small); same: hash of all its bytes."""
 
     row: np.ndarray
     start: np.ndarray
@@ -111,5 +111,5 @@ def segments(texts: list[bytes], width: int, k: int, wanted=None) -> Segments:
             same = _mix(same * _M1 + h[s + np.minimum(off, total - k)])
             if off > int(total.max()) - k:
                 break
-        out.append(Segments(np.array(rows, np.int64)[which], s - first[which] + np.array(starts, np.int64)[which], n, h[at[s]], same))
+        out.append(Segments(np.array(rows, np.int64)[which], s - first[which] + np.array(starts, np.int64)[which], n, _mix(h[at[s]]), same))
     return Segments.joined(out)
