@@ -32,8 +32,9 @@ ODD = [
 
 @pytest.fixture
 def odd(spark):
-    rows = [(i, t, lang, "src0", None if t is None else len(t), 0.5, "k", 7, 8, "b") for i, t, lang in ODD]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, key string, blk long, fp long, component_id string")
+    rows = [(i, t, lang, "src0", None if t is None else len(t), 0.5, "k", 7, 8, *"bcdefghijklmno") for i, t, lang in ODD]
+    clashing = ["component_id", "_tokenmix_block", "_tokenmix_matches", "_copies", "_text_hash", "_text_bytes", "_m", "_row", "row", "k", "i", "nth", "text_hash", "text_bytes"]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, key string, blk long, fp long, " + ", ".join(f"{c} string" for c in clashing))
 
 
 @pytest.fixture

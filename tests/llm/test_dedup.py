@@ -85,7 +85,7 @@ def test_links_of_crowded_fingerprints(spark):
     some = sorted(prints)
     want = roots(300, [(a, b) for a in range(300) for b in range(a) if (some[a] ^ some[b]).bit_count() <= 2])
     nodes = spark.createDataFrame([(x,) for x in some], "fp long")
-    for crowd in (3, 10_000):
+    for crowd in (1, 3, 10_000):
         star = {r["u"]: r["v"] for r in components.stars(simhash.links(nodes, crowd)).collect()}
         assert [some.index(star.get(x, x)) for x in some] == want
 
@@ -98,6 +98,25 @@ def test_simhash_of_nothing_and_keep_one(spark, odd, nothing):
     assert (True, 8) not in ids and len(ids) == len(set(ids)) and {(True, 1), (True, 4), (True, 5), (True, 7)} <= set(ids)
 
 
+def test_keep_one_decides_by_row(spark):
+    """Equal ids with other texts, null ids and repeated rows: one row per class of texts stays."""
+    a, b, c = ("first text of seven words in here", "quite another one that shares no words", "and yet a third of them for null")
+    keep = lambda rows: sorted((r[0] is not None, r[0] or 0, r[1]) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert keep([(5, a), (5, b)]) == [(True, 5, a), (True, 5, b)]
+    assert keep([(3, b), (5, a), (5, b)]) == [(True, 3, b), (True, 5, a)]
+    assert keep([(None, a), (None, b), (None, c), (None, c)]) == sorted([(False, 0, a), (False, 0, b), (False, 0, c)])
+    assert keep([(9, a), (None, a), (9, a)]) == [(True, 9, a)]
+
+
+def test_finer_masks_hold_every_close_pair():
+    rnd = random.Random(12)
+    for agreed in (0, 0xFFFF0000FFFF, *simhash._finer(0x00000000FFFFFFFF)[:2]):
+        left = [k for k in range(64) if not agreed >> k & 1]
+        for _ in range(300):
+            flipped = sum(1 << k for k in rnd.sample(left, rnd.randint(1, 2)))
+            assert any(not flipped & m for m in simhash._finer(agreed))
+
+
 # --- repeated passages ---
 
 

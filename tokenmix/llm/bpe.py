@@ -5,7 +5,7 @@ words; the active ranks are applied in ascending order, each at all its position
 of the pairs that a merge makes are extended. (A pair that contains a merge's product always has a higher
 rank, so ascending order over the partition is the order within each word.)
 
-Defined cases: null text -> like empty text (no tokens); the special token's string in a text is the
+Defined cases: null text -> like empty text (no tokens); a very long text is one buffer, its distinct spans are merged ``bulk`` at a time; the special token's string in a text is the
 special token, as in the library; repeated rows each get a result; an empty table gives an empty result;
 other columns are not read.
 """
@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from . import spans
-from .common import ready
+from .common import kept, ready
 
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 S, L, O, A, W = spans.SPACE, spans.LETTER, spans.OTHER, spans.APOSTROPHE, spans.WIDE
@@ -171,13 +171,11 @@ class Encoder:
         return [raw[x:y].decode("utf-8", "replace").encode() for x, y in zip(at, at[1:])]
 
 
-_cache: dict = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _cache:
-        _cache[path] = Encoder(path)
-    return _cache[path]
+    store = kept("bpe")
+    if path not in store:
+        store[path] = Encoder(path)
+    return store[path]
 
 
 def vocabulary_path() -> str:

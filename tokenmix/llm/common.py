@@ -52,6 +52,44 @@ def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """For frames that are small beside the corpus (links, edges): no more tasks and files than the cluster works on at a time, thrice."""
+    return df.coalesce(3 * df.sparkSession.sparkContext.defaultParallelism)
+
+
+#: A key with over 1/SHARE of the rows is joined apart.
+SHARE = 1000
+
+
+def joined(rows: DataFrame, names: DataFrame, key: str, total: int) -> DataFrame:
+    """rows with what names has for their key; names has one row per key, and in ``n`` how many rows have it.
+
+    However many rows a key has, no task gets them all: keys of over total / SHARE rows, of which there are fewer than SHARE, are
+    broadcast, the others are joined by a shuffle. total: at least the number of rows, or near it.
+    """
+    often = F.broadcast(names.where(F.col("n") > total // SHARE).drop("n"))
+    seldom = names.where(F.col("n") <= total // SHARE).drop("n")
+    return rows.join(often, key).unionByName(rows.join(seldom, key))
+
+
+#: What a Python worker keeps between the batches and tasks of one operator.
+_kept: dict[str, dict] = {}
+
+
+def kept(operator: str) -> dict:
+    """The store of an operator in this worker; those of other operators are given up, as a worker serves one after another."""
+    if any(k != operator for k in _kept):
+        import gc
+
+        import pyarrow as pa
+
+        for k in [k for k in _kept if k != operator]:
+            del _kept[k]
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    return _kept.setdefault(operator, {})
+
+
 def dropped(df: DataFrame) -> None:
     """Deletes the shared files behind a frame made by ``written``."""
     for folder in {os.path.dirname(f) for f in df.inputFiles()}:

@@ -2,7 +2,7 @@
 
 Each round replaces edges so that nodes point to smaller neighbours; it ends when every component is a star around
 its smallest node. Only aggregates and joins on node ids are used: no list of a node's neighbours and no component is ever
-in one task or at the driver. Each round's edges are written to the shared folder, which cuts the lineage.
+in one task or at the driver, and a node that a third of all edges have is joined by broadcast (``common.joined``). Each round's edges are written to the shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -10,32 +10,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, written
+from .common import dropped, few_files, joined, written
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _large(edges: DataFrame, total: int) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("n"))
+    return joined(both.where("v > u"), least, "u", total).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, total: int) -> DataFrame:
     """edges with u > v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    moved = joined(edges, least, "u", total).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def stars(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(u, v): every node of a component but its smallest, with that smallest node. edges: (u, v) of any order, no nulls."""
     pairs = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now, before = written(pairs, "edges"), None
+    now, before = written(few_files(pairs), "edges"), None
     for _ in range(rounds):
         mark = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.coalesce(F.sum(F.expr("cast(pmod(xxhash64(v, u), 4294967296L) as decimal(38,0))")), F.lit(0))).collect()[0]
         if mark == before or not mark[0]:
             return now
         before = mark
-        new = written(_small(_large(now)), "edges")
+        new = written(few_files(_small(_large(now, 2 * mark[0]), 2 * mark[0])), "edges")
         dropped(now)
         now = new
     raise RuntimeError(f"components did not settle in {rounds} rounds")

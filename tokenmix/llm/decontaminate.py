@@ -116,9 +116,9 @@ def measures(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: in
 def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents in which no window occurs, with their columns."""
     bad = occurrences(docs, benchmark, size).select("doc_id", "text_hash", "text_bytes").distinct().alias("b")
-    keyed = docs.select("*", *(c.alias(f"_{n}") for c, n in zip(key_of(docs), ("text_hash", "text_bytes")))).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("d._text_hash") == F.col("b.text_hash")) & F.col("d._text_bytes").eqNullSafe(F.col("b.text_bytes"))
-    return keyed.join(bad, same, "left_anti").select(*docs.columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), *key_of(docs)).alias("d")
+    same = F.col("d.row.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("d.text_hash") == F.col("b.text_hash")) & F.col("d.text_bytes").eqNullSafe(F.col("b.text_bytes"))
+    return keyed.join(bad, same, "left_anti").select("row.*")
 
 
 ORACLE = r"""

@@ -10,7 +10,7 @@ words that such bigrams contain, and units (first of all whole texts) without an
 document is judged within its own row: nothing is shuffled, so no group can be hot.
 
 Defined cases: null text -> no unit, no licence; units of fewer than two words have no bigram and match nothing; ties of the best licence
-go to the first name; repeated rows each get a result; an empty table gives an empty result; other columns are kept by ``scan``
+go to the first name; repeated rows each get a result; very long texts are whole units too; an empty table gives an empty result; other columns are kept by ``scan``
 (``licences``, ``best_licence``, ``best_dice`` and ``n_matches`` are replaced).
 """
 
@@ -22,6 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
 from .decontaminate import words
 
 LEAST = 0.8
@@ -129,11 +130,12 @@ def matches(text: Column, templates=TEMPLATES, least: float = LEAST) -> Column:
 def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """All columns of docs, then n_matches long, licences string (names sorted, comma-joined), best_licence string and best_dice double."""
     docs = docs.drop("n_matches", "licences", "best_licence", "best_dice")
-    m = docs.withColumn("_m", matches(F.col("text"), templates, least))
-    best = F.array_sort(F.transform("_m", lambda x: F.struct((-x["dice"]).alias("worse"), x["name"].alias("name"), x["dice"].alias("dice"))))
+    found = free_name(docs.columns, "matches")
+    m = docs.withColumn(found, matches(F.col("text"), templates, least))
+    best = F.array_sort(F.transform(found, lambda x: F.struct((-x["dice"]).alias("worse"), x["name"].alias("name"), x["dice"].alias("dice"))))
     first = F.get(best, F.lit(0))
     return m.select(
-        *docs.columns, F.size("_m").cast("long").alias("n_matches"), F.concat_ws(",", F.array_sort(F.array_distinct(F.transform("_m", lambda x: x["name"])))).alias("licences"),
+        *docs.columns, F.size(found).cast("long").alias("n_matches"), F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(found, lambda x: x["name"])))).alias("licences"),
         first["name"].alias("best_licence"), F.coalesce(first["dice"], F.lit(0.0)).alias("best_dice"),
     )
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import components
-from .common import dropped, ready, written
+from .common import dropped, few_files, joined, kept, ready, written
 from .simhash import shingle_hashes
 
 SHINGLE, CROWD, ROUNDS = 5, 24, 3
@@ -60,6 +60,7 @@ def text_key():
 
 def _marked(batches):
     """Rows of documents, and at last rows of counters (part is not null)."""
+    kept("near")
     counts, names = np.zeros(COUNTERS, np.int64), ["doc_id", "key", "node", "part", "counts"]
     for b in batches:
         sets = [shingle_set(t) for t in b.column(2).to_pylist()]
@@ -81,6 +82,7 @@ def _summed(t: pa.Table) -> pa.Table:
 
 def _prefixes(shared):
     def work(batches):
+        kept("near")
         sent = set()
         for b in batches:
             out = []
@@ -113,7 +115,7 @@ def _compared(batches):
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of the pairs (u, v) those that are similar."""
     a, b = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    return written(pairs.distinct().join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(_compared, "u long, v long"), "links")
+    return written(few_files(pairs.distinct().join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(_compared, "u long, v long")), "links")
 
 
 def _possible(n, at, m, to):
@@ -123,11 +125,11 @@ def _possible(n, at, m, to):
 
 def _wanted_sets(docs: DataFrame, marked: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and shingles of the nodes (u), each from one row of docs."""
-    per = marked.join(nodes, marked["node"] == nodes["u"]).groupBy("node", "doc_id", "key").agg(F.count("*").alias("copies"))
-    one = per.groupBy("node").agg(F.min(F.struct("doc_id", "key", "copies")).alias("one")).select("node", "one.*").alias("w")
-    texts = docs.select("doc_id", text_key().alias("key"), "text").alias("d").join(one, (F.col("d.key") == F.col("w.key")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
-    rows = texts.select("w.node", "d.text", "w.copies")
-    rows = rows.where("copies = 1").unionByName(rows.where("copies > 1").dropDuplicates(["node"]))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    one = marked.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("one")).join(nodes, F.col("node") == F.col("u"))
+    one = one.select("node", F.col("one.key").alias("k"), F.coalesce(F.col("one.doc_id").cast("string"), F.lit("null")).alias("i"))
+    rows = docs.select(text_key().alias("k"), name.alias("i"), "text").join(one, ["k", "i"])
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("k", "i").orderBy("k"))).where("nth = 1")
     return written(rows.select("node", "text").mapInArrow(_sets, "node long, shingles binary"), "sets")
 
 
@@ -146,7 +148,7 @@ def _rooted(placed: DataFrame, links: DataFrame) -> DataFrame:
 def _crowds(placed: DataFrame) -> DataFrame:
     """Without crowds of one class."""
     several = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("shingle")
-    return written(placed.join(several, "shingle"), "crowds")
+    return written(few_files(placed.join(several, "shingle")), "crowds")
 
 
 def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
@@ -164,8 +166,8 @@ def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     sized = once.withColumn("nodes", F.count("*").over(Window.partitionBy("shingle"))).where("nodes > 1")
     placed = written(sized.withColumn("root", F.col("node")), "prefixes")
     del every, once, sized
-    pairs = written(_joined(placed.where(F.col("nodes") <= crowd)).distinct(), "pairs")
-    crowds = written(placed.where(F.col("nodes") > crowd), "crowds")
+    pairs = written(few_files(_joined(placed.where(F.col("nodes") <= crowd)).distinct()), "pairs")
+    crowds = written(few_files(placed.where(F.col("nodes") > crowd)), "crowds")
     dropped(placed)
     sets = _wanted_sets(docs, marked, pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))).unionByName(crowds.select(F.col("node").alias("u"))).distinct())
 
@@ -181,4 +183,5 @@ def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
         links = links.unionByName(_links(_joined(_crowds(_rooted(crowds, links))), sets))
     star = components.stars(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
     dropped(sets)
-    return marked.join(star, "node", "left").select("doc_id", "key", F.coalesce("root", "node").alias("root"))
+    names = marked.groupBy("node").agg(F.count("*").alias("n")).join(star, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"))
+    return joined(marked, written(names, "names"), "node", marked.count()).select("doc_id", "key", "root")

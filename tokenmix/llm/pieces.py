@@ -19,6 +19,8 @@ from __future__ import annotations
 import numpy as np
 import regex
 
+from .common import kept
+
 MARK = "▁"
 SHORT = 32
 #: Characters of long words that are taken at a time, and after how many of them the sums are scaled.
@@ -222,7 +224,6 @@ def fit(pieces: list[str], counts: dict[str, dict[str, float]], rounds: int = 3,
     return Model(pieces, langs, prob)
 
 
-_cache: dict = {}
 CACHE_WORDS = 300_000
 
 
@@ -240,9 +241,11 @@ class Scorer:
 
     @classmethod
     def of(cls, model: Model, key: str) -> "Scorer":
-        if _cache.get("key") != key:
-            _cache.update(key=key, scorer=cls(model, key))
-        return _cache["scorer"]
+        store = kept("langid")
+        if key not in store:
+            store.clear()
+            store[key] = cls(model, key)
+        return store[key]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         langs = self.model.langs

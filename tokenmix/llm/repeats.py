@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from . import windows
 from .bcr import Collection
-from .common import deleted, dropped, free_name, ready, shared_dir, written
+from .common import deleted, dropped, free_name, kept, ready, shared_dir, written
 
 WIDTH, SIZES = 100, (40, 64, 100)
 BLOCK = 8 << 20
@@ -106,6 +106,7 @@ class Block:
     def __init__(self, table: pa.Table, width: int = WIDTH):
         from xxhash import xxh64_intdigest
 
+        kept("repeats")
         ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
         tie = np.array([42 if t is None else xxh64_intdigest(r, 42) for t, r in zip(texts, raw)], np.uint64).view(np.int64).tolist()  # as in _blocks
@@ -361,9 +362,9 @@ def _judged(t: pa.Table, width: int, folder: str) -> pa.Table:
     home, low, begin = some, np.zeros(len(some), np.int64), np.cumsum(size) - size
     hashes = np.concatenate([windows.grams(flat[x : x + windows.PIECE + width - 1], width) for x in range(0, len(flat) - width + 1, windows.PIECE)])
     while True:
-        kept, first_at, last_at = _recurring(hashes, begin, size - width + 1)
-        same = len(kept) == len(size) and not first_at.any() and bool((last_at == size - width).all())
-        home, low, begin, size = home[kept], low[kept] + first_at, begin[kept] + first_at, last_at - first_at + width
+        some, first_at, last_at = _recurring(hashes, begin, size - width + 1)
+        same = len(some) == len(size) and not first_at.any() and bool((last_at == size - width).all())
+        home, low, begin, size = home[some], low[some] + first_at, begin[some] + first_at, last_at - first_at + width
         if not len(home):
             return mail(rows)
         order, head = _by_bytes(flat, begin, size, np.arange(len(home)))
@@ -452,14 +453,14 @@ def run(docs: DataFrame, shape, columns: list[str], make, width: int = WIDTH, si
 
             got = needed.groupBy(blk).cogroup(answers.groupBy("blk")).applyInArrow(reply, MAIL)
         else:
-            kept = boxes[-1].where(F.col("kind") == KEPT)
+            held = boxes[-1].where(F.col("kind") == KEPT)
 
             def reply_again(key, t):
                 is_kept = pa.compute.equal(t.column("kind"), KEPT)
                 waiting = t.filter(is_kept)
                 return mail(_sent(_waiting(waiting, width), key[0].as_py(), level, t.filter(pa.compute.invert(is_kept)), buckets, sizes, crowd) if waiting.num_rows else [])
 
-            got = kept.unionByName(answers).groupBy("blk").applyInArrow(reply_again, MAIL)
+            got = held.unionByName(answers).groupBy("blk").applyInArrow(reply_again, MAIL)
         boxes.append(written(got, f"segments{level}", "zstd"))
         if level == 0:
             dropped(asking)  # answered

@@ -6,14 +6,15 @@ over half of the hashes.
 
 Links: two fingerprints are linked at ``DISTANCE`` = 2 or fewer differing bits. The 64 bits are split into ``BLOCKS`` = 4 blocks; by the pigeonhole
 principle a close pair agrees in at least two of them, so fingerprints are joined on each of the six pairs of blocks
-and the Hamming distance of the joined ones is verified. Only distinct fingerprints take part. A pair of blocks shared by more than
-``CROWD`` fingerprints is not joined within itself (that would be quadratic): the fingerprints in such crowds
-are linked by another exact way. Every fingerprint gets its 65 variants with at most one bit flipped; two fingerprints are at most 2 bits apart
-exactly if they share a variant, all holders of a variant are linked with each other, and so a star around the least holder
-has the same components. No holder group has more than 65 members.
+and the Hamming distance of the joined ones is verified. Only distinct fingerprints take part. Where over ``CROWD`` fingerprints agree in a pair of
+blocks, the same is done once more with the bits that are left: these are split into four blocks, of which a close pair again agrees in two; and so on
+until eight bits are left, in which at most 256 fingerprints can differ. So no join is larger than a constant, and no pair is lost.
+
+Fingerprints and classes that many rows have are joined by ``common.joined``.
 
 Defined cases: null text -> no words (fingerprint zero, linked like any other); repeated rows each get a result; a null
-doc_id is never a component's id unless it has no other (then null); an empty table gives an empty result; other columns are not read.
+doc_id is never a component's id unless it has no other (then null); very long texts are hashed whole, a shingle at a time; an empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,11 +23,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import components
-from .common import ready, written
+from .common import few_files, joined, kept, ready, written
 
 SHINGLE, SEED, DISTANCE, BLOCKS, CROWD = 3, 42, 2, 4, 24
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -77,6 +78,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     ready(docs.sparkSession)
 
     def work(batches):
+        kept("simhash")
         for b in batches:
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fingerprint_many(texts))], ["doc_id", "fp"])
@@ -84,37 +86,53 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, fp long")
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _finer(agreed: int) -> list[int]:
+    """The masks in one of which two close values that agree in the bits ``agreed`` agree: these bits and two of four blocks of the others."""
+    left = [k for k in range(64) if not agreed >> k & 1]
+    size = len(left) // BLOCKS
+    parts = [sum(1 << k for k in left[i * size : (i + 1) * size]) for i in range(BLOCKS)]
+    return [agreed | sum(some) for some in combinations(parts, BLOCKS - DISTANCE)]
+
+
+def _placed(rows: DataFrame, masks: list[int]) -> DataFrame:
+    """fp, mask and value (the fingerprint's bits in the mask) by each of the masks that are finer than the row's own."""
+    finer = F.create_map(*(x for m in masks for x in (F.lit(_signed(m)), F.array(*(F.lit(_signed(f)) for f in _finer(m))))))
+    return rows.select("fp", F.explode(finer[F.col("mask")]).alias("mask")).withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
+
+
 def links(nodes: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Edges (u, v) with the components of the link graph over the distinct fingerprints fp of nodes."""
-    width = 64 // BLOCKS
-    mask = (1 << width) - 1
-    keys = [
-        F.struct(F.lit(i).alias("kind"), (F.shiftrightunsigned("fp", a * width).bitwiseAND(mask) * (1 << width) + F.shiftrightunsigned("fp", b * width).bitwiseAND(mask)).alias("key"))
-        for i, (a, b) in enumerate(combinations(range(BLOCKS), BLOCKS - DISTANCE))
-    ]
-    placed = nodes.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.kind", "k.key")
-    sizes = placed.groupBy("kind", "key").agg(F.count("*").alias("n")).where("n > 1")
-    sized = written(placed.join(sizes, ["kind", "key"]).select("fp", "kind", "key", "n"), "blocks")
-    few = sized.where(F.col("n") <= crowd)
-    a, b = few.select("kind", "key", F.col("fp").alias("u")), few.select("kind", "key", F.col("fp").alias("v"))
-    near = a.join(b, ["kind", "key"]).where((F.col("u") > F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= DISTANCE)).select("u", "v")
-    crowded = sized.where(F.col("n") > crowd).select("fp").distinct()
-    flips = F.array(F.lit(0).cast("long"), *(F.lit((1 << i) - (1 << 64 if i == 63 else 0)).cast("long") for i in range(64)))
-    variants = crowded.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("variant"))
-    holders = variants.groupBy("variant").agg(F.count("*").alias("n"), F.min("fp").alias("least")).where("n > 1")
-    star = variants.join(holders, "variant").where("fp != least").select(F.col("fp").alias("u"), F.col("least").alias("v"))
-    return near.unionByName(star).distinct()
+    masks, rows, found = [0], nodes.select("fp", F.lit(0).cast("long").alias("mask")), None
+    while True:
+        placed = _placed(rows, masks)
+        sizes = placed.groupBy("mask", "value").agg(F.count("*").alias("n")).where("n > 1")
+        sized = written(placed.join(sizes, ["mask", "value"]), "blocks")
+        masks = sorted({f for m in masks for f in _finer(m)})
+        last = bin(masks[0]).count("1") >= 56
+        few = sized if last else sized.where(F.col("n") <= crowd)
+        a, b = few.select("mask", "value", F.col("fp").alias("u")), few.select("mask", "value", F.col("fp").alias("v"))
+        near = a.join(b, ["mask", "value"]).where((F.col("u") > F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= DISTANCE)).select("u", "v").distinct()
+        found = near if found is None else found.unionByName(near)
+        rows = sized.where(F.col("n") > crowd).select("fp", "mask").distinct()
+        if last or rows.isEmpty():
+            return found
+        found, rows = written(few_files(found), "links"), written(few_files(rows), "crowds")
 
 
 def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """doc_id, fp and component_id of each row."""
     prints = written(fingerprints(docs), "fingerprints")
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "nodes")
     star = components.stars(links(nodes, crowd))
-    rooted = nodes.join(star.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    total = nodes.count()
+    rooted = nodes.join(star.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select("fp", "first", F.col("n").alias("rows"), F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n"))
+    named = written(joined(rooted, least, "root", total).select("fp", "component_id", F.col("rows").alias("n")), "named")
+    return joined(prints, named, "fp", prints.count()).select("doc_id", "fp", "component_id")
 
 
 def hexadecimal(fp):
@@ -128,14 +146,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     id_first = F.struct(F.col("doc_id").isNull(), "doc_id", "key")  # a null id comes last
     found = written(near.classes(docs), "classes")
-    kept = found.groupBy("root").agg(F.min(id_first).alias("one")).select("root", "one.doc_id", "one.key")
-    # rows of one id and text are in one class; of repeated ones one stays
-    times = found.groupBy("doc_id", "key").agg(F.count("*").alias("_copies"))
-    same_id = F.col("k.doc_id").eqNullSafe(F.col("t.doc_id"))
-    chosen = kept.alias("k").join(times.alias("t"), (F.col("k.key") == F.col("t.key")) & same_id).select("k.doc_id", "k.key", "_copies")
-    key = near.text_key()
-    joined = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), key.alias("_key")).alias("d")
-    rows = joined.join(chosen.alias("k"), (F.col("d._key") == F.col("k.key")) & F.col("d._id").eqNullSafe(F.col("k.doc_id")))
-    rows = rows.select("d._row", "d._id", "d._key", "k._copies")
-    single, several = rows.where("_copies = 1"), rows.where("_copies > 1").dropDuplicates(["_id", "_key"])
-    return single.unionByName(several).select("_row.*")
+    one = found.groupBy("root").agg(F.min(id_first).alias("one")).select("one.doc_id", "one.key")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    chosen = one.select(F.col("key").alias("k"), name.alias("i"))  # rows of one id and text are in one class, so these are different
+    rows = docs.select(F.struct(*docs.columns).alias("row"), near.text_key().alias("k"), name.alias("i")).join(chosen, ["k", "i"], "left_semi")
+    # of repeated rows one stays
+    first = F.row_number().over(Window.partitionBy("k", "i").orderBy("k"))
+    return rows.withColumn("nth", first).where("nth = 1").select("row.*")

@@ -184,7 +184,7 @@ class Cached:
     Forgets all spans when there are over ``limit`` of them, or their bytes or integers are over ``most``; so that is
     the bound of what is kept between calls."""
 
-    def __init__(self, pairs, make, fold=None, limit: int = 300_000, most: int = 16 << 20, bits: int = 20, bulk: int = 1 << 17):
+    def __init__(self, pairs, make, fold=None, limit: int = 500_000, most: int = 16 << 20, bits: int = 20, bulk: int = 1 << 17):
         self.pairs, self.make, self.fold, self.limit, self.most, self.bits, self.bulk = pairs, make, fold, limit, most, bits, bulk
         self.table = None
 

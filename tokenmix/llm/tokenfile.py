@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import spans
-from .common import open_fs, ready, shared_dir
+from .common import kept, open_fs, ready, shared_dir
 
 S, L, O, A, W = spans.SPACE, spans.LETTER, spans.OTHER, spans.APOSTROPHE, spans.WIDE
 #: Places where the vocabulary's pattern always ends a match (white space is dropped, so spaces are spans of their own).
@@ -81,13 +81,11 @@ class LibraryEncoder:
             yield part, ids, ends
 
 
-_cache: dict = {}
-
-
 def encoder(path: str) -> LibraryEncoder:
-    if path not in _cache:
-        _cache[path] = LibraryEncoder(path)
-    return _cache[path]
+    store = kept("tokenfile")
+    if path not in store:
+        store[path] = LibraryEncoder(path)
+    return store[path]
 
 
 def vocabulary_path() -> str:
