@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenmix import cli, report, settings
 from tokenmix.functions import canonical, columns
+from tokenmix.functions.store import Store
 from tokenmix.operators import aggregate, sample
 from tokenmix.operators.extract import extract
 from tokenmix.operators.validate import validated, verdict
@@ -107,7 +108,7 @@ def by_split(data):
 def test_every_line_is_owned_once(region, ahead):
     data = b"".join(record(k % 20 + 1, list(range(800 if k == 5 else k % 4 + 1))) + (b"\r\n" if k % 3 == 0 else b"\n") for k in range(40))
     data += b"\n\n\rlone\rcr\n" + b"last without newline"
-    got = [r for s in range(0, len(data), region) for r in owned(data, s, min(s + region, len(data)), back=7, ahead=ahead)]
+    got = [r for s in range(0, len(data), region) for r in owned(data, s, min(s + region, len(data)), ahead=ahead)]
     assert got == by_split(data)
 
 
@@ -127,7 +128,7 @@ def test_giant_record_and_line_head(tmp_path):
     with pytest.raises(ValueError):
         owned(data, 5, 5)
     with pytest.raises(ValueError):
-        owned(data, 0, 5, back=0)
+        owned(data, 0, 5, ahead=0)
 
 
 class Answer(io.BytesIO):
@@ -267,7 +268,7 @@ def test_interrupted_scan_goes_on_to_the_same_bytes(spark, corpus, tmp_path):
     ledger.scan(spark, a, plan, batch_items=100, folder=corpus)
     with pytest.raises(ledger.Interrupted):
         ledger.scan(spark, b, plan, batch_items=3, stop_after=2, folder=corpus)
-    ledger.append(spark, f"{b}/ledger", plan, plan["work_items"][2:4], folder=corpus)  # appended but not counted
+    ledger.append(Store(spark, b), "ledger", plan, plan["work_items"][2:4], folder=corpus)  # appended but not counted
     ledger.scan(spark, b, plan, resume=True, batch_items=4, folder=corpus)
     for name in ("mixture_report.json", "mixture_weights.json"):
         assert open(f"{a}/{name}", "rb").read() == open(f"{b}/{name}", "rb").read()
@@ -277,6 +278,61 @@ def test_interrupted_scan_goes_on_to_the_same_bytes(spark, corpus, tmp_path):
             ledger.check_state(state | {k: v}, plan)
 
 
+def test_runs_in_a_folder_of_another_file_system(spark, corpus, tmp_path):
+    """Documents and ledger through Hadoop's file system: crash, resume with another batch size, the same bytes."""
+    plan, a, b = plan_of(spark, corpus), str(tmp_path / "a"), f"file://{tmp_path}/b"
+    ledger.scan(spark, a, plan, batch_items=100, folder=corpus)
+    with pytest.raises(ledger.Interrupted):
+        ledger.scan(spark, b, plan, batch_items=2, stop_after=4, in_flight=1, folder=f"file://{corpus}")
+    assert Store(spark, b).json("mixture_progress.json")["next_work_item_index"] == 4
+    made = ledger.scan(spark, b, plan, resume=True, batch_items=3, in_flight=2, folder=f"file://{corpus}")
+    assert Store(spark, a).read("mixture_report.json") == Store(spark, b).read("mixture_report.json") and made["record_count"] == 20
+    Store(spark, b).put("work_plan.json", plan)
+    assert report.verify(spark, b)["status"] == "PASS"
+    with pytest.raises(FileNotFoundError):
+        Store(spark, b).json("nothing.json")
+    assert Store(spark, b).children("nothing") == [] and [n for n in os.listdir(tmp_path / "b") if n.endswith(".tmp")] == []
+
+
+def test_a_ledger_that_lacks_a_batch_is_refused(spark, corpus, tmp_path):
+    plan, out = plan_of(spark, corpus), str(tmp_path / "r")
+    with pytest.raises(ledger.Interrupted):
+        ledger.scan(spark, out, plan, batch_items=2, stop_after=4, folder=corpus)
+    store = Store(spark, out)
+    store.drop("ledger/" + store.children("ledger")[0])
+    with pytest.raises(ValueError, match="add up"):
+        ledger.scan(spark, out, plan, resume=True, folder=corpus)
+
+
+def test_at_most_so_many_regions_at_once_and_a_reader_of_ones_own(spark, corpus):
+    plan = plan_of(spark, corpus)
+    data = open(f"{corpus}/part_0.tokenized.jsonl", "rb").read()
+    mine = jsonl.ranges(spark, plan, reader=lambda path, size: ranges.LocalRange(data))
+    assert mine.rdd.getNumPartitions() == len(plan["work_items"]) and mine.coalesce(3).rdd.getNumPartitions() == 3
+    rows = lambda df: sorted((r["work_index"], r["record_start"], bytes(r["value"])) for r in df.collect())
+    assert rows(mine) == rows(jsonl.ranges(spark, plan, folder=corpus)) == rows(jsonl.ranges(spark, plan, folder=f"file://{corpus}")) and mine.count() == 20
+    with pytest.raises(ValueError):
+        jsonl.ranges(spark, plan, folder=corpus, url="http://x/{path}")
+    assert ranges.list_folder(f"file://{corpus}", CORPUS.glob) == ranges.list_folder(corpus, CORPUS.glob)
+
+
+def test_empty_plans_are_refused(spark, corpus, tmp_path):
+    plan = plan_of(spark, corpus) | {"source_files": [], "work_items": []}
+    path = str(tmp_path / "plan.json")
+    workplan.save(path, plan | {"hash": canonical.self_hash(plan, "hash")})
+    with pytest.raises(ValueError, match="empty"):
+        workplan.load(spark, path)
+
+
+def test_record_at_any_byte():
+    data = b"first\n\nthird one\r\nlast"
+    reader = ranges.LocalRange(data)
+    want = {k: (0, b"first") if k < 6 else (6, b"") if k < 7 else (7, b"third one") if k < 18 else (18, b"last") for k in range(len(data))}
+    assert {k: ranges.record_at(reader, k, 3, 4) for k in range(len(data))} == want
+    with pytest.raises(ValueError):
+        ranges.record_at(reader, len(data))
+
+
 def test_bad_record_stops_the_scan_and_is_named(spark, tmp_path):
     folder = tmp_path / "src"
     folder.mkdir()
@@ -302,8 +358,8 @@ def test_streaming_ledger(spark, corpus, tmp_path):
     items = workplan.items_frame(spark, plan)
     for k in range(3):
         items.where(f"index % 3 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "batches"))
-    ledger.stream(spark, str(tmp_path / "batches"), str(tmp_path / "ledger"), str(tmp_path / "ck"), plan, folder=corpus).awaitTermination(120)
-    got = {r["cluster_id"]: r["tokens"] for r in ledger.fold(ledger.read(spark, str(tmp_path / "ledger"), 10**6)).collect()}
+    ledger.stream(spark, str(tmp_path / "batches"), str(tmp_path), str(tmp_path / "ck"), plan, folder=corpus).awaitTermination(120)
+    got = {r["cluster_id"]: r["tokens"] for r in ledger.fold(ledger.read(Store(spark, str(tmp_path)), "ledger", 10**6)).collect()}
     assert got == {c: c + 1 for c in range(1, 21)}
 
 

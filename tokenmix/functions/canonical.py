@@ -15,6 +15,11 @@ def canonical(payload, exclude: tuple[str, ...] = ()) -> bytes:
     return (json.dumps(payload, indent=2, sort_keys=True, ensure_ascii=False) + "\n").encode()
 
 
+def sha256(payload) -> str:
+    """Of the payload's canonical bytes, which are those of its file."""
+    return hashlib.sha256(canonical(payload)).hexdigest()
+
+
 def self_hash(payload: dict, field: str) -> str:
     """SHA-256 of the payload without its own hash field."""
     return hashlib.sha256(canonical(payload, (field,))).hexdigest()

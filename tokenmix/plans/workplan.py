@@ -137,7 +137,10 @@ def files_frame(spark: SparkSession, plan: dict) -> DataFrame:
 
 def load(spark: SparkSession, path: str) -> dict:
     """The saved plan; ValueError unless its version, hash and contents hold."""
-    plan = canonical.read_json(path)
+    return checked(spark, canonical.read_json(path))
+
+
+def checked(spark: SparkSession, plan) -> dict:
     if not isinstance(plan, dict) or plan.get("schema_version") != settings.PLAN_VERSION:
         raise ValueError("unsupported work plan version")
     if plan.get("hash") != canonical.self_hash(plan, "hash"):
@@ -147,6 +150,8 @@ def load(spark: SparkSession, path: str) -> dict:
 
 
 def check(spark: SparkSession, plan: dict) -> None:
+    if not plan["source_files"] or not plan["work_items"]:
+        raise ValueError("the work plan is empty")
     files, items = files_frame(spark, plan), items_frame(spark, plan)
     faults = (
         ("duplicate source paths", duplicates(files, "path")),
@@ -157,9 +162,8 @@ def check(spark: SparkSession, plan: dict) -> None:
         ("work item range outside its file", range_verdicts(items, files).where("not in_range")),
         ("work items leave gaps or overlap", coverage_verdicts(items, files).where("not covered")),
     )
-    for k, i in enumerate(plan["work_items"]):
-        if i["index"] != k:
-            raise ValueError("work item indices are not dense")
+    if [i["index"] for i in plan["work_items"]] != list(range(len(plan["work_items"]))):
+        raise ValueError("work item indices are not dense")
     for what, found in faults:
         if some := found.limit(3).collect():
             raise ValueError(f"{what}: {[r.asDict() for r in some]}")

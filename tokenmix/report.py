@@ -1,102 +1,123 @@
-"""The mixture report, its weights file, and the check of a finished run's artifacts."""
+"""The mixture report, its weights, and the claims that a run's documents make about each other.
+
+Every check of a run is a claim, a pair (what, whether it holds), so starting, resuming, finishing and verifying only differ
+in the claims that they ask for.
+"""
 
 from __future__ import annotations
 
 import json
-import os
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
 from . import settings
 from .functions import canonical
+from .functions.store import Store
 from .plans import workplan
 
+Claims = Iterator[tuple[str, bool]]
+CLUSTER_KEYS = {str(c) for c in settings.ALL_CLUSTERS}
+#: What the documents of a run say about their plan, as (name there, name in the plan).
+IDENTITY = (("dataset", "dataset"), ("revision", "revision"), ("source_glob", "source_glob"), ("work_plan_hash", "hash"))
+
+
+def demand(claims: Claims, error=ValueError) -> None:
+    for what, holds in claims:
+        if not holds:
+            raise error(what)
+
+
+def header(plan: dict) -> dict:
+    return {"schema_version": settings.SCAN_VERSION} | {mine: plan[its] for mine, its in IDENTITY}
+
+
+def item_bytes(items: list[dict]) -> int:
+    return sum(i["range_end"] - i["range_start"] for i in items)
 
-def weights_of(tokens: dict[int, int]) -> dict[str, int]:
-    return {str(c): tokens[c] for c in settings.ACCEPTED_CLUSTERS}
 
+def weights_of(tokens: dict) -> dict[str, int]:
+    return {str(c): n for c, n in ((int(c), n) for c, n in tokens.items()) if c in settings.ACCEPTED_CLUSTERS}
 
-def build(plan: dict, state: dict, weights_file: str, weights_sha256: str) -> dict:
-    """The report of a complete state, with its self-hash."""
-    tokens = {int(k): v for k, v in state["cluster_source_tokens"].items()}
-    body = {
-        "schema_version": settings.SCAN_VERSION, "complete": True, "dataset": plan["dataset"], "revision": plan["revision"], "source_glob": plan["source_glob"], "work_plan_hash": plan["hash"],
-        "source_files": plan["source_files"], "source_bytes_scanned": state["source_bytes_covered"], "record_count": state["record_count"],
-        "all_cluster_source_tokens": {str(c): tokens[c] for c in settings.ALL_CLUSTERS}, "all_cluster_document_counts": state["cluster_document_counts"],
-        "all_source_tokens": sum(tokens.values()), "accepted_cluster_ids": list(settings.ACCEPTED_CLUSTERS), "excluded_cluster_ids": list(settings.EXCLUDED_CLUSTERS),
-        "accepted_source_tokens": sum(weights_of(tokens).values()), "conditioning_rule": settings.RULE, "weights_file": weights_file, "weights_sha256": weights_sha256,
+
+def _counts(m) -> bool:
+    return isinstance(m, dict) and m.keys() == CLUSTER_KEYS and all(type(n) is int and n >= 0 for n in m.values())
+
+
+def progress_claims(plan: dict, progress) -> Claims:
+    """That progress is of this plan and names a prefix of it."""
+    if not isinstance(progress, dict):
+        yield "progress is no object", False
+    yield from ((f"progress belongs to another scan: {k}", progress.get(k) == v) for k, v in header(plan).items())
+    done = progress.get("next_work_item_index")
+    yield "progress names no prefix of the plan", type(done) is int and 0 <= done <= len(plan["work_items"])
+    derived = {"completed_work_items": done, "source_bytes_covered": item_bytes(plan["work_items"][:done])}
+    yield from ((f"progress contradicts its prefix: {k}", progress.get(k) == v) for k, v in derived.items())
+    yield from ((f"progress has no valid {k}", _counts(progress.get(k))) for k in ("cluster_source_tokens", "cluster_document_counts"))
+    yield "progress counts other records than its clusters", progress.get("record_count") == sum(progress["cluster_document_counts"].values())
+
+
+def closing_claims(plan: dict, progress: dict) -> Claims:
+    """What a scan must have found before it is reported."""
+    yield "the scan has not covered its plan", progress["next_work_item_index"] == len(plan["work_items"])
+    yield "the plan does not cover its files", progress["source_bytes_covered"] == sum(f["size"] for f in plan["source_files"])
+    none = sorted(int(c) for c, n in progress["cluster_source_tokens"].items() if not n)
+    yield f"no tokens were found for clusters {none}", not none
+
+
+def documents(plan: dict, progress: dict, names: settings.Names = settings.Names()) -> dict[str, dict]:
+    """The last documents of a scan by file name, in the order in which they are to be written."""
+    tokens = progress["cluster_source_tokens"]
+    weights = weights_of(tokens)
+    said = header(plan) | {
+        "complete": True, "source_files": plan["source_files"], "source_bytes_scanned": progress["source_bytes_covered"], "record_count": progress["record_count"],
+        "all_cluster_source_tokens": tokens, "all_cluster_document_counts": progress["cluster_document_counts"], "all_source_tokens": sum(tokens.values()),
+        "accepted_cluster_ids": list(settings.ACCEPTED_CLUSTERS), "excluded_cluster_ids": list(settings.EXCLUDED_CLUSTERS), "accepted_source_tokens": sum(weights.values()),
+        "conditioning_rule": settings.RULE, "weights_file": names.weights, "weights_sha256": canonical.sha256(weights),
     }
-    return body | {"report_sha256": canonical.self_hash(body, "report_sha256")}
-
-
-def finish(folder: str, plan: dict, state: dict, names: settings.Names = settings.Names()) -> dict:
-    """Writes weights, report and final progress, in this order; RuntimeError for an incomplete scan or an empty cluster."""
-    if state["next_work_item_index"] != len(plan["work_items"]) or state["source_bytes_covered"] != sum(f["size"] for f in plan["source_files"]):
-        raise RuntimeError("the scan has not covered its plan")
-    empty = [c for c in settings.ALL_CLUSTERS if state["cluster_source_tokens"][str(c)] <= 0]
-    if empty:
-        raise RuntimeError(f"no tokens were found for clusters {empty}")
-    path = f"{folder}/{names.weights}"
-    canonical.write_json(path, weights_of({int(k): v for k, v in state["cluster_source_tokens"].items()}))
-    made = build(plan, state, names.weights, canonical.file_sha256(path))
-    canonical.write_json(f"{folder}/{names.report}", made)
-    canonical.write_json(f"{folder}/{names.progress}", state | {"complete": True, "weights_sha256": made["weights_sha256"], "report_sha256": made["report_sha256"]})
-    return made
-
-
-def completed(folder: str, state: dict, names: settings.Names = settings.Names()) -> dict:
-    """The stored report of a complete run, checked; nothing is written."""
-    made = canonical.read_json(f"{folder}/{names.report}")
-    if not isinstance(made, dict) or made.get("report_sha256") != canonical.self_hash(made, "report_sha256"):
-        raise ValueError("report hash mismatch")
-    if canonical.file_sha256(f"{folder}/{names.weights}") != made.get("weights_sha256"):
-        raise ValueError("weights hash mismatch")
-    if made.get("work_plan_hash") != state.get("work_plan_hash"):
-        raise ValueError("the report belongs to another plan")
-    return made
+    hashes = {"weights_sha256": said["weights_sha256"], "report_sha256": canonical.self_hash(said, "report_sha256")}
+    return {names.weights: weights, names.report: said | hashes, names.progress: progress | hashes | {"complete": True}}
+
+
+def finish(store: Store, plan: dict, progress: dict, names: settings.Names = settings.Names()) -> dict:
+    """Writes what a finished scan leaves and returns the report; RuntimeError if it is not finished or found no tokens of a cluster."""
+    demand(closing_claims(plan, progress), RuntimeError)
+    made = documents(plan, progress, names)
+    for name, payload in made.items():
+        store.put(name, payload)
+    return made[names.report]
+
+
+def run_claims(store: Store, plan: dict, names: settings.Names = settings.Names()) -> Claims:
+    """That the documents of a finished run are each other's, and those of the plan."""
+    report, progress, weights = (store.json(n) for n in (names.report, names.progress, names.weights))
+    yield "report is no object", isinstance(report, dict)
+    yield "report self-hash", report.get("report_sha256") == canonical.self_hash(report, "report_sha256")
+    yield from ((f"report and plan: {mine}", report.get(mine) == plan[its]) for mine, its in IDENTITY)
+    yield "weights file hash", store.sha256(names.weights) == report.get("weights_sha256")
+    yield from progress_claims(plan, progress)
+    yield "completion", progress.get("complete") is True
+    yield from ((f"progress and report: {k}", progress.get(k) == report.get(k)) for k in ("report_sha256", "weights_sha256", "record_count"))
+    yield from closing_claims(plan, progress)
+    # all that a report says follows from plan and progress
+    expected = documents(plan, {k: v for k, v in progress.items() if k not in ("complete", "weights_sha256", "report_sha256")}, names)
+    yield from ((f"report: {k}", report.get(k) == v) for k, v in expected[names.report].items())
+    yield "weights", weights == expected[names.weights]
+    yield "cluster documents", min(progress["cluster_document_counts"].values()) > 0
 
 
 def verify(spark: SparkSession, folder: str, names: settings.Names = settings.Names(), artifacts: dict[str, str] | None = None) -> dict:
-    """Checks a run's artifacts against each other, offline; ValueError names the first contradiction.
+    """Checks a run's documents against each other, offline; ValueError names the first contradiction.
 
     artifacts: expected SHA-256 by file name (else those of a verification.json in folder, if there is one).
     """
-    report, progress, weights = (canonical.read_json(f"{folder}/{n}") for n in (names.report, names.progress, names.weights))
-    plan = workplan.load(spark, f"{folder}/{names.plan}")
-    if artifacts is None and os.path.exists(f"{folder}/verification.json"):
-        artifacts = canonical.read_json(f"{folder}/verification.json")["artifact_sha256"]
-    for name, digest in (artifacts or {}).items():
-        if canonical.file_sha256(f"{folder}/{name}") != digest:
-            raise ValueError(f"{name} has another SHA-256")
-    tokens = {int(k): v for k, v in report["all_cluster_source_tokens"].items()}
-    docs = {int(k): v for k, v in report["all_cluster_document_counts"].items()}
-    size, every = sum(f["size"] for f in plan["source_files"]), set(settings.ALL_CLUSTERS)
-    positive = lambda m: set(m) == every and min(m.values()) > 0
-    claims = (
-        ("report self-hash", canonical.self_hash(report, "report_sha256") == report["report_sha256"]),
-        ("report and plan hash", plan["hash"] == report["work_plan_hash"]),
-        ("progress and plan hash", plan["hash"] == progress["work_plan_hash"]),
-        ("progress and report hash", progress.get("report_sha256") == report["report_sha256"]),
-        ("progress and weights hash", progress.get("weights_sha256") == report["weights_sha256"]),
-        ("weights file hash", canonical.file_sha256(f"{folder}/{names.weights}") == report["weights_sha256"]),
-        ("source bytes", report["source_bytes_scanned"] == size),
-        ("source files", report["source_files"] == plan["source_files"]),
-        ("completed items", progress["completed_work_items"] == len(plan["work_items"])),
-        ("covered bytes", progress["source_bytes_covered"] == size),
-        ("completion", progress["complete"] is True),
-        ("cluster tokens", positive(tokens)),
-        ("cluster documents", positive(docs)),
-        ("token sum", sum(tokens.values()) == report["all_source_tokens"]),
-        ("record count", sum(docs.values()) == report["record_count"]),
-        ("cluster lists", report["accepted_cluster_ids"] == list(settings.ACCEPTED_CLUSTERS) and report["excluded_cluster_ids"] == list(settings.EXCLUDED_CLUSTERS)),
-        ("weights", positive(tokens) and weights == weights_of(tokens)),
-        ("accepted token sum", sum(weights.values()) == report["accepted_source_tokens"]),
-        ("excluded clusters", not set(weights) & {str(c) for c in settings.EXCLUDED_CLUSTERS}),
-        ("corpus", (report["dataset"], report["revision"], report["source_glob"]) == (plan["dataset"], plan["revision"], plan["source_glob"])),
-    )
-    for what, holds in claims:
-        if not holds:
-            raise ValueError(f"verification failed: {what}")
+    store = Store(spark, folder)
+    plan = workplan.checked(spark, store.json(names.plan))
+    if artifacts is None and store.exists("verification.json"):
+        artifacts = store.json("verification.json")["artifact_sha256"]
+    demand((f"{name} has another SHA-256", store.sha256(name) == digest) for name, digest in (artifacts or {}).items())
+    demand(run_claims(store, plan, names))
+    report = store.json(names.report)
     return {
         "status": "PASS", "source_files": len(plan["source_files"]), "work_items": len(plan["work_items"]), "records": report["record_count"], "all_source_tokens": report["all_source_tokens"],
         "accepted_source_tokens": report["accepted_source_tokens"], "weights_sha256": report["weights_sha256"], "report_self_hash": report["report_sha256"], "work_plan_self_hash": plan["hash"],

@@ -7,15 +7,19 @@ and keeps every byte (a byte-order mark, invalid UTF-8).
 
 from __future__ import annotations
 
+import base64
 import json
+import pickle
+from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import columns
 from ..shipping import ship
-from .ranges import HttpRange, LocalRange, owned_records
+from .ranges import FsRange, HttpRange, LocalRange, RangeReader, owned_records
 
 SCHEMA = "work_index int, file string, record_start long, value binary"
 
@@ -51,7 +55,8 @@ class Region(InputPartition):
 
 
 class RangeSource(DataSource):
-    """format("jsonl_ranges") with options plan (JSON of source_files and work_items) and folder or url (with {path})."""
+    """format("jsonl_ranges") with options plan (JSON of source_files and work_items) and folder (path or URL), url (HTTP, with {path}) or
+    reader (base64 of a pickled function of path and size that gives a ``RangeReader``)."""
 
     @classmethod
     def name(cls) -> str:
@@ -68,7 +73,7 @@ class RangeScan(DataSourceReader):
     def __init__(self, options):
         plan = json.loads(options["plan"])
         self.sizes = {f["path"]: f["size"] for f in plan["source_files"]}
-        self.items, self.folder, self.url = plan["work_items"], options.get("folder"), options.get("url")
+        self.items, self.folder, self.url, self.made = plan["work_items"], options.get("folder"), options.get("url"), options.get("reader")
         for i in self.items:
             if i["filename"] not in self.sizes:
                 raise ValueError(f"work item {i['index']} names the unknown file {i['filename']}")
@@ -76,19 +81,28 @@ class RangeScan(DataSourceReader):
     def partitions(self):
         return [Region(i, self.sizes[i["filename"]]) for i in self.items]
 
+    def reader(self, path: str, size: int) -> RangeReader:
+        if self.made:
+            return pickle.loads(base64.b64decode(self.made))(path, size)
+        if self.folder:
+            return FsRange(f"{self.folder}/{path}") if "://" in self.folder else LocalRange(f"{self.folder}/{path}")
+        return HttpRange(self.url.format(path=path), size)
+
     def read(self, partition: Region):
         i = partition.item
-        reader = LocalRange(f"{self.folder}/{i['filename']}") if self.folder else HttpRange(self.url.format(path=i["filename"]), partition.size)
+        reader = self.reader(i["filename"], partition.size)
         if reader.file_size() != partition.size:
             raise RuntimeError(f"source size of {i['filename']} changed: planned {partition.size}, found {reader.file_size()}")
         for start, raw in owned_records(reader, i["range_start"], i["range_end"]):
             yield i["index"], i["filename"], start, raw
 
 
-def ranges(spark: SparkSession, plan: dict, items: list[dict] | None = None, folder: str | None = None, url: str | None = None) -> DataFrame:
-    """``SCHEMA`` of the plan's items (or of some of them)."""
+def ranges(spark: SparkSession, plan: dict, items: list[dict] | None = None, folder: str | None = None, url: str | None = None, reader: Callable[[str, int], RangeReader] | None = None) -> DataFrame:
+    """``SCHEMA`` of the plan's items (or of some of them), from a folder, over HTTP, or by a reader of one's own."""
     ship(spark)
     spark.dataSource.register(RangeSource)
     payload = json.dumps({"source_files": plan["source_files"], "work_items": plan["work_items"] if items is None else items})
-    reader = spark.read.format("jsonl_ranges").option("plan", payload)
-    return (reader.option("folder", folder) if folder else reader.option("url", url)).load()
+    chosen = {"folder": folder, "url": url, "reader": reader and base64.b64encode(cloudpickle.dumps(reader)).decode()}
+    if sum(v is not None for v in chosen.values()) != 1:
+        raise ValueError("one of folder, url and reader is needed")
+    return spark.read.format("jsonl_ranges").option("plan", payload).options(**{k: v for k, v in chosen.items() if v is not None}).load()

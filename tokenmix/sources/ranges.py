@@ -66,6 +66,27 @@ class LocalRange:
             return f.read(min(length, self.size - offset))
 
 
+class FsRange:
+    """A reader over a file of any store that pyarrow knows by URL (file, hdfs, s3, gs)."""
+
+    def __init__(self, url: str):
+        from pyarrow import fs
+
+        self.fs, self.path = fs.FileSystem.from_uri(url)
+        self.size = self.fs.get_file_info(self.path).size or 0
+
+    def file_size(self) -> int:
+        return self.size
+
+    def read_range(self, offset: int, length: int) -> bytes:
+        _asked(offset, length)
+        if offset >= self.size:
+            return b""
+        with self.fs.open_input_file(self.path) as f:
+            f.seek(offset)
+            return f.read(min(length, self.size - offset))
+
+
 class HttpRange:
     """A reader over HTTP ranges. An answer counts only with status 206, the exact Content-Range and the exact length."""
 
@@ -129,8 +150,15 @@ def list_tree(url: str, glob: str, opener=None, sleep=time.sleep) -> list[tuple[
 
 
 def list_folder(folder: str, glob: str) -> list[tuple[str, int]]:
-    """(path, size) of the matching files of a local folder."""
-    found = sorted((e.name, e.stat().st_size) for e in os.scandir(folder) if e.is_file() and matches(e.name, glob))
+    """(path, size) of the matching files of a folder (path or URL)."""
+    if "://" in folder:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        every = [(i.base_name, i.size) for i in store.get_file_info(fs.FileSelector(base)) if i.is_file]
+    else:
+        every = [(e.name, e.stat().st_size) for e in os.scandir(folder) if e.is_file()]
+    found = sorted((name, size) for name, size in every if matches(name, glob))
     if not found:
         raise RuntimeError(f"no root file matches {glob!r}")
     return found
@@ -148,15 +176,23 @@ def line_head(reader: RangeReader, start: int, chunk: int) -> int:
     return 0
 
 
-def owned_records(reader: RangeReader, start: int, end: int, back: int = settings.BACK_CHUNK, ahead: int = settings.AHEAD_CHUNK) -> Iterator[tuple[int, bytes]]:
+def record_at(reader: RangeReader, offset: int, back: int = settings.BACK_CHUNK, ahead: int = settings.AHEAD_CHUNK) -> tuple[int, bytes]:
+    """(offset, line) of the record that holds a byte; its newline belongs to it."""
+    if not 0 <= offset < reader.file_size() or back <= 0:
+        raise ValueError(f"no byte {offset} in a file of {reader.file_size()} bytes")
+    head = line_head(reader, offset, back)
+    return next(owned_records(reader, head, head + 1, ahead))
+
+
+def owned_records(reader: RangeReader, start: int, end: int, ahead: int = settings.AHEAD_CHUNK) -> Iterator[tuple[int, bytes]]:
     """(offset, line) of every line whose first byte lies in [start, end); one trailing carriage return is dropped.
 
     Lines end at newlines only. A line may reach beyond end; blank lines count; a newline at the very end begins no line.
     A long line is gathered in parts and searched once, so a giant record costs its length.
     """
     size = reader.file_size()
-    if back <= 0 or ahead <= 0:
-        raise ValueError("chunk sizes must be positive")
+    if ahead <= 0:
+        raise ValueError("the chunk size must be positive")
     if not 0 <= start < end <= size:
         raise ValueError(f"range {start}:{end} is outside a file of {size} bytes")
     # a line before start is only skipped: its head matters if start is within it, so it is enough to know whether one begins at start

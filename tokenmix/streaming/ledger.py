@@ -1,30 +1,30 @@
 """Resumable scans: a Parquet ledger of finished plan regions.
 
 A run works through the plan in order, a batch of regions at a time. Each batch is one Spark job (regions are its
-partitions, so a batch holds many of them and their order within it is free) and one append to the ledger: rows
+partitions, at most ``in_flight`` of them at work at once) and one append to the ledger: rows
 (work_index, source_bytes, cluster_id, tokens, docs), at most 20 a region and one with null cluster for its bytes. The append
-is Spark's own commit; the progress file follows it. What counts after a crash is the dense prefix
-of the ledger that the progress file names: batches beyond it are taken again, so each region counts once.
+is Spark's own commit; the progress document, to which the batch's sums are added, follows it. What counts after a crash is the dense prefix
+of the ledger that progress names: batches beyond it are taken again, so each region counts once, and a ledger that does not add up to
+its progress is refused. Ledger and documents lie in one folder on any file system (``functions.store``).
 """
 
 from __future__ import annotations
 
-import glob
-import os
-import shutil
+import logging
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .. import settings
-from ..functions import canonical
+from .. import report, settings
+from ..functions.store import Store
 from ..operators import aggregate
 from ..operators.extract import extract
 from ..plans import workplan
 from ..sources import jsonl
 
+LOG = logging.getLogger(__name__)
 LEDGER = "work_index int, source_bytes long, cluster_id int, tokens long, docs long"
-HEADER = ("schema_version", "dataset", "revision", "source_glob", "work_plan_hash")
+SUMS = {"cluster_source_tokens": "tokens", "cluster_document_counts": "docs"}
 
 
 class BadRecord(ValueError):
@@ -35,53 +35,36 @@ class Interrupted(RuntimeError):
     pass
 
 
-def header(plan: dict) -> dict:
-    return {"schema_version": settings.SCAN_VERSION, "dataset": plan["dataset"], "revision": plan["revision"], "source_glob": plan["source_glob"], "work_plan_hash": plan["hash"]}
-
-
 def empty_map() -> dict[str, int]:
     return {str(c): 0 for c in settings.ALL_CLUSTERS}
 
 
-def initial(plan: dict) -> dict:
-    return header(plan) | {"next_work_item_index": 0, "completed_work_items": 0, "source_bytes_covered": 0, "record_count": 0, "cluster_source_tokens": empty_map(), "cluster_document_counts": empty_map(), "complete": False}
+def advanced(plan: dict, progress: dict, done: int, totals: list[dict]) -> dict:
+    """Progress after the items below done, of which the new ones have these totals per cluster."""
+    sums = {k: dict(progress[k]) for k in SUMS}
+    for row in totals:
+        for k, column in SUMS.items():
+            sums[k][str(row["cluster_id"])] += row[column]
+    prefix = {"next_work_item_index": done, "completed_work_items": done, "source_bytes_covered": report.item_bytes(plan["work_items"][:done])}
+    return progress | sums | prefix | {"record_count": sum(sums["cluster_document_counts"].values())}
 
 
-def _count(x) -> bool:
-    return type(x) is int and x >= 0
+def initial(plan: dict) -> dict:
+    return advanced(plan, report.header(plan) | {k: empty_map() for k in SUMS} | {"complete": False}, 0, [])
 
 
 def check_state(state, plan: dict) -> dict:
     """The state, or ValueError where it doesn't belong to the plan or contradicts itself."""
-    if not isinstance(state, dict):
-        raise ValueError("progress is no object")
-    for k, v in header(plan).items():
-        if state.get(k) != v:
-            raise ValueError(f"progress belongs to another scan: {k}")
-    done, items = state.get("next_work_item_index"), plan["work_items"]
-    if not _count(done) or done > len(items):
-        raise ValueError("progress has an invalid next_work_item_index")
-    if state.get("completed_work_items") != done:
-        raise ValueError("progress counts its completed items differently")
-    if state.get("source_bytes_covered") != sum(i["range_end"] - i["range_start"] for i in items[:done]):
-        raise ValueError("progress covers other bytes than its items")
-    for k in ("cluster_source_tokens", "cluster_document_counts"):
-        m = state.get(k)
-        if not isinstance(m, dict) or set(m) != set(empty_map()) or not all(map(_count, m.values())):
-            raise ValueError(f"progress has invalid {k}")
+    report.demand(report.progress_claims(plan, state))
     return state
 
 
-def batch_rows(spark: SparkSession, plan: dict, items: list[dict], **source) -> tuple[DataFrame, DataFrame]:
-    """(ledger rows, extracted records) of some regions."""
-    records = extract(jsonl.ranges(spark, plan, items, **source))
+def append(store: Store, name: str, plan: dict, items: list[dict], in_flight: int | None = None, **source) -> list[dict]:
+    """Scans items and appends their rows; their totals per cluster. BadRecord (and no append) if a record is rejected."""
+    spark = store.spark
+    scanned = jsonl.ranges(spark, plan, items, **source)
+    records = extract(scanned.coalesce(in_flight) if in_flight else scanned)
     counted = records.groupBy("work_index", "cluster_id", F.col("reason").isNotNull().alias("bad")).agg(F.sum("token_count").alias("tokens"), F.count("*").alias("docs"))
-    return counted, records
-
-
-def append(spark: SparkSession, path: str, plan: dict, items: list[dict], **source) -> None:
-    """Scans items and appends their rows; BadRecord (and no append) if a record is rejected."""
-    counted, records = batch_rows(spark, plan, items, **source)
     rows = counted.collect()  # at most 21 rows a region of the batch
     if any(r["bad"] for r in rows):
         # only now are rejected records looked for one by one: the first in plan order is the one reported
@@ -89,16 +72,16 @@ def append(spark: SparkSession, path: str, plan: dict, items: list[dict], **sour
         raise BadRecord(f"invalid record at {f['file']}:{f['record_start']}: {f['reason']}")
     out = [(r["work_index"], None, r["cluster_id"], r["tokens"], r["docs"]) for r in rows]
     out += [(i["index"], i["range_end"] - i["range_start"], None, 0, 0) for i in items]
-    name = f"{path}/batch-{items[0]['index']:08d}"
-    spark.createDataFrame(out, LEDGER).coalesce(1).write.mode("overwrite").parquet(name)
+    spark.createDataFrame(out, LEDGER).coalesce(1).write.mode("overwrite").parquet(store.url(f"{name}/batch-{items[0]['index']:08d}"))
+    return [r.asDict() for r in rows]
 
 
-def read(spark: SparkSession, path: str, before: int) -> DataFrame:
+def read(store: Store, name: str, before: int) -> DataFrame:
     """The ledger rows of items below an index."""
-    found = sorted(glob.glob(f"{path}/batch-*"))
+    found = [store.url(f"{name}/{n}") for n in store.children(name) if n.startswith("batch-")]
     if not found:
-        return spark.createDataFrame([], LEDGER)
-    return spark.read.schema(LEDGER).parquet(*found).where(F.col("work_index") < before)
+        return store.spark.createDataFrame([], LEDGER)
+    return store.spark.read.schema(LEDGER).parquet(*found).where(F.col("work_index") < before)
 
 
 def fold(rows: DataFrame) -> DataFrame:
@@ -113,49 +96,57 @@ def progress_by_item(rows: DataFrame) -> DataFrame:
     return per.select("work_index", *(F.sum(c).over(w).alias(f"running_{c}") for c in ("tokens", "docs", "bytes")))
 
 
-def scan(spark: SparkSession, run_dir: str, plan: dict, *, resume: bool = False, batch_items: int = 1024, stop_after: int | None = None, names: settings.Names = settings.Names(), **source) -> dict:
-    """Runs (or goes on with) a scan in run_dir and returns its report. source: folder= or url= of the files' reader.
-
-    stop_after interrupts the run when so many items are done (a test of resuming). A finished run returns its checked report.
+def _begun(store: Store, plan: dict, names: settings.Names) -> dict:
+    """Progress of a run that starts in a folder without one."""
+    if found := [n for n in (names.progress, names.report, names.weights) if store.exists(n)]:
+        raise FileExistsError(f"{store.url(found[0])} exists; resume or take another")
+    store.drop(names.ledger)
+    progress = initial(plan)
+    store.put(names.progress, progress)
+    return progress
+
+
+def _resumed(store: Store, plan: dict, names: settings.Names) -> dict:
+    """Progress of a run that goes on: the ledger's prefix adds up to it, and what lies beyond is dropped."""
+    progress = check_state(store.json(names.progress), plan)
+    if progress["complete"] is not True:
+        done = progress["next_work_item_index"]
+        for n in store.children(names.ledger):
+            if n.startswith("batch-") and int(n.rpartition("-")[2]) >= done:
+                store.drop(f"{names.ledger}/{n}")
+        rows = read(store, names.ledger, done)
+        covered = rows.agg(F.countDistinct("work_index").alias("n")).collect()[0]["n"]
+        totals = [r.asDict() for r in fold(rows).collect()]
+        if covered != done or any(progress[k] != {str(r["cluster_id"]): r[c] for r in totals} for k, c in SUMS.items()):
+            raise ValueError("the ledger does not add up to the progress")
+    return progress
+
+
+def scan(spark: SparkSession, run_dir: str, plan: dict, *, resume: bool = False, batch_items: int = 1024, in_flight: int | None = None, stop_after: int | None = None, names: settings.Names = settings.Names(), **source) -> dict:
+    """Runs (or goes on with) a scan in run_dir and returns its report. source: folder=, url= or reader= of the files (``jsonl.ranges``).
+
+    in_flight bounds the regions that are read at once. stop_after interrupts the run when so many items are done (a test of
+    resuming). A finished run returns its verified report and writes nothing.
     """
-    from .. import report
-
-    if batch_items <= 0 or (stop_after is not None and stop_after <= 0):
-        raise ValueError("batch_items and stop_after must be positive")
-    os.makedirs(run_dir, exist_ok=True)
-    progress, ledger = f"{run_dir}/{names.progress}", f"{run_dir}/{names.ledger}"
-    if resume:
-        state = check_state(canonical.read_json(progress), plan)
-        if state["complete"] is True:
-            return report.completed(run_dir, state, names)
-    else:
-        for n in (names.progress, names.report, names.weights):
-            if os.path.exists(f"{run_dir}/{n}"):
-                raise FileExistsError(f"{run_dir}/{n} exists; resume or take another")
-        shutil.rmtree(ledger, ignore_errors=True)
-        state = initial(plan)
-        canonical.write_json(progress, state)
-    items, done = plan["work_items"], state["next_work_item_index"]
-    for stale in glob.glob(f"{ledger}/batch-*"):  # appended, but not yet counted when the run ended
-        if int(stale.rpartition("-")[2]) >= done:
-            shutil.rmtree(stale)
-    while done < len(items):
-        last = min(done + batch_items, len(items), stop_after if stop_after and stop_after > done else len(items))
-        append(spark, ledger, plan, items[done:last], **source)
-        done = last
-        totals = fold(read(spark, ledger, done)).collect()
-        state = state | {
-            "cluster_source_tokens": {str(r["cluster_id"]): r["tokens"] for r in totals}, "cluster_document_counts": {str(r["cluster_id"]): r["docs"] for r in totals},
-            "record_count": sum(r["docs"] for r in totals), "source_bytes_covered": sum(i["range_end"] - i["range_start"] for i in items[:done]),
-            "next_work_item_index": done, "completed_work_items": done,
-        }
-        canonical.write_json(progress, state)
-        if stop_after == done:
-            raise Interrupted(f"stopped after {done} items as asked")
-    return report.finish(run_dir, plan, state, names)
-
-
-def stream(spark: SparkSession, batches: str, ledger: str, checkpoint: str, plan: dict, files_per_trigger: int = 1, **source):
+    if min(x for x in (batch_items, in_flight, stop_after, 1) if x is not None) <= 0:
+        raise ValueError("batch_items, in_flight and stop_after must be positive")
+    store = Store(spark, run_dir)
+    progress = (_resumed if resume else _begun)(store, plan, names)
+    if progress["complete"] is True:
+        report.demand(report.run_claims(store, plan, names))
+        return store.json(names.report)
+    edges = {*range(progress["next_work_item_index"], len(plan["work_items"]), batch_items), len(plan["work_items"]), *([stop_after] if stop_after else [])}
+    steps = sorted(e for e in edges if progress["next_work_item_index"] <= e <= len(plan["work_items"]))
+    for begin, end in zip(steps, steps[1:]):
+        progress = advanced(plan, progress, end, append(store, names.ledger, plan, plan["work_items"][begin:end], in_flight, **source))
+        store.put(names.progress, progress)
+        LOG.info("%d of %d regions, %d records, %d bytes", end, len(plan["work_items"]), progress["record_count"], progress["source_bytes_covered"])
+        if end == stop_after:
+            raise Interrupted(f"stopped after {end} items as asked")
+    return report.finish(store, plan, progress, names)
+
+
+def stream(spark: SparkSession, batches: str, run_dir: str, checkpoint: str, plan: dict, files_per_trigger: int = 1, **source):
     """The same loop as a streaming query: files of plan items that arrive in batches are scanned and appended (available now, then it ends).
 
     A repeated micro-batch overwrites its own append, so each region counts once.
@@ -165,6 +156,6 @@ def stream(spark: SparkSession, batches: str, ledger: str, checkpoint: str, plan
     def take(frame: DataFrame, _: int) -> None:
         items = sorted((r.asDict() for r in frame.collect()), key=lambda i: i["index"])  # plan rows, not records
         if items:
-            append(frame.sparkSession, ledger, plan, items, **source)
+            append(Store(frame.sparkSession, run_dir), settings.Names.ledger, plan, items, **source)
 
     return arriving.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
