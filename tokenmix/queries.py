@@ -6,10 +6,14 @@ n_chars its token count, its text and a newline its bytes. Regions are 4096 byte
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import settings
 from .functions import columns
+from .functions.store import Store
 from .operators import aggregate, sample
 from .operators.extract import extract
 from .operators.validate import validated
@@ -40,18 +44,22 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """file, doc_id, cluster_id, token_count, record_start."""
-    from pyspark.sql import Window
+    placed = docs(spark, sf_dir).select(_path().alias("file"), "doc_id", "cluster_id", "token_count", F.floor(F.col("doc_id") / 1000).alias("block"), "bytes")
+    return jsonl.offsets(placed, "file", "block", "doc_id", F.col("bytes")).drop("block", "bytes")
+
 
-    w = Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.col("bytes") + 1).over(w), F.lit(0).cast("long"))
-    return docs(spark, sf_dir).select(_path().alias("file"), "doc_id", "cluster_id", "token_count", start.alias("record_start"))
+def corpus(spark: SparkSession, sf_dir: str) -> tuple[str, dict]:
+    """The documents' lines as JSONL files in a scratch folder, and the plan over its listing."""
+    folder = scratch.folder(spark, "corpus")
+    scratch.write_files(lines(spark, sf_dir).select(_path().alias("path"), F.col("doc_id").alias("at"), "value"), folder)
+    found = sorted(tuple(r) for r in jsonl.listing(spark, folder, GLOB).collect())
+    return folder, workplan.make(spark, found, settings.Corpus("documents", REVISION, GLOB, SEED, REGION))
 
 
 def owned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """records with the plan index of the region that holds their first byte."""
-    p = items(spark, sf_dir).select("index", F.col("filename").alias("file"), (F.col("range_start") / REGION).cast("long").alias("region"))
-    r = records(spark, sf_dir).withColumn("region", F.floor(F.col("record_start") / REGION))
-    return r.join(p, ["file", "region"]).withColumnRenamed("index", "work_index")
+    """What the range source reads of that corpus, extracted: work_index, file, record_start, cluster_id, token_count."""
+    folder, plan = corpus(spark, sf_dir)
+    return extract(jsonl.ranges(spark, plan, folder=folder)).where("reason is null").drop("reason")
 
 
 def _tokens() -> Column:
@@ -146,7 +154,10 @@ def q_glob_filter(spark, sf_dir):
 
 
 def q_source_listing(spark, sf_dir):
-    return files(spark, sf_dir).where(columns.in_root(F.col("path"), GLOB))
+    folder = scratch.folder(spark, "corpus")
+    rows = lines(spark, sf_dir).select(_path().alias("path"), F.col("doc_id").alias("at"), "value")
+    scratch.write_files(rows.unionByName(rows.withColumn("path", F.concat(F.lit("other_"), "path"))), folder)
+    return jsonl.listing(spark, folder, GLOB)
 
 
 def q_duplicate_ids(spark, sf_dir):
@@ -155,23 +166,28 @@ def q_duplicate_ids(spark, sf_dir):
 
 
 def q_region_rollup(spark, sf_dir):
-    return owned(spark, sf_dir).groupBy("file", "region").agg(F.count("*").alias("records"), F.sum("token_count").alias("tokens"), F.min("record_start").alias("first_start"))
+    region = F.floor(F.col("record_start") / REGION).alias("region")
+    return owned(spark, sf_dir).groupBy("file", region).agg(F.count("*").alias("records"), F.sum("token_count").alias("tokens"), F.min("record_start").alias("first_start"))
 
 
-def _ledger_rows(spark, sf_dir):
-    part = aggregate.region_partials(owned(spark, sf_dir)).select("work_index", F.lit(None).cast("long").alias("source_bytes"), "cluster_id", "tokens", "docs")
-    size = items(spark, sf_dir).select(F.col("index").alias("work_index"), (F.col("range_end") - F.col("range_start")).alias("source_bytes"), F.lit(None).cast("int").alias("cluster_id"), F.lit(0).cast("long").alias("tokens"), F.lit(0).cast("long").alias("docs"))
-    return part.unionByName(size)
+def q_progress_fold(spark, sf_dir):
+    """A whole scan, then the running totals of its ledger."""
+    folder, plan = corpus(spark, sf_dir)
+    run = scratch.folder(spark, "run")
+    ledger.scan(spark, run, plan, batch_items=256, folder=folder)
+    return ledger.progress_by_item(ledger.read(Store(spark, run), settings.Names.ledger, len(plan["work_items"])))
 
 
 def q_resume_equivalence(spark, sf_dir):
-    """The plan's first half goes to a ledger, then the rest; the totals come from the ledger."""
-    path, rows = scratch.folder(spark, "ledger"), _ledger_rows(spark, sf_dir)
-    half = items(spark, sf_dir).count() // 2
-    rows.where(F.col("work_index") < half).write.parquet(f"{path}/batch-0")
-    done = spark.read.parquet(f"{path}/batch-0").where("cluster_id is null").select("work_index")
-    rows.join(done, "work_index", "left_anti").select(*rows.columns).write.parquet(f"{path}/batch-1")
-    return ledger.fold(spark.read.schema(ledger.LEDGER).parquet(f"{path}/batch-0", f"{path}/batch-1"))
+    """A scan is interrupted halfway and resumed with another batch size; the totals are those of its report."""
+    folder, plan = corpus(spark, sf_dir)
+    run, half = scratch.folder(spark, "run"), len(plan["work_items"]) // 2
+    try:
+        ledger.scan(spark, run, plan, batch_items=256, stop_after=half, folder=folder)
+    except ledger.Interrupted:
+        made = ledger.scan(spark, run, plan, resume=True, batch_items=100, folder=folder)
+    docs_of = made["all_cluster_document_counts"]
+    return spark.createDataFrame([(int(c), n, docs_of[c]) for c, n in made["all_cluster_source_tokens"].items()], "cluster_id int, tokens long, docs long")
 
 
 def q_jsonl_scan(spark, sf_dir):
@@ -207,10 +223,12 @@ def q_external_crosscheck(spark, sf_dir):
 
 
 def q_mixture_report(spark, sf_dir):
-    t = _totals(spark, sf_dir)
-    g = aggregate.grand(t).select("all_tokens", "accepted_tokens", "records")
-    size = files(spark, sf_dir).agg(F.sum("size").alias("source_bytes"), F.count("*").alias("source_files"))
-    return g.select(F.lit(1).alias("k"), "*").join(size.select(F.lit(1).alias("k"), "*"), "k").join(aggregate.weights_json(t).select(F.lit(1).alias("k"), "weights"), "k").drop("k")
+    folder, plan = corpus(spark, sf_dir)
+    run = scratch.folder(spark, "run")
+    made = ledger.scan(spark, run, plan, batch_items=256, folder=folder)
+    weights = json.dumps(Store(spark, run).json(made["weights_file"]), sort_keys=True, separators=(",", ":"))
+    row = (made["all_source_tokens"], made["accepted_source_tokens"], made["record_count"], made["source_bytes_scanned"], len(made["source_files"]), weights)
+    return spark.createDataFrame([row], "all_tokens long, accepted_tokens long, records long, source_bytes long, source_files long, weights string")
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,11 +265,11 @@ def queries():
         "size_drift_check": lambda s, x: workplan.size_drift(f(s, x), _drifted(s, x)),
         "file_list_diff": lambda s, x: workplan.list_difference(f(s, x), _drifted(s, x)),
         "record_offsets": lambda s, x: records(s, x).select("file", "doc_id", "record_start"),
-        "record_ownership": lambda s, x: owned(s, x).select("doc_id", "file", "record_start", "work_index"),
+        "record_ownership": lambda s, x: owned(s, x).select("file", "record_start", "work_index", "cluster_id", "token_count"),
         "region_partial_agg": lambda s, x: aggregate.region_partials(owned(s, x)),
         "region_rollup": q_region_rollup,
         "prefix_coverage": lambda s, x: workplan.prefix_bytes(p(s, x)).select("index", "covered_bytes"),
-        "progress_fold": lambda s, x: ledger.progress_by_item(_ledger_rows(s, x)),
+        "progress_fold": q_progress_fold,
         "remaining_items": lambda s, x: workplan.remaining(p(s, x), 100),
         "resume_equivalence": q_resume_equivalence,
         "jsonl_scan": q_jsonl_scan,
@@ -276,7 +294,14 @@ _R = f"r AS (SELECT path AS filename, size, unnest(range(0, size, {REGION})) AS
 _I = f"i AS (SELECT *, '{REVISION}:' || filename || ':' || range_start || ':' || range_end AS work_item_id FROM rr)"
 _P = f"p AS (SELECT CAST(row_number() OVER (ORDER BY sha256('{SEED}' || chr(0) || work_item_id), work_item_id) - 1 AS INTEGER) AS \"index\", filename, range_start, range_end, work_item_id FROM i)"
 _O = "o AS (SELECT 'part_' || substring(source, 4) || '.tokenized.jsonl' AS file, doc_id, cluster_id, token_count, CAST(coalesce(sum(bytes + 1) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS record_start FROM d)"
+#: The documents as JSONL lines, their files, and the plan over these.
+_N = "token_count % 7 + 1"
+_L = f"""l AS (SELECT doc_id, cluster_id, {_N} AS token_count, 'part_' || substring(source, 4) || '.tokenized.jsonl' AS file,
+  CAST(strlen('{{"cluster_id": ' || cluster_id || ', "tokens": [' || array_to_string(list_transform(range(1, {_N} + 1), lambda i: (doc_id * 31 + i * 17) % 50257), ', ') || '], "token_count": ' || ({_N}) || '}}') + 1 AS BIGINT) AS bytes FROM d)"""
+_LF = "f AS (SELECT file AS path, CAST(sum(bytes) AS BIGINT) AS size FROM l GROUP BY 1)"
+_LO = "o AS (SELECT *, CAST(coalesce(sum(bytes) OVER (PARTITION BY file ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS record_start FROM l)"
 _W = f"w AS (SELECT o.*, o.record_start // {REGION} AS region, p.\"index\" AS work_index FROM o JOIN p ON p.filename = o.file AND o.record_start >= p.range_start AND o.record_start < p.range_end)"
+_LT = "t AS (SELECT cluster_id, CAST(sum(token_count) AS BIGINT) AS tokens, count(*) AS docs FROM l GROUP BY 1)"
 _A = "cluster_id NOT IN (11)"
 _Z = "z AS (SELECT path, CASE WHEN path = 'part_4.tokenized.jsonl' THEN size + 5 ELSE size END AS size FROM f WHERE path <> 'part_9.tokenized.jsonl')"
 
@@ -291,8 +316,9 @@ def _case(reasons: list, key: str, otherwise: str) -> str:
 
 def oracle_sql():
     plan = (_D, _F, _R, _I, _P)
+    read = (_D, _L, _LF, _R, _I, _P, _LO, _W)
     weight = "'{' || string_agg('\"' || cluster_id || '\":' || tokens, ',' ORDER BY CAST(cluster_id AS VARCHAR)) || '}'"
-    n_tokens = "token_count % 7 + 1"
+    n_tokens = _N
     extracted = f"x AS (SELECT doc_id, cluster_id AS c, {n_tokens} AS n, {_case(EXTRACTION, 'reason', 'NULL')} FROM d)"
     judged = f"v AS (SELECT doc_id, cluster_id AS c, {n_tokens} AS n, {_case(VALIDATION, 'rejection_reason', 'NULL')} FROM d)"
     dense = "SELECT c.cluster_id, coalesce(tokens, 0) AS tokens, coalesce(docs, 0) AS docs FROM c LEFT JOIN {} USING (cluster_id)"
@@ -310,7 +336,7 @@ def oracle_sql():
         "accepted_filter": _with(_D) + f"SELECT doc_id, cluster_id, token_count FROM d WHERE {_A}",
         "cluster_domain_filter": _with(_D) + "SELECT doc_id, cluster_id + 5 AS cluster_id FROM d WHERE cluster_id + 5 BETWEEN 1 AND 20",
         "cluster_key_set_diff": "SELECT 12 AS cluster_id, 'left' AS side UNION ALL SELECT 3, 'right' UNION ALL SELECT 8, 'right'",
-        "source_listing": _with(_D, _F) + "SELECT * FROM f",
+        "source_listing": _with(_D, _L, _LF) + "SELECT * FROM f",
         "glob_filter": "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'sub/' ELSE '' END || CASE WHEN doc_id % 4 = 2 THEN 'PART_' || substring(source, 4) ELSE 'part_' || substring(source, 4) || '.tokenized.jsonl' END || CASE WHEN doc_id % 4 = 3 THEN '.gz' ELSE '' END AS path, doc_id % 4 = 0 AS matches FROM documents",
         "work_regions": _with(_D, _F, _R) + "SELECT filename, range_start, range_end FROM rr",
         "work_plan": _with(*plan) + "SELECT * FROM p",
@@ -325,13 +351,13 @@ def oracle_sql():
         "size_drift_check": _with(_D, _F, _Z) + "SELECT f.path, f.size AS planned_size, z.size AS actual_size, f.size IS DISTINCT FROM z.size AS drifted FROM f LEFT JOIN z USING (path)",
         "file_list_diff": _with(_D, _F, _Z) + f", a AS ({side.format('f')}), b AS ({side.format('z')}) SELECT *, 'left' AS side FROM (FROM a EXCEPT ALL FROM b) UNION ALL SELECT *, 'right' FROM (FROM b EXCEPT ALL FROM a)",
         "record_offsets": _with(_D, _O) + "SELECT file, doc_id, record_start FROM o",
-        "record_ownership": _with(*plan, _O, _W) + "SELECT doc_id, file, record_start, work_index FROM w",
-        "region_partial_agg": _with(*plan, _O, _W) + "SELECT work_index, cluster_id, CAST(sum(token_count) AS BIGINT) AS tokens, count(*) AS docs FROM w GROUP BY 1, 2",
-        "region_rollup": _with(*plan, _O, _W) + "SELECT file, region, count(*) AS records, CAST(sum(token_count) AS BIGINT) AS tokens, min(record_start) AS first_start FROM w GROUP BY 1, 2",
+        "record_ownership": _with(*read) + "SELECT file, record_start, work_index, cluster_id, token_count FROM w",
+        "region_partial_agg": _with(*read) + "SELECT work_index, cluster_id, CAST(sum(token_count) AS BIGINT) AS tokens, count(*) AS docs FROM w GROUP BY 1, 2",
+        "region_rollup": _with(*read) + "SELECT file, region, count(*) AS records, CAST(sum(token_count) AS BIGINT) AS tokens, min(record_start) AS first_start FROM w GROUP BY 1, 2",
         "prefix_coverage": _with(*plan) + "SELECT \"index\", CAST(sum(range_end - range_start) OVER (ORDER BY \"index\") AS BIGINT) AS covered_bytes FROM p",
-        "progress_fold": _with(*plan, _O, _W) + ", q AS (SELECT work_index, sum(token_count) AS tokens, count(*) AS docs FROM w GROUP BY 1) SELECT \"index\" AS work_index, CAST(sum(coalesce(tokens, 0)) OVER (ORDER BY \"index\") AS BIGINT) AS running_tokens, CAST(sum(coalesce(docs, 0)) OVER (ORDER BY \"index\") AS BIGINT) AS running_docs, CAST(sum(range_end - range_start) OVER (ORDER BY \"index\") AS BIGINT) AS running_bytes FROM p LEFT JOIN q ON q.work_index = p.\"index\"",
+        "progress_fold": _with(*read) + ", q AS (SELECT work_index, sum(token_count) AS tokens, count(*) AS docs FROM w GROUP BY 1) SELECT \"index\" AS work_index, CAST(sum(coalesce(tokens, 0)) OVER (ORDER BY \"index\") AS BIGINT) AS running_tokens, CAST(sum(coalesce(docs, 0)) OVER (ORDER BY \"index\") AS BIGINT) AS running_docs, CAST(sum(range_end - range_start) OVER (ORDER BY \"index\") AS BIGINT) AS running_bytes FROM p LEFT JOIN q ON q.work_index = p.\"index\"",
         "remaining_items": _with(*plan) + "SELECT * FROM p WHERE \"index\" >= 100",
-        "resume_equivalence": _with(_D, _T, _C) + dense.format("t"),
+        "resume_equivalence": _with(_D, _L, _LT, _C) + dense.format("t"),
         "jsonl_scan": _with(_D, _C) + f", t AS (SELECT cluster_id, CAST(sum({n_tokens}) AS BIGINT) AS tokens, count(*) AS docs FROM d GROUP BY 1) " + dense.format("t"),
         "crlf_trim": "SELECT doc_id, 'line ' || doc_id || CASE doc_id % 4 WHEN 2 THEN chr(13) WHEN 3 THEN chr(13) || 'x' ELSE '' END AS value FROM documents",
         "metadata_extract": _with(_D, extracted) + "SELECT doc_id, CASE WHEN reason IS NULL THEN c END AS cluster_id, CASE WHEN reason IS NULL THEN n END AS token_count, reason FROM x",
@@ -340,5 +366,5 @@ def oracle_sql():
         "validation_reason_counts": _with(_D, judged) + "SELECT coalesce(rejection_reason, 'valid') AS reason, count(*) AS n FROM v GROUP BY 1",
         "audit_sample": _with(_D) + f", h AS (SELECT source, doc_id, cluster_id, CAST(row_number() OVER (PARTITION BY source ORDER BY sha256('{sample.SEED}:' || source || ':' || doc_id), doc_id) AS INTEGER) AS sample_rank FROM d) SELECT * FROM h WHERE sample_rank <= 10",
         "external_crosscheck": _with(_D, _T, _C, _E) + "SELECT cluster_id, docs, CASE WHEN cluster_id = 2 THEN NULL WHEN cluster_id = 6 THEN docs + 1 ELSE docs END AS external_docs, cluster_id NOT IN (2, 6) AS agrees FROM e",
-        "mixture_report": _with(_D, _T, _C, _E, _F) + f"SELECT (SELECT CAST(sum(tokens) AS BIGINT) FROM e) AS all_tokens, (SELECT CAST(sum(tokens) AS BIGINT) FROM e WHERE {_A}) AS accepted_tokens, (SELECT CAST(sum(docs) AS BIGINT) FROM e) AS records, (SELECT CAST(sum(size) AS BIGINT) FROM f) AS source_bytes, (SELECT count(*) FROM f) AS source_files, (SELECT {weight} FROM e WHERE {_A}) AS weights",
+        "mixture_report": _with(_D, _L, _LT, _C, _E, _LF) + f"SELECT (SELECT CAST(sum(tokens) AS BIGINT) FROM e) AS all_tokens, (SELECT CAST(sum(tokens) AS BIGINT) FROM e WHERE {_A}) AS accepted_tokens, (SELECT CAST(sum(docs) AS BIGINT) FROM e) AS records, (SELECT CAST(sum(size) AS BIGINT) FROM f) AS source_bytes, (SELECT count(*) FROM f) AS source_files, (SELECT {weight} FROM e WHERE {_A}) AS weights",
     }

@@ -13,7 +13,7 @@ import pickle
 from collections.abc import Callable
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -37,16 +37,25 @@ def scan(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
 
 
 def with_offsets(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """file, record_start, value. One window per file, so for audits and fault reports, not for totals."""
+    """file, record_start, value. For audits and fault reports: totals need no offsets."""
     lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(folder)
     placed = lines.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), "value")
-    return offsets(placed, "file", ["block", "n"]).select("file", "record_start", columns.without_cr(F.col("value")).alias("value"))
-
-
-def offsets(lines: DataFrame, file: str, order: list[str]) -> DataFrame:
-    """lines with record_start: bytes (with newlines) of the file's lines before each."""
-    w = Window.partitionBy(file).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return lines.withColumn("record_start", F.coalesce(F.sum(F.octet_length("value").cast("long") + 1).over(w), F.lit(0).cast("long")))
+    return offsets(placed, "file", "block", "n").select("file", "record_start", columns.without_cr(F.col("value")).alias("value"))
+
+
+def offsets(lines: DataFrame, file: str, block: str, order: str, size: Column | None = None) -> DataFrame:
+    """lines with record_start: bytes (with newlines) of the file's lines before each.
+
+    A file's blocks follow each other, and order counts within a block. Only a block's lines are ever in one task; blocks are
+    placed by the sums of those before them, one row per block. size: bytes of a line without its newline (else of ``value``).
+    """
+    n = (F.octet_length("value") if size is None else size).cast("long") + 1
+    zero = F.lit(0).cast("long")
+    sums = lines.groupBy(file, block).agg(F.sum(n).alias("_bytes"))
+    before = Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    based = sums.select(file, block, F.coalesce(F.sum("_bytes").over(before), zero).alias("_base"))
+    inside = Window.partitionBy(file, block).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return lines.withColumn("_inside", F.coalesce(F.sum(n).over(inside), zero)).join(based, [file, block]).withColumn("record_start", F.col("_base") + F.col("_inside")).drop("_base", "_inside")
 
 
 class Region(InputPartition):
