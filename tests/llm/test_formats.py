@@ -113,6 +113,15 @@ def test_token_files(spark, odd, nothing, tmp_path):
     assert tokenfile.roundtrip(nothing).count() == 0
 
 
+def test_token_files_roll_over(spark, tmp_path):
+    """Small files in the same order: starts run on from file to file."""
+    docs = spark.createDataFrame([(k, f"word {k} and some more " * (k % 9 * 300)) for k in range(60)], "doc_id long, text string").coalesce(1)
+    manifest = tokenfile.write(docs, f"file://{tmp_path}/small", length=16, rows=4, most=500)
+    assert manifest.count() > 3
+    rows = sorted(map(tuple, tokenfile.read(manifest).collect()))
+    assert rows == sorted(map(tuple, tokenfile.roundtrip(docs).collect())) and len(rows) == 60
+
+
 def test_sequence_file_random_access(tmp_path):
     import pyarrow as pa
 
@@ -122,7 +131,7 @@ def test_sequence_file_random_access(tmp_path):
         w.add(pa.array([a]), ids[a : a + 10], np.array([0, 10]))
     assert w.close() == 100
     r = tokenfile.Reader(url)
-    assert len(r) == 13 and r.flat[0].dtype == np.uint16
+    assert len(r) == 13 and r.flat(0).dtype == np.uint16 and r.count == 5
     for k in (12, 0, 5):
         some, mask = r.sequence(k)
         assert some.base is not None and len(some) == len(mask) == 8

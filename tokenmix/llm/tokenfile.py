@@ -7,13 +7,14 @@ has the same number of sequences, so sequence k is in batch k // rows at row k %
 it from the mapped or fetched buffer without copying. Beside it lies an index file (Arrow stream) with each document's
 doc_id, start in the file and number of ids.
 
-Documents are written in ascending doc_id order (null first; equal ids by text): the corpus is range
-partitioned, each partition writes one file, and the files' totals (one row per file) give every file's
+Documents are written in ascending doc_id order (null first; equal ids by the XXH64 of their texts, then by text): the corpus is range
+partitioned, each partition writes files of about ``FILE_IDS`` ids, and the files' totals (one row per file) give every file's
 place in the whole run. A file is written under a name of the task attempt and becomes part of the result only
 through the manifest that Spark commits, so repeated and lost tasks leave no wrong rows.
 
 Defined cases: null text -> like empty text (only the end id); the added tokens' strings in a text are the
-added tokens, as in the library; repeated rows are separate documents; an empty table gives no file and no rows.
+added tokens, as in the library; repeated rows are separate documents; very long texts are encoded span by span and lie in one file; an empty
+table gives no file and no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ S, L, O, A, W = spans.SPACE, spans.LETTER, spans.OTHER, spans.APOSTROPHE, spans.
 #: Places where the vocabulary's pattern always ends a match (white space is dropped, so spaces are spans of their own).
 CUTS = spans.pair_table([(L, S), (O, S), (A, S), (S, L), (S, O), (S, A), (L, O), (L, A), (O, L)])
 LENGTH, ROWS, END = 1024, 256, 2
+#: ids after which a task opens its next file (at the end of a document).
+FILE_IDS = 1 << 27
+END_OF_STREAM = b"\xff\xff\xff\xff\0\0\0\0"
 
 
 class LibraryEncoder:
@@ -143,66 +147,94 @@ class Writer:
 
 
 class Reader:
-    """Random access to the sequences of a file; on local storage it is mapped, elsewhere fetched once."""
+    """Random access to the sequences of a file. All batches but the last have the same size in bytes, so batch k is found by its offset:
+    on local storage it is a view of the mapped file, elsewhere it alone is fetched."""
 
     def __init__(self, url: str):
         fs, path = open_fs(url)
-        local = fs.type_name == "local"
-        source = pa.memory_map(path) if local else fs.open_input_file(path)
-        self.batches = list(pa.ipc.open_stream(source))
-        self.rows = self.batches[0].num_rows if self.batches else 0
-        self.length = self.batches[0].schema.field("ids").type.list_size if self.batches else 0
+        self.source = pa.memory_map(path) if fs.type_name == "local" else fs.open_input_file(path)
+        self.schema = pa.ipc.read_schema(pa.ipc.read_message(self.source))
+        self.length, self.begin = self.schema.field("ids").type.list_size, self.source.tell()
+        body = self.source.size() - self.begin - len(END_OF_STREAM)
+        self.rows, self.step, self.count = 0, max(body, 1), 0
+        self.held: tuple[int, pa.RecordBatch | None] = (-1, None)
+        if body > 0:
+            self.rows = self.batch(0).num_rows
+            self.step = self.source.tell() - self.begin
+            self.count = -(-body // self.step)
         self.index = pa.ipc.open_stream(fs.open_input_stream(path + ".index"))
-        self.flat = [b.column(0).flatten().to_numpy() for b in self.batches]
+
+    def batch(self, k: int) -> pa.RecordBatch:
+        if self.held[0] != k:
+            self.source.seek(self.begin + k * self.step)
+            self.held = k, pa.ipc.read_record_batch(pa.ipc.read_message(self.source), self.schema)
+        return self.held[1]
+
+    def flat(self, k: int) -> np.ndarray:
+        return self.batch(k).column(0).flatten().to_numpy()
 
     def __len__(self) -> int:
-        return sum(b.num_rows for b in self.batches)
+        return (self.count - 1) * self.rows + self.batch(self.count - 1).num_rows if self.count else 0
 
     def sequence(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """ids and mask of sequence k, as views of the file's buffers."""
         at = k % self.rows * self.length
-        return self.flat[k // self.rows][at : at + self.length], self.batches[k // self.rows].column(1).flatten().slice(at, self.length)
+        return self.flat(k // self.rows)[at : at + self.length], self.batch(k // self.rows).column(1).flatten().slice(at, self.length)
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """ids start .. start+n of the file's run; a copy only where they lie in two batches."""
         step, parts = self.rows * self.length, []
         while n > 0:
             k, at = divmod(start, step)
-            parts.append(self.flat[k][at : at + n])
+            parts.append(self.flat(k)[at : at + n])
             start, n = start + len(parts[-1]), n - len(parts[-1])
         return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint16)
 
 
-def write(docs: DataFrame, folder: str, path: str | None = None, length: int = LENGTH, rows: int = ROWS) -> DataFrame:
-    """Writes the files; returns their manifest (file string, place long, n_tokens long), in the order of the ids, already committed."""
+MANIFEST = "file string, place long, part long, n_tokens long"
+
+
+def write(docs: DataFrame, folder: str, path: str | None = None, length: int = LENGTH, rows: int = ROWS, most: int = FILE_IDS) -> DataFrame:
+    """Writes the files; returns their manifest (``MANIFEST``; place and part give the order), already committed."""
     spark = ready(docs.sparkSession)
     ordered = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).repartitionByRange(F.col("doc_id"), F.col("tie")).sortWithinPartitions("doc_id", "tie", "text").drop("tie")
 
     def work(batches):
         from pyspark import TaskContext
 
-        task, writer = TaskContext.get(), None
+        place, part, writer, url = TaskContext.get().partitionId(), 0, None, ""
         enc = encoder(path or vocabulary_path())
-        url = f"{folder}/ids-{task.partitionId():06d}-{uuid.uuid4().hex}.arrows"
+
+        def ended():
+            return pa.RecordBatch.from_pydict({"file": [url], "place": pa.array([place], pa.int64()), "part": pa.array([part], pa.int64()), "n_tokens": pa.array([writer.close()], pa.int64())})
+
         for b in spans.grouped(batches, 1):
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
-            if texts and writer is None:
-                writer = Writer(url, enc.tokenizer.get_vocab_size() + 1, length, rows)
-            for part, ids, ends in enc.encode(texts):
-                k = np.arange(1, len(ends))
-                writer.add(b.column(0).slice(part.start, len(ends) - 1).cast(pa.int64()), np.insert(ids, ends[1:], END), np.concatenate([[0], ends[1:] + k]))
+            for some, ids, ends in enc.encode(texts):
+                ids, ends = np.insert(ids, ends[1:], END), ends + np.arange(len(ends))
+                x = 0
+                while x + 1 < len(ends):
+                    if writer is not None and writer.total >= most:
+                        yield ended()
+                        writer, part = None, part + 1
+                    if writer is None:
+                        url = f"{folder}/ids-{place:06d}-{part:04d}-{uuid.uuid4().hex}.arrows"
+                        writer = Writer(url, enc.tokenizer.get_vocab_size() + 1, length, rows)
+                    y = min(len(ends) - 1, int(np.searchsorted(ends, ends[x] + most - writer.total)))  # the document with which the file is full
+                    writer.add(b.column(0).slice(some.start + x, y - x).cast(pa.int64()), ids[ends[x] : ends[y]], ends[x : y + 1] - ends[x])
+                    x = y
         if writer is not None:
-            yield pa.RecordBatch.from_pydict({"file": [url], "place": pa.array([task.partitionId()], pa.int64()), "n_tokens": pa.array([writer.close()], pa.int64())})
+            yield ended()
 
     manifest = folder + "/manifest"
-    ordered.mapInArrow(work, "file string, place long, n_tokens long").write.parquet(manifest)
-    return spark.read.schema("file string, place long, n_tokens long").parquet(manifest)
+    ordered.mapInArrow(work, MANIFEST).write.parquet(manifest)
+    return spark.read.schema(MANIFEST).parquet(manifest)
 
 
 def read(manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, from the files."""
     spark = ready(manifest.sparkSession)
-    files = sorted(manifest.collect(), key=lambda r: r["place"])  # one row per file
+    files = sorted(manifest.collect(), key=lambda r: (r["place"], r["part"]))  # one row per file
     before = np.concatenate([[0], np.cumsum([r["n_tokens"] for r in files])]).astype(int).tolist()
     listed = spark.createDataFrame([(r["file"], b) for r, b in zip(files, before)], "file string, before long")
 
