@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 
-from tokenmix.llm import components, decontaminate, repeats, simhash, windows
+from tokenmix.llm import common, components, decontaminate, repeats, simhash, windows
 from tokenmix.llm.bcr import Collection
 
 from .conftest import ODD
@@ -42,6 +42,22 @@ def test_components(spark):
     assert components.stars(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_hot_keys_change_nothing(spark, monkeypatch):
+    """The same components and classes where hubs, fingerprints and roots are joined apart."""
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    monkeypatch.setattr(common, "SHARE", 20)
+    rnd = random.Random(3)
+    edges = [(200, k) for k in range(201, 400)] + [(k, 900 - k) for k in range(250, 300)] + [(rnd.randrange(400, 600), rnd.randrange(400, 600)) for _ in range(120)]
+    want = roots(1000, edges)
+    frame = spark.createDataFrame(edges, "u long, v long")
+    assert common.hot_keys(frame.groupBy("u").count().withColumnRenamed("count", "n"), "u", len(edges)) == [200]
+    got = {r["u"]: r["v"] for r in components.stars(frame).collect()}
+    assert all(got.get(x, x) == want[x] for x in range(1000))
+    rows = [(k, "the very same text of a third of all rows") for k in range(60)] + [(100 + k, f"other {k} words {k * 7} in {k * 13} here") for k in range(100)]
+    out = simhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", simhash.hexadecimal("fp"), "component_id").collect()
+    check_simhash(rows, [tuple(r) for r in out])
+
+
 def plain_fingerprint(text):
     from xxhash import xxh64_intdigest
 

@@ -57,19 +57,23 @@ def few_files(df: DataFrame) -> DataFrame:
     return df.coalesce(3 * df.sparkSession.sparkContext.defaultParallelism)
 
 
-#: A key with over 1/SHARE of the rows is joined apart.
-SHARE = 1000
+#: A key is hot if it has over 1/SHARE of the rows, and over HOT_ROWS of them (fewer are no burden for a task).
+SHARE, HOT_ROWS = 1000, 100_000
 
 
-def joined(rows: DataFrame, names: DataFrame, key: str, total: int) -> DataFrame:
-    """rows with what names has for their key; names has one row per key, and in ``n`` how many rows have it.
+def hot_keys(counts: DataFrame, key: str, total: int) -> list:
+    """Keys of counts (key, n: one row per key) with so many of the total rows: fewer than SHARE, and none if there are few rows."""
+    if total <= HOT_ROWS:
+        return []
+    return [r[0] for r in counts.where(F.col("n") > max(total // SHARE, HOT_ROWS)).select(key).collect()]
 
-    However many rows a key has, no task gets them all: keys of over total / SHARE rows, of which there are fewer than SHARE, are
-    broadcast, the others are joined by a shuffle. total: at least the number of rows, or near it.
-    """
-    often = F.broadcast(names.where(F.col("n") > total // SHARE).drop("n"))
-    seldom = names.where(F.col("n") <= total // SHARE).drop("n")
-    return rows.join(often, key).unionByName(rows.join(seldom, key))
+
+def joined(rows: DataFrame, names: DataFrame, key: str, hot: list) -> DataFrame:
+    """rows with what names (one row per key) has for their key; names of hot keys are broadcast, so that no task gets all the rows of one."""
+    if not hot:
+        return rows.join(names, key)
+    is_hot = F.col(key).isin(hot)
+    return rows.where(~is_hot).join(names.where(~is_hot), key).unionByName(rows.where(is_hot).join(F.broadcast(names.where(is_hot)), key))
 
 
 #: What a Python worker keeps between the batches and tasks of one operator.

@@ -10,19 +10,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, few_files, joined, written
+from .common import dropped, few_files, hot_keys, joined, written
 
 
-def _large(edges: DataFrame, total: int) -> DataFrame:
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("n"))
-    return joined(both.where("v > u"), least, "u", total).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+def _both(edges: DataFrame) -> DataFrame:
+    return edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _small(edges: DataFrame, total: int) -> DataFrame:
+def _large(edges: DataFrame, hubs: list) -> DataFrame:
+    both = _both(edges)
+    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    return joined(both.where("v > u"), least, "u", hubs).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+
+
+def _small(edges: DataFrame, hubs: list) -> DataFrame:
     """edges with u > v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    moved = joined(edges, least, "u", total).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = joined(edges, least, "u", hubs).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -35,7 +39,8 @@ def stars(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if mark == before or not mark[0]:
             return now
         before = mark
-        new = written(few_files(_small(_large(now, 2 * mark[0]), 2 * mark[0])), "edges")
+        hubs = hot_keys(_both(now).groupBy("u").agg(F.count("*").alias("n")), "u", 2 * mark[0])  # after the large star no node has more edges than now
+        new = written(few_files(_small(_large(now, hubs), hubs)), "edges")
         dropped(now)
         now = new
     raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import components
-from .common import dropped, few_files, joined, kept, ready, written
+from .common import dropped, few_files, hot_keys, joined, kept, ready, written
 from .simhash import shingle_hashes
 
 SHINGLE, CROWD, ROUNDS = 5, 24, 3
@@ -183,5 +183,6 @@ def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
         links = links.unionByName(_links(_joined(_crowds(_rooted(crowds, links))), sets))
     star = components.stars(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
     dropped(sets)
-    names = marked.groupBy("node").agg(F.count("*").alias("n")).join(star, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"))
-    return joined(marked, written(names, "names"), "node", marked.count()).select("doc_id", "key", "root")
+    counts = marked.groupBy("node").agg(F.count("*").alias("n"))
+    names = counts.join(star, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    return joined(marked, names, "node", hot_keys(counts, "node", marked.count())).select("doc_id", "key", "root")

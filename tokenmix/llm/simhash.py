@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import components
-from .common import few_files, joined, kept, ready, written
+from .common import few_files, hot_keys, joined, kept, ready, written
 
 SHINGLE, SEED, DISTANCE, BLOCKS, CROWD = 3, 42, 2, 4, 24
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -128,11 +128,11 @@ def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     prints = written(fingerprints(docs), "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "nodes")
     star = components.stars(links(nodes, crowd))
-    total = nodes.count()
-    rooted = nodes.join(star.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select("fp", "first", F.col("n").alias("rows"), F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n"))
-    named = written(joined(rooted, least, "root", total).select("fp", "component_id", F.col("rows").alias("n")), "named")
-    return joined(prints, named, "fp", prints.count()).select("doc_id", "fp", "component_id")
+    rooted = written(nodes.join(star.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root")), "rooted")
+    total = prints.count()
+    roots = hot_keys(rooted.groupBy("root").agg(F.count("*").alias("n")), "root", total)
+    named = joined(rooted, rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root", roots).select("fp", "component_id")
+    return joined(prints, named, "fp", hot_keys(rooted, "fp", total)).select("doc_id", "fp", "component_id")
 
 
 def hexadecimal(fp):
