@@ -1,7 +1,8 @@
 """Whole texts as lossless media: the bytes of a text as grey samples of WebP images, and features of what is read back.
 
 The payload is the UTF-8 of the text, filled with bytes 255 to a positive multiple of ``UNIT`` (24 x 24 samples). It is
-stored as one WebP file per ``STRIP`` units, one file after another, so that no image grows with the text.
+stored as one WebP file per ``STRIP`` units, one file after another, so that no image grows with the text. Files are written and read
+``BULK`` payload bytes at a time, a very long text on its own.
 
 Defined cases: a null text is an empty one (one unit of 255); equal texts give equal values; an empty table
 gives an empty result; repeated rows each get a result; other columns are not read.
@@ -19,9 +20,9 @@ from pyspark.sql import DataFrame
 from . import webp
 from .common import ready
 
-UNIT, STRIP = 576, 16
+UNIT, STRIP = 576, 8
 #: Payload bytes that are decoded in step.
-BULK = 6 << 20
+BULK = 3 << 20
 
 
 def payload_of(text: str | None) -> tuple[bytes, int]:
@@ -29,9 +30,11 @@ def payload_of(text: str | None) -> tuple[bytes, int]:
     return raw + b"\xff" * (-len(raw) % UNIT if raw else UNIT), len(raw)
 
 
-def to_media(payload: bytes) -> bytes:
-    samples = np.frombuffer(payload, np.uint8)
-    return b"".join(webp.store(samples[i : i + UNIT * STRIP]) for i in range(0, len(samples), UNIT * STRIP))
+def to_media(payloads: list[bytes]) -> list[bytes]:
+    """The stored form of each payload."""
+    strips = [[np.frombuffer(p, np.uint8)[i : i + UNIT * STRIP] for i in range(0, len(p), UNIT * STRIP)] for p in payloads]
+    files = iter(webp.store_many([s for some in strips for s in some]))
+    return [b"".join(next(files) for _ in some) for some in strips]
 
 
 def split_media(media: bytes) -> list[bytes]:
@@ -46,7 +49,7 @@ def split_media(media: bytes) -> list[bytes]:
 def from_media(many: list[bytes]) -> list[np.ndarray]:
     """The samples of each stored form."""
     files = [split_media(m) for m in many]
-    got = iter(webp.load([f for some in files for f in some]))
+    got = iter(webp.load_many([f for some in files for f in some]))
     return [np.concatenate([next(got) for _ in some]) for some in files]
 
 
@@ -69,7 +72,7 @@ def measures(texts: list[str | None]):
     bulk, size = [], 0
 
     def flush():
-        stored = [to_media(p) for p, _ in bulk]
+        stored = to_media([p for p, _ in bulk])
         media.extend(stored)
         for (_, n), m, samples in zip(bulk, stored, from_media(stored)):
             raw = samples.tobytes()

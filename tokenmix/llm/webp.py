@@ -1,14 +1,15 @@
-"""Lossless WebP (VP8L): a decoder to pixel arrays, and an encoder.
+"""Lossless WebP (VP8L): a decoder to pixel arrays, and encoders.
 
-``decode`` handles the whole format: prefix codes (simple and normal, several groups by an entropy image),
+``decode_many`` handles the whole format: prefix codes (simple and normal, several groups by an entropy image),
 back-references with the short-distance map, the colour cache, and the inverse predictor, cross-colour, subtract-green and
-palette transforms. ``encode`` writes any image with a choice of these. ``store`` and ``load`` are the
-bulk forms for grey samples: they build and read literal-only prefix-coded images, many at once
-(``load`` decodes all images in step, a sample of each at a time, and gives whatever is more than that to ``decode``).
+palette transforms. It decodes many files in step, vectorised over them, and is the only decoder here. ``encode`` writes any image with a choice
+of these features, pixel by pixel, for tests and small images; ``store_many`` writes grey samples in bulk, with back-references, and with a
+palette or predictor where these make the files smaller.
 """
 
 from __future__ import annotations
 
+import functools
 import struct
 
 import numpy as np
@@ -52,40 +53,29 @@ class Bits:
 
 
 class Code:
-    """A canonical prefix code, with the table from the next bits to (symbol, length)."""
+    """A canonical prefix code as a table from the next bits to (symbol, length); reads code lengths, which are few."""
 
     def __init__(self, lengths: list[int]):
-        self.lengths = lengths
-        used = [(n, s) for s, n in enumerate(lengths) if n]
+        used = sorted((n, s) for s, n in enumerate(lengths) if n)
         if not used:
             raise WebpError("a prefix code without symbols")
-        self.only = used[0][1] if len(used) == 1 else None
-        if self.only is None and sum(1 << (MOST_BITS - n) for n, _ in used) != 1 << MOST_BITS:
+        self.most = used[-1][0] if len(used) > 1 else 0
+        if self.most and sum(1 << (self.most - n) for n, _ in used) != 1 << self.most:
             raise WebpError("an incomplete prefix code")
-        self.most = max(n for n, _ in used)
-        self.table = None
-
-    def _fill(self):
-        self.table = [None] * (1 << self.most)
-        code = last = 0
-        for n, s in sorted((n, s) for s, n in enumerate(self.lengths) if n):
-            code <<= n - last
-            last = n
-            back = int(f"{code:0{n}b}"[::-1], 2)
-            for k in range(back, 1 << self.most, 1 << n):
-                self.table[k] = (s, n)
-            code += 1
+        self.table = [(s, n if self.most else 0) for n, s in used for _ in range(1 << (self.most - n) if self.most else 1)]
+        self.turned = [int(f"{k:0{self.most}b}"[::-1], 2) if self.most else 0 for k in range(1 << self.most)]
 
     def next(self, bits: Bits) -> int:
-        if self.only is not None:
-            return self.only
-        if self.table is None:
-            self._fill()
-        s, n = self.table[bits.peek(self.most)]
+        s, n = self.table[self.turned[bits.peek(self.most)]]
         bits.at += n
         return s
 
 
+@functools.lru_cache(64)
+def _code(lengths: tuple[int, ...]) -> Code:
+    return Code(list(lengths))
+
+
 def _read_lengths(bits: Bits, size: int) -> list[int]:
     if bits.read(1):
         two = bits.read(1)
@@ -97,33 +87,30 @@ def _read_lengths(bits: Bits, size: int) -> list[int]:
     for k in range(4 + bits.read(4)):
         own[CODE_LENGTH_ORDER[k]] = bits.read(3)
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else size
-    code, lengths, last = Code(own), [], 8
+    code, lengths, last = _code(tuple(own)), [], 8
+    table, turned, most = code.table, code.turned, (1 << code.most) - 1
+    # a code length takes 14 bits at most, so all of them are in this number
+    i = bits.at >> 3
+    ahead, at = int.from_bytes(bits.data[i : i + 2 * size + 2], "little"), bits.at & 7
     while len(lengths) < size and left:
         left -= 1
-        s = code.next(bits)
+        s, n = table[turned[ahead >> at & most]]
+        at += n
         if s < 16:
             lengths.append(s)
             last = s or last
         else:
-            value, n = (last, 3 + bits.read(2)) if s == 16 else (0, 3 + bits.read(3)) if s == 17 else (0, 11 + bits.read(7))
-            if len(lengths) + n > size:
+            value, more, least = (last, 2, 3) if s == 16 else (0, 3, 3) if s == 17 else (0, 7, 11)
+            lengths += [value] * (least + (ahead >> at & (1 << more) - 1))
+            at += more
+            if len(lengths) > size:
                 raise WebpError("too many code lengths")
-            lengths += [value] * n
+    bits.at = 8 * i + at
+    if bits.at > 8 * len(bits.data):
+        raise WebpError("the image data ends early")
     return lengths + [0] * (size - len(lengths))
 
 
-def _group(bits: Bits, cache: int) -> list[Code]:
-    return [Code(_read_lengths(bits, n)) for n in (LITERALS + LENGTHS + (cache and 1 << cache), 256, 256, 256, DISTANCES)]
-
-
-def _number(bits: Bits, prefix: int) -> int:
-    """A length or distance from its prefix symbol."""
-    if prefix < 4:
-        return prefix + 1
-    extra = (prefix - 2) >> 1
-    return ((2 + (prefix & 1)) << extra) + bits.read(extra) + 1
-
-
 def _slot(pixel: int, cache: int) -> int:
     return (0x1E35A7BD * pixel & 0xFFFFFFFF) >> (32 - cache)
 
@@ -132,48 +119,173 @@ def _parts(n: int, bits: int) -> int:
     return (n + (1 << bits) - 1) >> bits
 
 
-def _pixels(bits: Bits, width: int, height: int, top: bool) -> list[int]:
-    """An entropy-coded image as a list of ARGB numbers."""
+class _Image:
+    """An entropy-coded image whose prefix codes are read: what ``_decoded`` needs of it."""
+
+    def __init__(self, bits: Bits, width: int, height: int, cache: int, block: int, meta: np.ndarray | None, groups: list[list[list[int]]]):
+        self.bits, self.width, self.size, self.cache, self.block, self.meta, self.groups = bits, width, width * height, cache, block, meta, groups
+
+
+def _image(bits: Bits, width: int, height: int, top: bool):
+    """Reads what stands before the pixels; yields the _Image and is sent its pixels (ARGB numbers), which it returns."""
     cache = bits.read(4) if bits.read(1) else 0
     if cache > 11:
         raise WebpError("too large a colour cache")
     block, meta = 0, None
     if top and bits.read(1):
         block = 2 + bits.read(3)
-        meta = [p >> 8 & 0xFFFF for p in _pixels(bits, _parts(width, block), _parts(height, block), False)]
-    groups = [_group(bits, cache) for _ in range(1 + max(meta) if meta else 1)]
-    out: list[int] = []
-    recent, kept, total, across = [0] * (1 << cache), 0, width * height, _parts(width, block)
-    while len(out) < total:
-        if meta is None:
-            green, red, blue, alpha, distance = groups[0]
-        else:
-            y, x = divmod(len(out), width)
-            green, red, blue, alpha, distance = groups[meta[(y >> block) * across + (x >> block)]]
-        s = green.next(bits)
-        if s < LITERALS:
-            r, b = red.next(bits), blue.next(bits)
-            out.append(alpha.next(bits) << 24 | r << 16 | s << 8 | b)
-        elif s < LITERALS + LENGTHS:
-            n = _number(bits, s - LITERALS)
-            d = _number(bits, distance.next(bits))
-            if d > 120:
-                d -= 120
+        meta = (yield from _image(bits, _parts(width, block), _parts(height, block), False)) >> np.uint32(8) & np.uint32(0xFFFF)
+    sizes = (LITERALS + LENGTHS + (cache and 1 << cache), 256, 256, 256, DISTANCES)
+    groups = [[_read_lengths(bits, n) for n in sizes] for _ in range(1 if meta is None else 1 + int(meta.max()))]
+    return (yield _Image(bits, width, height, cache, block, meta, groups))
+
+
+class _Codes:
+    """Prefix codes of many images: one table, in which the next bits of a code (first bit highest) stand at its own offset."""
+
+    def __init__(self, images: list[_Image]):
+        values, repeats, sizes, most = [], [], [], []
+        self.lone: list[int | None] = []
+        for lengths in (c for i in images for g in i.groups for c in g):
+            n = np.array(lengths, np.int64)
+            used = np.nonzero(n)[0]
+            if not len(used):
+                raise WebpError("a prefix code without symbols")
+            if len(used) == 1:
+                values.append(used << 4)
+                repeats.append(np.ones(1, np.int64))
+                self.lone.append(int(used[0]))
+                deepest = 0
             else:
-                x, y = NEAR[d - 1]
-                d = max(1, x + y * width)
-            if d > len(out) or len(out) + n > total:
+                used = used[np.argsort(n[used], kind="stable")]
+                deepest = int(n[used[-1]])
+                values.append(used << 4 | n[used])
+                repeats.append(1 << (deepest - n[used]))
+                self.lone.append(None)
+                if int(repeats[-1].sum()) != 1 << deepest:
+                    raise WebpError("an incomplete prefix code")
+            most.append(deepest)
+            sizes.append(1 << deepest)
+        self.table = np.repeat(np.concatenate(values).astype(np.uint16), np.concatenate(repeats))
+        self.most = np.array(most, np.uint64)
+        self.rest = np.uint64(63) - self.most
+        self.begin = np.cumsum(sizes) - sizes
+
+
+def _turned(value: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The n lowest bits of value, the other way round (n up to 24)."""
+    v = value.astype(np.int64)
+    whole = REVERSED[v & 255].astype(np.int64) << 16 | REVERSED[v >> 8 & 255].astype(np.int64) << 8 | REVERSED[v >> 16 & 255]
+    return whole >> (24 - n)
+
+
+_NEAR_X, _NEAR_Y = np.array(NEAR).T
+
+
+def _decoded(images: list[_Image]) -> list[np.ndarray]:
+    """The pixels of each image. All images are decoded in step, a literal, back-reference or cache symbol of each at a time."""
+    data = [i.bits.data for i in images]
+    begin = np.cumsum([0] + [len(d) for d in data])
+    raw = REVERSED[np.frombuffer(b"".join(data) + bytes(16), np.uint8)].tobytes()
+    words = np.ndarray((len(raw) - 8,), ">u8", raw, 0, (1,))  # the 64 bits from each byte on
+    last = len(raw) - 9
+    codes = _Codes(images)
+    table, table_at, rest = codes.table, codes.begin, codes.rest
+    size, width = np.array([i.size for i in images]), np.array([i.width for i in images])
+    base = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint32)
+    at = 8 * begin[:-1] + np.array([i.bits.at for i in images])
+    code = 5 * (np.cumsum([len(i.groups) for i in images]) - [len(i.groups) for i in images])
+    # images with one group whose literals vary in green alone, with several groups, and with a cache
+    plain = np.array([len(i.groups) == 1 and None not in codes.lone[c + 1 : c + 4] for i, c in zip(images, code.tolist())])
+    fixed = np.array([a << 24 | r << 16 | b if p else 0 for p, (r, b, a) in zip(plain.tolist(), ([x or 0 for x in codes.lone[c + 1 : c + 4]] for c in code.tolist()))], np.uint32)
+    several, cached = np.array([i.meta is not None for i in images]), np.array([i.cache > 0 for i in images])
+    all_plain, none_several, none_cached = bool(plain.all()), not several.any(), not cached.any()
+    block, across = np.array([i.block for i in images]), np.array([_parts(i.width, i.block) for i in images])
+    metas = [np.zeros(0, np.uint32) if i.meta is None else i.meta for i in images]
+    meta, meta_at = np.concatenate(metas).astype(np.int64), np.cumsum([0] + [len(x) for x in metas])[:-1]
+    slots = np.array([1 << i.cache if i.cache else 0 for i in images])
+    recent, recent_at, shift = np.zeros(int(slots.sum()), np.uint32), np.cumsum(slots) - slots, np.array([32 - i.cache for i in images], np.uint64)
+
+    def symbol(c, o):
+        """The next symbol of codes c at bits o, and the bits after it."""
+        w = words[np.minimum(o >> 3, last)].astype(np.uint64) << (o & 7).astype(np.uint64)
+        e = table[table_at[c] + (w >> np.uint64(1) >> rest[c]).astype(np.int64)]
+        return e >> 4, o + (e & 15)
+
+    def number(prefix, o):
+        """A length or distance from its prefix symbol."""
+        prefix = prefix.astype(np.int64)
+        extra = np.where(prefix < 4, 0, (prefix - 2) >> 1)
+        w = words[np.minimum(o >> 3, last)].astype(np.uint64) << (o & 7).astype(np.uint64)
+        more = _turned(w >> np.uint64(1) >> (63 - extra).astype(np.uint64), extra)
+        return np.where(prefix < 4, prefix, ((2 + (prefix & 1)) << extra) + more) + 1, o + extra
+
+    def remember(j, pixels):
+        keep = cached[j]
+        j, pixels = j[keep], pixels[keep]
+        recent[recent_at[j] + ((pixels.astype(np.uint64) * np.uint64(0x1E35A7BD) & np.uint64(0xFFFFFFFF)) >> shift[j]).astype(np.int64)] = pixels
+
+    j = np.nonzero(size)[0]  # images under way, and where they are
+    p, o = np.zeros(len(j), np.int64), at[j]
+    while len(j):
+        c = code[j]
+        if not none_several:
+            k = np.nonzero(several[j])[0]
+            i = j[k]
+            y, x = np.divmod(p[k], width[i])
+            c[k] += 5 * meta[meta_at[i] + (y >> block[i]) * across[i] + (x >> block[i])]
+        s, o = symbol(c, o)
+        pixel = fixed[j] | s.astype(np.uint32) << np.uint32(8)
+        if not all_plain:
+            k = np.nonzero(~plain[j] & (s < LITERALS))[0]
+            parts, at_k = [], o[k]
+            for part in (1, 2, 3):
+                v, at_k = symbol(c[k] + part, at_k)
+                parts.append(v.astype(np.uint32))
+            o[k] = at_k
+            pixel[k] = parts[2] << np.uint32(24) | parts[0] << np.uint32(16) | s[k].astype(np.uint32) << np.uint32(8) | parts[1]
+        step = np.ones(len(j), np.int64)
+        k = np.nonzero(s >= LITERALS)[0]
+        if len(k):
+            if not none_cached:
+                x = k[s[k] >= LITERALS + LENGTHS]
+                pixel[x] = recent[recent_at[j[x]] + s[x] - LITERALS - LENGTHS]
+                k = k[s[k] < LITERALS + LENGTHS]
+            i = j[k]
+            n, at_k = number(s[k] - LITERALS, o[k])
+            d, at_k = symbol(c[k] + 4, at_k)
+            d, o[k] = number(d, at_k)
+            short = np.minimum(d, 120) - 1
+            d = np.where(d > 120, d - 120, np.maximum(1, _NEAR_X[short] + _NEAR_Y[short] * width[i]))
+            if (d > p[k]).any() or (p[k] + n > size[i]).any():
                 raise WebpError("a back-reference leaves the image")
-            for _ in range(n):
-                out.append(out[-d])
+            step[k] = n
+            many = np.repeat(np.arange(len(k)), n)
+            off = np.arange(len(many)) - np.repeat(np.cumsum(n) - n, n)
+            to = (base[i] + p[k])[many]
+            copied = out[to - d[many] + off % d[many]]
+            out[to + off] = copied
+            one = np.ones(len(j), bool)
+            one[k] = False
+            out[base[j[one]] + p[one]] = pixel[one]
+            if not none_cached:
+                remember(i[many], copied)
+                remember(j[one], pixel[one])
         else:
-            while kept < len(out):  # pixels enter the cache when it is next looked at
-                recent[_slot(out[kept], cache)] = out[kept]
-                kept += 1
-            out.append(recent[s - LITERALS - LENGTHS])
-        if bits.at > 8 * len(bits.data):
+            out[base[j] + p] = pixel
+            if not none_cached:
+                remember(j, pixel)
+        p += step
+        left = p < size[j]
+        if not left.all():
+            at[j] = o
+            j, p, o = j[left], p[left], o[left]
+    for i, a, b in zip(images, at.tolist(), begin.tolist()):
+        i.bits.at = a - 8 * b
+        if i.bits.at > 8 * len(i.bits.data):
             raise WebpError("the image data ends early")
-    return out
+    return [out[b : b + n] for b, n in zip(base.tolist(), size.tolist())]
 
 
 def _channels(p: int) -> tuple[int, int, int, int]:
@@ -221,11 +333,10 @@ def _predicted(mode: int, left, top, right, corner):
     return 255, 0, 0, 0
 
 
-def _predict(pixels: list[int], width: int, height: int, block: int, modes: list[int], inverse: bool) -> list[int]:
-    """Adds (inverse) or subtracts the prediction from the decoded neighbours."""
-    out, across = [0] * len(pixels), _parts(width, block)
-    known = out if inverse else pixels
-    for i, p in enumerate(pixels):
+def _residuals(known: list[int], width: int, block: int, modes: list[int]) -> list[int]:
+    """The pixels without their predictions from neighbours."""
+    out, across = [0] * len(known), _parts(width, block)
+    for i, p in enumerate(known):
         y, x = divmod(i, width)
         if not i:
             guess = (255, 0, 0, 0)
@@ -236,37 +347,90 @@ def _predict(pixels: list[int], width: int, height: int, block: int, modes: list
         else:
             mode = modes[(y >> block) * across + (x >> block)] >> 8 & 15
             guess = _predicted(mode, *(_channels(known[i - d]) for d in (1, width, width - 1, width + 1)))
-        v = [(c + g if inverse else c - g) & 255 for c, g in zip(_channels(p), guess)]
+        v = [c - g & 255 for c, g in zip(_channels(p), guess)]
         out[i] = v[0] << 24 | v[1] << 16 | v[2] << 8 | v[3]
     return out
 
 
+def _unpredicted(pixels: np.ndarray, width: int, height: int, block: int, modes: np.ndarray) -> np.ndarray:
+    """Adds predictions to the residuals: the first row and column by sums, all else along lines x + 2 y = constant, whose pixels don't need each other."""
+    out = np.stack([pixels >> np.uint32(s) & np.uint32(255) for s in (24, 16, 8, 0)], -1).astype(np.int32).reshape(height, width, 4)
+    out[0, 0, 0] += 255
+    out[0] = np.cumsum(out[0], axis=0) & 255
+    out[:, 0] = np.cumsum(out[:, 0], axis=0) & 255
+    mode = (modes >> np.uint32(8) & np.uint32(15)).astype(np.int64)
+    across = _parts(width, block)
+    for t in range(3, width + 2 * height - 2):
+        y = np.arange(max(1, (t - width + 2) // 2), min(height - 1, (t - 1) // 2) + 1)
+        x = t - 2 * y
+        m = mode[(y >> block) * across + (x >> block)]
+        end = x == width - 1  # to the right of the last column the current row begins
+        left, top, corner = out[y, x - 1], out[y - 1, x], out[y - 1, x - 1]
+        right = out[np.where(end, y, y - 1), np.where(end, 0, x + 1)]
+        guess = np.zeros_like(left)
+        for k in set(m.tolist()):
+            some = m == k
+            guess[some] = _guess(k, left[some], top[some], right[some], corner[some])
+        out[y, x] = (out[y, x] + guess) & 255
+    v = out.reshape(-1, 4).astype(np.uint32)
+    return v[:, 0] << np.uint32(24) | v[:, 1] << np.uint32(16) | v[:, 2] << np.uint32(8) | v[:, 3]
+
+
+def _guess(mode: int, left, top, right, corner):
+    """The prediction of many pixels (rows of four channels) by one mode."""
+    mean = lambda a, b: (a + b) >> 1
+    if mode == 11:
+        nearer = np.abs(top - corner).sum(1) < np.abs(left - corner).sum(1)
+        return np.where(nearer[:, None], left, top)
+    if mode == 12:
+        return np.clip(left + top - corner, 0, 255)
+    if mode == 13:
+        a = mean(left, top)
+        half = np.abs(a - corner) >> 1
+        return np.clip(a + np.where(a < corner, -half, half), 0, 255)
+    if 1 <= mode <= 10:
+        return (left, top, right, corner, mean(mean(left, right), top), mean(left, corner), mean(left, top), mean(corner, top), mean(top, right), mean(mean(left, corner), mean(top, right)))[mode - 1]
+    return np.broadcast_to(np.array([255, 0, 0, 0]), left.shape)
+
+
 def _signed(v: int) -> int:
     return v - 256 if v > 127 else v
 
 
-def _cross(pixels: list[int], width: int, block: int, parts: list[int], inverse: bool) -> list[int]:
+def _cross(pixels: list[int], width: int, block: int, parts: list[int]) -> list[int]:
+    """The pixels with what green (and red) tells of red and blue taken off."""
     out, across = [], _parts(width, block)
     for i, p in enumerate(pixels):
         y, x = divmod(i, width)
         e = parts[(y >> block) * across + (x >> block)]
         a, r, g, b = _channels(p)
         by_green = lambda t: _signed(t) * _signed(g) >> 5
-        to_red, to_blue = by_green(e & 255), by_green(e >> 8 & 255)
-        if inverse:
-            r = (r + to_red) & 255
-            b = (b + to_blue + (_signed(e >> 16 & 255) * _signed(r) >> 5)) & 255
-        else:
-            b = (b - to_blue - (_signed(e >> 16 & 255) * _signed(r) >> 5)) & 255
-            r = (r - to_red) & 255
+        b = (b - by_green(e >> 8 & 255) - (_signed(e >> 16 & 255) * _signed(r) >> 5)) & 255
+        r = (r - by_green(e & 255)) & 255
         out.append(a << 24 | r << 16 | g << 8 | b)
     return out
 
 
+def _uncrossed(pixels: np.ndarray, width: int, block: int, parts: np.ndarray) -> np.ndarray:
+    y, x = np.divmod(np.arange(len(pixels)), width)
+    e = parts[(y >> block) * _parts(width, block) + (x >> block)]
+    byte = lambda v, s: (v >> np.uint32(s) & np.uint32(255)).astype(np.int32)
+    signed = lambda v: np.where(v > 127, v - 256, v)
+    g = signed(byte(pixels, 8))
+    r = (byte(pixels, 16) + (signed(byte(e, 0)) * g >> 5)) & 255
+    b = (byte(pixels, 0) + (signed(byte(e, 8)) * g >> 5) + (signed(byte(e, 16)) * signed(r) >> 5)) & 255
+    return pixels & np.uint32(0xFF00FF00) | r.astype(np.uint32) << np.uint32(16) | b.astype(np.uint32)
+
+
 def _shift_green(pixels: list[int], sign: int) -> list[int]:
     return [p & 0xFF00FF00 | ((p >> 16 & 255) + sign * (p >> 8 & 255) & 255) << 16 | (p & 255) + sign * (p >> 8 & 255) & 255 for p in pixels]
 
 
+def _with_green(pixels: np.ndarray) -> np.ndarray:
+    g = pixels >> np.uint32(8) & np.uint32(255)
+    return pixels & np.uint32(0xFF00FF00) | (pixels + (g << np.uint32(16)) & np.uint32(0xFF0000)) | (pixels + g & np.uint32(255))
+
+
 def _add(p: int, q: int) -> int:
     return ((p & 0xFF00FF00) + (q & 0xFF00FF00) & 0xFF00FF00) | ((p & 0x00FF00FF) + (q & 0x00FF00FF) & 0x00FF00FF)
 
@@ -289,8 +453,8 @@ def file_size(file: bytes, at: int = 0) -> int:
     return 8 + struct.unpack_from("<I", file, at + 4)[0]
 
 
-def decode(file: bytes) -> np.ndarray:
-    """(height, width, 4) array of alpha, red, green and blue samples."""
+def _file(file: bytes):
+    """Reads a file up to its pixels, as ``_image`` does; returns (pixels, full width, height, transforms to undo)."""
     bits = Bits(_payload(file))
     if bits.read(8) != 0x2F:
         raise WebpError("bad signature")
@@ -299,37 +463,59 @@ def decode(file: bytes) -> np.ndarray:
     if bits.read(3):
         raise WebpError("unknown version")
     undo, full = [], width
-    seen = set()
     while bits.read(1):
         kind = bits.read(2)
-        if kind in seen:
+        if any(kind == k for k, *_ in undo):
             raise WebpError("a transform occurs twice")
-        seen.add(kind)
         if kind in (PREDICTOR, CROSS):
             block = 2 + bits.read(3)
-            undo.append((kind, width, block, _pixels(bits, _parts(width, block), _parts(height, block), False)))
+            undo.append((kind, width, block, (yield from _image(bits, _parts(width, block), _parts(height, block), False))))
         elif kind == PALETTE:
-            table = _pixels(bits, 1 + bits.read(8), 1, False)
-            for i in range(1, len(table)):
-                table[i] = _add(table[i], table[i - 1])
-            undo.append((kind, width, _pack_bits(len(table)), table))
+            steps = yield from _image(bits, 1 + bits.read(8), 1, False)
+            undo.append((kind, width, _pack_bits(len(steps)), np.cumsum(steps[:, None].view(np.uint8).reshape(-1, 4), axis=0, dtype=np.uint8).view(np.uint32).ravel()))
             width = _parts(width, undo[-1][2])
         else:
             undo.append((kind, width, 0, None))
-    pixels = _pixels(bits, width, height, True)
+    return (yield from _image(bits, width, height, True)), full, height, undo
+
+
+def _undone(pixels: np.ndarray, height: int, undo: list) -> np.ndarray:
     for kind, w, k, data in reversed(undo):
         if kind == PREDICTOR:
-            pixels = _predict(pixels, w, height, k, data, True)
+            pixels = _unpredicted(pixels, w, height, k, data)
         elif kind == CROSS:
-            pixels = _cross(pixels, w, k, data, True)
+            pixels = _uncrossed(pixels, w, k, data)
         elif kind == GREEN:
-            pixels = _shift_green(pixels, 1)
+            pixels = _with_green(pixels)
         else:
-            across, each, bit = _parts(w, k), 1 << k, 8 >> k
-            pick = lambda i: data[i] if i < len(data) else 0
-            pixels = [pick((pixels[y * across + (x >> k)] >> 8 & 255) >> bit * (x & each - 1) & ((1 << bit) - 1)) for y in range(height) for x in range(w)]
-    flat = np.array(pixels, np.uint32)
-    return np.stack([flat >> s & 255 for s in (24, 16, 8, 0)], -1).astype(np.uint8).reshape(height, full, 4)
+            y, x = np.divmod(np.arange(w * height), w)
+            bit = np.uint32(8 >> k)
+            at = (pixels[y * _parts(w, k) + (x >> k)] >> np.uint32(8) & np.uint32(255)) >> (bit * (x & (1 << k) - 1).astype(np.uint32)) & np.uint32((1 << int(bit)) - 1)
+            pixels = np.concatenate([data, np.zeros(256 - len(data), np.uint32)])[at]
+    return pixels
+
+
+def decode_many(files: list[bytes]) -> list[np.ndarray]:
+    """A (height, width, 4) array of alpha, red, green and blue samples of each file. Entropy-coded images that the files have reached
+    (of transforms, of prefix code groups, at last their own) are decoded together."""
+    out: list = [None] * len(files)
+    readers = [_file(f) for f in files]
+    waiting = {k: next(r) for k, r in enumerate(readers)}
+    while waiting:
+        found = _decoded(list(waiting.values()))
+        for k, pixels in zip(list(waiting), found):
+            try:
+                waiting[k] = readers[k].send(pixels)
+            except StopIteration as end:
+                del waiting[k]
+                pixels, width, height, undo = end.value
+                v = _undone(pixels, height, undo)
+                out[k] = np.ascontiguousarray(v.astype(">u4")).view(np.uint8).reshape(height, width, 4)
+    return out
+
+
+def decode(file: bytes) -> np.ndarray:
+    return decode_many([file])[0]
 
 
 class _Out:
@@ -547,13 +733,13 @@ def encode(image: np.ndarray, predictor: int | None = None, cross: tuple[int, in
         n = _parts(width, 2) * _parts(height, 2)
         modes = [BLACK | (i % 14 if predictor < 0 else predictor) << 8 for i in range(n)]
         _put_pixels(out, modes, _parts(width, 2), False)
-        pixels = _predict(pixels, width, height, 2, modes, False)
+        pixels = _residuals(pixels, width, 2, modes)
     if cross is not None:
         out.put(1 | CROSS << 1 | 0 << 3, 6)
         n = _parts(width, 2) * _parts(height, 2)
         parts = [BLACK | (cross[0] & 255) << 16 | (cross[1] & 255) << 8 | (cross[2] + i & 255) for i in range(n)]
         _put_pixels(out, parts, _parts(width, 2), False)
-        pixels = _cross(pixels, width, 2, parts, False)
+        pixels = _cross(pixels, width, 2, parts)
     out.put(0, 1)
     _put_pixels(out, pixels, width, True, cache, references, block)
     return wrap(out.value.to_bytes((out.n + 7) // 8, "little"))
@@ -562,10 +748,15 @@ def encode(image: np.ndarray, predictor: int | None = None, cross: tuple[int, in
 # --- grey samples in bulk ---
 
 WIDTH = 24
+#: Shortest repetition that is looked for and that is written, longest prefix code that is written.
+GRAM, SHORTEST, DEEPEST = 4, 5, 12
+_NEAR_OF = np.zeros(9 * WIDTH, np.int64)
+for _k, (_x, _y) in reversed(list(enumerate(NEAR))):
+    _NEAR_OF[max(1, _x + _y * WIDTH)] = _k + 1
 
 
-def _packed(codes: np.ndarray, lens: np.ndarray) -> bytes:
-    """The codes (first bit highest) one after another, as bytes of the format (lowest bit first)."""
+def _packed(codes: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The codes (first bit highest, up to 15 bits) one after another, as bytes of the format (lowest bit first)."""
     c, n = codes.astype(np.uint64), lens.astype(np.uint64)
     for _ in range(2):  # fours of at most 60 bits
         if len(c) & 1:
@@ -573,8 +764,6 @@ def _packed(codes: np.ndarray, lens: np.ndarray) -> bytes:
         c, n = c[::2] << n[1::2] | c[1::2], n[::2] + n[1::2]
     c, n = c[n > 0], n[n > 0]
     end = np.cumsum(n)
-    if not len(end):
-        return b""
     start = end - n
     total = int(end[-1])
     c <<= np.uint64(64) - n
@@ -585,98 +774,173 @@ def _packed(codes: np.ndarray, lens: np.ndarray) -> bytes:
     words = np.zeros(int(word[-1]) + 2, np.uint64)
     words[word[first]] |= np.bitwise_or.reduceat(high, first)
     words[word[first] + 1] |= np.bitwise_or.reduceat(low, first)
-    return REVERSED[words.byteswap().view(np.uint8)[: (total + 7) // 8]].tobytes()
+    return REVERSED[words.byteswap().view(np.uint8)[: (total + 7) // 8]]
 
 
-def store(samples: np.ndarray) -> bytes:
-    """One image of the samples (a multiple of WIDTH): they are its green values, red and blue are 0, alpha is 255."""
-    height = len(samples) // WIDTH
-    counts = np.bincount(samples, minlength=256)
-    lengths = code_lengths(counts.tolist())
-    out = _Out()
-    out.put(0x2F, 8)
-    out.put(WIDTH - 1, 14)
-    out.put(height - 1, 14)
-    out.put(0, 4)
-    out.put(0, 1)  # no transform
-    out.put(0, 2)  # no cache, one group
-    _put_lengths(out, lengths + [0] * LENGTHS)
-    for s in (0, 0, 255, 0):  # red, blue, alpha, distance: one symbol each
-        out.put(0b101 | s << 3, 11)
-    lone = np.count_nonzero(counts) == 1
-    head = np.unpackbits(np.frombuffer(out.value.to_bytes((out.n + 7) // 8, "little"), np.uint8), bitorder="little")[: out.n]
-    if lone:
-        return wrap(np.packbits(head, bitorder="little").tobytes())
-    codes, n = np.array(canonical(lengths), np.uint64), np.array(lengths, np.uint64)
-    return wrap(_packed(np.concatenate([head.astype(np.uint64), codes[samples]]), np.concatenate([np.ones(out.n, np.uint64), n[samples]])))
-
-
-def _plain(file: bytes):
-    """(samples, bit at which they begin, code lengths) of an image of literals in green only, else None."""
-    bits = Bits(_payload(file))
-    if bits.read(8) != 0x2F:
-        raise WebpError("bad signature")
-    width, height = 1 + bits.read(14), 1 + bits.read(14)
-    bits.read(1)
-    if bits.read(3) or bits.read(1) or bits.read(1) or bits.read(1):
-        return None
-    lengths = _read_lengths(bits, LITERALS + LENGTHS)
-    others = [[s for s, n in enumerate(_read_lengths(bits, n)) if n] for n in (256, 256, 256, DISTANCES)]
-    if any(len(x) != 1 for x in others) or sum(n > 0 for n in lengths) < 2:
-        return None
-    return width * height, bits.at, lengths
+def _earlier(x: np.ndarray) -> np.ndarray:
+    """For each place of x the distance to the last place before it where the same GRAM samples begin, 0 if there is none."""
+    n = len(x) - GRAM + 1
+    out = np.zeros(len(x), np.int32)
+    if n < 2:
+        return out
+    low, high = (x[k : n + k].astype(np.uint16) | x[k + 1 : n + k + 1].astype(np.uint16) << np.uint16(8) for k in (0, 2))
+    order = np.argsort(low, kind="stable")
+    order = order[np.argsort(high[order], kind="stable")]
+    gram = low.astype(np.uint32) | high.astype(np.uint32) << np.uint32(16)
+    same = gram[order[1:]] == gram[order[:-1]]
+    out[order[1:][same]] = (order[1:] - order[:-1])[same]
+    return out
 
 
-def load(files: list[bytes]) -> list[np.ndarray]:
-    """The green samples of each image."""
-    out: list = [None] * len(files)
-    plain = []
-    for k, f in enumerate(files):
-        got = _plain(f)
-        if got is None:
-            out[k] = decode(f)[..., 2].ravel()
-        else:
-            plain.append((got[0], k, got[1], got[2]))
-    if not plain:
-        return out
-    plain.sort(key=lambda x: -x[0])  # the images still under way are the first ones
-    size = np.array([x[0] for x in plain])
-    data = [_payload(files[x[1]]) for x in plain]
-    begin = np.cumsum([0] + [len(d) for d in data])
-    stream = REVERSED[np.frombuffer(b"".join(data) + b"\0\0\0", np.uint8)].astype(np.uint32)
-    at = (begin[:-1] * 8 + np.array([x[2] for x in plain])).astype(np.int64)
-    lengths = np.array([x[3] for x in plain], np.uint8)
-    most = int(lengths.max())
-    per = np.stack([(lengths == n).sum(1) for n in range(1, most + 1)], 1)
-    # first code of each length, and above which value (of ``most`` bits) a code is longer
-    limit = np.cumsum(per << np.arange(most - 1, -1, -1), axis=1)
-    before = np.cumsum(per, axis=1) - per
-    base = before - ((np.concatenate([np.zeros((len(plain), 1), np.int64), limit[:, :-1]], 1)) >> np.arange(most - 1, -1, -1))
-    symbols = np.argsort(np.where(lengths == 0, 255, lengths), axis=1, kind="stable").astype(np.int16)
-    columns = [np.ascontiguousarray(limit[:, n]).astype(np.int32) for n in range(most - 1)]
-    base = np.ascontiguousarray(base.astype(np.int32)).ravel()
-    rows = np.arange(len(plain)) * most
-    symbols_at, symbols = np.arange(len(plain)) * symbols.shape[1], symbols.ravel()
-    steps = int(size[0])
-    got = np.zeros((steps, len(plain)), np.int16)
-    m = len(plain)
-    for step in range(steps):
-        while size[m - 1] <= step:
-            m -= 1
-        i = at[:m] >> 3
-        window = stream[i] << np.uint32(16) | stream[i + 1] << np.uint32(8) | stream[i + 2]
-        v = ((window >> (24 - most - (at[:m] & 7)).astype(np.uint32)) & np.uint32((1 << most) - 1)).astype(np.int32)
-        n = np.zeros(m, np.int32)
-        for c in columns:
-            n += v >= c[:m]
-        got[step, :m] = symbols[symbols_at[:m] + base[rows[:m] + n] + (v >> (most - 1 - n))]
-        at[:m] += n + 1
-    ended = at > 8 * begin[1:]
-    back = np.ascontiguousarray(got.T)
-    for j, (n, k, _, _) in enumerate(plain):
-        s = back[j, :n]
-        if ended[j] or (s >= LITERALS).any():  # damaged, or more than literals
-            out[k] = decode(files[k])[..., 2].ravel()
+def _greens(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray, _Out, int, int]:
+    """(green values to be coded, their ``_earlier``, header with the transform that is chosen, alpha of all pixels, width).
+
+    A palette is used where it packs several samples into a pixel (at most 16 different ones), a predictor (left or top, one for the image) where
+    little of the samples repeats and the entropy of the residuals is smaller by a tenth. A cross-colour transform or subtracting green have nothing to tell of samples that are
+    all green, and a colour cache symbol stands for one pixel as a literal does, so neither can make these images smaller.
+    """
+    height, out = len(samples) // WIDTH, _Out()
+    for value, bits in ((0x2F, 8), (WIDTH - 1, 14), (height - 1, 14), (0, 4)):
+        out.put(value, bits)
+    counts = np.bincount(samples, minlength=256)
+    there = np.nonzero(counts)[0]
+    if len(there) <= 16:
+        k = _pack_bits(len(there))
+        out.put(1 | PALETTE << 1, 3)
+        out.put(len(there) - 1, 8)
+        table = [BLACK | int(v) << 8 for v in there]
+        _put_pixels(out, [table[0]] + [(b - a) & 0xFF00 for a, b in zip(table, table[1:])], len(table), False)
+        at = np.zeros(256, np.uint8)
+        at[there] = np.arange(len(there))
+        grid = at[samples].reshape(height, WIDTH)
+        packed = np.zeros((height, _parts(WIDTH, k)), np.uint8)
+        for i in range(1 << k):
+            part = grid[:, i :: 1 << k]
+            packed[:, : part.shape[1]] |= part << np.uint8((8 >> k) * i)
+        return packed.ravel(), _earlier(packed.ravel()), out, 255, _parts(WIDTH, k)
+    earlier = _earlier(samples)
+    if 4 * np.count_nonzero(earlier) > len(samples):
+        return samples, earlier, out, 255, WIDTH
+    best, cost = None, 0.9 * _entropy(counts)
+    grid = samples.reshape(height, WIDTH)
+    for mode in (1, 2):
+        less = np.empty_like(grid)
+        if mode == 1:
+            less[:, 1:] = grid[:, 1:] - grid[:, :-1]
         else:
-            out[k] = s.astype(np.uint8)
-    return out
+            less[1:, 1:] = grid[1:, 1:] - grid[:-1, 1:]
+            less[0, 1:] = grid[0, 1:] - grid[0, :-1]
+        less[1:, 0] = grid[1:, 0] - grid[:-1, 0]
+        less[0, 0] = grid[0, 0]
+        if (e := _entropy(np.bincount(less.ravel(), minlength=256))) < cost:
+            best, cost = (mode, less.ravel()), e
+    if best:
+        out.put(1 | PREDICTOR << 1 | 7 << 3, 6)  # blocks of 512
+        _put_pixels(out, [BLACK | best[0] << 8] * _parts(height, 9), 1, False)
+        return best[1], _earlier(best[1]), out, 0, WIDTH
+    return samples, earlier, out, 255, WIDTH
+
+
+def _entropy(counts: np.ndarray) -> float:
+    n = counts[counts > 0]
+    return float((n * (np.log2(n.sum()) - np.log2(n))).sum())
+
+
+def store_many(many: list[np.ndarray]) -> list[bytes]:
+    """One image of each array of samples (a multiple of WIDTH): they are its green values, red and blue are 0, alpha is 255."""
+    chosen = [_greens(x) for x in many]
+    flat = np.concatenate([g for g, *_ in chosen])
+    size = np.array([len(g) for g, *_ in chosen])
+    base = np.cumsum(size) - size
+    distance = np.concatenate([e for _, e, *_ in chosen])
+    # lengths: as long as the same distance goes on, the samples are the same
+    cut = np.nonzero(np.diff(distance, append=-1))[0]
+    here = np.arange(len(flat), dtype=np.int32)
+    n = np.where(distance > 0, np.repeat(cut.astype(np.int32), np.diff(cut, prepend=-1)) - here + np.int32(GRAM), np.int32(1))
+    n = np.where(n >= SHORTEST, np.minimum(n, np.int32(4096)), np.int32(1))
+    # greedy: from the first place on, each token leads to the next; all images in step
+    end = base + size
+    begins = np.zeros(len(flat) + 1, bool)
+    at, stop = base.copy(), end
+    following = here + n
+    while len(at):
+        begins[at] = True
+        at = following[at]
+        if (at >= stop).any():
+            left = at < stop
+            at, stop = at[left], stop[left]
+    token = np.nonzero(begins[:-1])[0]
+    image = np.repeat(np.arange(len(many)), np.add.reduceat(begins[:-1], base, dtype=np.int64))
+    n = n[token]
+    long = n > 1
+    green = flat[token].astype(np.int64)
+    prefix, extra, more = _prefixes(n[long].astype(np.int64))
+    green[long] = LITERALS + prefix
+    d = distance[token[long]].astype(np.int64)
+    del distance, following, here, begins, flat
+    # distances along and across the image's own rows; these are WIDTH wide unless a palette packs them
+    wide = np.array([w for *_, w in chosen]) == WIDTH
+    near = np.where(wide[image[long]] & (d < len(_NEAR_OF)), _NEAR_OF[np.minimum(d, len(_NEAR_OF) - 1)], 0)
+    far_prefix, far_extra, far_more = _prefixes(np.where(near > 0, near, d + 120))
+    counts = np.bincount(image * 280 + green, minlength=280 * len(many)).reshape(-1, 280)
+    far_counts = np.bincount(image[long] * DISTANCES + far_prefix, minlength=DISTANCES * len(many)).reshape(-1, DISTANCES)
+    codes, lens = np.zeros((len(many), 280), np.int64), np.zeros((len(many), 280), np.int64)
+    far_codes, far_lens = np.zeros((len(many), DISTANCES), np.int64), np.zeros((len(many), DISTANCES), np.int64)
+    heads, head_lens = [], []
+    for i, (_, _, out, alpha, _) in enumerate(chosen):
+        out.put(0, 1)  # no more transform
+        out.put(0, 2)  # no cache, one group
+        _put_code(out, counts[i], codes[i], lens[i])
+        for s in (0, 0, alpha):  # red, blue, alpha: one symbol each
+            out.put(0b101 | s << 3, 11)
+        _put_code(out, far_counts[i], far_codes[i], far_lens[i])
+        raw = np.frombuffer(out.value.to_bytes((out.n + 7) // 8, "little"), np.uint8)
+        bits = np.full(len(raw), 8)
+        bits[-1] = (out.n - 1) % 8 + 1
+        heads.append(REVERSED[raw].astype(np.int64) >> (8 - bits))
+        head_lens.append(bits)
+    # all files' bits at once: heads, then a symbol per token (of repetitions five parts), then what fills the last byte
+    parts = np.where(long, 5, 1)
+    per = np.bincount(image, parts, len(many)).astype(np.int64)
+    begin = np.cumsum([0] + [len(h) + k + 1 for h, k in zip(heads, per.tolist())])
+    all_codes, all_lens = np.zeros(begin[-1], np.int64), np.zeros(begin[-1], np.int64)
+    for b, h, hl in zip(begin.tolist(), heads, head_lens):
+        all_codes[b : b + len(h)], all_lens[b : b + len(h)] = h, hl
+    first = np.cumsum(parts) - parts
+    first += (begin[:-1] + [len(h) for h in heads] - (np.cumsum(per) - per))[image]
+    all_codes[first], all_lens[first] = codes[image, green], lens[image, green]
+    x, i = first[long], image[long]
+    high = far_extra // 2  # up to 18 bits: in two parts, the lower bits first
+    low = far_extra - high
+    for k, (c, b) in enumerate(((_turned(more, extra), extra), (far_codes[i, far_prefix], far_lens[i, far_prefix]), (_turned(far_more & (1 << low) - 1, low), low), (_turned(far_more >> low, high), high)), 1):
+        all_codes[x + k], all_lens[x + k] = c, b
+    total = np.add.reduceat(all_lens, begin[:-1])
+    all_lens[begin[1:] - 1] = -total % 8
+    edge = np.cumsum((total + 7) // 8)
+    raw = _packed(all_codes, all_lens).tobytes()
+    return [wrap(raw[a:b]) for a, b in zip([0, *edge.tolist()], edge.tolist())]
+
+
+def _prefixes(v: np.ndarray):
+    """(prefix symbol, extra bits, their value) of lengths or distances of at least 1."""
+    v = v - 1
+    top = np.floor(np.log2(np.maximum(v, 1) + 0.5)).astype(np.int64)
+    small = v < 4
+    extra = np.where(small, 0, top - 1)
+    return np.where(small, v, 2 * top + (v >> np.maximum(top - 1, 0) & 1)), extra, np.where(small, 0, v & (1 << extra) - 1)
+
+
+def _put_code(out: _Out, counts: np.ndarray, codes: np.ndarray, lens: np.ndarray) -> None:
+    """Writes a code for the counts and notes it in codes and lens (none for a lone symbol, which takes no bits)."""
+    lengths = code_lengths(counts.tolist(), DEEPEST)
+    used = np.nonzero(counts)[0]
+    if len(used) == 1 and used[0] >= 256:  # such a lone symbol has no simple form: a second one completes the code
+        lengths[0] = 1
+    _put_lengths(out, lengths)
+    if sum(n > 0 for n in lengths) > 1:
+        codes[:], lens[:] = canonical(lengths), lengths
+
+
+def load_many(files: list[bytes]) -> list[np.ndarray]:
+    """The green samples of each image."""
+    return [image[..., 2].ravel() for image in decode_many(files)]
