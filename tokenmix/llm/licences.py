@@ -1,6 +1,7 @@
 """Licence scan: units of a text against licence templates by the Dice coefficient over word bigrams, in column expressions only.
 
-A text's units are its lines, its paragraphs of several lines (runs of non-blank lines) and the whole text. Unit and template are normalised
+A text's units are its lines, its paragraphs of several lines (runs of non-blank lines), the sentences of both and the whole text; units with the same bigrams
+count once. Unit and template are normalised
 alike (A-Z lower-cased, words are runs of letters, digits and non-ASCII characters) and compared as sets of word bigrams:
 dice = 2 |A and B| / (|A| + |B|) >= ``LEAST``.
 
@@ -26,6 +27,7 @@ from .common import free_name
 from .decontaminate import words
 
 LEAST = 0.8
+SENTENCE_END = r"[.!?][ \t\r\n]+"
 
 # Notices and bodies of public licences, (name, text).
 TEMPLATES = (
@@ -63,7 +65,59 @@ TEMPLATES = (
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    ("MIT", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    (
+        "ISC",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    ("BSD-2-Clause", BSD_HEAD := "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD-2-Clause", BSD_ONE := "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("BSD-2-Clause", BSD_TWO := "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", BSD_THREE := "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    (
+        "BSD-2-Clause",
+        BSD_WARRANTY := "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    ("BSD-2-Clause", " ".join((BSD_HEAD, BSD_ONE, BSD_TWO, BSD_WARRANTY))),
+    ("BSD-3-Clause", " ".join((BSD_HEAD, BSD_ONE, BSD_TWO, BSD_THREE, BSD_WARRANTY))),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    ),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    (
+        "GPL-2.0-or-later",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ),
+    ("GPL", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("GPL", "You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
+    (
+        "LGPL-3.0-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    (
+        "AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
 )
+#: Whole texts of more than one paragraph, for files that hold nothing else.
+TEMPLATES += (("MIT", " ".join(t for n, t in TEMPLATES if n == "MIT" and len(t) > 400)), ("ISC", " ".join(t for n, t in TEMPLATES if n == "ISC")))
+
+#: Words of everyday prose: a cover is made of others first.
+COMMON = frozenset(
+    "a above all alter altered an and any anyone appreciated are as at author be being binary but by can claim code conditions copies copy damages details direct distribute either even event express following for form forms free from further general "
+    "have held hope if in included including international is it its kind law later level list loss made materials may means met more must name names neither no nor not notice of on option or origin original other out part particular permitted persons "
+    "portions possibility possible prior product products profits program project promote provided public publish published purpose received related released remove required restriction retain rights see sell service shall should source special specific "
+    "subject such terms that the this to under use used useful version way whether which will with without work written you".split()
+)
 
 
 def words_of(text: str) -> list[str]:
@@ -81,18 +135,16 @@ def size_bounds(size: int, least: float = LEAST) -> tuple[int, int]:
 
 
 def cover(templates=TEMPLATES, least: float = LEAST) -> list[str]:
-    """Words of which every unit that reaches least against a template contains one."""
+    """Words of which every unit that reaches least against a template contains one: those of everyday prose last."""
     chosen: set[str] = set()
     for _, text in templates:
-        bigrams = bigrams_of(text)
+        bigrams = [tuple(b.split()) for b in bigrams_of(text)]
         need = len(bigrams) - size_bounds(len(bigrams), least)[0] + 1
-        rest = sorted({w for b in bigrams for w in b.split()}, key=lambda w: (w not in chosen, -len(w), w))
-        mine: set[str] = set()
-        for w in rest:
-            if sum(bool(mine & set(b.split())) for b in bigrams) >= need:
-                break
-            mine.add(w)
-        chosen |= mine
+        open_ones = [b for b in bigrams if not chosen & set(b)]
+        while len(bigrams) - len(open_ones) < need:
+            best = min({w for b in open_ones for w in b}, key=lambda w: (w in COMMON, len(w) < 3, 0 if w in COMMON else -sum(w in b for b in open_ones), -len(w), w))
+            chosen.add(best)
+            open_ones = [b for b in open_ones if best not in b]
     return sorted(w for w in chosen if not any(o != w and o in w for o in chosen))  # a word within another stands for it
 
 
@@ -105,7 +157,7 @@ def _has(text: Column, some: list[str]) -> Column:
 
 def bigrams(unit: Column) -> Column:
     w = words(unit)
-    return F.when(F.size(w) >= 2, F.array_distinct(F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b)))).otherwise(F.array().cast("array<string>"))
+    return F.when(F.size(w) >= 2, F.array_sort(F.array_distinct(F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b))))).otherwise(F.array().cast("array<string>"))
 
 
 def matches(text: Column, templates=TEMPLATES, least: float = LEAST) -> Column:
@@ -113,10 +165,11 @@ def matches(text: Column, templates=TEMPLATES, least: float = LEAST) -> Column:
     some = cover(templates, least)
     listed = F.array(*(F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, bigrams_of(t))).alias("b"), *(F.lit(x).alias(k) for k, x in zip(("low", "high"), size_bounds(len(bigrams_of(t)), least)))) for n, t in templates))
     text = F.coalesce(text, F.lit(""))
-    paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n"), lambda p: F.contains(p, F.lit("\n")))
-    units = F.array_distinct(F.concat(F.split(text, "\n"), paragraphs, F.array(text)))
-    near = F.filter(units, lambda u: _has(F.lower(u), some))
-    sets = F.filter(F.transform(near, bigrams), lambda b: F.size(b) >= 1)
+    with_cover = lambda units: F.filter(units, lambda u: _has(F.lower(u), some))
+    blocks = F.concat(with_cover(F.split(text, "\n")), F.filter(with_cover(F.split(text, r"\n[ \t\r]*\n")), lambda p: F.contains(p, F.lit("\n"))))
+    sentences = F.flatten(F.transform(blocks, lambda u: F.split(u, SENTENCE_END)))
+    units = F.array_distinct(F.concat(blocks, with_cover(sentences), F.array(text)))
+    sets = F.filter(F.array_distinct(F.transform(units, bigrams)), lambda b: F.size(b) >= 1)
 
     def against(b):
         fit = F.filter(listed, lambda t: (F.size(b) >= t["low"]) & (F.size(b) <= t["high"]))
@@ -149,13 +202,15 @@ ORACLE = f"""
 WITH t0(name, body) AS (VALUES {", ".join(f"({_quoted(n)}, {_quoted(b)})" for n, b in TEMPLATES)}),
 t1 AS (SELECT name, row_number() OVER () AS k, {_WORDS.format("body")} AS w FROM t0),
 t AS (SELECT name, k, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM t1),
-u0 AS (
-  SELECT doc_id, unnest(list_distinct(list_concat(string_split(x, chr(10)),
-         list_filter(string_split_regex(x, '\\n[ \\t\\r]*\\n'), lambda p: contains(p, chr(10))), [x]))) AS u
+u9 AS (
+  SELECT doc_id, x, list_concat(string_split(x, chr(10)), list_filter(string_split_regex(x, '\\n[ \\t\\r]*\\n'), lambda p: contains(p, chr(10)))) AS blocks
   FROM (SELECT doc_id, coalesce(text, '') AS x FROM documents)
 ),
+u0 AS (
+  SELECT doc_id, unnest(list_distinct(list_concat(blocks, flatten(list_transform(blocks, lambda k: string_split_regex(k, '[.!?][ \\t\\r\\n]+'))), [x]))) AS u FROM u9
+),
 u1 AS (SELECT doc_id, {_WORDS.format("u")} AS w FROM u0),
-u AS (SELECT doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM u1 WHERE len(w) >= 2),
+u AS (SELECT DISTINCT doc_id, list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS b FROM u1 WHERE len(w) >= 2),
 m AS (
   SELECT doc_id, name, round(2.0::DOUBLE * len(list_intersect(u.b, t.b)) / (len(u.b) + len(t.b)), 6) AS dice
   FROM u JOIN t ON list_has_any(u.b, t.b)
