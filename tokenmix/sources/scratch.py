@@ -12,6 +12,8 @@ from ..shipping import ship
 
 def folder(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: driver and executors need a folder that they share")
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="tokenmix-")
         spark.conf.set("spark.checkpoint.dir", base)
