@@ -123,6 +123,36 @@ def test_quality_of_odd_rows(spark, odd, nothing):
     assert quality.score(nothing, quality.train(odd, labels)).count() == 0
 
 
+def test_quality_scores_equal_brute_force(spark):
+    """Compressed sizes chunk by chunk, a calibration that solves its equations, and scores from both."""
+    import zstandard
+
+    rnd = random.Random(21)
+    good, bad = ["careful", "sentence", "argument", "evidence", "result"], ["click", "now", "free", "win", "$$$"]
+    rows = [(i, " ".join(rnd.choice((good if rnd.random() < 0.8 else bad) if i % 2 else (bad if rnd.random() < 0.8 else good)) for _ in range(rnd.randint(5, 300))), i % 2) for i in range(600)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    model = quality.train(docs.unionByName(docs), labels)
+
+    def feature(text):
+        size = {}
+        for name, d in (("good", model.good), ("bad", model.bad)):
+            size[name] = 0
+            for k in range(0, len(text), 512):
+                c = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False)
+                size[name] += len(c.compress(text[k : k + 512]))
+        return (size["bad"] - size["good"]) / len(text) if text else 0.0
+
+    seen = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    fitted = [(feature(t.encode()), q) for i, t, q in seen if zlib.crc32(f"half {i}".encode()) % 2]
+    x, y = np.array([f for f, _ in fitted]), np.array([q for _, q in fitted], float)
+    target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
+    p = 1 / (1 + np.exp(-(model.slope * x + model.offset)))
+    assert abs(((target - p) * x / x.std()).sum() - 1e-3 * model.slope * x.std()) < 1e-5 and abs((target - p).sum() - 1e-3 * model.offset) < 1e-5
+    for r in quality.score(docs, model).collect():
+        want = 1 / (1 + np.exp(-np.clip(model.slope * feature(r["text"].encode()) + model.offset, -30, 30)))
+        assert abs(r["score"] - want) < 1e-12 and r["predicted"] == (want >= 0.7)
+
+
 def test_quality_learns_from_no_held_out_label(spark):
     rows = [(i, ("good words here " if zlib.crc32(str(i).encode()) % 4 != 2 else "HELD OUT ") * 20, i % 2) for i in range(400)]
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")

@@ -32,9 +32,11 @@ def ready(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder URL below spark.checkpoint.dir, which driver and executors share.
 
-    Where the setting is absent (plain local sessions, tests) a local folder is set for the session.
+    Where the setting is absent a local folder is set for the session, if it is a local one (tests); elsewhere that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: driver and executors need a folder that they share")
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="tokenmix-shared-")
         spark.conf.set("spark.checkpoint.dir", base)

@@ -10,8 +10,9 @@ Learned from labelled rows that are not held out, at most ``TRAIN_ROWS`` of each
 smallest hash of doc_id) of at most ``TRAIN_BYTES`` each. Labels, lang, source and doc_id are no inputs of a score.
 
 Defined cases: a null text is an empty text and gets the score of feature 0; without labels of both kinds
-every score is the share of label 1 (0.5 without labels); repeated rows each get a score; a null label
-is no label; other columns are not read.
+every score is the share of label 1 (0.5 without labels); repeated rows each get a score, equal texts (ties) the same; a null label
+is no label; of an id with several texts the smallest is learned from; very long texts are scored chunk by chunk; an empty table gives
+an empty result; other columns are kept (``score`` and ``predicted`` are replaced).
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, ready
+from .common import held_out, kept, ready
 
 TRAIN_ROWS, TRAIN_BYTES = 1500, 16 << 10
 DICTIONARY_BYTES, CHUNK, LEVEL = 32 << 10, 512, 3
@@ -114,13 +115,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         some = usable.where(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         sample = some if sample is None else sample.unionByName(some)
     texts = docs.where(F.col("text").isNotNull() & (F.octet_length("text") <= TRAIN_BYTES)).select("doc_id", "text")
-    got = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "quality").collect()  # at most 2 * rows texts of TRAIN_BYTES
+    # one text of an id, however often the id occurs: at most 2 * rows texts of TRAIN_BYTES
+    got = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text")).collect()
     return fit(sorted((r["doc_id"], r["text"], r["quality"]) for r in got))
 
 
-_tools: dict = {}
-
-
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of docs, then score double and predicted int (replacing such columns)."""
     spark = ready(docs.sparkSession)
@@ -130,10 +129,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def work(batches):
         model = shared.value
-        if _tools.get("key") != key:
-            _tools.update(key=key, tools=model.compressors())
+        store = kept("quality")
+        if key not in store:
+            store.clear()
+            store[key] = model.compressors()
         for b in batches:
-            s = model.scores(b.column(at).to_pylist(), _tools["tools"])
+            s = model.scores(b.column(at).to_pylist(), store[key])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], [*b.schema.names, "score", "predicted"])
 
     return docs.mapInArrow(work, schema)
