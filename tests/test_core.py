@@ -188,7 +188,7 @@ EXTRACT = [
     (b'{"cluster_id":1.0,"tokens":[1],"token_count":1}', "field_before_tokens"), (b'{"cluster_id":1e0,"tokens":[1],"token_count":1}', "field_before_tokens"), (b'{"cluster_id":1,"tokens":{},"token_count":1}', "tokens_not_array"),
     (b'{"cluster_id":1,"tokens":[1],"x":1,"token_count":1}', "field_before_token_count"), (b'{"cluster_id":1,"tokens":[1],"token_count":null}', "token_count_not_integer"), (b'{"cluster_id":1,"tokens":[1],"token_count":1,"x":1}', "field_after_token_count"),
     (b'{"cluster_id":21,"tokens":[1],"token_count":1}', "cluster_id_out_of_range"), (b'{"cluster_id":-1,"tokens":[1],"token_count":1}', "cluster_id_out_of_range"), (b'{"cluster_id":1,"tokens":[1],"token_count":0}', "token_count_not_positive"),
-    (b'{"cluster_id":1,"tokens":[1],"token_count":99999999999999999999}', "token_count_not_positive"), ("﻿".encode() + b'{"cluster_id":1,"tokens":[1],"token_count":1}', "not_object"),
+    (b'{"cluster_id":1,"tokens":[1],"token_count":99999999999999999999}', "token_count_beyond_64_bits"), (b'{"cluster_id":1,"tokens":[1],"token_count":-99999999999999999999}', "token_count_not_positive"), ("﻿".encode() + b'{"cluster_id":1,"tokens":[1],"token_count":1}', "not_object"),
 ]
 
 

@@ -29,12 +29,12 @@ _LADDER = (
 WHOLE = r"(?s)\A" + _EDGE + "".join(p for _, p in _LADDER)[: -len(r"\z")] + _EDGE + r"\z"
 
 
-def _fields(value: Column) -> tuple[Column, Column, Column]:
-    """(regular, cluster_id, token_count) of records that have the layout."""
+def _fields(value: Column) -> tuple[Column, Column, Column, Column]:
+    """(regular, cluster_id, token_count, whether that is positive but no BIGINT) of records that have the layout."""
     regular = F.coalesce(value.rlike(WHOLE), F.lit(False)) & (F.regexp_count(value, F.lit("|".join(KEYS))) == 3)
     cluster = F.regexp_extract(value, WHOLE, 1).try_cast("long")
     count = F.regexp_extract(value, WHOLE, 2).try_cast("long")
-    return regular, cluster, count
+    return regular, cluster, count, count.isNull() & ~F.regexp_extract(value, WHOLE, 2).startswith("-")
 
 
 def _fault(value: Column) -> Column:
@@ -52,14 +52,17 @@ def _fault(value: Column) -> Column:
 
 
 def extract(lines: DataFrame, value: str = "value") -> DataFrame:
-    """lines without value, with cluster_id int, token_count long and reason string (null: accepted). Numbers beyond 63 bits are rejected as out of range."""
+    """lines without value, with cluster_id int, token_count long and reason string (null: accepted). Counts that no BIGINT holds are rejected as such."""
     v = F.col(value)
-    regular, cluster, count = _fields(v)
-    known = F.when(regular, F.struct(cluster.alias("cluster"), count.alias("count")))
+    regular, cluster, count, large = _fields(v)
+    known = F.when(regular, F.struct(cluster.alias("cluster"), count.alias("count"), large.alias("large")))
     first, last = min(settings.ALL_CLUSTERS), max(settings.ALL_CLUSTERS)
     k, n = F.col("_k.cluster"), F.col("_k.count")
     reason = (
-        F.when(F.col("_k").isNull(), _fault(v)).when(~F.coalesce(k.between(first, last), F.lit(False)), "cluster_id_out_of_range").when(~F.coalesce(n > 0, F.lit(False)), "token_count_not_positive")
+        F.when(F.col("_k").isNull(), _fault(v))
+        .when(~F.coalesce(k.between(first, last), F.lit(False)), "cluster_id_out_of_range")
+        .when(F.col("_k.large"), "token_count_beyond_64_bits")
+        .when(~F.coalesce(n > 0, F.lit(False)), "token_count_not_positive")
     )
     rest = [c for c in lines.columns if c != value]
     return lines.withColumn("_k", known).withColumn("reason", reason).select(*rest, F.when(F.col("reason").isNull(), k).cast("int").alias("cluster_id"), F.when(F.col("reason").isNull(), n).alias("token_count"), "reason")

@@ -335,12 +335,15 @@ def oracle_sql():
         "document_shares": _with(_D, _T, _C, _E) + "SELECT cluster_id, docs, round(100.0::DOUBLE * docs / sum(docs) OVER (), 6) AS percent_docs FROM e",
         "accepted_filter": _with(_D) + f"SELECT doc_id, cluster_id, token_count FROM d WHERE {_A}",
         "cluster_domain_filter": _with(_D) + "SELECT doc_id, cluster_id + 5 AS cluster_id FROM d WHERE cluster_id + 5 BETWEEN 1 AND 20",
-        "cluster_key_set_diff": "SELECT 12 AS cluster_id, 'left' AS side UNION ALL SELECT 3, 'right' UNION ALL SELECT 8, 'right'",
+        "cluster_key_set_diff": _with(_D, _T, _S) + ", a AS (SELECT cluster_id FROM s), b AS (SELECT cluster_id FROM t WHERE cluster_id <> 12) SELECT cluster_id, 'left' AS side FROM (FROM a EXCEPT ALL FROM b) UNION ALL SELECT cluster_id, 'right' FROM (FROM b EXCEPT ALL FROM a)",
         "source_listing": _with(_D, _L, _LF) + "SELECT * FROM f",
         "glob_filter": "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'sub/' ELSE '' END || CASE WHEN doc_id % 4 = 2 THEN 'PART_' || substring(source, 4) ELSE 'part_' || substring(source, 4) || '.tokenized.jsonl' END || CASE WHEN doc_id % 4 = 3 THEN '.gz' ELSE '' END AS path, doc_id % 4 = 0 AS matches FROM documents",
         "work_regions": _with(_D, _F, _R) + "SELECT filename, range_start, range_end FROM rr",
         "work_plan": _with(*plan) + "SELECT * FROM p",
-        "plan_coverage": _with(*plan) + f", g AS (SELECT * FROM p WHERE NOT (filename = 'part_3.tokenized.jsonl' AND range_start = {REGION})) SELECT path, count(g.filename)::BIGINT AS items, min(range_start) AS first_start, max(range_end) AS last_end, NOT (path = 'part_3.tokenized.jsonl' AND any_value(size) > {REGION}) AS covered FROM f LEFT JOIN g ON g.filename = f.path GROUP BY path",
+        "plan_coverage": _with(*plan) + f""", g AS (SELECT * FROM p WHERE NOT (filename = 'part_3.tokenized.jsonl' AND range_start = {REGION})),
+          h AS (SELECT *, range_start = coalesce(lag(range_end) OVER (PARTITION BY filename ORDER BY range_start, range_end), 0) AS joined FROM g),
+          j AS (SELECT filename, count(*) AS items, min(range_start) AS first_start, max(range_end) AS last_end, bool_and(joined) AS joined FROM h GROUP BY 1)
+          SELECT path, coalesce(items, 0) AS items, first_start, last_end, coalesce(joined AND first_start = 0 AND last_end = size, false) AS covered FROM f LEFT JOIN j ON j.filename = f.path""",
         "plan_range_check": _with(*plan) + "SELECT \"index\", filename, range_start, range_end + CASE WHEN \"index\" % 10 = 3 THEN 1000000000 ELSE 0 END AS range_end, work_item_id, \"index\" % 10 <> 3 AS in_range FROM p",
         "plan_identity_check": _with(*plan) + "SELECT \"index\", filename, range_start, range_end, work_item_id || CASE WHEN \"index\" % 10 = 4 THEN 'x' ELSE '' END AS work_item_id, \"index\" % 10 <> 4 AS identity_ok FROM p",
         "plan_index_check": _with(*plan) + "SELECT CAST(\"index\" + CASE WHEN \"index\" >= 7 THEN 1 ELSE 0 END AS INTEGER) AS \"index\", filename, range_start, range_end, work_item_id, \"index\" < 7 AS index_ok FROM p",
