@@ -8,7 +8,8 @@ them, summed over the corpus), then by hash; it decides what is compared, never
 overlap that is possible, and what passes is compared exactly, as whole sets.
 
 Equal sets are one node. Shingles in the prefixes of over ``CROWD`` nodes are not joined within themselves at first: in ``ROUNDS`` rounds
-all nodes of such a crowd are compared with one of them, and crowds that are of one class by then are done. In the others, nodes of different classes are joined.
+all nodes of such a crowd are compared with one of them, and crowds that are of one class by then are done. In the others, nodes of different classes are joined
+where bitmaps of their sets allow the similarity (the join gives no other pairs).
 
 Nodes are 64-bit hashes of the sets. Defined cases: null text -> no words; all documents without words are one class; other columns are not read.
 """
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import components
@@ -27,6 +28,8 @@ from .simhash import shingle_hashes
 SHINGLE, CROWD, ROUNDS = 5, 24, 3
 #: Counters of hashed shingles, and how many of them are in a row.
 COUNTERS, PART = 1 << 20, 1 << 12
+#: A set's bitmap of 1,024 bits, as columns.
+SKETCH = tuple(f"b{k}" for k in range(16))
 #: Nodes that a task knows to have sent.
 SENT = 200_000
 
@@ -133,10 +136,27 @@ def _wanted_sets(docs: DataFrame, marked: DataFrame, nodes: DataFrame) -> DataFr
     return written(rows.select("node", "text").mapInArrow(_sets, "node long, shingles binary"), "sets")
 
 
-def _joined(placed: DataFrame) -> DataFrame:
-    """Pairs of placed (shingle, node, n, at, root) of different roots that may be similar."""
+def _sketched(batches):
+    for b in batches:
+        bits = np.zeros((b.num_rows, 64 * len(SKETCH)), bool)
+        for k, x in enumerate(b.column(1)):
+            bits[k, (np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(20)).astype(np.int64) % bits.shape[1]] = True
+        words = np.packbits(bits, axis=1).view(np.int64)
+        yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(w)) for w in words.T)], ["node", *SKETCH])
+
+
+def _sketch_allows() -> Column:
+    """Bits that only one of two sketches has are at most the shingles that only one of two sets has; similar sets differ in a ninth of both sizes at most."""
+    differing = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in SKETCH), F.lit(0))
+    return 9 * differing <= F.col("a.n") + F.col("b.n")
+
+
+def _joined(placed: DataFrame, sketches: bool = False) -> DataFrame:
+    """Pairs of placed (shingle, node, n, at, root and perhaps sketches) of different roots that may be similar."""
     a, b = placed.alias("a"), placed.alias("b")
     apart = (F.col("a.node") > F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
+    if sketches:
+        apart = apart & _sketch_allows()
     return a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & apart & _possible(F.col("a.n"), F.col("a.at"), F.col("b.n"), F.col("b.at"))).select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
 
 
@@ -180,7 +200,9 @@ def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
         pairs = crowds.join(heads, "shingle").where((F.col("root") != F.col("h.root")) & (5 * F.least("n", "h.n") >= 4 * F.greatest("n", "h.n")))
         links = links.unionByName(_links(pairs.select(F.greatest("node", "h.node").alias("u"), F.least("node", "h.node").alias("v")), sets))
     if not crowds.isEmpty():
-        links = links.unionByName(_links(_joined(_crowds(_rooted(crowds, links))), sets))
+        rest = _crowds(_rooted(crowds, links))
+        sketches = sets.join(rest.select("node").distinct(), "node", "left_semi").mapInArrow(_sketched, "node long, " + ", ".join(f"{c} long" for c in SKETCH))
+        links = links.unionByName(_links(_joined(rest.join(sketches, "node"), True), sets))
     star = components.stars(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
     dropped(sets)
     counts = marked.groupBy("node").agg(F.count("*").alias("n"))
