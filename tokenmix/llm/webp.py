@@ -140,11 +140,17 @@ def _image(bits: Bits, width: int, height: int, top: bool):
     return (yield _Image(bits, width, height, cache, block, meta, groups))
 
 
+@functools.lru_cache(16)
+def _order(bits: int) -> np.ndarray:
+    """Numbers of so many bits in the order of their bits turned round."""
+    return _turned(np.arange(1 << bits), np.int64(bits))
+
+
 class _Codes:
-    """Prefix codes of many images: one table, in which the next bits of a code (first bit highest) stand at its own offset."""
+    """Prefix codes of many images: one table, in which the next bits of a code (first bit lowest) stand at its own offset."""
 
     def __init__(self, images: list[_Image]):
-        values, repeats, sizes, most = [], [], [], []
+        tables, most = [], []
         self.lone: list[int | None] = []
         for lengths in (c for i in images for g in i.groups for c in g):
             n = np.array(lengths, np.int64)
@@ -152,24 +158,22 @@ class _Codes:
             if not len(used):
                 raise WebpError("a prefix code without symbols")
             if len(used) == 1:
-                values.append(used << 4)
-                repeats.append(np.ones(1, np.int64))
+                tables.append((used << 4).astype(np.uint16))
+                most.append(0)
                 self.lone.append(int(used[0]))
-                deepest = 0
-            else:
-                used = used[np.argsort(n[used], kind="stable")]
-                deepest = int(n[used[-1]])
-                values.append(used << 4 | n[used])
-                repeats.append(1 << (deepest - n[used]))
-                self.lone.append(None)
-                if int(repeats[-1].sum()) != 1 << deepest:
-                    raise WebpError("an incomplete prefix code")
+                continue
+            used = used[np.argsort(n[used], kind="stable")]
+            n = n[used]
+            deepest = int(n[-1])
+            table = np.repeat((used << 4 | n).astype(np.uint16), 1 << (deepest - n))
+            if len(table) != 1 << deepest:
+                raise WebpError("an incomplete prefix code")
+            tables.append(table[_order(deepest)])
             most.append(deepest)
-            sizes.append(1 << deepest)
-        self.table = np.repeat(np.concatenate(values).astype(np.uint16), np.concatenate(repeats))
-        self.most = np.array(most, np.uint64)
-        self.rest = np.uint64(63) - self.most
-        self.begin = np.cumsum(sizes) - sizes
+            self.lone.append(None)
+        self.table = np.concatenate(tables)
+        size = np.array([len(t) for t in tables])
+        self.begin, self.mask = np.cumsum(size) - size, (size - 1).astype(np.uint32)
 
 
 def _turned(value: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -180,17 +184,22 @@ def _turned(value: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 _NEAR_X, _NEAR_Y = np.array(NEAR).T
+#: Smallest length or distance of a prefix symbol, and the mask of its extra bits.
+_LEAST = np.array([p + 1 if p < 4 else ((2 + (p & 1)) << ((p - 2) >> 1)) + 1 for p in range(DISTANCES)])
+_EXTRA = np.array([0 if p < 4 else (p - 2) >> 1 for p in range(DISTANCES)])
+_EXTRA_MASK = ((1 << _EXTRA) - 1).astype(np.uint32)
 
 
 def _decoded(images: list[_Image]) -> list[np.ndarray]:
     """The pixels of each image. All images are decoded in step, a literal, back-reference or cache symbol of each at a time."""
     data = [i.bits.data for i in images]
     begin = np.cumsum([0] + [len(d) for d in data])
-    raw = REVERSED[np.frombuffer(b"".join(data) + bytes(16), np.uint8)].tobytes()
-    words = np.ndarray((len(raw) - 8,), ">u8", raw, 0, (1,))  # the 64 bits from each byte on
-    last = len(raw) - 9
+    raw = np.frombuffer(b"".join(data) + bytes(8), np.uint8).astype(np.uint32)
+    words = raw[:-3] | raw[1:-2] << np.uint32(8) | raw[2:-1] << np.uint32(16) | raw[3:] << np.uint32(24)  # the 32 bits from each byte on
+    last = len(words) - 1
+    del raw
     codes = _Codes(images)
-    table, table_at, rest = codes.table, codes.begin, codes.rest
+    table, table_at, table_mask = codes.table, codes.begin, codes.mask
     size, width = np.array([i.size for i in images]), np.array([i.width for i in images])
     base = np.cumsum(size) - size
     out = np.zeros(int(size.sum()), np.uint32)
@@ -207,36 +216,42 @@ def _decoded(images: list[_Image]) -> list[np.ndarray]:
     slots = np.array([1 << i.cache if i.cache else 0 for i in images])
     recent, recent_at, shift = np.zeros(int(slots.sum()), np.uint32), np.cumsum(slots) - slots, np.array([32 - i.cache for i in images], np.uint64)
 
+    def window(o):
+        """At least 25 bits from bits o on."""
+        return words[np.minimum(o >> 3, last)] >> (o & 7).astype(np.uint32)
+
     def symbol(c, o):
         """The next symbol of codes c at bits o, and the bits after it."""
-        w = words[np.minimum(o >> 3, last)].astype(np.uint64) << (o & 7).astype(np.uint64)
-        e = table[table_at[c] + (w >> np.uint64(1) >> rest[c]).astype(np.int64)]
+        e = table[table_at[c] + (window(o) & table_mask[c])]
         return e >> 4, o + (e & 15)
 
     def number(prefix, o):
         """A length or distance from its prefix symbol."""
-        prefix = prefix.astype(np.int64)
-        extra = np.where(prefix < 4, 0, (prefix - 2) >> 1)
-        w = words[np.minimum(o >> 3, last)].astype(np.uint64) << (o & 7).astype(np.uint64)
-        more = _turned(w >> np.uint64(1) >> (63 - extra).astype(np.uint64), extra)
-        return np.where(prefix < 4, prefix, ((2 + (prefix & 1)) << extra) + more) + 1, o + extra
+        return _LEAST[prefix] + (window(o) & _EXTRA_MASK[prefix]), o + _EXTRA[prefix]
 
     def remember(j, pixels):
         keep = cached[j]
         j, pixels = j[keep], pixels[keep]
         recent[recent_at[j] + ((pixels.astype(np.uint64) * np.uint64(0x1E35A7BD) & np.uint64(0xFFFFFFFF)) >> shift[j]).astype(np.int64)] = pixels
 
-    j = np.nonzero(size)[0]  # images under way, and where they are
-    p, o = np.zeros(len(j), np.int64), at[j]
+    # images under way; what is known of each beside; where they are in their pixels (from the first image on) and bits
+    j = np.nonzero(size)[0]
+    j_end, j_fixed, j_code = (base + size)[j], fixed[j], code[j]
+    p, o = base[j], at[j]
+    table_j, mask_j = table_at[j_code], table_mask[j_code]
     while len(j):
-        c = code[j]
-        if not none_several:
+        c = j_code
+        if none_several:
+            e = table[table_j + (window(o) & mask_j)]
+            s, o = e >> 4, o + (e & 15)
+        else:
             k = np.nonzero(several[j])[0]
             i = j[k]
-            y, x = np.divmod(p[k], width[i])
+            y, x = np.divmod(p[k] - base[i], width[i])
+            c = c.copy()
             c[k] += 5 * meta[meta_at[i] + (y >> block[i]) * across[i] + (x >> block[i])]
-        s, o = symbol(c, o)
-        pixel = fixed[j] | s.astype(np.uint32) << np.uint32(8)
+            s, o = symbol(c, o)
+        pixel = j_fixed | s.astype(np.uint32) << np.uint32(8)
         if not all_plain:
             k = np.nonzero(~plain[j] & (s < LITERALS))[0]
             parts, at_k = [], o[k]
@@ -245,12 +260,18 @@ def _decoded(images: list[_Image]) -> list[np.ndarray]:
                 parts.append(v.astype(np.uint32))
             o[k] = at_k
             pixel[k] = parts[2] << np.uint32(24) | parts[0] << np.uint32(16) | s[k].astype(np.uint32) << np.uint32(8) | parts[1]
-        step = np.ones(len(j), np.int64)
-        k = np.nonzero(s >= LITERALS)[0]
-        if len(k):
+        longer = s >= LITERALS
+        k = np.nonzero(longer)[0]
+        if not len(k):
+            out[p] = pixel
+            if not none_cached:
+                remember(j, pixel)
+            p = p + 1
+        else:
             if not none_cached:
                 x = k[s[k] >= LITERALS + LENGTHS]
                 pixel[x] = recent[recent_at[j[x]] + s[x] - LITERALS - LENGTHS]
+                longer[x] = False
                 k = k[s[k] < LITERALS + LENGTHS]
             i = j[k]
             n, at_k = number(s[k] - LITERALS, o[k])
@@ -258,29 +279,26 @@ def _decoded(images: list[_Image]) -> list[np.ndarray]:
             d, o[k] = number(d, at_k)
             short = np.minimum(d, 120) - 1
             d = np.where(d > 120, d - 120, np.maximum(1, _NEAR_X[short] + _NEAR_Y[short] * width[i]))
-            if (d > p[k]).any() or (p[k] + n > size[i]).any():
+            start = p[k]
+            if (start - d < base[i]).any() or (start + n > j_end[k]).any():
                 raise WebpError("a back-reference leaves the image")
-            step[k] = n
-            many = np.repeat(np.arange(len(k)), n)
-            off = np.arange(len(many)) - np.repeat(np.cumsum(n) - n, n)
-            to = (base[i] + p[k])[many]
-            copied = out[to - d[many] + off % d[many]]
+            total = np.cumsum(n)
+            off = np.arange(int(total[-1]) if len(k) else 0) - np.repeat(total - n, n)
+            far = np.repeat(d, n)
+            to = np.repeat(start, n)
+            copied = out[to - far + off % far]
             out[to + off] = copied
-            one = np.ones(len(j), bool)
-            one[k] = False
-            out[base[j[one]] + p[one]] = pixel[one]
+            one = ~longer
+            out[p[one]] = pixel[one]
             if not none_cached:
-                remember(i[many], copied)
+                remember(np.repeat(i, n), copied)
                 remember(j[one], pixel[one])
-        else:
-            out[base[j] + p] = pixel
-            if not none_cached:
-                remember(j, pixel)
-        p += step
-        left = p < size[j]
+            p = p + 1
+            p[k] = start + n
+        left = p < j_end
         if not left.all():
             at[j] = o
-            j, p, o = j[left], p[left], o[left]
+            j, p, o, j_end, j_fixed, j_code, table_j, mask_j = (v[left] for v in (j, p, o, j_end, j_fixed, j_code, table_j, mask_j))
     for i, a, b in zip(images, at.tolist(), begin.tolist()):
         i.bits.at = a - 8 * b
         if i.bits.at > 8 * len(i.bits.data):
