@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,7 +115,7 @@ TEMPLATES += (("MIT", " ".join(t for n, t in TEMPLATES if n == "MIT" and len(t)
 #: Words of everyday prose: a cover is made of others first.
 COMMON = frozenset(
     "a above all alter altered an and any anyone appreciated are as at author be being binary but by can claim code conditions copies copy damages details direct distribute either even event express following for form forms free from further general "
-    "have held hope if in included including international is it its kind law later level list loss made materials may means met more must name names neither no nor not notice of on option or origin original other out part particular permitted persons "
+    "have held hope if in included including international is it its kind law later level list loss made materials may means met mit more must name names neither no nor not notice of on option or origin original other out part particular permitted persons "
     "portions possibility possible prior product products profits program project promote provided public publish published purpose received related released remove required restriction retain rights see sell service shall should source special specific "
     "subject such terms that the this to under use used useful version way whether which will with without work written you".split()
 )
@@ -155,36 +156,57 @@ def _has(text: Column, some: list[str]) -> Column:
     return found
 
 
-def bigrams(unit: Column) -> Column:
-    w = words(unit)
-    return F.when(F.size(w) >= 2, F.array_sort(F.array_distinct(F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b))))).otherwise(F.array().cast("array<string>"))
-
-
-def matches(text: Column, templates=TEMPLATES, least: float = LEAST) -> Column:
-    """array<struct<name, dice>> of the units' matches."""
-    some = cover(templates, least)
-    listed = F.array(*(F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, bigrams_of(t))).alias("b"), *(F.lit(x).alias(k) for k, x in zip(("low", "high"), size_bounds(len(bigrams_of(t)), least)))) for n, t in templates))
-    text = F.coalesce(text, F.lit(""))
-    with_cover = lambda units: F.filter(units, lambda u: _has(F.lower(u), some))
-    blocks = F.concat(with_cover(F.split(text, "\n")), F.filter(with_cover(F.split(text, r"\n[ \t\r]*\n")), lambda p: F.contains(p, F.lit("\n"))))
-    sentences = F.flatten(F.transform(blocks, lambda u: F.split(u, SENTENCE_END)))
-    units = F.array_distinct(F.concat(blocks, with_cover(sentences), F.array(text)))
-    sets = F.filter(F.array_distinct(F.transform(units, bigrams)), lambda b: F.size(b) >= 1)
+def _bigrams(w: Column) -> Column:
+    """The sorted set of bigrams of an array of words."""
+    pairs = F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b))
+    return F.when(F.size(w) >= 2, F.array_sort(F.array_distinct(pairs))).otherwise(F.array().cast("array<string>"))
+
+
+def with_matches(docs: DataFrame, name: str, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
+    """docs with name: array<struct<name, dice>> of the units' matches.
+
+    Step by step, each in a column of its own: what a step uses several times is then worked out once.
+    """
+    some, steps = cover(templates, least), []
+
+    def step(df: DataFrame, what: str, value: Column) -> DataFrame:
+        steps.append(free_name([*docs.columns, *steps], what))
+        return df.withColumn(steps[-1], value)
+
+    sizes = [(n, bigrams_of(t)) for n, t in templates]
+    bounds = [size_bounds(len(b), least) for _, b in sizes]
+    listed = F.array(*(F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, b)).alias("b"), F.lit(low).alias("low"), F.lit(high).alias("high")) for (n, b), (low, high) in zip(sizes, bounds)))
+    least_size, most_size = min(low for low, _ in bounds), max(high for _, high in bounds)
+    d = step(docs, "lower", F.lower(F.coalesce("text", F.lit(""))))
+    d = step(d, "known", _has(F.col(steps[0]), some))
+    known = F.col(steps[1])
+    d = step(d, "normal", F.when(known, F.translate("text", string.ascii_uppercase, string.ascii_lowercase))).drop(steps[0])
+    text = F.col(steps[2])
+    with_cover = lambda units: F.filter(units, lambda u: _has(u, some))
+    paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n"), lambda p: F.contains(p, F.lit("\n")))
+    d = step(d, "blocks", F.concat(with_cover(F.split(text, "\n")), with_cover(paragraphs)))
+    blocks = F.col(steps[3])
+    sentences = F.filter(F.flatten(F.transform(F.filter(blocks, lambda u: F.regexp_like(u, F.lit(SENTENCE_END))), lambda u: F.split(u, SENTENCE_END))), lambda u: _has(u, some))
+    d = step(d, "units", F.array_distinct(F.concat(blocks, sentences, F.array(text)))).drop(steps[3])
+    d = step(d, "words", F.transform(F.col(steps[4]), words)).drop(steps[4])
+    # a set has no fewer bigrams than distinct words less one, and no more than words
+    fitting = F.filter(F.col(steps[5]), lambda w: (F.size(w) > least_size) & (F.size(F.array_distinct(w)) - 1 <= most_size))
+    d = step(d, "sets", F.array_distinct(F.transform(fitting, _bigrams))).drop(steps[5])
 
     def against(b):
         fit = F.filter(listed, lambda t: (F.size(b) >= t["low"]) & (F.size(b) <= t["high"]))
         dice = F.transform(fit, lambda t: F.struct(t["name"].alias("name"), F.round(2.0 * F.size(F.array_intersect(b, t["b"])) / (F.size(b) + F.size(t["b"])), 6).alias("dice")))
         return F.filter(dice, lambda m: m["dice"] >= least)
 
-    found = F.flatten(F.transform(sets, against))
-    return F.when(_has(F.lower(text), some), found).otherwise(F.array().cast("array<struct<name:string,dice:double>>"))
+    none = F.array().cast("array<struct<name:string,dice:double>>")
+    return d.select(*docs.columns, F.coalesce(F.flatten(F.transform(F.col(steps[6]), against)), none).alias(name))
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """All columns of docs, then n_matches long, licences string (names sorted, comma-joined), best_licence string and best_dice double."""
     docs = docs.drop("n_matches", "licences", "best_licence", "best_dice")
     found = free_name(docs.columns, "matches")
-    m = docs.withColumn(found, matches(F.col("text"), templates, least))
+    m = with_matches(docs, found, templates, least)
     best = F.array_sort(F.transform(found, lambda x: F.struct((-x["dice"]).alias("worse"), x["name"].alias("name"), x["dice"].alias("dice"))))
     first = F.get(best, F.lit(0))
     return m.select(
