@@ -22,7 +22,7 @@ from .common import ready
 
 UNIT, STRIP = 576, 8
 #: Payload bytes that are decoded in step.
-BULK = 3 << 20
+BULK = 4 << 20
 
 
 def payload_of(text: str | None) -> tuple[bytes, int]:

@@ -62,13 +62,8 @@ class Code:
         self.most = used[-1][0] if len(used) > 1 else 0
         if self.most and sum(1 << (self.most - n) for n, _ in used) != 1 << self.most:
             raise WebpError("an incomplete prefix code")
-        self.table = [(s, n if self.most else 0) for n, s in used for _ in range(1 << (self.most - n) if self.most else 1)]
-        self.turned = [int(f"{k:0{self.most}b}"[::-1], 2) if self.most else 0 for k in range(1 << self.most)]
-
-    def next(self, bits: Bits) -> int:
-        s, n = self.table[self.turned[bits.peek(self.most)]]
-        bits.at += n
-        return s
+        table = [(s, n if self.most else 0) for n, s in used for _ in range(1 << (self.most - n) if self.most else 1)]
+        self.direct = [table[int(f"{k:0{self.most}b}"[::-1], 2) if self.most else 0] for k in range(1 << self.most)]
 
 
 @functools.lru_cache(64)
@@ -76,39 +71,58 @@ def _code(lengths: tuple[int, ...]) -> Code:
     return Code(list(lengths))
 
 
-def _read_lengths(bits: Bits, size: int) -> list[int]:
-    if bits.read(1):
-        two = bits.read(1)
+def _read_lengths(bits: Bits, size: int) -> list[int] | int:
+    """Code lengths of the symbols; of a code with one symbol only that symbol."""
+    # a code length takes 14 bits at most and what stands before them 80, so all of it is in this number
+    i = bits.at >> 3
+    ahead, at = int.from_bytes(bits.data[i : i + 2 * size + 12], "little"), bits.at & 7
+    if ahead >> at & 1:
+        two, wide = ahead >> at + 1 & 1, ahead >> at + 2 & 1
+        first = ahead >> at + 3 & (255 if wide else 1)
+        at += 11 if wide else 4
+        second = ahead >> at & 255
+        bits.at = 8 * i + at + 8 * two
+        if bits.at > 8 * len(bits.data):
+            raise WebpError("the image data ends early")
+        if not two or first == second:
+            return first
         lengths = [0] * size
-        for k in range(1 + two):
-            lengths[bits.read(8 if k or bits.read(1) else 1)] = 1
+        lengths[first] = lengths[second] = 1
         return lengths
+    n = 4 + (ahead >> at + 1 & 15)
+    at += 5
     own = [0] * 19
-    for k in range(4 + bits.read(4)):
-        own[CODE_LENGTH_ORDER[k]] = bits.read(3)
-    left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else size
+    for k in range(n):
+        own[CODE_LENGTH_ORDER[k]] = ahead >> at + 3 * k & 7
+    at += 3 * n
+    left = size
+    if ahead >> at & 1:
+        more = 2 + 2 * (ahead >> at + 1 & 7)
+        left = 2 + (ahead >> at + 4 & (1 << more) - 1)
+        at += 4 + more
+    else:
+        at += 1
     code, lengths, last = _code(tuple(own)), [], 8
-    table, turned, most = code.table, code.turned, (1 << code.most) - 1
-    # a code length takes 14 bits at most, so all of them are in this number
-    i = bits.at >> 3
-    ahead, at = int.from_bytes(bits.data[i : i + 2 * size + 2], "little"), bits.at & 7
+    table, most, ahead = code.direct, (1 << code.most) - 1, ahead >> at
+    done = 0
     while len(lengths) < size and left:
         left -= 1
-        s, n = table[turned[ahead >> at & most]]
-        at += n
+        s, n = table[ahead >> done & most]
+        done += n
         if s < 16:
             lengths.append(s)
             last = s or last
         else:
             value, more, least = (last, 2, 3) if s == 16 else (0, 3, 3) if s == 17 else (0, 7, 11)
-            lengths += [value] * (least + (ahead >> at & (1 << more) - 1))
-            at += more
+            lengths += [value] * (least + (ahead >> done & (1 << more) - 1))
+            done += more
             if len(lengths) > size:
                 raise WebpError("too many code lengths")
-    bits.at = 8 * i + at
+    bits.at = 8 * i + at + done
     if bits.at > 8 * len(bits.data):
         raise WebpError("the image data ends early")
-    return lengths + [0] * (size - len(lengths))
+    used = [s for s, n in enumerate(lengths) if n]
+    return used[0] if len(used) == 1 else lengths + [0] * (size - len(lengths))
 
 
 def _slot(pixel: int, cache: int) -> int:
@@ -153,15 +167,15 @@ class _Codes:
         tables, most = [], []
         self.lone: list[int | None] = []
         for lengths in (c for i in images for g in i.groups for c in g):
+            if isinstance(lengths, int):
+                tables.append(np.array([lengths << 4], np.uint16))
+                most.append(0)
+                self.lone.append(lengths)
+                continue
             n = np.array(lengths, np.int64)
             used = np.nonzero(n)[0]
             if not len(used):
                 raise WebpError("a prefix code without symbols")
-            if len(used) == 1:
-                tables.append((used << 4).astype(np.uint16))
-                most.append(0)
-                self.lone.append(int(used[0]))
-                continue
             used = used[np.argsort(n[used], kind="stable")]
             n = n[used]
             deepest = int(n[-1])
@@ -173,7 +187,7 @@ class _Codes:
             self.lone.append(None)
         self.table = np.concatenate(tables)
         size = np.array([len(t) for t in tables])
-        self.begin, self.mask = np.cumsum(size) - size, (size - 1).astype(np.uint32)
+        self.begin, self.mask = np.cumsum(size) - size, size - 1
 
 
 def _turned(value: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -187,16 +201,15 @@ _NEAR_X, _NEAR_Y = np.array(NEAR).T
 #: Smallest length or distance of a prefix symbol, and the mask of its extra bits.
 _LEAST = np.array([p + 1 if p < 4 else ((2 + (p & 1)) << ((p - 2) >> 1)) + 1 for p in range(DISTANCES)])
 _EXTRA = np.array([0 if p < 4 else (p - 2) >> 1 for p in range(DISTANCES)])
-_EXTRA_MASK = ((1 << _EXTRA) - 1).astype(np.uint32)
+_EXTRA_MASK = (1 << _EXTRA) - 1
 
 
 def _decoded(images: list[_Image]) -> list[np.ndarray]:
     """The pixels of each image. All images are decoded in step, a literal, back-reference or cache symbol of each at a time."""
     data = [i.bits.data for i in images]
     begin = np.cumsum([0] + [len(d) for d in data])
-    raw = np.frombuffer(b"".join(data) + bytes(8), np.uint8).astype(np.uint32)
-    words = raw[:-3] | raw[1:-2] << np.uint32(8) | raw[2:-1] << np.uint32(16) | raw[3:] << np.uint32(24)  # the 32 bits from each byte on
-    last = len(words) - 1
+    raw = np.frombuffer(b"".join(data) + bytes(8), np.uint8).astype(np.int64)
+    words = raw[:-3] | raw[1:-2] << 8 | raw[2:-1] << 16 | raw[3:] << 24  # the 32 bits from each byte on
     del raw
     codes = _Codes(images)
     table, table_at, table_mask = codes.table, codes.begin, codes.mask
@@ -218,16 +231,16 @@ def _decoded(images: list[_Image]) -> list[np.ndarray]:
 
     def window(o):
         """At least 25 bits from bits o on."""
-        return words[np.minimum(o >> 3, last)] >> (o & 7).astype(np.uint32)
+        return words.take(o >> 3, mode="clip") >> (o & 7)
 
     def symbol(c, o):
         """The next symbol of codes c at bits o, and the bits after it."""
-        e = table[table_at[c] + (window(o) & table_mask[c])]
+        e = table.take(table_at.take(c) + (window(o) & table_mask.take(c)))
         return e >> 4, o + (e & 15)
 
     def number(prefix, o):
         """A length or distance from its prefix symbol."""
-        return _LEAST[prefix] + (window(o) & _EXTRA_MASK[prefix]), o + _EXTRA[prefix]
+        return _LEAST.take(prefix) + (window(o) & _EXTRA_MASK.take(prefix)), o + _EXTRA.take(prefix)
 
     def remember(j, pixels):
         keep = cached[j]
@@ -242,7 +255,7 @@ def _decoded(images: list[_Image]) -> list[np.ndarray]:
     while len(j):
         c = j_code
         if none_several:
-            e = table[table_j + (window(o) & mask_j)]
+            e = table.take(table_j + (window(o) & mask_j))
             s, o = e >> 4, o + (e & 15)
         else:
             k = np.nonzero(several[j])[0]
@@ -286,7 +299,7 @@ def _decoded(images: list[_Image]) -> list[np.ndarray]:
             off = np.arange(int(total[-1]) if len(k) else 0) - np.repeat(total - n, n)
             far = np.repeat(d, n)
             to = np.repeat(start, n)
-            copied = out[to - far + off % far]
+            copied = out.take(to - far + off % far)
             out[to + off] = copied
             one = ~longer
             out[p[one]] = pixel[one]
@@ -549,7 +562,7 @@ class _Out:
 
 def code_lengths(counts: list[int], most: int = MOST_BITS) -> list[int]:
     """Lengths of a Huffman code of at most so many bits (two queues; flatter counts if it is deeper)."""
-    used = sorted((c, s) for s, c in enumerate(counts) if c)
+    used = sorted([(c, s) for s, c in enumerate(counts) if c])
     lengths = [0] * len(counts)
     if len(used) < 2:
         for _, s in used:
@@ -597,37 +610,30 @@ OWN_LENGTHS = [5 if s in (1, 2, 13, 14, 15, 16) else 4 for s in range(19)]
 _OWN = [(int(f"{c:0{n}b}"[::-1], 2), n) for c, n in zip(canonical(OWN_LENGTHS), OWN_LENGTHS)]
 
 
+#: What stands before code lengths that are written with OWN_LENGTHS: a normal code, 19 lengths of 3 bits, no limit of symbols.
+_OWN_HEAD = (0 | 15 << 1 | sum(OWN_LENGTHS[s] << 5 + 3 * k for k, s in enumerate(CODE_LENGTH_ORDER)), 5 + 3 * 19 + 1)
+
+
 def _put_lengths(out: _Out, lengths: list[int]) -> None:
     used = [s for s, n in enumerate(lengths) if n]
     if len(used) <= 1 and (not used or used[0] < 256):  # one symbol takes no bits
-        s = used[0] if used else 0
-        out.put(1, 1)
-        out.put(0, 1)
-        out.put(1, 1)
-        out.put(s, 8)
+        out.put(0b101 | (used[0] if used else 0) << 3, 11)
         return
-    out.put(0, 1)
-    out.put(15, 4)
-    for s in CODE_LENGTH_ORDER:
-        out.put(OWN_LENGTHS[s], 3)
-    out.put(0, 1)
-    i, size = 0, len(lengths)
-    while i < size:
-        if lengths[i]:
-            out.put(*_OWN[lengths[i]])
-            i += 1
-            continue
-        j = i
-        while j < size and not lengths[j]:
-            j += 1
-        while j - i >= 3:
-            n = min(j - i, 138)
-            out.put(*_OWN[17 if n < 11 else 18])
-            out.put(*((n - 3, 3) if n < 11 else (n - 11, 7)))
-            i += n
-        while i < j:
-            out.put(*_OWN[0])
-            i += 1
+    value, at = _OWN_HEAD
+    done = 0
+    for s in [*used, len(lengths)]:
+        gap = s - done
+        while gap >= 3:  # symbols without a code
+            n = min(gap, 138)
+            code, more = _OWN[17 if n < 11 else 18]
+            value |= (code | (n - (3 if n < 11 else 11)) << more) << at
+            at += more + (3 if n < 11 else 7)
+            gap -= n
+        for k in [0] * gap + ([lengths[s]] if s < len(lengths) else []):
+            value |= _OWN[k][0] << at
+            at += _OWN[k][1]
+        done = s + 1
+    out.put(value, at)
 
 
 def _prefix(v: int) -> tuple[int, int, int]:
