@@ -1,11 +1,17 @@
 """Registered queries against their oracles, and the pipeline against the operators' plain counterparts."""
 
+import hashlib
+
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from tokenmix.llm import queries
+from tokenmix.llm import bpe, queries
 
 from .test_dedup import plain_hits, plain_repeats
+from .test_near import plain_classes
+
+tokenizers = pytest.importorskip("tokenizers")
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
@@ -44,6 +50,9 @@ def test_pipeline_stage_by_stage(spark, sf, duck, tmp_path):
             assert docs.columns == columns
     before, after = made["language_id"]
     assert set(after) == {i for i, t in before.items() if t and any(c.isalpha() for c in t)}
+    before, after = made["simhash_near_dedup"]
+    order = sorted(before)
+    assert set(after) == {order[k] for k in set(plain_classes([before[i] for i in order]))} and all(after[i] == before[i] for i in after)
     before, after = made["suffix_array_dedup"]
     want = {r[0]: r for r in plain_repeats(list(before.items()))}
     assert set(after) == {i for i, r in want.items() if r[1] > r[2]} and all(after[i] == before[i] for i, r in want.items() if not r[2])
@@ -51,6 +60,14 @@ def test_pipeline_stage_by_stage(spark, sf, duck, tmp_path):
     items = duck.sql("SELECT item_id, text FROM benchmark").fetchall()
     assert set(after) == {i for i, t in before.items() if not plain_hits(t, items)[1]}
     final = sorted(tuple(r) for r in docs.collect())
+    before, _ = made["bpe_encode_decode"]
+    tok = tokenizers.Tokenizer.from_file(bpe.vocabulary_path())
+    want = []
+    for i, text in sorted(before.items()):
+        ids = tok.encode(text or "", add_special_tokens=False).ids
+        plain = tok.decode(ids, skip_special_tokens=False)
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(plain.encode()).hexdigest()))
+    assert final == want
     assert final == sorted(tuple(r) for r in corpus_pipeline.run(spark, sf).collect())
 
 
