@@ -182,10 +182,11 @@ def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     marked = marked.where("part is null").select("doc_id", "key", "node")
 
     every = docs.select("text").mapInArrow(_prefixes(shared), "shingle long, node long, n int, at int")
-    once = every.repartition("shingle").groupBy("shingle", "node").agg(F.first("n").alias("n"), F.first("at").alias("at"))
-    sized = once.withColumn("nodes", F.count("*").over(Window.partitionBy("shingle"))).where("nodes > 1")
-    placed = written(sized.withColumn("root", F.col("node")), "prefixes")
-    del every, once, sized
+    # counted by partial sums and joined back (not by a window), so that a shingle of very many nodes is never in one task
+    once = every.groupBy("shingle", "node").agg(F.first("n").alias("n"), F.first("at").alias("at"))
+    # (n and at are looked at on both sides, so that both read one shuffle)
+    often = once.groupBy("shingle").agg(F.count("*").alias("nodes"), F.max("n").alias("most"), F.max("at").alias("last")).where("nodes > 1 and most > last").select("shingle", "nodes")
+    placed = written(once.join(often, "shingle").withColumn("root", F.col("node")), "prefixes")
     pairs = written(few_files(_joined(placed.where(F.col("nodes") <= crowd)).distinct()), "pairs")
     crowds = written(few_files(placed.where(F.col("nodes") > crowd)), "crowds")
     dropped(placed)

@@ -51,7 +51,7 @@ class LibraryEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cached = spans.Cached(CUTS, self._make, fold=self._fold)
+        self.cached = spans.Cached(CUTS, self._make, fold=self._fold, limit=1_000_000, most=32 << 20, bits=21)
 
     @staticmethod
     def _fold(buf: np.ndarray) -> np.ndarray:
@@ -208,7 +208,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, length: int = L
         def ended():
             return pa.RecordBatch.from_pydict({"file": [url], "place": pa.array([place], pa.int64()), "part": pa.array([part], pa.int64()), "n_tokens": pa.array([writer.close()], pa.int64())})
 
-        for b in spans.grouped(batches, 1):
+        for b in spans.grouped(batches, 1, 16 << 20):
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
             for some, ids, ends in enc.encode(texts):
                 ids, ends = np.insert(ids, ends[1:], END), ends + np.arange(len(ends))
