@@ -22,7 +22,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import few_files, written
 
 WINDOW = 10
 BROADCAST_BYTES = 64 << 20
@@ -76,7 +76,7 @@ class Windows:
     """The windows with their prefixes, written once, and whether they may be broadcast."""
 
     def __init__(self, docs: DataFrame, benchmark: DataFrame, size: int, most: int):
-        self.rows = written(prefixed(item_windows(benchmark, size), docs).coalesce(1), "windows")
+        self.rows = written(few_files(prefixed(item_windows(benchmark, size), docs)), "windows")
         self.small = _bytes(self.rows, ["window", "items"], 200) <= most
 
 

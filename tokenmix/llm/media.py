@@ -2,7 +2,7 @@
 
 The payload is the UTF-8 of the text, filled with bytes 255 to a positive multiple of ``UNIT`` (24 x 24 samples). It is
 stored as one WebP file per ``STRIP`` units, one file after another, so that no image grows with the text. Files are written and read
-``BULK`` payload bytes at a time, a very long text on its own.
+``BULK`` payload bytes at a time, of a very long text too.
 
 Defined cases: a null text is an empty one (one unit of 255); equal texts give equal values; an empty table
 gives an empty result; repeated rows each get a result; other columns are not read.
@@ -30,10 +30,22 @@ def payload_of(text: str | None) -> tuple[bytes, int]:
     return raw + b"\xff" * (-len(raw) % UNIT if raw else UNIT), len(raw)
 
 
+def _in_bulk(items: list, size, work) -> list:
+    """work(items), so many at a time that their sizes are about BULK."""
+    out, held, total = [], [], 0
+    for x in items:
+        held.append(x)
+        total += size(x)
+        if total >= BULK:
+            out += work(held)
+            held, total = [], 0
+    return out + (work(held) if held else [])
+
+
 def to_media(payloads: list[bytes]) -> list[bytes]:
     """The stored form of each payload."""
     strips = [[np.frombuffer(p, np.uint8)[i : i + UNIT * STRIP] for i in range(0, len(p), UNIT * STRIP)] for p in payloads]
-    files = iter(webp.store_many([s for some in strips for s in some]))
+    files = iter(_in_bulk([s for some in strips for s in some], len, webp.store_many))
     return [b"".join(next(files) for _ in some) for some in strips]
 
 
@@ -49,7 +61,7 @@ def split_media(media: bytes) -> list[bytes]:
 def from_media(many: list[bytes]) -> list[np.ndarray]:
     """The samples of each stored form."""
     files = [split_media(m) for m in many]
-    got = iter(webp.load_many([f for some in files for f in some]))
+    got = iter(_in_bulk([f for some in files for f in some], lambda f: UNIT * STRIP, webp.load_many))
     return [np.concatenate([next(got) for _ in some]) for some in files]
 
 

@@ -142,9 +142,11 @@ class _Image:
 
 def _image(bits: Bits, width: int, height: int, top: bool):
     """Reads what stands before the pixels; yields the _Image and is sent its pixels (ARGB numbers), which it returns."""
-    cache = bits.read(4) if bits.read(1) else 0
-    if cache > 11:
-        raise WebpError("too large a colour cache")
+    cache = 0
+    if bits.read(1):
+        cache = bits.read(4)
+        if not 1 <= cache <= 11:
+            raise WebpError("no such colour cache")
     block, meta = 0, None
     if top and bits.read(1):
         block = 2 + bits.read(3)

@@ -71,8 +71,8 @@ def _pieces(texts, width: int):
         yield rows, starts, parts
 
 
-def segments(texts: list[bytes], width: int, k: int, wanted=None) -> Segments:
-    """The segments of whole texts. wanted: (row, piece start, window mask) -> mask narrows the windows looked at."""
+def segments(texts: list[bytes], width: int, k: int) -> Segments:
+    """The segments of whole texts."""
     out = []
     for rows, starts, parts in _pieces(texts, width):
         buf = np.frombuffer(b"".join(parts), np.uint8)
@@ -91,8 +91,6 @@ def segments(texts: list[bytes], width: int, k: int, wanted=None) -> Segments:
         edge[first] += 1
         np.add.at(edge, first + lens - width + 1, -1)
         ok[: len(at)] = np.cumsum(edge[: len(at)], dtype=np.int8) > 0
-        if wanted is not None:
-            ok[: len(at)] &= wanted(rows, starts, first, lens, len(at))
         begin = np.empty(len(at), bool)
         begin[0] = True
         np.not_equal(at[1:], at[:-1], out=begin[1:])
