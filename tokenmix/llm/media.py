@@ -61,7 +61,7 @@ def split_media(media: bytes) -> list[bytes]:
 def from_media(many: list[bytes]) -> list[np.ndarray]:
     """The samples of each stored form."""
     files = [split_media(m) for m in many]
-    got = iter(_in_bulk([f for some in files for f in some], lambda f: UNIT * STRIP, webp.load_many))
+    got = iter(_in_bulk([f for some in files for f in some], lambda f: 2 * len(f), webp.load_many))
     return [np.concatenate([next(got) for _ in some]) for some in files]
 
 
