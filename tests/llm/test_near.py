@@ -75,3 +75,50 @@ def test_one_row_of_each_class(spark):
     key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
     assert sorted((r for r in got if r[0] != 4), key=key) == sorted(want, key=key) and sum(i == 4 for i, _ in got) == 1
     assert kept.columns == docs.columns
+
+
+def test_the_stage_finds_near_copies_by_fingerprints(spark, monkeypatch):
+    """Without the prefixes, fingerprints alone hold near copies that are 6 or fewer bits apart, and what is close but not similar stays apart."""
+    rnd = random.Random(14)
+    words = lambda n: [f"w{rnd.randrange(3000)}" for _ in range(n)]
+    texts = []
+    for _ in range(40):
+        base = words(400)
+        texts += [" ".join(base), " ".join([*base[:200], "changed", *base[201:]]), " ".join(words(400))]
+    prints = [int(x) for x in near.fingerprints([near.shingle_set(t) for t in texts])]
+    bits = lambda i, j: (prints[i] ^ prints[j]).bit_count()
+    close = [k for k in range(0, 120, 3) if bits(k, k + 1) <= simhash.WIDE_DISTANCE]
+    assert len(close) > 30
+    monkeypatch.setattr(near, "prefix", lambda shingles, counts: shingles[:0])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["root"] for r in near.classes(df).collect()}
+    assert all(got[k] == got[k + 1] for k in close)
+    assert len(set(got.values())) == 120 - sum(got[k] == got[k + 1] for k in range(0, 120, 3))
+
+
+@pytest.mark.parametrize("bucket", [1, simhash.BUCKET])
+def test_nearest_fingerprints(spark, bucket):
+    """All that have one of 6 or fewer bits below them have their closest one; in crowded blocks only what is close is found."""
+    rnd = random.Random(15)
+    prints = {rnd.getrandbits(64) for _ in range(40)}
+    for x in sorted(prints):
+        for n in (1, 3, 6, 9, 14):
+            prints.add(x ^ sum(1 << k for k in rnd.sample(range(64), n)))
+    some = sorted(x - (1 << 64) if x >> 63 else x for x in prints)
+    distance = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
+    got = {r["u"]: r["v"] for r in simhash.nearest(spark.createDataFrame([(x,) for x in some], "fp long"), bucket).collect()}
+    assert got and all(v < u and distance(u, v) <= simhash.WIDE_MOST for u, v in got.items())
+    if bucket > 1:
+        for k, u in enumerate(some):
+            least = min((distance(u, v) for v in some[:k]), default=64)
+            assert least > simhash.WIDE_DISTANCE or distance(u, got[u]) == least
+
+
+def test_fingerprints_of_sets():
+    rnd = random.Random(16)
+    sets = [near.np.array(sorted(rnd.getrandbits(64) for _ in range(n)), near.np.uint64) for n in (0, 1, 2, 5, 70_000, 0, 300)]
+    plain = lambda s: sum((2 * sum(int(h) >> k & 1 for h in s) > len(s)) << k for k in range(64))
+    got = near.fingerprints(sets).view("u8").tolist()
+    assert got[:4] + got[5:] == [plain(s) for k, s in enumerate(sets) if k != 4]
+    ones = near.np.unpackbits(sets[4].view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=int)
+    assert got[4] == sum(1 << k for k in range(64) if 2 * ones[k] > 70_000)

@@ -78,6 +78,11 @@ def joined(rows: DataFrame, names: DataFrame, key: str, hot: list) -> DataFrame:
     return rows.where(~is_hot).join(names.where(~is_hot), key).unionByName(rows.where(is_hot).join(F.broadcast(names.where(is_hot)), key))
 
 
+def rested(spark: SparkSession) -> None:
+    """Collects the driver's garbage, so that its heap shrinks to what lives: between steps of many plans, whose remains would let it grow to all it may have."""
+    spark.sparkContext._jvm.System.gc()
+
+
 #: What a Python worker keeps between the batches and tasks of one operator.
 _kept: dict[str, dict] = {}
 

@@ -1,7 +1,11 @@
 """Near duplicates: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Words and shingle hashes are those of ``simhash``, with ``SHINGLE`` = 5 words (fewer words: the whole sequence as one shingle). No radius of SimHash
-fingerprints holds every pair of that similarity (the distance is about 10 +- 3 of 64 bits, without a bound), so candidates come from
+Words and shingle hashes are those of ``simhash``, with ``SHINGLE`` = 5 words (fewer words: the whole sequence as one shingle). First comes SimHash:
+each set of shingles has a fingerprint (``simhash``'s rule, without repeats), ``simhash.nearest`` finds close fingerprints by
+blocks and Hamming distance, their sets are compared exactly, and the components of what is similar are the first classes.
+
+No radius of fingerprints holds every pair of similarity 0.8 (the distance is about 10 +- 3 of 64 bits, without a bound), so what this leaves
+is looked for between different classes of SimHash, by
 prefix filtering, which loses none: shingles have one order for all documents, and two sets of similarity 0.8 share one of
 the first n - ceil(0.8 n) + 1 shingles of each. The order is rarest first by counters of hashed shingles (a fixed ``COUNTERS`` of
 them, summed over the corpus), then by hash; it decides what is compared, never what is found. Sizes and places bound the
@@ -22,8 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import components
-from .common import dropped, few_files, hot_keys, joined, kept, ready, written
-from .simhash import shingle_hashes
+from .common import dropped, few_files, hot_keys, joined, kept, ready, rested, written
+from .simhash import BUCKET, nearest, shingle_hashes
 
 SHINGLE, CROWD, ROUNDS = 5, 24, 3
 #: Counters of hashed shingles, and how many of them are in a row.
@@ -32,6 +36,8 @@ COUNTERS, PART = 1 << 20, 1 << 12
 SKETCH = tuple(f"b{k}" for k in range(16))
 #: Nodes that a task knows to have sent.
 SENT = 200_000
+#: Hashes whose bits are unpacked at once.
+UNPACKED = 1 << 16
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -44,6 +50,18 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxh64_intdigest(shingles.tobytes(), 5)).astype(np.int64))
 
 
+def fingerprints(sets: list[np.ndarray]) -> np.ndarray:
+    """int64 SimHash fingerprints of sets of shingles: a bit is 1 if it is set in over half of the hashes (no shingles: zero)."""
+    n = np.array([len(s) for s in sets], np.int64)
+    ones, flat, owner = np.zeros((len(sets), 64), np.int64), np.concatenate([*sets, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(sets)), n)
+    for at in range(0, len(flat), UNPACKED):
+        whose = owner[at : at + UNPACKED]
+        first = np.flatnonzero(np.diff(whose, prepend=-1))
+        bits = np.unpackbits(flat[at : at + UNPACKED].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones[whose[first]] += np.add.reduceat(bits, first, axis=0, dtype=np.int32)
+    return np.packbits(ones * 2 > n[:, None], axis=1, bitorder="little").view("<u8").ravel().view(np.int64)
+
+
 def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The shingles of which a set of similarity 0.8 has one in its own prefix, in order."""
     n = len(shingles)
@@ -64,7 +82,7 @@ def text_key():
 def _marked(batches):
     """Rows of documents, and at last rows of counters (part is not null)."""
     kept("near")
-    counts, names = np.zeros(COUNTERS, np.int64), ["doc_id", "key", "node", "part", "counts"]
+    counts, names = np.zeros(COUNTERS, np.int64), ["doc_id", "key", "node", "print", "part", "counts"]
     for b in batches:
         sets = [shingle_set(t) for t in b.column(2).to_pylist()]
         nodes = [node_of(s) for s in sets]
@@ -72,10 +90,11 @@ def _marked(batches):
         if once:
             counts += np.bincount((np.concatenate(once) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         none = pa.nulls(len(nodes), pa.int32()), pa.nulls(len(nodes), pa.binary())
-        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1).cast(pa.string()), pa.array(nodes, pa.int64()), *none], names)
+        prints = pa.array(fingerprints(sets), pa.int64())
+        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1).cast(pa.string()), pa.array(nodes, pa.int64()), prints, *none], names)
     for k in np.unique(np.nonzero(counts)[0] // PART).tolist():
         part = pa.array([k], pa.int32()), pa.array([counts[k * PART : (k + 1) * PART].tobytes()], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), *part], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()), *[pa.nulls(1, pa.int64())] * 2, *part], names)
 
 
 def _summed(t: pa.Table) -> pa.Table:
@@ -160,11 +179,32 @@ def _joined(placed: DataFrame, sketches: bool = False) -> DataFrame:
     return a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & apart & _possible(F.col("a.n"), F.col("a.at"), F.col("b.n"), F.col("b.at"))).select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
 
 
-def _rooted(placed: DataFrame, links: DataFrame) -> DataFrame:
-    star = components.stars(links)
+def _rooted(placed: DataFrame, star: DataFrame) -> DataFrame:
     return placed.drop("root").join(star.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _grown(star: DataFrame, links: DataFrame) -> DataFrame:
+    """The stars of a graph with these links added, made from the stars that were, and not from all links again."""
+    if links.isEmpty():
+        return star
+    rested(links.sparkSession)
+    return components.stars(star.unionByName(links))
+
+
+def simhash_pairs(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """Pairs (u, v) of the nodes of prints (node, print) that SimHash finds: each node with the first of its fingerprint, and the first of each
+    fingerprint with that of the closest one. So there are no more pairs than nodes, however many are close to each other."""
+    first = written(prints.groupBy("print").agg(F.min("node").alias("first")), "prints")
+    a, b = first.select(F.col("print").alias("u"), F.col("first").alias("a")), first.select(F.col("print").alias("v"), F.col("first").alias("b"))
+    close = nearest(first.select(F.col("print").alias("fp")), bucket).join(a, "u").join(b, "v").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    same = prints.join(first, "print").where("node != first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    return written(few_files(close.unionByName(same)), "close")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("u").unionByName(pairs.select(F.col("v").alias("u")))
+
+
 def _crowds(placed: DataFrame) -> DataFrame:
     """Without crowds of one class."""
     several = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("shingle")
@@ -174,38 +214,46 @@ def _crowds(placed: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """doc_id, key (``text_key``) and root of each row; rows of one class have one root."""
     spark = ready(docs.sparkSession)
-    marked = written(docs.select("doc_id", text_key().alias("key"), "text").mapInArrow(_marked, "doc_id long, key string, node long, part int, counts binary"), "marked")
+    marked = written(docs.select("doc_id", text_key().alias("key"), "text").mapInArrow(_marked, "doc_id long, key string, node long, print long, part int, counts binary"), "marked")
     counts = np.zeros(COUNTERS, np.int64)
     for r in marked.where("part is not null").select("part", "counts").groupBy("part").applyInArrow(_summed, "part int, counts binary").collect():
         counts[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(r["counts"], np.int64)
     shared = spark.sparkContext.broadcast(np.minimum(counts, (1 << 31) - 1).astype(np.int32))
-    marked = marked.where("part is null").select("doc_id", "key", "node")
+    marked = marked.where("part is null").select("doc_id", "key", "node", "print")
+
+    # (the set without shingles is similar to no other)
+    pairs = simhash_pairs(marked.where(F.col("node") != node_of(shingle_set(None))).groupBy("node").agg(F.first("print").alias("print")))
+    sets = _wanted_sets(docs, marked, _ends(pairs).distinct())
+    star = components.stars(_links(pairs, sets))
+    dropped(sets)
+    rested(spark)
 
     every = docs.select("text").mapInArrow(_prefixes(shared), "shingle long, node long, n int, at int")
     # counted by partial sums and joined back (not by a window), so that a shingle of very many nodes is never in one task
     once = every.groupBy("shingle", "node").agg(F.first("n").alias("n"), F.first("at").alias("at"))
     # (n and at are looked at on both sides, so that both read one shuffle)
     often = once.groupBy("shingle").agg(F.count("*").alias("nodes"), F.max("n").alias("most"), F.max("at").alias("last")).where("nodes > 1 and most > last").select("shingle", "nodes")
-    placed = written(once.join(often, "shingle").withColumn("root", F.col("node")), "prefixes")
-    pairs = written(few_files(_joined(placed.where(F.col("nodes") <= crowd)).distinct()), "pairs")
-    crowds = written(few_files(placed.where(F.col("nodes") > crowd)), "crowds")
+    placed = written(once.join(often, "shingle"), "prefixes")
+    shared.destroy()
+    pairs = written(few_files(_joined(_rooted(placed.where(F.col("nodes") <= crowd), star)).distinct()), "pairs")
+    crowds = _crowds(_rooted(placed.where(F.col("nodes") > crowd), star))
     dropped(placed)
-    sets = _wanted_sets(docs, marked, pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))).unionByName(crowds.select(F.col("node").alias("u"))).distinct())
+    sets = _wanted_sets(docs, marked, _ends(pairs).unionByName(crowds.select(F.col("node").alias("u"))).distinct())
 
-    links = _links(pairs, sets)
+    star = _grown(star, _links(pairs, sets))
     for k in range(ROUNDS):
         if crowds.isEmpty():
             break
-        crowds = _crowds(_rooted(crowds, links))
+        crowds = _crowds(_rooted(crowds, star))
         heads = crowds.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)), F.col("node"), F.col("n"), F.col("root"))).alias("h"))
         pairs = crowds.join(heads, "shingle").where((F.col("root") != F.col("h.root")) & (5 * F.least("n", "h.n") >= 4 * F.greatest("n", "h.n")))
-        links = links.unionByName(_links(pairs.select(F.greatest("node", "h.node").alias("u"), F.least("node", "h.node").alias("v")), sets))
+        star = _grown(star, _links(pairs.select(F.greatest("node", "h.node").alias("u"), F.least("node", "h.node").alias("v")), sets))
     if not crowds.isEmpty():
-        rest = _crowds(_rooted(crowds, links))
+        rest = _crowds(_rooted(crowds, star))
         sketches = sets.join(rest.select("node").distinct(), "node", "left_semi").mapInArrow(_sketched, "node long, " + ", ".join(f"{c} long" for c in SKETCH))
-        links = links.unionByName(_links(_joined(rest.join(sketches, "node"), True), sets))
-    star = components.stars(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
+        star = _grown(star, _links(_joined(rest.join(sketches, "node"), True), sets))
     dropped(sets)
+    rested(spark)
     counts = marked.groupBy("node").agg(F.count("*").alias("n"))
-    names = counts.join(star, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    names = counts.join(star.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     return joined(marked, names, "node", hot_keys(counts, "node", marked.count())).select("doc_id", "key", "root")

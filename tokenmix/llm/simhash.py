@@ -23,13 +23,15 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import components
-from .common import few_files, hot_keys, joined, kept, ready, written
+from .common import dropped, few_files, hot_keys, joined, kept, ready, written
 
 SHINGLE, SEED, DISTANCE, BLOCKS, CROWD = 3, 42, 2, 4, 24
+#: Of ``nearest``.
+WIDE_BLOCKS, WIDE_DISTANCE, WIDE_MOST, BUCKET = 8, 6, 10, 512
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -123,6 +125,38 @@ def links(nodes: DataFrame, crowd: int = CROWD) -> DataFrame:
         found, rows = written(few_files(found), "links"), written(few_files(rows), "crowds")
 
 
+def _agreed(x) -> Column:
+    """Of a difference of fingerprints, the two first of ``WIDE_BLOCKS`` blocks without a differing bit, as bits."""
+    size = 64 // WIDE_BLOCKS
+    equal = sum((F.when(x.bitwiseAND(F.lit(_signed((1 << size) - 1 << size * k))) == 0, 1 << k).otherwise(0) for k in range(WIDE_BLOCKS)), F.lit(0))
+    later = equal.bitwiseAND(equal - 1)
+    return equal.bitwiseAND(-equal) + later.bitwiseAND(-later)
+
+
+def nearest(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """(u, v): for the distinct fingerprints fp of nodes the closest one below it, where one is close.
+
+    ``WIDE_BLOCKS`` = 8 blocks of 8 bits: fingerprints of ``WIDE_DISTANCE`` = 6 or fewer differing bits agree in two of them, and are joined on each of the 28 pairs of
+    blocks; what is joined counts up to ``WIDE_MOST`` = 10 differing bits. A pair is looked at where it first agrees. Of over ``bucket``
+    fingerprints that agree, each is compared with one of them only: who uses this looks for the others in another way (``near``).
+    """
+    size = 64 // WIDE_BLOCKS
+    blocks = [(1 << i | 1 << j, (1 << size) - 1 << size * i | (1 << size) - 1 << size * j) for i, j in combinations(range(WIDE_BLOCKS), 2)]
+    at = F.array(*(F.struct(F.lit(code).alias("code"), F.col("fp").bitwiseAND(F.lit(_signed(mask))).alias("value")) for code, mask in blocks))
+    placed = nodes.select("fp", F.explode(at).alias("at")).select("fp", "at.code", "at.value")
+    sizes = placed.groupBy("code", "value").agg(F.count("*").alias("n"), F.min("fp").alias("head")).where("n > 1")
+    sized = written(placed.join(sizes, ["code", "value"]), "blocks")
+    few = sized.where(F.col("n") <= bucket)
+    a, b = few.select("code", "value", F.col("fp").alias("u")), few.select("code", "value", F.col("fp").alias("v"))
+    x = F.col("u").bitwiseXOR(F.col("v"))
+    pairs = a.join(b, ["code", "value"]).where((F.col("u") > F.col("v")) & (F.bit_count(x) <= WIDE_MOST) & (_agreed(x) == F.col("code"))).select("u", "v")
+    headed = sized.where(F.col("n") > bucket).select(F.col("fp").alias("u"), F.col("head").alias("v")).where((F.col("u") > F.col("v")) & (F.bit_count(x) <= WIDE_MOST))
+    found = pairs.unionByName(headed).groupBy("u").agg(F.min(F.struct(F.bit_count(x).alias("bits"), F.col("v"))).alias("least"))
+    found = written(few_files(found.select("u", "least.v")), "nearest")
+    dropped(sized)
+    return found
+
+
 def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """doc_id, fp and component_id of each row."""
     prints = written(fingerprints(docs), "fingerprints")
