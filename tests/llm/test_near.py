@@ -122,3 +122,16 @@ def test_fingerprints_of_sets():
     assert got[:4] + got[5:] == [plain(s) for k, s in enumerate(sets) if k != 4]
     ones = near.np.unpackbits(sets[4].view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=int)
     assert got[4] == sum(1 << k for k in range(64) if 2 * ones[k] > 70_000)
+
+
+def test_the_driver_gives_its_garbage_back(spark):
+    """What the driver's JVM no longer needs goes between steps, and does not wait until the heap is full."""
+    from tokenmix.llm.common import rested
+
+    used = lambda: (lambda r: r.totalMemory() - r.freeMemory())(spark._jvm.java.lang.Runtime.getRuntime())
+    rested(spark)
+    for _ in range(5):
+        spark._jvm.java.lang.String("x" * 4_000_000)
+    before = used()
+    rested(spark)
+    assert used() < before - 10_000_000
