@@ -114,6 +114,54 @@ def test_nearest_fingerprints(spark, bucket):
             assert least > simhash.WIDE_DISTANCE or distance(u, got[u]) == least
 
 
+def rows_of_joins(spark, done):
+    """How many rows the joins of the executions after those of done have made."""
+    store, total = spark._jsparkSession.sharedState().statusStore(), 0
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    runs = store.executionsList()
+    for run in (i for i in (runs.apply(k).executionId() for k in range(runs.size())) if i not in done):
+        done.add(run)
+        values, nodes = store.executionMetrics(run), store.planGraph(run).allNodes()
+        for node in (x for x in (nodes.apply(k) for k in range(nodes.size())) if "Join" in x.name()):
+            for m in (node.metrics().apply(k) for k in range(node.metrics().size())):
+                if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    total += int(values.apply(m.accumulatorId()).replace(",", ""))
+    return total
+
+
+@pytest.mark.parametrize("crowd", [1, simhash.CROWD])
+def test_a_group_of_close_fingerprints_makes_few_pairs(spark, crowd):
+    """400 fingerprints of 10 or fewer bits from each other (79,800 pairs): each has its closest one, and joins give far less than all pairs."""
+    rnd = random.Random(17)
+    base, free = rnd.getrandbits(64), rnd.sample(range(48), 24)  # two blocks of eight bits are those of all
+    prints = {base}
+    while len(prints) < 400:
+        prints.add(base ^ sum(1 << k for k in rnd.sample(free, rnd.randint(1, 5))))
+    prints |= {rnd.getrandbits(64) for _ in range(40)}
+    some = sorted(x - (1 << 64) if x >> 63 else x for x in prints)
+    distance = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
+    rows_of_joins(spark, done := set())
+    got = {r["u"]: r["v"] for r in simhash.nearest(spark.createDataFrame([(x,) for x in some], "fp long"), crowd=crowd).collect()}
+    made = rows_of_joins(spark, done)
+    for k, u in enumerate(some):
+        least = min((distance(u, v) for v in some[:k]), default=64)
+        assert least > simhash.WIDE_DISTANCE or distance(u, got[u]) == least
+    assert len(got) >= 390 and all(v < u and distance(u, v) <= simhash.WIDE_MOST for u, v in got.items())
+    assert 0 < made < 90 * len(some), made  # placing them by blocks and joining the sizes makes up to 28 + 6 + 15 rows of each
+
+
+def test_close_fingerprints_in_the_largest_crowds(spark):
+    """Where more agree than are joined, the closest one of four or fewer bits is still found."""
+    rnd = random.Random(18)
+    base, free = rnd.getrandbits(64), rnd.sample(range(48), 12)
+    some = sorted(x - (1 << 64) if x >> 63 else x for x in {base ^ sum(1 << k for k in rnd.sample(free, rnd.randint(0, 5))) for _ in range(200)})
+    distance = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
+    got = {r["u"]: r["v"] for r in simhash.nearest(spark.createDataFrame([(x,) for x in some], "fp long"), 10).collect()}
+    for k, u in enumerate(some):
+        least = min((distance(u, v) for v in some[:k]), default=64)
+        assert least > 4 or distance(u, got[u]) == least
+
+
 def test_fingerprints_of_sets():
     rnd = random.Random(16)
     sets = [near.np.array(sorted(rnd.getrandbits(64) for _ in range(n)), near.np.uint64) for n in (0, 1, 2, 5, 70_000, 0, 300)]

@@ -32,6 +32,8 @@ from .common import dropped, few_files, hot_keys, joined, kept, ready, written
 SHINGLE, SEED, DISTANCE, BLOCKS, CROWD = 3, 42, 2, 4, 24
 #: Of ``nearest``.
 WIDE_BLOCKS, WIDE_DISTANCE, WIDE_MOST, BUCKET = 8, 6, 10, 512
+#: Differing bits up to which the closest ones in crowds are looked for, one step after the other.
+WIDE_STEPS = (2, 4, WIDE_DISTANCE, 8, WIDE_MOST)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -125,36 +127,70 @@ def links(nodes: DataFrame, crowd: int = CROWD) -> DataFrame:
         found, rows = written(few_files(found), "links"), written(few_files(rows), "crowds")
 
 
-def _agreed(x) -> Column:
-    """Of a difference of fingerprints, the two first of ``WIDE_BLOCKS`` blocks without a differing bit, as bits."""
-    size = 64 // WIDE_BLOCKS
-    equal = sum((F.when(x.bitwiseAND(F.lit(_signed((1 << size) - 1 << size * k))) == 0, 1 << k).otherwise(0) for k in range(WIDE_BLOCKS)), F.lit(0))
+def _masks(blocks: int) -> list[tuple[int, int]]:
+    """Of 64 bits in so many blocks, each pair of blocks: its number in bits, and its mask."""
+    size = 64 // blocks
+    return [(1 << i | 1 << j, (1 << size) - 1 << size * i | (1 << size) - 1 << size * j) for i, j in combinations(range(blocks), 2)]
+
+
+def _agreed(x, blocks: int) -> Column:
+    """Of a difference of fingerprints, the two first of so many blocks without a differing bit, as bits."""
+    size = 64 // blocks
+    equal = sum((F.when(x.bitwiseAND(F.lit(_signed((1 << size) - 1 << size * k))) == 0, 1 << k).otherwise(0) for k in range(blocks)), F.lit(0))
     later = equal.bitwiseAND(equal - 1)
     return equal.bitwiseAND(-equal) + later.bitwiseAND(-later)
 
 
-def nearest(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
+def _by_blocks(nodes: DataFrame, blocks: int) -> DataFrame:
+    """fp, code and value (the fingerprint's bits) of each pair of blocks."""
+    at = F.array(*(F.struct(F.lit(code).alias("code"), F.col("fp").bitwiseAND(F.lit(_signed(mask))).alias("value")) for code, mask in _masks(blocks)))
+    return nodes.select("fp", F.explode(at).alias("at")).select("fp", "at.code", "at.value")
+
+
+def _met(some: DataFrame, others: DataFrame, blocks: int, most: int) -> DataFrame:
+    """Pairs (u, v) of at most so many differing bits, u of some and a smaller v of others, each where it first agrees in two blocks."""
+    a, b = some.select("code", "value", F.col("fp").alias("u")), others.select("code", "value", F.col("fp").alias("v"))
+    x = F.col("u").bitwiseXOR(F.col("v"))
+    return a.join(b, ["code", "value"]).where((F.col("u") > F.col("v")) & (F.bit_count(x) <= most) & (_agreed(x, blocks) == F.col("code"))).select("u", "v")
+
+
+def _closest(pairs: DataFrame) -> DataFrame:
+    """u, bits and v of the closest v of each u."""
+    bits = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
+    found = pairs.groupBy("u").agg(F.min(F.struct(bits.alias("bits"), F.col("v"))).alias("least")).select("u", "least.bits", "least.v")
+    return written(few_files(found), "nearest")
+
+
+def nearest(nodes: DataFrame, bucket: int = BUCKET, crowd: int = CROWD) -> DataFrame:
     """(u, v): for the distinct fingerprints fp of nodes the closest one below it, where one is close.
 
     ``WIDE_BLOCKS`` = 8 blocks of 8 bits: fingerprints of ``WIDE_DISTANCE`` = 6 or fewer differing bits agree in two of them, and are joined on each of the 28 pairs of
-    blocks; what is joined counts up to ``WIDE_MOST`` = 10 differing bits. A pair is looked at where it first agrees. Of over ``bucket``
+    blocks; what is joined counts up to ``WIDE_MOST`` = 10 differing bits. A pair is looked at where it first agrees.
+
+    Of over ``crowd`` fingerprints that agree, all pairs would be as many as the square of a group of near copies. Here the distance grows by ``WIDE_STEPS``, and who has
+    found one within a step looks no further: those left are further from each other than that step, so they get few as groups get dense, and still each has its closest one.
+    Steps of r < 6 bits have blocks of their own, r + 2 (of which two agree), so they find all of that distance in any crowd. Beyond them, of over ``bucket``
     fingerprints that agree, each is compared with one of them only: who uses this looks for the others in another way (``near``).
     """
-    size = 64 // WIDE_BLOCKS
-    blocks = [(1 << i | 1 << j, (1 << size) - 1 << size * i | (1 << size) - 1 << size * j) for i, j in combinations(range(WIDE_BLOCKS), 2)]
-    at = F.array(*(F.struct(F.lit(code).alias("code"), F.col("fp").bitwiseAND(F.lit(_signed(mask))).alias("value")) for code, mask in blocks))
-    placed = nodes.select("fp", F.explode(at).alias("at")).select("fp", "at.code", "at.value")
+    placed = _by_blocks(nodes, WIDE_BLOCKS)
     sizes = placed.groupBy("code", "value").agg(F.count("*").alias("n"), F.min("fp").alias("head")).where("n > 1")
     sized = written(placed.join(sizes, ["code", "value"]), "blocks")
-    few = sized.where(F.col("n") <= bucket)
-    a, b = few.select("code", "value", F.col("fp").alias("u")), few.select("code", "value", F.col("fp").alias("v"))
-    x = F.col("u").bitwiseXOR(F.col("v"))
-    pairs = a.join(b, ["code", "value"]).where((F.col("u") > F.col("v")) & (F.bit_count(x) <= WIDE_MOST) & (_agreed(x) == F.col("code"))).select("u", "v")
-    headed = sized.where(F.col("n") > bucket).select(F.col("fp").alias("u"), F.col("head").alias("v")).where((F.col("u") > F.col("v")) & (F.bit_count(x) <= WIDE_MOST))
-    found = pairs.unionByName(headed).groupBy("u").agg(F.min(F.struct(F.bit_count(x).alias("bits"), F.col("v"))).alias("least"))
-    found = written(few_files(found.select("u", "least.v")), "nearest")
+    few = sized.where(F.col("n") <= min(crowd, bucket))
+    headed = sized.where(F.col("n") > bucket).select(F.col("fp").alias("u"), F.col("head").alias("v"))
+    headed = headed.where((F.col("u") > F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= WIDE_MOST))
+    found = _closest(_met(few, few, WIDE_BLOCKS, WIDE_MOST).unionByName(headed))
+    crowds = sized.where(F.col("n") > min(crowd, bucket))
+    if not crowds.isEmpty():
+        crowded = written(few_files(crowds.select("fp").distinct()), "crowded")
+        for last, most in zip((0, *WIDE_STEPS), WIDE_STEPS):
+            blocks = min(most + 2, WIDE_BLOCKS)
+            others = _by_blocks(crowded, blocks) if blocks < WIDE_BLOCKS else crowds.where(F.col("n") <= bucket).select("fp", "code", "value")
+            some = others.join(found.where(F.col("bits") <= last).select(F.col("u").alias("fp")), "fp", "left_anti")
+            before, found = found, _closest(_met(some, others, blocks, most).unionByName(found.select("u", "v")))
+            dropped(before)
+        dropped(crowded)
     dropped(sized)
-    return found
+    return found.select("u", "v")
 
 
 def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
