@@ -162,6 +162,42 @@ def test_close_fingerprints_in_the_largest_crowds(spark):
         assert least > 4 or distance(u, got[u]) == least
 
 
+def test_fingerprints_that_agree_by_chance_are_no_rows(spark):
+    """8,000 fingerprints of which 125 agree in any two blocks (a table of 1/500 of what would give as many by chance): joins have at most a row for each of seven blocks, not for pairs of blocks, and each has its closest one."""
+    rnd = random.Random(19)
+    some = near.np.array(sorted({sum(rnd.randrange(8) << 8 * k + k for k in range(7)) + (rnd.randrange(8) << 56) for _ in range(8000)}), near.np.int64)
+    rows_of_joins(spark, done := set())
+    got = {r["u"]: r["v"] for r in simhash.nearest(spark.createDataFrame([(int(x),) for x in some], "fp long")).collect()}
+    assert 0 < rows_of_joins(spark, done) <= 7 * len(some)
+    for k, u in enumerate(some[1:], 1):
+        bits = near.np.bitwise_count(some[:k] ^ u)
+        assert bits.min() > simhash.WIDE_DISTANCE or got[int(u)] == some[bits.argmin()]
+
+
+@pytest.mark.parametrize("crowd", [1, 5, 1000])
+@pytest.mark.parametrize("counted", [1, 64, 1 << 18])
+def test_closest_of_runs(monkeypatch, crowd, counted):
+    rnd = random.Random(20)
+    sizes = [1, 7, 2, 40, 1, 5, 6, 19, 20, 21]
+    runs = [sorted(x - (1 << 64) if x >> 63 else x for x in {rnd.getrandbits(2) << 62 | rnd.getrandbits(12) << k for k in range(n)}) for n in sizes]
+    sizes = near.np.array([len(r) for r in runs])
+    monkeypatch.setattr(simhash, "COUNTED", counted)
+    bits, least = simhash._below(near.np.array(sum(runs, []), near.np.int64), sizes, 20, crowd)
+    distance = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
+    want = [min(((distance(u, v), v) for v in (r[:k] if len(r) <= 20 else r[:1])), default=(65, 0)) if k else (65, 0) for r in runs for k, u in enumerate(r)]
+    assert [(int(b), int(v) if b < 65 else 0) for b, v in zip(bits, least)] == want
+
+
+def test_crowds_are_joined_across_roots(spark):
+    """All pairs of different roots, each once, whichever root most nodes of a shingle have."""
+    rnd = random.Random(21)
+    rows = [(s, s * 1000 + k, 100, 0, rnd.choice([0, 0, 0, 0, 5, 6 + k])) for s in range(3) for k in range(40)]
+    placed = spark.createDataFrame(rows, "shingle long, node long, n int, at int, root long")
+    sketches = spark.createDataFrame([(r[1], *[0] * len(near.SKETCH)) for r in rows], "node long, " + ", ".join(f"{c} long" for c in near.SKETCH))
+    got = sorted((r["u"], r["v"]) for r in near._crowds_joined(placed, sketches).collect())
+    assert got == sorted((a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] > b[1] and a[4] != b[4])
+
+
 def test_fingerprints_of_sets():
     rnd = random.Random(16)
     sets = [near.np.array(sorted(rnd.getrandbits(64) for _ in range(n)), near.np.uint64) for n in (0, 1, 2, 5, 70_000, 0, 300)]

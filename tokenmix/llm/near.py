@@ -170,15 +170,24 @@ def _sketch_allows() -> Column:
     return 9 * differing <= F.col("a.n") + F.col("b.n")
 
 
-def _joined(placed: DataFrame, sketches: bool = False) -> DataFrame:
-    """Pairs of placed (shingle, node, n, at, root and perhaps sketches) of different roots that may be similar."""
+def _joined(placed: DataFrame) -> DataFrame:
+    """Pairs of placed (shingle, node, n, at, root) of different roots that may be similar."""
     a, b = placed.alias("a"), placed.alias("b")
     apart = (F.col("a.node") > F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
-    if sketches:
-        apart = apart & _sketch_allows()
     return a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & apart & _possible(F.col("a.n"), F.col("a.at"), F.col("b.n"), F.col("b.at"))).select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
 
 
+def _crowds_joined(placed: DataFrame, sketches: DataFrame) -> DataFrame:
+    """As ``_joined``, where the sketches (of nodes) allow it. Of a pair of different roots at most one node is of the root that most nodes of the
+    shingle have; so all are joined with the others only, and a crowd that is nearly of one class makes few pairs."""
+    most = placed.groupBy("shingle", "root").agg(F.count("*").alias("k")).groupBy("shingle").agg(F.max(F.struct("k", "root")).alias("most")).select("shingle", F.col("most.root").alias("most"))
+    sketched = placed.join(sketches, "node").join(most, "shingle").withColumn("main", F.col("root") == F.col("most"))
+    a, b = sketched.where("not main").alias("a"), sketched.alias("b")
+    apart = (F.col("a.root") != F.col("b.root")) & (F.col("b.main") | (F.col("a.node") > F.col("b.node"))) & _sketch_allows()
+    pairs = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & apart & _possible(F.col("a.n"), F.col("a.at"), F.col("b.n"), F.col("b.at")))
+    return pairs.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v"))
+
+
 def _rooted(placed: DataFrame, star: DataFrame) -> DataFrame:
     return placed.drop("root").join(star.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
@@ -251,7 +260,7 @@ def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     if not crowds.isEmpty():
         rest = _crowds(_rooted(crowds, star))
         sketches = sets.join(rest.select("node").distinct(), "node", "left_semi").mapInArrow(_sketched, "node long, " + ", ".join(f"{c} long" for c in SKETCH))
-        star = _grown(star, _links(_joined(rest.join(sketches, "node"), True), sets))
+        star = _grown(star, _links(_crowds_joined(rest, sketches), sets))
     dropped(sets)
     rested(spark)
     counts = marked.groupBy("node").agg(F.count("*").alias("n"))

@@ -32,8 +32,10 @@ from .common import dropped, few_files, hot_keys, joined, kept, ready, written
 SHINGLE, SEED, DISTANCE, BLOCKS, CROWD = 3, 42, 2, 4, 24
 #: Of ``nearest``.
 WIDE_BLOCKS, WIDE_DISTANCE, WIDE_MOST, BUCKET = 8, 6, 10, 512
-#: Differing bits up to which the closest ones in crowds are looked for, one step after the other.
-WIDE_STEPS = (2, 4, WIDE_DISTANCE, 8, WIDE_MOST)
+#: Differing bits up to which the closest ones are looked for, one step after the other, where over a bucket agree.
+WIDE_STEPS = (2, 4)
+#: Pairs of fingerprints whose differing bits are counted at once.
+COUNTED = 1 << 18
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -161,35 +163,84 @@ def _closest(pairs: DataFrame) -> DataFrame:
     return written(few_files(found), "nearest")
 
 
+def _below(f: np.ndarray, sizes: np.ndarray, bucket: int, crowd: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs of so many fingerprints, each in ascending order: the bits between each one and the closest (of several the smallest) before it in its run, and this one.
+
+    All of the runs of at most ``crowd`` are compared with the one before, then with the one before that, and so on; in longer ones a run's pairs are counted together. Of over
+    ``bucket`` each is compared with the first only.
+    """
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    bits, least, nth = np.full(len(f), 65, np.uint8), np.zeros(len(f), np.int64), np.arange(len(f)) - np.repeat(starts, sizes)
+    left, back = np.flatnonzero((nth > 0) & np.repeat(sizes <= min(crowd, bucket), sizes)), 1
+    while len(left):
+        v = f[left - back]
+        n = np.bitwise_count((f[left] ^ v).view(np.uint64))
+        closer = n <= bits[left]  # of as many bits the later one is the smaller
+        bits[left[closer]], least[left[closer]] = n[closer], v[closer]
+        back += 1
+        left = left[nth[left] >= back]
+    for run in np.flatnonzero((sizes > crowd) & (sizes > 1) & (sizes <= bucket)):
+        start, end = starts[run], ends[run]
+        step = max(1, COUNTED // (end - start))
+        for low in range(start, end, step):
+            high = min(low + step, end)
+            n = np.bitwise_count((f[low:high, None] ^ f[None, start:high]).view(np.uint64))
+            n[np.arange(start, high)[None, :] >= np.arange(low, high)[:, None]] = 65
+            at = n.argmin(axis=1)
+            bits[low:high], least[low:high] = n[np.arange(high - low), at], f[start + at]
+    headed = np.flatnonzero((nth > 0) & np.repeat(sizes > bucket, sizes))
+    least[headed] = f[headed - nth[headed]]
+    bits[headed] = np.bitwise_count((f[headed] ^ least[headed]).view(np.uint64))
+    return bits, least
+
+
+def _nearest_of_block(t: pa.Table, bucket: int, crowd: int) -> pa.Table:
+    """Of distinct fingerprints that agree in a block: by each later block (u, v), v the closest one below u of those that agree in it too; and v null for a u with which over ``bucket`` agree."""
+    kept("near")
+    f, block, size = np.sort(t.column("fp").to_numpy()), t.column("block")[0].as_py(), 64 // WIDE_BLOCKS
+    bits, least, crowded = np.full(len(f), 65, np.uint8), np.zeros(len(f), np.int64), np.zeros(len(f), bool)
+    for other in range(block + 1, WIDE_BLOCKS):
+        value = (f.view(np.uint64) >> np.uint64(size * other) & np.uint64((1 << size) - 1)).astype(np.uint16)
+        order = np.argsort(value, kind="stable")
+        sizes = np.bincount(value)
+        sizes = sizes[sizes > 0]
+        n, v = _below(f[order], sizes, bucket, crowd)
+        crowded[order] |= np.repeat(sizes > bucket, sizes)
+        closer = (n < bits[order]) | (n == bits[order]) & (v < least[order])
+        bits[order[closer]], least[order[closer]] = n[closer], v[closer]
+    near, none = bits <= WIDE_MOST, pa.nulls(int(crowded.sum()), pa.int64())
+    return pa.table({"u": np.concatenate([f[near], f[crowded]]), "v": pa.chunked_array([pa.array(least[near]), none], pa.int64())})
+
+
 def nearest(nodes: DataFrame, bucket: int = BUCKET, crowd: int = CROWD) -> DataFrame:
     """(u, v): for the distinct fingerprints fp of nodes the closest one below it, where one is close.
 
-    ``WIDE_BLOCKS`` = 8 blocks of 8 bits: fingerprints of ``WIDE_DISTANCE`` = 6 or fewer differing bits agree in two of them, and are joined on each of the 28 pairs of
-    blocks; what is joined counts up to ``WIDE_MOST`` = 10 differing bits. A pair is looked at where it first agrees.
+    ``WIDE_BLOCKS`` = 8 blocks of 8 bits: fingerprints of ``WIDE_DISTANCE`` = 6 or fewer differing bits agree in two of them, and all that agree in two are compared; what
+    is compared counts up to ``WIDE_MOST`` = 10 differing bits. So that of the 28 pairs of blocks no pair is a row, fingerprints are grouped by their value of one block (seven
+    rows each, 1,792 groups), and in a group those that agree in a later block too are compared by arrays, a nanosecond or so a pair: as many agree by chance in two blocks as the
+    corpus is large (1/65536 of it), so all pairs of a join would be as many as its square. Only close ones come out, one of each fingerprint at most.
 
-    Of over ``crowd`` fingerprints that agree, all pairs would be as many as the square of a group of near copies. Here the distance grows by ``WIDE_STEPS``, and who has
-    found one within a step looks no further: those left are further from each other than that step, so they get few as groups get dense, and still each has its closest one.
-    Steps of r < 6 bits have blocks of their own, r + 2 (of which two agree), so they find all of that distance in any crowd. Beyond them, of over ``bucket``
-    fingerprints that agree, each is compared with one of them only: who uses this looks for the others in another way (``near``).
+    Of over ``bucket`` fingerprints that agree, each is compared with one of them only, and all of these with each other within ``WIDE_STEPS``: steps of r bits have
+    blocks of their own, r + 2 (of which two agree), so they find all of that distance in any crowd, and who has found one within a step looks no further. Who uses this
+    looks for the others in another way (``near``).
     """
-    placed = _by_blocks(nodes, WIDE_BLOCKS)
-    sizes = placed.groupBy("code", "value").agg(F.count("*").alias("n"), F.min("fp").alias("head")).where("n > 1")
-    sized = written(placed.join(sizes, ["code", "value"]), "blocks")
-    few = sized.where(F.col("n") <= min(crowd, bucket))
-    headed = sized.where(F.col("n") > bucket).select(F.col("fp").alias("u"), F.col("head").alias("v"))
-    headed = headed.where((F.col("u") > F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= WIDE_MOST))
-    found = _closest(_met(few, few, WIDE_BLOCKS, WIDE_MOST).unionByName(headed))
-    crowds = sized.where(F.col("n") > min(crowd, bucket))
+    ready(nodes.sparkSession)
+    size = 64 // WIDE_BLOCKS
+    blocks = F.array(*(F.struct(F.lit(k).alias("block"), F.shiftrightunsigned("fp", size * k).bitwiseAND(F.lit((1 << size) - 1)).alias("value")) for k in range(WIDE_BLOCKS - 1)))
+    placed = nodes.select("fp", F.explode(blocks).alias("at")).select("fp", "at.block", "at.value")
+    several = placed.groupBy("block", "value").agg(F.count("*").alias("n")).where("n > 1").select("block", "value")  # at most a row for each group; small tables have many groups of one
+    met = written(placed.join(F.broadcast(several), ["block", "value"]).select("fp", "block", "value").groupBy("block", "value").applyInArrow(lambda t: _nearest_of_block(t, bucket, crowd), "u long, v long"), "met")
+    found, crowds = _closest(met.where("v is not null")), met.where("v is null").select(F.col("u").alias("fp"))
     if not crowds.isEmpty():
-        crowded = written(few_files(crowds.select("fp").distinct()), "crowded")
+        crowded = written(few_files(crowds.distinct()), "crowded")
         for last, most in zip((0, *WIDE_STEPS), WIDE_STEPS):
-            blocks = min(most + 2, WIDE_BLOCKS)
-            others = _by_blocks(crowded, blocks) if blocks < WIDE_BLOCKS else crowds.where(F.col("n") <= bucket).select("fp", "code", "value")
+            others = _by_blocks(crowded, most + 2)
             some = others.join(found.where(F.col("bits") <= last).select(F.col("u").alias("fp")), "fp", "left_anti")
-            before, found = found, _closest(_met(some, others, blocks, most).unionByName(found.select("u", "v")))
+            before, found = found, _closest(_met(some, others, most + 2, most).unionByName(found.select("u", "v")))
             dropped(before)
         dropped(crowded)
-    dropped(sized)
+    dropped(met)
     return found.select("u", "v")
 
 
