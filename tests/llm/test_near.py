@@ -219,3 +219,49 @@ def test_the_driver_gives_its_garbage_back(spark):
     before = used()
     rested(spark)
     assert used() < before - 10_000_000
+
+
+def test_the_driver_gives_freed_native_memory_back(spark):
+    """What the JVM and Python have freed, and the C library keeps, goes back to the system between steps."""
+    import ctypes
+    import os
+    import re
+    from pathlib import Path
+
+    from tokenmix.llm.common import rested
+
+    held = lambda pid: int(re.search(r"\nRss:\s+(\d+)", "\n" + Path(f"/proc/{pid}/smaps_rollup").read_text())[1]) / 1024
+    jvm, size, n, every = spark._jvm, 64 << 10, 1000, 100
+    field = jvm.Class.forName("sun.misc.Unsafe").getDeclaredField("theUnsafe")
+    field.setAccessible(True)
+    unsafe, libc = field.get(None), ctypes.CDLL(None)
+    libc.malloc.restype, libc.free.argtypes = ctypes.c_void_p, [ctypes.c_void_p]
+
+    rested(spark)
+    for pid, take, fill, free in (
+        (jvm.java.lang.ProcessHandle.current().pid(), unsafe.allocateMemory, lambda at: unsafe.setMemory(at, size, 1), unsafe.freeMemory),
+        (os.getpid(), libc.malloc, lambda at: ctypes.memset(at, 1, size), libc.free),
+    ):
+        blocks = [take(size) for _ in range(n)]
+        for at in blocks:
+            fill(at)
+        for k, at in enumerate(blocks):  # a few stay between, so that what is freed is not at the end
+            if k % every != every - 1:
+                free(at)
+        before = held(pid)
+        rested(spark)
+        assert held(pid) < before - 40, (pid, before, held(pid))
+        for at in blocks[every - 1 :: every]:
+            free(at)
+
+
+def test_written_frames_have_no_marker(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from tokenmix.llm.common import written
+
+    df = written(spark.range(10).toDF("x"), "marker")
+    folder = os.path.dirname(urlparse(df.inputFiles()[0]).path)
+    assert df.count() == 10 and not [f for f in os.listdir(folder) if "SUCCESS" in f]
+    assert written(spark.range(0).toDF("x"), "marker").count() == 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -47,10 +49,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
-    """Cuts lineage: writes df as Parquet into the shared folder and reads it again."""
+    """Cuts lineage: writes df as Parquet into the shared folder and reads it again.
+
+    Without a _SUCCESS file, which nobody asks for: on a local file system the driver would fork for its ``chmod``, and the JVM is counted twice meanwhile.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    df.write.option("compression", codec).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -79,8 +84,37 @@ def joined(rows: DataFrame, names: DataFrame, key: str, hot: list) -> DataFrame:
 
 
 def rested(spark: SparkSession) -> None:
-    """Collects the driver's garbage, so that its heap shrinks to what lives: between steps of many plans, whose remains would let it grow to all it may have."""
-    spark.sparkContext._jvm.System.gc()
+    """Gives back what the driver no longer needs: between steps of many plans, whose remains would let it grow to all it may have.
+
+    Its garbage is collected, so that the heap shrinks to what lives, and then the memory that the JVM's compilers and buffers and Python have freed, which the C library would keep, goes back to the system.
+    """
+    jvm = spark.sparkContext._jvm
+    gc.collect()  # first, as it lets go of the JVM's objects too
+    jvm.System.gc()
+    _trim_jvm(spark)
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def _trim_jvm(spark: SparkSession) -> bool:
+    """The JVM's own command for that; false where it has none (before 17.0.9, or not on Linux)."""
+    jvm, new = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    server, name = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), "systemTrimNativeHeap"
+    commands = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+
+    def asked(method, kinds, *values):  # the server's class is not open to py4j, its interface is
+        types, given = new(jvm.Class, len(kinds)), new(jvm.Object, len(kinds))
+        for k, (kind, value) in enumerate(zip(kinds, values)):
+            types[k], given[k] = jvm.Class.forName(kind), value
+        return jvm.Class.forName("javax.management.MBeanServer").getMethod(method, types).invoke(server, given)
+
+    if name not in [x.getName() for x in asked("getMBeanInfo", ["javax.management.ObjectName"], commands).getOperations()]:
+        return False
+    asked("invoke", ["javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;"], commands, name, None, None)
+    return True
 
 
 #: What a Python worker keeps between the batches and tasks of one operator.
@@ -90,8 +124,6 @@ _kept: dict[str, dict] = {}
 def kept(operator: str) -> dict:
     """The store of an operator in this worker; those of other operators are given up, as a worker serves one after another."""
     if any(k != operator for k in _kept):
-        import gc
-
         import pyarrow as pa
 
         for k in [k for k in _kept if k != operator]:

@@ -230,10 +230,13 @@ def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     shared = spark.sparkContext.broadcast(np.minimum(counts, (1 << 31) - 1).astype(np.int32))
     marked = marked.where("part is null").select("doc_id", "key", "node", "print")
 
+    rested(spark)
     # (the set without shingles is similar to no other)
     pairs = simhash_pairs(marked.where(F.col("node") != node_of(shingle_set(None))).groupBy("node").agg(F.first("print").alias("print")))
     sets = _wanted_sets(docs, marked, _ends(pairs).distinct())
-    star = components.stars(_links(pairs, sets))
+    found = _links(pairs, sets)
+    rested(spark)
+    star = components.stars(found)
     dropped(sets)
     rested(spark)
 
@@ -247,6 +250,7 @@ def classes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     pairs = written(few_files(_joined(_rooted(placed.where(F.col("nodes") <= crowd), star)).distinct()), "pairs")
     crowds = _crowds(_rooted(placed.where(F.col("nodes") > crowd), star))
     dropped(placed)
+    rested(spark)
     sets = _wanted_sets(docs, marked, _ends(pairs).unionByName(crowds.select(F.col("node").alias("u"))).distinct())
 
     star = _grown(star, _links(pairs, sets))

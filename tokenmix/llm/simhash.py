@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import components
-from .common import dropped, few_files, hot_keys, joined, kept, ready, written
+from .common import dropped, few_files, hot_keys, joined, kept, ready, rested, written
 
 SHINGLE, SEED, DISTANCE, BLOCKS, CROWD = 3, 42, 2, 4, 24
 #: Of ``nearest``.
@@ -235,6 +235,7 @@ def nearest(nodes: DataFrame, bucket: int = BUCKET, crowd: int = CROWD) -> DataF
     if not crowds.isEmpty():
         crowded = written(few_files(crowds.distinct()), "crowded")
         for last, most in zip((0, *WIDE_STEPS), WIDE_STEPS):
+            rested(nodes.sparkSession)
             others = _by_blocks(crowded, most + 2)
             some = others.join(found.where(F.col("bits") <= last).select(F.col("u").alias("fp")), "fp", "left_anti")
             before, found = found, _closest(_met(some, others, most + 2, most).unionByName(found.select("u", "v")))
@@ -267,6 +268,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     id_first = F.struct(F.col("doc_id").isNull(), "doc_id", "key")  # a null id comes last
     found = written(near.classes(docs), "classes")
+    rested(docs.sparkSession)
     one = found.groupBy("root").agg(F.min(id_first).alias("one")).select("one.doc_id", "one.key")
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     chosen = one.select(F.col("key").alias("k"), name.alias("i"))  # rows of one id and text are in one class, so these are different
